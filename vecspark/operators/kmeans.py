@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 from vecspark.functions import kernels
 from vecspark.model import CENTROID_TYPE
 from vecspark.operators import nearest as nn
-from vecspark.operators.ranking import with_positions
-from vecspark.session import checkpoint_dir
+from vecspark.operators.ranking import positions
+from vecspark.session import checkpoint_dir, ensure_importable
 
 
 def centroids_fit(spark, rows: int, dim: int) -> bool:
@@ -41,6 +41,7 @@ def assign_lists(df: DataFrame, centroids: DataFrame, *, dim: int, metric: str,
     """
     group_keys = list(group_keys)
     spark = df.sparkSession
+    ensure_importable(spark)
     if strategy == "auto":
         if centroid_rows is None:
             centroid_rows = centroids.count()
@@ -86,10 +87,14 @@ def assign_lists(df: DataFrame, centroids: DataFrame, *, dim: int, metric: str,
 
 
 def initial_centroids(train: DataFrame, *, nlist: int, group_keys=()) -> DataFrame:
-    """Rows at evenly spaced positions of each group in id order."""
+    """Rows at evenly spaced positions of each group in id order.
+
+    Positions are computed on the keys only; vectors are joined back for the
+    ``nlist`` chosen rows per group.
+    """
     group_keys = list(group_keys)
-    positioned = with_positions(train.select(*group_keys, "_id", "_v"), ["_id"], group_keys)
-    counts = train.groupBy(*group_keys).agg(F.count(F.lit(1)).alias("_n"))
+    pos = positions(train, ["_id"], group_keys)
+    counts = pos.groupBy(*group_keys).agg(F.count(F.lit(1)).alias("_n"))
     step = (F.col("list_id") * (F.col("_n") - 1)).cast("long")
     targets = (counts
                .withColumn("_n", F.when(F.col("_n") < nlist, F.raise_error(F.format_string(
@@ -97,7 +102,8 @@ def initial_centroids(train: DataFrame, *, nlist: int, group_keys=()) -> DataFra
                            .otherwise(F.col("_n")))
                .withColumn("list_id", F.explode(F.sequence(F.lit(0), F.lit(nlist - 1))))
                .withColumn("_pos", F.lit(0).cast("long") if nlist == 1 else F.floor(step / (nlist - 1)).cast("long")))
-    return (targets.join(positioned, group_keys + ["_pos"])
+    chosen = targets.join(pos, group_keys + ["_pos"]).select(*group_keys, "list_id", "_id")
+    return (chosen.join(train.select(*group_keys, "_id", "_v"), group_keys + ["_id"])
             .select(*group_keys, F.col("list_id").cast("int").alias("list_id"),
                     F.col("_v").cast(CENTROID_TYPE).alias("centroid")))
 

@@ -41,9 +41,9 @@ def topk_merge(df: DataFrame, k: int, *, by=(), idxs_col: str = "idxs", distance
                      F.transform("_s", lambda s: s["distance"]).alias("distances"))
     if groups is None:
         return out
-    dist_type = df.schema[distances_col].dataType
+    elem = df.schema[distances_col].dataType.elementType
     return groups.join(out, by, "left").select(
-        *by, F.col("idxs").cast(T.ArrayType(T.LongType())), F.col("distances").cast(dist_type))
+        *by, F.col("idxs").cast(T.ArrayType(T.LongType())), F.col("distances").cast(T.ArrayType(elem)))
 
 
 def rank_lists(df: DataFrame, k: int, *, by=(), idxs_col: str = "idxs", distances_col: str = "distances",

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecspark.functions import kernels
+from vecspark.session import ensure_importable
 
 DEFAULT_BROADCAST_BYTES = 128 << 20
 DEFAULT_TILE_BYTES = 32 << 20
@@ -185,6 +186,7 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
         raise ValueError("give exactly one of k and radius")
     join_keys, per_keys = list(join_keys), list(per_keys)
     spark = queries.sparkSession
+    ensure_importable(spark)
     larger = kernels.larger_is_nearer(metric)
     key_types = {f.name: f.dataType for f in items.schema.fields}
     kinds = {kname: ("int" if isinstance(key_types[kname], T.IntegerType) else "long") for kname in per_keys}

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecspark.functions import kernels
+from vecspark.session import ensure_importable
 from vecspark.operators import kmeans as km
 from vecspark.operators import nearest as nn
 
@@ -73,6 +74,7 @@ def decode(postings: DataFrame, centroids: DataFrame, codebooks: DataFrame, *, d
     codebook table.
     """
     spark = postings.sparkSession
+    ensure_importable(spark)
     if nn.side_bytes(rows_hint, dim) <= nn.broadcast_budget(spark):
         ct = centroids.select("shard_id", "list_id", "centroid").toArrow()
         cbt = codebooks.select("shard_id", "sub", "code", "centroid").toArrow()

@@ -1,9 +1,15 @@
 """Dense positions in a global order without a single-task window.
 
 ``row_number()`` over an unpartitioned window moves every row into one
-task.  Here the rows are range-partitioned on the order keys, numbered
-inside each partition, and shifted by the row counts of the earlier
-partitions (a table with one row per partition and group).
+task.  Here the key columns are range-partitioned on the order keys,
+numbered inside each partition, and shifted by the row counts of the
+earlier partitions (a table with one row per partition and group).
+
+The tagging depends on range bounds sampled from the input, and an input
+that comes out of a shuffle can be sampled differently each time it is
+computed; so the tagged keys are written once (a reliable checkpoint in the
+shared checkpoint folder) and both the counts and the numbering read that
+copy.  Only the key columns are written.
 """
 
 from __future__ import annotations
@@ -11,30 +17,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vecspark.session import checkpoint_dir
+
 _LOCAL_BITS = 33  # monotonically_increasing_id(): partition index << 33 | row in partition
 
 
-def with_positions(df: DataFrame, order_cols, group_cols=(), name: str = "_pos",
-                   num_partitions: int | None = None) -> DataFrame:
-    """Add ``name`` = 0-based position of the row in ``order_cols`` order within ``group_cols``.
+def positions(df: DataFrame, order_cols, group_cols=(), name: str = "_pos",
+              num_partitions: int | None = None) -> DataFrame:
+    """``group_cols + order_cols + [name]``: 0-based position in ``order_cols`` order within each group.
 
-    The order keys must be unique within a group (ids are); with ties the
-    numbering could differ between recomputations.
+    The order keys must be unique within a group (ids are).
     """
     order_cols, group_cols = list(order_cols), list(group_cols)
     keys = group_cols + order_cols
+    spark = df.sparkSession
     if num_partitions is None:
-        num_partitions = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
-    tagged = (df.repartitionByRange(num_partitions, *keys)
-                .sortWithinPartitions(*keys)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .withColumn("_part", F.shiftright("_mid", _LOCAL_BITS))
-                .withColumn("_local", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1)))
+        num_partitions = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+    checkpoint_dir(spark)
+    tagged = (df.select(*keys)
+              .repartitionByRange(num_partitions, *keys)
+              .sortWithinPartitions(*keys)
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .checkpoint(eager=True)
+              .withColumn("_part", F.shiftright("_mid", _LOCAL_BITS))
+              .withColumn("_local", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1)))
     counts = tagged.groupBy("_part", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_first"))
     w = Window.partitionBy(*group_cols).orderBy("_part") if group_cols else Window.orderBy("_part")
     offsets = counts.withColumn(
         "_offset", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     joined = tagged.join(offsets.select("_part", *group_cols, "_offset", "_first"), ["_part", *group_cols])
-    return joined.withColumn(name, F.col("_offset") + F.col("_local") - F.col("_first")).drop(
-        "_mid", "_part", "_local", "_offset", "_first")
+    return joined.select(*keys, (F.col("_offset") + F.col("_local") - F.col("_first")).alias(name))
+
+
+def with_positions(df: DataFrame, order_cols, group_cols=(), name: str = "_pos",
+                   num_partitions: int | None = None) -> DataFrame:
+    """``df`` with ``name`` added (joined back on the group and order keys)."""
+    pos = positions(df, order_cols, group_cols, name, num_partitions)
+    return df.join(pos, list(group_cols) + list(order_cols))

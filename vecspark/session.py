@@ -25,6 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
@@ -41,3 +42,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
         conf = tempfile.mkdtemp(prefix="vecspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
+
+
+def ensure_importable(spark: SparkSession) -> None:
+    """Let Python workers import this package.
+
+    Workers on the driver's machine (local mode) get the package root on
+    their ``PYTHONPATH`` through the context's executor environment; on a
+    cluster the package is shipped with ``--py-files`` or installed.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root] + paths)
