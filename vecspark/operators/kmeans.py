@@ -6,17 +6,20 @@ deterministic and has a SQL oracle.  Each iteration assigns every row to
 its nearest centroid (ties to the lower ``list_id``) and replaces each
 centroid by the mean of its rows; an empty list keeps its centroid.
 
-Assignment appends ``list_id`` to the rows without moving them when the
-centroids of all groups fit the broadcast budget (they are ``groups x nlist x
-dim`` doubles, known before the job); beyond it the tiled plan of
-``nearest`` is used.  The update is a hash aggregate with one ``sum`` per
-dimension, so each task ships at most one partial row per list.
+When the centroids of all groups fit the broadcast budget (they are
+``groups x nlist x dim`` doubles, known before the job), each iteration is
+one pass over the training rows: a ``mapInArrow`` task assigns its rows and
+adds them up per list, emitting one partial row per list, and a hash
+aggregate with one ``sum`` per dimension combines the partial rows.  Beyond
+the budget, rows are assigned with the tiled plan of ``nearest`` and the
+aggregate runs over the assigned rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,12 +50,7 @@ def assign_lists(df: DataFrame, centroids: DataFrame, *, dim: int, metric: str,
             centroid_rows = centroids.count()
         strategy = "broadcast" if centroids_fit(spark, centroid_rows, dim) else "tiled"
     if strategy == "broadcast":
-        tbl = centroids.select(*group_keys, "list_id", "centroid").toArrow()
-        keys = [tbl.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in group_keys]
-        lists = tbl.column("list_id").to_numpy(zero_copy_only=False).astype(np.int64)
-        mat = kernels.list_matrix(tbl.column("centroid"), dim)
-        side = {kv: (lists[rows], mat[rows]) for kv, rows in kernels.group_rows(keys)}
-        bc = spark.sparkContext.broadcast(side)
+        bc = _broadcast_centroids(spark, centroids, dim, group_keys)
         out_schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.IntegerType(), True)])
 
         def run(batches):
@@ -120,11 +118,92 @@ def update_centroids(assigned: DataFrame, old: DataFrame, *, dim: int, group_key
             .select(*group_keys, "list_id", F.coalesce("_mean", "centroid").alias("centroid")))
 
 
+def _broadcast_centroids(spark, centroids: DataFrame, dim: int, group_keys):
+    tbl = centroids.select(*group_keys, "list_id", "centroid").toArrow()
+    keys = [tbl.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in group_keys]
+    lists = tbl.column("list_id").to_numpy(zero_copy_only=False).astype(np.int64)
+    mat = kernels.list_matrix(tbl.column("centroid"), dim)
+    return spark.sparkContext.broadcast({kv: (lists[rows], mat[rows]) for kv, rows in kernels.group_rows(keys)})
+
+
+def partial_sums(train: DataFrame, centroids: DataFrame, *, dim: int, metric: str, group_keys=()) -> DataFrame:
+    """Assignment fused with the map side of the update (broadcast centroids).
+
+    Each task emits one row ``group_keys..., list_id, _cnt, _sum`` per list it
+    saw, instead of one row per training vector.
+    """
+    group_keys = list(group_keys)
+    spark = train.sparkSession
+    ensure_importable(spark)
+    bc = _broadcast_centroids(spark, centroids, dim, group_keys)
+    key_types = {f.name: f.dataType for f in train.schema.fields}
+    schema = T.StructType([T.StructField(k, key_types[k], True) for k in group_keys] + [
+        T.StructField("list_id", T.IntegerType(), False), T.StructField("_cnt", T.LongType(), False),
+        T.StructField("_sum", CENTROID_TYPE, False)])
+    arrow_types = {k: (pa.int32() if isinstance(key_types[k], T.IntegerType) else pa.int64()) for k in group_keys}
+
+    def run(batches):
+        cents = bc.value
+        acc = {}
+        for rb in batches:
+            n = rb.num_rows
+            if not n:
+                continue
+            vecs = kernels.list_matrix(rb.column("_v"), dim)
+            gk = [rb.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in group_keys]
+            for kv, rows in kernels.group_rows(gk):
+                got = cents.get(kv)
+                if got is None:
+                    raise ValueError(f"no centroids for group {kv}")
+                rows = np.arange(n)[rows]
+                lid, cm = got
+                qi, vi, _ = kernels.search_block(vecs[rows], cm, lid, metric, k=1)
+                slot = vi[np.argsort(qi, kind="stable")]
+                cnt = np.bincount(slot, minlength=len(lid))
+                sums = np.zeros((len(lid), dim))
+                np.add.at(sums, slot, vecs[rows])
+                prev = acc.get(kv)
+                acc[kv] = (cnt, sums) if prev is None else (prev[0] + cnt, prev[1] + sums)
+        cols = {k: [] for k in group_keys}
+        out_l, out_n, out_s = [], [], []
+        for kv, (cnt, sums) in acc.items():
+            lid = cents[kv][0]
+            hit = np.flatnonzero(cnt)
+            for k, v in zip(group_keys, kv):
+                cols[k].append(np.full(len(hit), v, np.int64))
+            out_l.append(lid[hit])
+            out_n.append(cnt[hit])
+            out_s.append(sums[hit])
+        if not out_l:
+            return
+        sums = np.concatenate(out_s)
+        arrays = [pa.array(np.concatenate(cols[k]), type=arrow_types[k]) for k in group_keys]
+        arrays += [pa.array(np.concatenate(out_l), type=pa.int32()), pa.array(np.concatenate(out_n), type=pa.int64()),
+                   pa.FixedSizeListArray.from_arrays(pa.array(sums.reshape(-1)), dim).cast(pa.list_(pa.float64()))]
+        yield pa.RecordBatch.from_arrays(arrays, names=group_keys + ["list_id", "_cnt", "_sum"])
+
+    return train.select(*group_keys, "_v").mapInArrow(run, schema)
+
+
+def combine_sums(partials: DataFrame, old: DataFrame, *, dim: int, group_keys=()) -> DataFrame:
+    """Reduce side of the update: add the partial sums per list and divide."""
+    group_keys = list(group_keys)
+    s = F.col("_sum")
+    sums = partials.groupBy(*group_keys, "list_id").agg(
+        F.sum("_cnt").alias("_cnt"), *[F.sum(s[i]).alias(f"_s{i}") for i in range(dim)])
+    means = sums.select(*group_keys, "list_id",
+                        F.array(*[F.col(f"_s{i}") / F.col("_cnt") for i in range(dim)]).alias("_mean"))
+    return (old.join(means, group_keys + ["list_id"], "left")
+            .select(*group_keys, "list_id", F.coalesce("_mean", "centroid").alias("centroid")))
+
+
 def kmeans(train: DataFrame, *, dim: int, nlist: int, iterations: int, metric: str = "l2",
            group_keys=(), groups: int | None = None) -> DataFrame:
     """Centroids ``group_keys + [list_id, centroid]`` after ``iterations`` Lloyd steps.
 
     ``train`` has ``group_keys + [_id, _v]``; ids must be unique per group.
+    The training rows are persisted for the iterations (recomputed from
+    lineage if an executor is lost) and released at the end.
     """
     group_keys = list(group_keys)
     spark = train.sparkSession
@@ -132,11 +211,19 @@ def kmeans(train: DataFrame, *, dim: int, nlist: int, iterations: int, metric: s
         groups = train.select(*group_keys).distinct().count() if group_keys else 1
     rows = groups * nlist
     small = centroids_fit(spark, rows, dim)
-    cents = _settle(initial_centroids(train, nlist=nlist, group_keys=group_keys), small)
-    for _ in range(iterations):
-        assigned = assign_lists(train, cents, dim=dim, metric=metric, group_keys=group_keys,
-                                centroid_rows=rows, strategy="broadcast" if small else "tiled")
-        cents = _settle(update_centroids(assigned, cents, dim=dim, group_keys=group_keys), small)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cents = _settle(initial_centroids(train, nlist=nlist, group_keys=group_keys), small)
+        for _ in range(iterations):
+            if small:
+                part = partial_sums(train, cents, dim=dim, metric=metric, group_keys=group_keys)
+                cents = _settle(combine_sums(part, cents, dim=dim, group_keys=group_keys), small)
+            else:
+                assigned = assign_lists(train, cents, dim=dim, metric=metric, group_keys=group_keys,
+                                        centroid_rows=rows, strategy="tiled")
+                cents = _settle(update_centroids(assigned, cents, dim=dim, group_keys=group_keys), small)
+    finally:
+        train.unpersist()
     return cents
 
 

@@ -92,11 +92,12 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
                       strategy=strategy)
 
 
-def _long(hits: DataFrame, q: DataFrame, scope: str) -> DataFrame:
+def _long(hits: DataFrame, scope: str, with_ids: bool) -> DataFrame:
+    """Long form; with query ids, ``_qid`` is the id itself, so no join back to the queries."""
     shard = ["shard_id"] if scope == "shard" else []
-    return (hits.join(q.select("_qid", "query_idx"), "_qid")
-            .select("query_idx", *shard, F.col("_id").alias("vector_idx"), F.col("_d").alias("distance"),
-                    F.col("_rank").alias("ranking")))
+    qidx = F.col("_qid") if with_ids else F.lit(None).cast(T.LongType())
+    return hits.select(qidx.alias("query_idx"), *shard, F.col("_id").alias("vector_idx"),
+                       F.col("_d").alias("distance"), F.col("_rank").alias("ranking"))
 
 
 def knn(index: VectorIndex, queries: DataFrame, k: int, *, id_col: str | None = "id",
@@ -107,7 +108,7 @@ def knn(index: VectorIndex, queries: DataFrame, k: int, *, id_col: str | None =
     q = prepare_queries(queries, index.dim, id_col, vector_col)
     hits = candidates(index, q, k=k, scope=scope, where=where, index_key=index_key, nprobe=nprobe,
                       strategy=strategy)
-    return _long(hits, q, scope)
+    return _long(hits, scope, id_col is not None)
 
 
 def range_search(index: VectorIndex, queries: DataFrame, radius: float, *, id_col: str | None = "id",
@@ -119,7 +120,7 @@ def range_search(index: VectorIndex, queries: DataFrame, radius: float, *, id_co
     q = prepare_queries(queries, index.dim, id_col, vector_col)
     hits = candidates(index, q, radius=float(radius), scope=scope, where=where, index_key=index_key,
                       nprobe=nprobe, strategy=strategy)
-    return _long(hits, q, scope)
+    return _long(hits, scope, id_col is not None)
 
 
 def to_array_form(hits: DataFrame, q: DataFrame, *, preserve_vector: bool | None = True) -> DataFrame:
