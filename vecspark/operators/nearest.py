@@ -305,6 +305,8 @@ def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_ke
 def _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger):
     spark = queries.sparkSession
     per_tile = tile_rows(spark, dim)
+    items = items.select(*[F.col(c).alias(c) for c in items.columns])
+    queries = queries.select(*[F.col(c).alias(c) for c in queries.columns])
     if join_keys:
         ic = items.groupBy(*join_keys).agg(F.count(F.lit(1)).alias("_ni"))
         qc = queries.groupBy(*join_keys).agg(F.count(F.lit(1)).alias("_nq"))
@@ -343,6 +345,10 @@ def _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, s
         qpos, per, ids, d, ranks = acc.reduce(k, larger)
         return pa.Table.from_batches([_batch(per, qids[qpos], ids, d, ranks, per_keys, kinds)])
 
+    # Queries and items often come from one DataFrame; fresh attribute ids keep
+    # the two sides of the cogroup apart.
+    it = it.select(*[F.col(c).alias(c) for c in it.columns])
+    qt = qt.select(*[F.col(c).alias(c) for c in qt.columns])
     g = join_keys + ["_ps", "_qs"]
     return it.groupBy(*g).cogroup(qt.groupBy(*g)).applyInArrow(run, schema)
 
