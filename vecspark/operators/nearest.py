@@ -44,6 +44,7 @@ from vecspark.session import ensure_importable
 
 DEFAULT_BROADCAST_BYTES = 128 << 20
 DEFAULT_TILE_BYTES = 32 << 20
+MAX_IN_LIST = 4096
 
 
 def _conf_int(spark, key: str, default: int) -> int:
@@ -194,14 +195,7 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
     budget = broadcast_budget(spark)
 
     if strategy == "auto":
-        if items_rows is None:
-            items_rows = items.count()
-        if side_bytes(items_rows, dim) <= budget:
-            strategy = "broadcast_items"
-        else:
-            if queries_rows is None:
-                queries_rows = queries.count()
-            strategy = "broadcast_queries" if side_bytes(queries_rows, dim) <= budget else "tiled"
+        strategy = choose_strategy(queries, items, dim, budget, items_rows, queries_rows)
 
     if strategy == "broadcast_items":
         out, complete = _broadcast_items(queries, items, dim, metric, k, radius, join_keys, per_keys,
@@ -219,6 +213,27 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
     return rank_final(out, k, per_keys, larger)
 
 
+def choose_strategy(queries: DataFrame, items: DataFrame, dim: int, budget: int,
+                    items_rows: int | None = None, queries_rows: int | None = None) -> str:
+    """Pick a plan from checked row counts.
+
+    An item side of known small size (centroids, codebooks) is broadcast.
+    Otherwise the query side is counted first: a batch of queries that fits
+    is broadcast and the item side (a large index) is streamed in place and
+    never counted.  Only when the queries do not fit is the item side
+    counted; if neither fits, the tiled plan is used.
+    """
+    if items_rows is not None and side_bytes(items_rows, dim) <= budget:
+        return "broadcast_items"
+    if queries_rows is None:
+        queries_rows = queries.count()
+    if side_bytes(queries_rows, dim) <= budget:
+        return "broadcast_queries"
+    if items_rows is None:
+        items_rows = items.count()
+    return "broadcast_items" if side_bytes(items_rows, dim) <= budget else "tiled"
+
+
 def rank_final(cands: DataFrame, k: int | None, per_keys, larger: bool) -> DataFrame:
     """Merge partial candidate lists: best k per (query, per_keys) by (distance, id).
 
@@ -299,7 +314,14 @@ def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_ke
         if len(qpos):
             yield _batch(per, qs["ids"][qpos], hid, d, ranks, per_keys, kinds)
 
-    return items.select(*_item_keys(join_keys, per_keys)[0], "_id", "_v").mapInArrow(run, schema)
+    scan = items.select(*_item_keys(join_keys, per_keys)[0], "_id", "_v")
+    for pos, key in enumerate(join_keys):
+        # Only groups some query asks for (an IVF probe's lists): a static IN
+        # list reaches the Parquet scan as a partition or row-group filter.
+        wanted = np.unique(side["keys"][pos]) if len(side["ids"]) else np.zeros(0, np.int64)
+        if len(wanted) <= MAX_IN_LIST:
+            scan = scan.where(F.col(key).isin([int(x) for x in wanted]))
+    return scan.mapInArrow(run, schema)
 
 
 def _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger):
