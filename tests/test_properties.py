@@ -156,3 +156,29 @@ def test_inner_product_ranks_descending(spark, emb):
     rows = vs.knn(idx, emb, 3).where("query_idx = 0").orderBy("ranking").collect()
     assert rows[0]["vector_idx"] == 0
     assert rows[0]["distance"] >= rows[1]["distance"] >= rows[2]["distance"]
+
+
+def test_pq_rerank_with_raw_vectors(spark, emb):
+    flat = {(q, v) for q, v, *_ in _pairs(vs.knn(vs.build_index(emb, 64), emb, 10))}
+    pq = vs.build_index(emb, 64, "ivf_pq", nlist=2, m=16, ks=16, iterations=4, refine=True, nprobe=2)
+    plain = {(q, v) for q, v, *_ in _pairs(vs.knn(pq, emb, 10))}
+    reranked = vs.knn(vs.set_options(pq, rerank=100), emb, 10)
+    got = {(q, v) for q, v, *_ in _pairs(reranked)}
+    assert len(got & flat) / len(flat) > max(0.9, len(plain & flat) / len(flat))
+    with pytest.raises(ValueError):
+        vs.knn(vs.set_options(vs.build_index(emb, 64, "ivf_pq", nlist=2, m=16, ks=16, iterations=2), rerank=5),
+               emb, 3).collect()
+
+
+@pytest.mark.parametrize("metric", ["l2", "ip", "l1", "linf"])
+def test_distance_column_matches_kernel(spark, emb, metric):
+    from vecspark.functions.distance import distance
+    from vecspark.functions import kernels
+    rows = emb.where("id < 6").orderBy("id").collect()
+    v = np.array([r["vector"] for r in rows], dtype=np.float64)
+    pairs = emb.where("id < 6").alias("a").join(emb.where("id < 6").alias("b"), F.col("a.id") < F.col("b.id")) \
+        .select(F.col("a.id").alias("i"), F.col("b.id").alias("j"),
+                distance(F.col("a.vector"), F.col("b.vector"), metric).alias("d")).collect()
+    for r in pairs:
+        _, _, d = kernels.search_block(v[[r["i"]]], v[[r["j"]]], np.array([r["j"]]), metric, k=1)
+        assert abs(d[0] - r["d"]) < 1e-12

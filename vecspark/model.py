@@ -70,6 +70,8 @@ class IndexSpec:
     nlist     number of k-means lists per shard (ivf_*)
     m, ks     PQ: sub-vectors per vector and centroids per sub-space
     iterations  Lloyd iterations for every k-means of the index
+    refine    ivf_pq: also keep the raw vectors, so a search can re-rank
+              its PQ candidates exactly (option ``rerank``)
     """
 
     dim: int
@@ -79,6 +81,7 @@ class IndexSpec:
     m: int | None = None
     ks: int = 256
     iterations: int = 10
+    refine: bool = False
 
     def __post_init__(self):
         object.__setattr__(self, "dim", positive_int("dim", self.dim))
@@ -94,6 +97,8 @@ class IndexSpec:
             object.__setattr__(self, "ks", positive_int("ks", self.ks))
         if self.kind == "flat" and self.nlist != 1:
             raise ValueError("a flat index has exactly one list")
+        if self.refine and self.kind != "ivf_pq":
+            raise ValueError("refine applies to ivf_pq indexes only")
 
     @property
     def needs_training(self) -> bool:

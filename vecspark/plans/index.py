@@ -23,22 +23,28 @@ from vecspark.operators import pq
 from vecspark.operators.ranking import with_positions
 
 
+def payload_columns(spec: IndexSpec) -> list[str]:
+    """Stored columns besides the keys: ``vector``, ``code``, or both (refine)."""
+    if spec.kind != "ivf_pq":
+        return ["vector"]
+    return ["code", "vector"] if spec.refine else ["code"]
+
+
 def _postings_schema(spec: IndexSpec) -> T.StructType:
-    payload = (T.StructField("code", pq.CODE_TYPE, False) if spec.kind == "ivf_pq"
-               else T.StructField("vector", VECTOR_TYPE, False))
+    types = {"code": pq.CODE_TYPE, "vector": VECTOR_TYPE}
     return T.StructType([
         T.StructField("shard_id", T.IntegerType(), False),
         T.StructField("list_id", T.IntegerType(), False),
         T.StructField("id", T.LongType(), False),
-        payload,
-    ])
+    ] + [T.StructField(c, types[c], False) for c in payload_columns(spec)])
 
 
 def create_index(spark: SparkSession, dim: int, kind: str = "flat", metric="l2", *, nlist: int = 1,
-                 m: int | None = None, ks: int = 256, iterations: int = 10,
+                 m: int | None = None, ks: int = 256, iterations: int = 10, refine: bool = False,
                  options: SearchOptions | None = None) -> VectorIndex:
     """An empty index of the given kind (V4)."""
-    spec = IndexSpec(dim=dim, kind=kind, metric=metric, nlist=nlist, m=m, ks=ks, iterations=iterations)
+    spec = IndexSpec(dim=dim, kind=kind, metric=metric, nlist=nlist, m=m, ks=ks, iterations=iterations,
+                     refine=refine)
     return VectorIndex(spark=spark, spec=spec, options=options or SearchOptions(),
                        postings=spark.createDataFrame([], _postings_schema(spec)),
                        trained=not spec.needs_training, extra={"empty": True})
@@ -137,11 +143,12 @@ def add_vectors(index: VectorIndex, df: DataFrame, *, vector_col: str = "vector"
         assigned = assigned.withColumn("list_id", F.when(F.col("list_id").isNull(), F.raise_error(
             F.lit("vector belongs to a shard the index was not trained for"))).otherwise(F.col("list_id")))
         if spec.kind == "ivf_pq":
+            keep = (("vector",) if spec.refine else ()) + tags
             new = pq.encode(assigned, index.centroids, index.codebooks, m=spec.m, dsub=spec.dsub, ks=spec.ks,
-                            groups=groups, keep=tags)
+                            groups=groups, keep=keep)
         else:
             new = assigned
-    cols = ["shard_id", "list_id", "id", "code" if spec.kind == "ivf_pq" else "vector", *tags]
+    cols = ["shard_id", "list_id", "id", *payload_columns(spec), *tags]
     new = new.select(*cols)
     old = index.postings
     postings = new if empty else old.unionByName(new, allowMissingColumns=True)
@@ -150,10 +157,12 @@ def add_vectors(index: VectorIndex, df: DataFrame, *, vector_col: str = "vector"
 
 
 def build_index(df: DataFrame, dim: int, kind: str = "flat", metric="l2", *, nlist: int = 1,
-                m: int | None = None, ks: int = 256, iterations: int = 10, vector_col: str = "vector",
-                id_col: str = "id", shard=None, tag_columns=(), **options) -> VectorIndex:
+                m: int | None = None, ks: int = 256, iterations: int = 10, refine: bool = False,
+                vector_col: str = "vector", id_col: str = "id", shard=None, tag_columns=(),
+                **options) -> VectorIndex:
     """create + set options + train + add in one call (V9); ``shard`` builds one index per shard (V10)."""
-    idx = create_index(df.sparkSession, dim, kind, metric, nlist=nlist, m=m, ks=ks, iterations=iterations)
+    idx = create_index(df.sparkSession, dim, kind, metric, nlist=nlist, m=m, ks=ks, iterations=iterations,
+                       refine=refine)
     if options:
         idx = set_options(idx, **options)
     if idx.spec.needs_training:
@@ -164,7 +173,7 @@ def build_index(df: DataFrame, dim: int, kind: str = "flat", metric="l2", *, nli
 def index_keys(index: VectorIndex) -> DataFrame:
     """(shard_id, index_key): md5 over spec, options, row count and an order-free hash of the postings (V17)."""
     spec = index.spec
-    payload = "code" if spec.kind == "ivf_pq" else "vector"
+    payload = payload_columns(spec)[0]
     desc = json.dumps({"spec": spec.__dict__, "options": index.options.as_map()}, sort_keys=True)
     stats = index.postings.groupBy("shard_id").agg(
         F.count(F.lit(1)).alias("_n"),
@@ -193,8 +202,8 @@ def load_index(spark: SparkSession, path: str) -> VectorIndex:
     meta = json.loads(spark.read.json(os.path.join(path, "meta")).first()["meta"])
     spec = IndexSpec(**meta["spec"])
     postings = spark.read.parquet(os.path.join(path, "postings"))
-    payload = "code" if spec.kind == "ivf_pq" else "vector"
-    postings = postings.select(F.col("shard_id").cast("int"), "list_id", "id", payload, *meta["tags"])
+    postings = postings.select(F.col("shard_id").cast("int"), "list_id", "id", *payload_columns(spec),
+                               *meta["tags"])
     cents = spark.read.schema(CENTROIDS_SCHEMA).parquet(os.path.join(path, "centroids")) \
         if spec.needs_training else None
     books = spark.read.schema(CODEBOOKS_SCHEMA).parquet(os.path.join(path, "codebooks")) \

@@ -24,18 +24,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vecspark.functions.distance import distance
 from vecspark.model import VectorIndex, checked_vector, positive_int
 from vecspark.operators import nearest as nn
 from vecspark.operators import pq
 from vecspark.plans.index import index_keys
+from vecspark.session import checkpoint_dir
 
 
 def prepare_queries(queries: DataFrame, dim: int, id_col: str | None = "id",
                     vector_col: str = "vector") -> DataFrame:
     """(_qid, _qv, query_idx, query_vector): validated queries with a row identity.
 
-    Without ids, ``_qid`` is ``monotonically_increasing_id()`` (stable for a
-    deterministic input) and ``query_idx`` is NULL, as in the reference.
+    Without ids, ``_qid`` is ``monotonically_increasing_id()``, checkpointed so
+    it stays fixed, and ``query_idx`` is NULL, as in the reference.
     """
     if id_col is None:
         qid = F.monotonically_increasing_id()
@@ -44,9 +46,15 @@ def prepare_queries(queries: DataFrame, dim: int, id_col: str | None = "id",
         c = F.col(id_col).cast("long")
         qid = F.when(c.isNull(), F.raise_error(F.lit("query ids must not be NULL"))).otherwise(c)
         qidx = c
-    return queries.select(qid.alias("_qid"), checked_vector(vector_col, dim, "query vector").alias("_qv"),
-                          qidx.alias("query_idx"), F.col(vector_col).cast(T.ArrayType(T.FloatType()))
-                          .alias("query_vector"))
+    out = queries.select(qid.alias("_qid"), checked_vector(vector_col, dim, "query vector").alias("_qv"),
+                         qidx.alias("query_idx"), F.col(vector_col).cast(T.ArrayType(T.FloatType()))
+                         .alias("query_vector"))
+    if id_col is None:
+        # The surrogate id must not change between the uses of the queries
+        # (search, and the join back in array form): write it once.
+        checkpoint_dir(queries.sparkSession)
+        out = out.checkpoint(eager=True)
+    return out
 
 
 def _keyed(df: DataFrame, index: VectorIndex, index_key: str | None) -> DataFrame:
@@ -82,9 +90,15 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
                        items_rows=groups * spec.nlist)
     qp = probe.select("shard_id", F.col("_id").cast("int").alias("list_id"), "_qid").join(qs, "_qid")
     if spec.kind == "ivf_pq":
-        post = pq.decode(post, index.centroids, index.codebooks, dim=spec.dim, m=spec.m, dsub=spec.dsub,
-                         ks=spec.ks, rows_hint=groups * (spec.nlist + spec.m * spec.ks))
-        items = post.select("shard_id", "list_id", F.col("id").alias("_id"), "_v")
+        decoded = pq.decode(post.select("shard_id", "list_id", "id", "code"), index.centroids, index.codebooks,
+                            dim=spec.dim, m=spec.m, dsub=spec.dsub, ks=spec.ks,
+                            rows_hint=groups * (spec.nlist + spec.m * spec.ks))
+        items = decoded.select("shard_id", "list_id", F.col("id").alias("_id"), "_v")
+        rerank = index.options.rerank
+        if rerank is not None and k is not None:
+            if not spec.refine:
+                raise ValueError("rerank needs an ivf_pq index built with refine=True (raw vectors kept)")
+            return _reranked(qp, qs, items, post, spec, k, max(rerank, k), per_keys, strategy)
     else:
         items = post.select("shard_id", "list_id", F.col("id").alias("_id"), F.col("vector").alias("_v"))
     return nn.nearest(qp, items, dim=spec.dim, metric=spec.metric, k=k, radius=radius,
@@ -92,6 +106,23 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
                       strategy=strategy)
 
 
+def _reranked(qp, qs, items, post, spec, k, rerank, per_keys, strategy) -> DataFrame:
+    """PQ top-``rerank`` per (query, shard), re-scored with the raw vectors, then the top k.
+
+    The candidates meet the raw vectors by an equi-join on
+    ``(shard_id, list_id, id)``; the raw side is cut to the probed lists
+    first.
+    """
+    approx = nn.nearest(qp, items, dim=spec.dim, metric=spec.metric, k=rerank, join_keys=["shard_id", "list_id"],
+                        per_keys=["shard_id"], queries_unique=False, strategy=strategy)
+    probed = qp.select("shard_id", "list_id").distinct()
+    raw = (post.join(probed, ["shard_id", "list_id"], "left_semi")
+           .select("shard_id", F.col("id").alias("_id"), F.col("vector").alias("_raw")))
+    exact = (approx.select("shard_id", "_qid", "_id").join(raw, ["shard_id", "_id"]).join(qs, "_qid")
+             .select("shard_id", "_qid", "_id", distance("_qv", "_raw", spec.metric).alias("_d")))
+    return nn.rank_final(exact, k, per_keys, spec.metric == "ip")
+
+
 def _long(hits: DataFrame, scope: str, with_ids: bool) -> DataFrame:
     """Long form; with query ids, ``_qid`` is the id itself, so no join back to the queries."""
     shard = ["shard_id"] if scope == "shard" else []
