@@ -319,8 +319,7 @@ def _probe_pairs(cents: str, post: str, nprobe: int, radius: float | None = None
 
 
 def _range_long(pairs: str) -> str:
-    return (f"SELECT query_idx, vector_idx, round(distance, 6) AS distance, row_number() OVER "
-            f"(PARTITION BY query_idx ORDER BY distance, vector_idx) AS ranking FROM ({pairs})")
+    return f"SELECT query_idx, vector_idx, round(distance, 6) AS distance FROM ({pairs})"
 
 
 def _pq_ctes() -> tuple[list[str], str, str]:

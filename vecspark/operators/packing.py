@@ -18,11 +18,16 @@ from pyspark.sql import types as T
 from vecspark.model import positive_int
 
 
+DEFAULT_PAGE = 65536
+
+
 def pack_vectors(df: DataFrame, *, by=(), id_col: str = "id", vector_col: str = "vector",
-                 page_size: int | None = None) -> DataFrame:
+                 page_size: int | None = DEFAULT_PAGE) -> DataFrame:
     """``by..., [page,] ids ARRAY<LONG>, vectors ARRAY<FLOAT>`` (V1, V2), ids ascending.
 
-    An empty input gives no rows.
+    ``page_size=None`` packs each whole group into one row, as the
+    reference does; that row is unbounded, so the default cuts pages.  An
+    empty input gives no rows.
     """
     by = list(by)
     keys = list(by)
@@ -42,7 +47,7 @@ def pack_vectors(df: DataFrame, *, by=(), id_col: str = "id", vector_col: str =
 
 
 def array_1d_extend(df: DataFrame, vector_col: str = "vector", *, order_col: str = "id", by=(),
-                    page_size: int | None = None) -> DataFrame:
+                    page_size: int | None = DEFAULT_PAGE) -> DataFrame:
     """Concatenate the vectors of each group in ``order_col`` order (V1)."""
     packed = pack_vectors(df, by=by, id_col=order_col, vector_col=vector_col, page_size=page_size)
     return packed.drop("ids")

@@ -2,9 +2,10 @@
 
 Each function returns a new ``VectorIndex``; the tables are DataFrames, so
 a build is a plan until something is written or searched.  ``save_index``
-writes the tables as Parquet (postings partitioned by ``shard_id`` and
-sorted by ``list_id`` inside files, so list and shard filters skip row
-groups); ``load_index`` reads them back lazily.
+writes the tables as Parquet (postings range-partitioned on
+``(shard_id, list_id, id)``, written in ``shard_id`` folders and sorted by
+``list_id`` inside files, so shard filters prune folders and list filters
+skip row groups); ``load_index`` reads them back lazily.
 """
 
 from __future__ import annotations
@@ -185,7 +186,12 @@ def index_keys(index: VectorIndex) -> DataFrame:
 
 def save_index(index: VectorIndex, path: str, mode: str = "error") -> None:
     spec = index.spec
-    (index.postings.repartition("shard_id").sortWithinPartitions("shard_id", "list_id")
+    # Range partitioning on (shard, list, id) keeps tasks balanced even when one
+    # shard or list holds a large share of the rows, and leaves every file
+    # sorted by list, so list filters skip row groups.
+    n = max(1, int(index.spark.conf.get("spark.sql.shuffle.partitions", "8")))
+    (index.postings.repartitionByRange(n, "shard_id", "list_id", "id")
+     .sortWithinPartitions("shard_id", "list_id", "id")
      .write.mode(mode).partitionBy("shard_id").parquet(os.path.join(path, "postings")))
     if index.centroids is not None:
         index.centroids.write.mode(mode).parquet(os.path.join(path, "centroids"))

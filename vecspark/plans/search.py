@@ -66,8 +66,12 @@ def _keyed(df: DataFrame, index: VectorIndex, index_key: str | None) -> DataFram
 
 def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius: float | None = None,
                scope: str = "global", where: Column | None = None, index_key: str | None = None,
-               nprobe: int | None = None, strategy: str = "auto") -> DataFrame:
-    """Ranked hits ``[shard_id,] _qid, _id, _d, _rank`` for prepared queries."""
+               nprobe: int | None = None, strategy: str = "auto", final: bool = True) -> DataFrame:
+    """Ranked hits ``[shard_id,] _qid, _id, _d, _rank`` for prepared queries.
+
+    ``final=False`` (radius search) skips the per-query ranking window; the
+    hits are complete but ``_rank`` is only task-local.
+    """
     if scope not in ("global", "shard"):
         raise ValueError("scope must be 'global' or 'shard'")
     spec = index.spec
@@ -80,7 +84,7 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
     if spec.kind == "flat":
         items = post.select("shard_id", F.col("id").alias("_id"), F.col("vector").alias("_v"))
         return nn.nearest(qs, items, dim=spec.dim, metric=spec.metric, k=k, radius=radius,
-                          per_keys=per_keys, strategy=strategy)
+                          per_keys=per_keys, strategy=strategy, final=final)
     nprobe = positive_int("nprobe", nprobe or index.options.nprobe)
     groups = index.extra.get("groups", 1)
     cents = _keyed(index.centroids, index, index_key)
@@ -103,7 +107,7 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
         items = post.select("shard_id", "list_id", F.col("id").alias("_id"), F.col("vector").alias("_v"))
     return nn.nearest(qp, items, dim=spec.dim, metric=spec.metric, k=k, radius=radius,
                       join_keys=["shard_id", "list_id"], per_keys=per_keys, queries_unique=False,
-                      strategy=strategy)
+                      strategy=strategy, final=final)
 
 
 def _reranked(qp, qs, items, post, spec, k, rerank, per_keys, strategy) -> DataFrame:
@@ -123,12 +127,17 @@ def _reranked(qp, qs, items, post, spec, k, rerank, per_keys, strategy) -> DataF
     return nn.rank_final(exact, k, per_keys, spec.metric == "ip")
 
 
-def _long(hits: DataFrame, scope: str, with_ids: bool) -> DataFrame:
-    """Long form; with query ids, ``_qid`` is the id itself, so no join back to the queries."""
+def _long(hits: DataFrame, scope: str, with_ids: bool, ranked: bool = True) -> DataFrame:
+    """Long form; with query ids, ``_qid`` is the id itself, so no join back to the queries.
+
+    Radius results carry no ranking: ranking all hits of one query would put
+    them in one task, and the hit count of a query is not bounded.
+    """
     shard = ["shard_id"] if scope == "shard" else []
     qidx = F.col("_qid") if with_ids else F.lit(None).cast(T.LongType())
+    rank = [F.col("_rank").alias("ranking")] if ranked else []
     return hits.select(qidx.alias("query_idx"), *shard, F.col("_id").alias("vector_idx"),
-                       F.col("_d").alias("distance"), F.col("_rank").alias("ranking"))
+                       F.col("_d").alias("distance"), *rank)
 
 
 def knn(index: VectorIndex, queries: DataFrame, k: int, *, id_col: str | None = "id",
@@ -150,17 +159,23 @@ def range_search(index: VectorIndex, queries: DataFrame, radius: float, *, id_co
         raise ValueError("radius is required")
     q = prepare_queries(queries, index.dim, id_col, vector_col)
     hits = candidates(index, q, radius=float(radius), scope=scope, where=where, index_key=index_key,
-                      nprobe=nprobe, strategy=strategy)
-    return _long(hits, scope, id_col is not None)
+                      nprobe=nprobe, strategy=strategy, final=False)
+    return _long(hits, scope, id_col is not None, ranked=False)
 
 
-def to_array_form(hits: DataFrame, q: DataFrame, *, preserve_vector: bool | None = True) -> DataFrame:
+def to_array_form(hits: DataFrame, q: DataFrame, *, preserve_vector: bool | None = True,
+                  ranked: bool = True, larger_is_nearer: bool = False) -> DataFrame:
     """One row per query (V14): ``query_vector, query_idx, vector_idxs, distances``.
 
     Queries without hits keep their row with empty arrays.  ``query_vector``
-    is NULL unless ``preserve_vector`` is true.
+    is NULL unless ``preserve_vector`` is true.  Hits are in ranking order
+    (k-NN) or by (distance, id) (radius search; descending for inner product).
+    A radius row holds every hit of its query, as the reference's result
+    type does; at scale prefer the long form.
     """
-    agg = hits.groupBy("_qid").agg(F.array_sort(F.collect_list(F.struct("_rank", "_id", "_d"))).alias("_h"))
+    order = F.struct((-F.col("_d") if larger_is_nearer else F.col("_d")).alias("d"), F.col("_id").alias("i"))
+    agg = hits.groupBy("_qid").agg(F.array_sort(F.collect_list(F.struct(
+        (F.col("_rank") if ranked else F.lit(0)).alias("_r"), order.alias("_o"), "_id", "_d"))).alias("_h"))
     out = q.join(agg, "_qid", "left")
     keep = bool(preserve_vector)
     return out.select(
@@ -189,5 +204,6 @@ def range_search_arrays(index: VectorIndex, queries: DataFrame, radius: float, *
     """Array-form radius search."""
     q = prepare_queries(queries, index.dim, id_col, vector_col)
     hits = candidates(index, q, radius=float(radius), where=where, index_key=index_key, nprobe=nprobe,
-                      strategy=strategy)
-    return to_array_form(hits, q, preserve_vector=preserve_vector)
+                      strategy=strategy, final=False)
+    return to_array_form(hits, q, preserve_vector=preserve_vector, ranked=False,
+                         larger_is_nearer=index.metric == "ip")
