@@ -172,6 +172,7 @@ def index_reset(spark, sf_dir):
 
 def index_keyed_search(spark, sf_dir):
     emb, idx = _flat(spark, sf_dir, shard=F.col("id") % 2)
+    idx = vs.with_keys(idx)
     key = vs.index_keys(idx).where(F.col("shard_id") == 0).first()["index_key"]
     return _long(vs.knn(idx, emb, K, index_key=key))
 

@@ -182,3 +182,25 @@ def test_distance_column_matches_kernel(spark, emb, metric):
     for r in pairs:
         _, _, d = kernels.search_block(v[[r["i"]]], v[[r["j"]]], np.array([r["j"]]), metric, k=1)
         assert abs(d[0] - r["d"]) < 1e-12
+
+
+def test_keys_are_stored_and_dropped_on_change(spark, emb):
+    idx = vs.with_keys(vs.build_index(emb, 64, shard=F.col("id") % 3))
+    stored = {r["shard_id"]: r["index_key"] for r in vs.index_keys(idx).collect()}
+    assert len(stored) == 3
+    from vecspark.plans.index import _compute_keys
+    assert stored == {r["shard_id"]: r["index_key"] for r in _compute_keys(idx).collect()}
+    changed = vs.set_options(idx, nprobe=2)
+    assert "keys" not in changed.extra
+    assert {r["index_key"] for r in vs.index_keys(changed).collect()}.isdisjoint(stored.values())
+    got = vs.knn(idx, emb, 3, index_key=stored[1]).collect()
+    assert {r["vector_idx"] % 3 for r in got} == {1}
+
+
+def test_train_fraction_is_deterministic(spark, emb):
+    a = vs.build_index(emb, 64, "ivf_flat", nlist=4, iterations=2, train_fraction=0.5)
+    b = vs.build_index(emb, 64, "ivf_flat", nlist=4, iterations=2, train_fraction=0.5)
+    ca = sorted((r["list_id"], tuple(r["centroid"])) for r in a.centroids.collect())
+    cb = sorted((r["list_id"], tuple(r["centroid"])) for r in b.centroids.collect())
+    assert ca == cb
+    assert a.postings.count() == emb.count()

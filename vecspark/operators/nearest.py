@@ -75,9 +75,10 @@ def _schema(per_keys, key_types) -> T.StructType:
     return T.StructType(fields)
 
 
-def _collect_side(df: DataFrame, key_cols, id_col, vec_col, dim):
+def _collect_side(df: DataFrame, key_cols, id_col, vec_col, dim, tbl: pa.Table | None = None):
     """Collect a size-checked side to the driver as NumPy (float64 vectors)."""
-    tbl = df.select(*key_cols, id_col, vec_col).toArrow()
+    if tbl is None:
+        tbl = df.select(*key_cols, id_col, vec_col).toArrow()
     return {
         "keys": [tbl.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in key_cols],
         "ids": tbl.column(id_col).to_numpy(zero_copy_only=False).astype(np.int64),
@@ -175,8 +176,7 @@ def _search_groups(acc, qmat, qkeys, qrows_all, items, join_idx, per_idx, metric
 def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
             k: int | None = None, radius: float | None = None,
             join_keys=(), per_keys=(), strategy: str = "auto",
-            items_rows: int | None = None, queries_rows: int | None = None,
-            queries_unique: bool = True, final: bool = True) -> DataFrame:
+            items_rows: int | None = None, queries_unique: bool = True, final: bool = True) -> DataFrame:
     """Best partners of each query row among the items (see module doc).
 
     ``queries_unique`` says each ``_qid`` occurs in one query row; then the
@@ -194,15 +194,16 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
     schema = _schema(per_keys, key_types)
     budget = broadcast_budget(spark)
 
+    collected = None
     if strategy == "auto":
-        strategy = choose_strategy(queries, items, dim, budget, items_rows, queries_rows)
+        strategy, collected = choose_strategy(queries, items, dim, budget, items_rows, join_keys, per_keys)
 
     if strategy == "broadcast_items":
         out, complete = _broadcast_items(queries, items, dim, metric, k, radius, join_keys, per_keys,
-                                         kinds, schema, larger), queries_unique
+                                         kinds, schema, larger, collected), queries_unique
     elif strategy == "broadcast_queries":
         out, complete = _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_keys,
-                                           kinds, schema, larger), False
+                                           kinds, schema, larger, collected), False
     elif strategy == "tiled":
         out, complete = _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys,
                                kinds, schema, larger), False
@@ -213,25 +214,37 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
     return rank_final(out, k, per_keys, larger)
 
 
+def bounded_collect(df: DataFrame, cols, dim: int, budget: int) -> pa.Table | None:
+    """The rows of ``df`` as Arrow if they fit the budget, else None.
+
+    One pass: at most ``budget`` bytes' worth of rows plus one reach the
+    driver, which is both the size check and the data to broadcast.
+    """
+    max_rows = max(0, budget // (8 * dim + 16))
+    tbl = df.select(*cols).limit(max_rows + 1).toArrow()
+    return tbl if tbl.num_rows <= max_rows else None
+
+
 def choose_strategy(queries: DataFrame, items: DataFrame, dim: int, budget: int,
-                    items_rows: int | None = None, queries_rows: int | None = None) -> str:
-    """Pick a plan from checked row counts.
+                    items_rows: int | None = None, join_keys=(), per_keys=()):
+    """Pick a plan from checked sizes; returns ``(strategy, collected side or None)``.
 
     An item side of known small size (centroids, codebooks) is broadcast.
-    Otherwise the query side is counted first: a batch of queries that fits
-    is broadcast and the item side (a large index) is streamed in place and
-    never counted.  Only when the queries do not fit is the item side
-    counted; if neither fits, the tiled plan is used.
+    Otherwise the query side is tried first: a batch of queries that fits is
+    broadcast and the item side (a large index) is streamed in place and
+    never counted.  Only when the queries do not fit is the item side tried;
+    if neither fits, the tiled plan is used.
     """
     if items_rows is not None and side_bytes(items_rows, dim) <= budget:
-        return "broadcast_items"
-    if queries_rows is None:
-        queries_rows = queries.count()
-    if side_bytes(queries_rows, dim) <= budget:
-        return "broadcast_queries"
+        return "broadcast_items", None
+    q_tbl = bounded_collect(queries, list(join_keys) + ["_qid", "_qv"], dim, budget)
+    if q_tbl is not None:
+        return "broadcast_queries", q_tbl
     if items_rows is None:
-        items_rows = items.count()
-    return "broadcast_items" if side_bytes(items_rows, dim) <= budget else "tiled"
+        i_tbl = bounded_collect(items, _item_keys(join_keys, per_keys)[0] + ["_id", "_v"], dim, budget)
+        if i_tbl is not None:
+            return "broadcast_items", i_tbl
+    return "tiled", None
 
 
 def rank_final(cands: DataFrame, k: int | None, per_keys, larger: bool) -> DataFrame:
@@ -248,10 +261,11 @@ def rank_final(cands: DataFrame, k: int | None, per_keys, larger: bool) -> DataF
     return ranked
 
 
-def _broadcast_items(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger):
+def _broadcast_items(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger,
+                     collected=None):
     spark = queries.sparkSession
     item_keys, join_idx, per_idx = _item_keys(join_keys, per_keys)
-    side = _collect_side(items, item_keys, "_id", "_v", dim)
+    side = _collect_side(items, item_keys, "_id", "_v", dim, collected)
     bc = spark.sparkContext.broadcast(side)
 
     def run(batches):
@@ -271,9 +285,10 @@ def _broadcast_items(queries, items, dim, metric, k, radius, join_keys, per_keys
     return queries.select(*join_keys, "_qid", "_qv").mapInArrow(run, schema)
 
 
-def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger):
+def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger,
+                       collected=None):
     spark = queries.sparkSession
-    side = _collect_side(queries, join_keys, "_qid", "_qv", dim)
+    side = _collect_side(queries, join_keys, "_qid", "_qv", dim, collected)
     bc = spark.sparkContext.broadcast(side)
     reduce_at = 1 << 20
 

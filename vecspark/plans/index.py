@@ -51,15 +51,22 @@ def create_index(spark: SparkSession, dim: int, kind: str = "flat", metric="l2",
                        trained=not spec.needs_training, extra={"empty": True})
 
 
+def _changed(index: VectorIndex, **extra) -> dict:
+    """``extra`` of a modified index: stored keys no longer describe it."""
+    out = {k: v for k, v in index.extra.items() if k != "keys"}
+    out.update(extra)
+    return out
+
+
 def set_options(index: VectorIndex, **options) -> VectorIndex:
     """Store search-time settings (V7): ``nprobe``, ``rerank``; unknown names raise."""
-    return index.replace(options=index.options.updated(**options))
+    return index.replace(options=index.options.updated(**options), extra=_changed(index))
 
 
 def reset_index(index: VectorIndex) -> VectorIndex:
     """Drop the stored vectors (V8); lists, codebooks and options are kept."""
     return index.replace(postings=index.spark.createDataFrame([], _postings_schema(index.spec)),
-                         tag_columns=(), extra={**index.extra, "empty": True})
+                         tag_columns=(), extra=_changed(index, empty=True))
 
 
 def _shard_column(df: DataFrame, shard) -> tuple[DataFrame, bool]:
@@ -93,11 +100,15 @@ def _shard_count(df: DataFrame) -> int:
 
 
 def train_index(index: VectorIndex, df: DataFrame, *, vector_col: str = "vector", id_col: str = "id",
-                shard=None) -> VectorIndex:
+                shard=None, train_fraction: float | None = None) -> VectorIndex:
     """Learn the lists (and PQ codebooks) from training vectors (V5).
 
     ``id_col`` fixes the order used to pick the initial centroids; it must be
-    unique per shard.  A flat index needs no training: warning, unchanged.
+    unique per shard.  ``train_fraction`` trains on a deterministic share of
+    the rows (chosen by a hash of the id, so the same rows every run), the
+    usual way to bound k-means cost on very large tables; by default every
+    row is used.  Adding vectors always uses every row.  A flat index needs
+    no training: warning, unchanged.
     """
     spec = index.spec
     if not spec.needs_training:
@@ -107,6 +118,11 @@ def train_index(index: VectorIndex, df: DataFrame, *, vector_col: str = "vector"
         warn("index is already trained; unchanged")
         return index
     rows, sharded = _vectors(df, index, id_col, vector_col, shard)
+    if train_fraction is not None:
+        if not 0.0 < train_fraction <= 1.0:
+            raise ValueError("train_fraction must be in (0, 1]")
+        buckets = 1 << 20
+        rows = rows.where(F.pmod(F.xxhash64("id"), F.lit(buckets)) < F.lit(int(train_fraction * buckets)))
     train = rows.select("shard_id", F.col("id").alias("_id"), F.col("vector").alias("_v"))
     groups = _shard_count(train) if sharded else 1
     cents = km.kmeans(train, dim=spec.dim, nlist=spec.nlist, iterations=spec.iterations, metric=spec.metric,
@@ -118,7 +134,7 @@ def train_index(index: VectorIndex, df: DataFrame, *, vector_col: str = "vector"
         books = pq.train_codebooks(assigned, cents, m=spec.m, dsub=spec.dsub, ks=spec.ks,
                                    iterations=spec.iterations, groups=groups)
     return index.replace(centroids=cents, codebooks=books, trained=True, sharded=index.sharded or sharded,
-                         extra={**index.extra, "groups": groups})
+                         extra=_changed(index, groups=groups))
 
 
 def add_vectors(index: VectorIndex, df: DataFrame, *, vector_col: str = "vector", id_col: str | None = "id",
@@ -154,25 +170,25 @@ def add_vectors(index: VectorIndex, df: DataFrame, *, vector_col: str = "vector"
     old = index.postings
     postings = new if empty else old.unionByName(new, allowMissingColumns=True)
     return index.replace(postings=postings, tag_columns=tuple(dict.fromkeys(index.tag_columns + tags)),
-                         sharded=index.sharded or sharded, extra={**index.extra, "empty": False})
+                         sharded=index.sharded or sharded, extra=_changed(index, empty=False))
 
 
 def build_index(df: DataFrame, dim: int, kind: str = "flat", metric="l2", *, nlist: int = 1,
                 m: int | None = None, ks: int = 256, iterations: int = 10, refine: bool = False,
                 vector_col: str = "vector", id_col: str = "id", shard=None, tag_columns=(),
-                **options) -> VectorIndex:
+                train_fraction: float | None = None, **options) -> VectorIndex:
     """create + set options + train + add in one call (V9); ``shard`` builds one index per shard (V10)."""
     idx = create_index(df.sparkSession, dim, kind, metric, nlist=nlist, m=m, ks=ks, iterations=iterations,
                        refine=refine)
     if options:
         idx = set_options(idx, **options)
     if idx.spec.needs_training:
-        idx = train_index(idx, df, vector_col=vector_col, id_col=id_col, shard=shard)
+        idx = train_index(idx, df, vector_col=vector_col, id_col=id_col, shard=shard,
+                          train_fraction=train_fraction)
     return add_vectors(idx, df, vector_col=vector_col, id_col=id_col, shard=shard, tag_columns=tag_columns)
 
 
-def index_keys(index: VectorIndex) -> DataFrame:
-    """(shard_id, index_key): md5 over spec, options, row count and an order-free hash of the postings (V17)."""
+def _compute_keys(index: VectorIndex) -> DataFrame:
     spec = index.spec
     payload = payload_columns(spec)[0]
     desc = json.dumps({"spec": spec.__dict__, "options": index.options.as_map()}, sort_keys=True)
@@ -184,6 +200,29 @@ def index_keys(index: VectorIndex) -> DataFrame:
                                                       F.col("_h").cast("string"))).alias("index_key"))
 
 
+def index_keys(index: VectorIndex) -> DataFrame:
+    """(shard_id, index_key): md5 over spec, options, row count and an order-free hash of the postings (V17).
+
+    Uses the keys stored by ``with_keys`` / ``load_index`` when present;
+    otherwise this is one aggregate pass over the postings.
+    """
+    keys = index.extra.get("keys")
+    return keys if keys is not None else _compute_keys(index)
+
+
+def with_keys(index: VectorIndex) -> VectorIndex:
+    """Compute the keys once (one pass) and keep them with the index (one row per shard)."""
+    tbl = _compute_keys(index).toArrow()
+    keys = index.spark.createDataFrame(tbl).select(F.col("shard_id").cast("int"), "index_key")
+    return index.replace(extra={**index.extra, "keys": keys})
+
+
+def shards_of_key(index: VectorIndex, key: str) -> list[int]:
+    """Shard ids whose key is ``key`` (one small collect: at most one row per shard)."""
+    return [int(r["shard_id"]) for r in index_keys(index).where(F.col("index_key") == F.lit(key))
+            .select("shard_id").collect()]
+
+
 def save_index(index: VectorIndex, path: str, mode: str = "error") -> None:
     spec = index.spec
     # Range partitioning on (shard, list, id) keeps tasks balanced even when one
@@ -202,6 +241,7 @@ def save_index(index: VectorIndex, path: str, mode: str = "error") -> None:
             "groups": index.extra.get("groups", 1)}
     index.spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(mode).json(
         os.path.join(path, "meta"))
+    index_keys(index).write.mode(mode).parquet(os.path.join(path, "keys"))
 
 
 def load_index(spark: SparkSession, path: str) -> VectorIndex:
@@ -217,7 +257,8 @@ def load_index(spark: SparkSession, path: str) -> VectorIndex:
     opts = SearchOptions(**{k: v for k, v in meta["options"].items() if v is not None})
     return VectorIndex(spark=spark, spec=spec, options=opts, postings=postings, centroids=cents, codebooks=books,
                        tag_columns=tuple(meta["tags"]), sharded=meta["sharded"], trained=meta["trained"],
-                       extra={"groups": meta["groups"], "empty": False})
+                       extra={"groups": meta["groups"], "empty": False,
+                              "keys": spark.read.parquet(os.path.join(path, "keys"))})
 
 
 def count_vectors(index: VectorIndex) -> int:

@@ -28,7 +28,7 @@ from vecspark.functions.distance import distance
 from vecspark.model import VectorIndex, checked_vector, positive_int
 from vecspark.operators import nearest as nn
 from vecspark.operators import pq
-from vecspark.plans.index import index_keys
+from vecspark.plans.index import shards_of_key
 from vecspark.session import checkpoint_dir
 
 
@@ -57,11 +57,9 @@ def prepare_queries(queries: DataFrame, dim: int, id_col: str | None = "id",
     return out
 
 
-def _keyed(df: DataFrame, index: VectorIndex, index_key: str | None) -> DataFrame:
-    if index_key is None:
-        return df
-    shards = index_keys(index).where(F.col("index_key") == F.lit(index_key)).select("shard_id")
-    return df.join(shards, "shard_id", "left_semi")
+def _keyed(df: DataFrame, shards: list[int] | None) -> DataFrame:
+    """Restrict to the shards a key names; a literal list reaches the scan as a partition filter."""
+    return df if shards is None else df.where(F.col("shard_id").isin(shards))
 
 
 def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius: float | None = None,
@@ -79,7 +77,8 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
     post = index.postings
     if where is not None:
         post = post.where(where)
-    post = _keyed(post, index, index_key)
+    shards = None if index_key is None else shards_of_key(index, index_key)
+    post = _keyed(post, shards)
     qs = q.select("_qid", "_qv")
     if spec.kind == "flat":
         items = post.select("shard_id", F.col("id").alias("_id"), F.col("vector").alias("_v"))
@@ -87,7 +86,7 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
                           per_keys=per_keys, strategy=strategy, final=final)
     nprobe = positive_int("nprobe", nprobe or index.options.nprobe)
     groups = index.extra.get("groups", 1)
-    cents = _keyed(index.centroids, index, index_key)
+    cents = _keyed(index.centroids, shards)
     probe = nn.nearest(qs, cents.select("shard_id", F.col("list_id").cast("long").alias("_id"),
                                         F.col("centroid").alias("_v")),
                        dim=spec.dim, metric=spec.metric, k=min(nprobe, spec.nlist), per_keys=["shard_id"],
