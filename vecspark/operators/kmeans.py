@@ -107,15 +107,11 @@ def initial_centroids(train: DataFrame, *, nlist: int, group_keys=()) -> DataFra
 
 
 def update_centroids(assigned: DataFrame, old: DataFrame, *, dim: int, group_keys=()) -> DataFrame:
-    """Mean of the rows of each list; a list without rows keeps its centroid."""
+    """Mean of the rows of each list; a list without rows keeps its centroid (tiled path)."""
     group_keys = list(group_keys)
-    v = F.col("_v")
-    sums = assigned.groupBy(*group_keys, "list_id").agg(
-        F.count(F.lit(1)).alias("_cnt"), *[F.sum(v[i].cast("double")).alias(f"_s{i}") for i in range(dim)])
-    means = sums.select(*group_keys, "list_id",
-                        F.array(*[F.col(f"_s{i}") / F.col("_cnt") for i in range(dim)]).alias("_mean"))
-    return (old.join(means, group_keys + ["list_id"], "left")
-            .select(*group_keys, "list_id", F.coalesce("_mean", "centroid").alias("centroid")))
+    partials = assigned.where(F.col("list_id").isNotNull()).select(
+        *group_keys, "list_id", F.lit(1).cast("long").alias("_cnt"), F.col("_v").cast(CENTROID_TYPE).alias("_sum"))
+    return combine_sums(partials, old, dim=dim, group_keys=group_keys)
 
 
 def _broadcast_centroids(spark, centroids: DataFrame, dim: int, group_keys):
@@ -186,13 +182,20 @@ def partial_sums(train: DataFrame, centroids: DataFrame, *, dim: int, metric: st
 
 
 def combine_sums(partials: DataFrame, old: DataFrame, *, dim: int, group_keys=()) -> DataFrame:
-    """Reduce side of the update: add the partial sums per list and divide."""
+    """Reduce side of the update: add the partial sums per list and divide.
+
+    The partial vectors are exploded to ``(list, position)`` cells and
+    summed with a narrow hash aggregate (partial before the shuffle), then
+    each list's ``dim`` cells are packed back in position order.
+    """
     group_keys = list(group_keys)
-    s = F.col("_sum")
-    sums = partials.groupBy(*group_keys, "list_id").agg(
-        F.sum("_cnt").alias("_cnt"), *[F.sum(s[i]).alias(f"_s{i}") for i in range(dim)])
-    means = sums.select(*group_keys, "list_id",
-                        F.array(*[F.col(f"_s{i}") / F.col("_cnt") for i in range(dim)]).alias("_mean"))
+    cells = (partials.select(*group_keys, "list_id", "_cnt", F.posexplode("_sum").alias("_pos", "_x"))
+             .groupBy(*group_keys, "list_id", "_pos")
+             .agg(F.sum("_cnt").alias("_cnt"), F.sum("_x").alias("_s")))
+    means = (cells.groupBy(*group_keys, "list_id")
+             .agg(F.array_sort(F.collect_list(F.struct("_pos", (F.col("_s") / F.col("_cnt")).alias("_m"))))
+                  .alias("_c"))
+             .select(*group_keys, "list_id", F.transform("_c", lambda c: c["_m"]).alias("_mean")))
     return (old.join(means, group_keys + ["list_id"], "left")
             .select(*group_keys, "list_id", F.coalesce("_mean", "centroid").alias("centroid")))
 
