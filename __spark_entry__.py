@@ -13,13 +13,19 @@ array-form distances keep the reference's REAL type on both sides.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+_ROOT = os.path.dirname(os.path.abspath(__file__))
+if _ROOT not in sys.path:  # the driver may load this file by path
+    sys.path.insert(0, _ROOT)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import vecspark as vs
-from vecspark.sources.tables import embeddings
+import vecspark as vs  # noqa: E402
+from vecspark.sources.tables import embeddings  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -82,6 +88,11 @@ def knn_array_form(spark, sf_dir):
     return vs.search(idx, emb, K, preserve_vector=True)
 
 
+def knn_unnest_ordinality(spark, sf_dir):
+    emb, idx = _flat(spark, sf_dir)
+    return vs.from_array_form(vs.search(idx, emb, K, preserve_vector=False))
+
+
 def range_flat_l2(spark, sf_dir):
     emb, idx = _flat(spark, sf_dir)
     return _long(vs.range_search(idx, emb, RADIUS))
@@ -208,6 +219,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "knn_flat_l1": knn_flat_l1,
         "knn_flat_linf": knn_flat_linf,
         "knn_array_form": knn_array_form,
+        "knn_unnest_ordinality": knn_unnest_ordinality,
         "range_flat_l2": range_flat_l2,
         "range_array_form": range_array_form,
         "knn_tagged": knn_tagged,
@@ -356,6 +368,8 @@ def oracle_sql() -> dict[str, str]:
         "SELECT q.vec::FLOAT[] AS query_vector, q.id AS query_idx, list(r.vector_idx ORDER BY r.ranking) AS "
         "vector_idxs, list(r.distance::FLOAT ORDER BY r.ranking) AS distances FROM v q JOIN r "
         f"ON r.query_idx = q.id WHERE r.ranking <= {K} GROUP BY q.id, q.vec")
+    sq["knn_unnest_ordinality"] = _with(V, ranked) + (
+        f"SELECT query_idx, vector_idx, distance::FLOAT AS distance, ranking FROM r WHERE ranking <= {K}")
     in_radius = f"SELECT * FROM ({_flat_pairs()}) WHERE distance < {RADIUS}"
     sq["range_flat_l2"] = _with(V) + _range_long(in_radius)
     sq["range_array_form"] = _with(V, f"h AS ({in_radius})") + (

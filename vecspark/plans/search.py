@@ -186,6 +186,22 @@ def to_array_form(hits: DataFrame, q: DataFrame, *, preserve_vector: bool | None
         .alias("distances"))
 
 
+def from_array_form(results: DataFrame, *, idxs_col: str = "vector_idxs", distances_col: str = "distances",
+                    keep=("query_idx",)) -> DataFrame:
+    """Array-form rows back to one row per hit with its ordinality (``ranking`` from 1).
+
+    The parallel unnest of the reference's result arrays; arrays of unequal
+    length are an error.  Rows with empty arrays give no hit rows.
+    """
+    keep = list(keep)
+    i, d = F.col(idxs_col), F.col(distances_col)
+    zipped = F.when(F.size(i) != F.size(d), F.raise_error(F.lit("result arrays differ in length"))) \
+        .otherwise(F.arrays_zip(i.alias("vector_idx"), d.alias("distance")))
+    return results.select(*keep, F.posexplode(zipped).alias("_p", "_h")).select(
+        *keep, F.col("_h.vector_idx").alias("vector_idx"), F.col("_h.distance").alias("distance"),
+        (F.col("_p") + 1).cast("int").alias("ranking"))
+
+
 def search(index: VectorIndex, queries: DataFrame, k: int, *, id_col: str | None = "id",
            vector_col: str = "vector", preserve_vector: bool | None = True, index_key: str | None = None,
            where: Column | None = None, nprobe: int | None = None, strategy: str = "auto") -> DataFrame:
