@@ -43,14 +43,28 @@ def rows_of(columns, records):
     return sorted((tuple(_norm(r[i]) for i in order) for r in records), key=repr)
 
 
+_SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+                  "smallint": "SMALLINT", "boolean": "BOOLEAN"}
+
+
+def duck_type(spark_type: str) -> str:
+    if spark_type.startswith("array<"):
+        return duck_type(spark_type[6:-1]) + "[]"
+    return _SPARK_TO_DUCK.get(spark_type, spark_type.upper())
+
+
 def compare(spark, name, query, sql, sf_dir):
     sdf = query(spark, sf_dir)
+    s_types = {f.name: duck_type(f.dataType.simpleString()) for f in sdf.schema.fields}
     s_cols = sdf.columns
     s_rows = rows_of(s_cols, [tuple(r) for r in sdf.collect()])
     rel = duck(sf_dir).sql(sql)
     d_cols = rel.columns
     d_rows = rows_of(d_cols, rel.fetchall())
     problems = []
+    d_types = {c: str(t) for c, t in zip(d_cols, rel.types)}
+    if s_types != d_types:
+        problems.append(f"types {s_types} != {d_types}")
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns {sorted(s_cols)} != {sorted(d_cols)}")
     if len(s_rows) != len(d_rows):

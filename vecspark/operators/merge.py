@@ -53,4 +53,4 @@ def rank_lists(df: DataFrame, k: int, *, by=(), idxs_col: str = "idxs", distance
     ex = explode_lists(df, by=by, idxs_col=idxs_col, distances_col=distances_col)
     order = F.col("distance").desc() if larger_is_nearer else F.col("distance").asc()
     w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(order, F.col("idx").asc())
-    return ex.withColumn("ranking", F.row_number().over(w)).where(F.col("ranking") <= k)
+    return ex.withColumn("ranking", F.row_number().over(w).cast("long")).where(F.col("ranking") <= k)

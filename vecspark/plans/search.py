@@ -134,7 +134,7 @@ def _long(hits: DataFrame, scope: str, with_ids: bool, ranked: bool = True) -> D
     """
     shard = ["shard_id"] if scope == "shard" else []
     qidx = F.col("_qid") if with_ids else F.lit(None).cast(T.LongType())
-    rank = [F.col("_rank").alias("ranking")] if ranked else []
+    rank = [F.col("_rank").cast("long").alias("ranking")] if ranked else []
     return hits.select(qidx.alias("query_idx"), *shard, F.col("_id").alias("vector_idx"),
                        F.col("_d").alias("distance"), *rank)
 
@@ -199,7 +199,7 @@ def from_array_form(results: DataFrame, *, idxs_col: str = "vector_idxs", distan
         .otherwise(F.arrays_zip(i.alias("vector_idx"), d.alias("distance")))
     return results.select(*keep, F.posexplode(zipped).alias("_p", "_h")).select(
         *keep, F.col("_h.vector_idx").alias("vector_idx"), F.col("_h.distance").alias("distance"),
-        (F.col("_p") + 1).cast("int").alias("ranking"))
+        (F.col("_p") + 1).cast("long").alias("ranking"))
 
 
 def search(index: VectorIndex, queries: DataFrame, k: int, *, id_col: str | None = "id",
