@@ -172,16 +172,17 @@ def test_pq_rerank_with_raw_vectors(spark, emb):
 
 @pytest.mark.parametrize("metric", ["l2", "ip", "l1", "linf"])
 def test_distance_column_matches_kernel(spark, emb, metric):
-    from vecspark.functions.distance import distance
     from vecspark.functions import kernels
-    rows = emb.where("id < 6").orderBy("id").collect()
+    from vecspark.functions.distance import distance
+    rows = emb.orderBy("id").collect()
     v = np.array([r["vector"] for r in rows], dtype=np.float64)
-    pairs = emb.where("id < 6").alias("a").join(emb.where("id < 6").alias("b"), F.col("a.id") < F.col("b.id")) \
-        .select(F.col("a.id").alias("i"), F.col("b.id").alias("j"),
-                distance(F.col("a.vector"), F.col("b.vector"), metric).alias("d")).collect()
-    for r in pairs:
-        _, _, d = kernels.search_block(v[[r["i"]]], v[[r["j"]]], np.array([r["j"]]), metric, k=1)
-        assert abs(d[0] - r["d"]) < 1e-12
+    probe = [float(x) for x in rows[0]["vector"]]
+    got = emb.select("id", distance(F.col("vector"), F.array(*[F.lit(x) for x in probe]), metric).alias("d")).collect()
+    _, vi, d = kernels.search_block(np.array([probe]), v, np.arange(len(v)), metric, k=len(v))
+    exact = dict(zip(vi.tolist(), d.tolist()))
+    pos = {r["id"]: i for i, r in enumerate(rows)}
+    for r in got:
+        assert abs(exact[pos[r["id"]]] - r["d"]) < 1e-12
 
 
 def test_keys_are_stored_and_dropped_on_change(spark, emb):

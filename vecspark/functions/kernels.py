@@ -56,18 +56,23 @@ def _pair_exact(q: np.ndarray, v: np.ndarray, metric: str) -> np.ndarray:
     raise ValueError(f"unknown metric {metric!r}")
 
 
-def _block(q: np.ndarray, v: np.ndarray, metric: str, vn: np.ndarray | None):
-    """Distance matrix (approximate for l2/ip) plus an error bound per query row."""
+def _block(q: np.ndarray, v: np.ndarray, metric: str, vn: np.ndarray | None, v_sel: np.ndarray | None):
+    """Selection matrix ``s``, per-row offset ``o`` and error bound ``tol``.
+
+    ``s + o[:, None]`` approximates the distances; ``o`` is constant within a
+    row, so ``s`` alone orders each row.  For L2, ``s = |v|^2 - 2 q.v`` (one
+    matrix product against ``v_sel = -2 v`` and one pass), ``o = |q|^2``.
+    L1 and L-infinity are computed exactly (``o = 0``, ``tol = 0``).
+    """
     if metric in ("l2", "ip"):
-        g = q @ v.T
         qn = np.einsum("ij,ij->i", q, q)
         vmax = float(vn.max()) if len(vn) else 0.0
         tol = 1e-9 * (qn + vmax) + 1e-12
         if metric == "l2":
-            g *= -2.0
-            g += qn[:, None]
-            g += vn[None, :]
-        return g, tol
+            s = q @ v_sel.T
+            s += vn[None, :]
+            return s, qn, tol
+        return q @ v.T, np.zeros(len(q)), tol
     d = np.zeros((len(q), len(v)), dtype=np.float64)
     for j in range(q.shape[1]):
         diff = np.abs(q[:, j, None] - v[None, :, j])
@@ -75,7 +80,7 @@ def _block(q: np.ndarray, v: np.ndarray, metric: str, vn: np.ndarray | None):
             d += diff
         else:
             np.maximum(d, diff, out=d)
-    return d, np.zeros(len(q))
+    return d, np.zeros(len(q)), np.zeros(len(q))
 
 
 def _rank_pairs(qi, vi, d, ids, k, larger):
@@ -108,13 +113,15 @@ def search_block(q: np.ndarray, v: np.ndarray, ids: np.ndarray, metric: str,
         return empty
     larger = larger_is_nearer(metric)
     vn = np.einsum("ij,ij->i", v, v) if metric in ("l2", "ip") else None
+    v_sel = -2.0 * v if metric == "l2" else None
     step = max(1, _CHUNK_BYTES // (8 * nv))
     out_q, out_v, out_d = [], [], []
     for s in range(0, nq, step):
         qc = q[s:s + step]
-        d, tol = _block(qc, v, metric, vn)
+        d, off, tol = _block(qc, v, metric, vn, v_sel)
         if radius is not None:
-            mask = (d > radius - tol[:, None]) if larger else (d < radius + tol[:, None])
+            edge = (radius - off)[:, None]
+            mask = (d > edge - tol[:, None]) if larger else (d < edge + tol[:, None])
         elif k >= nv:
             mask = np.ones_like(d, dtype=bool)
         else:

@@ -156,8 +156,11 @@ def partial_sums(train: DataFrame, centroids: DataFrame, *, dim: int, metric: st
                 qi, vi, _ = kernels.search_block(vecs[rows], cm, lid, metric, k=1)
                 slot = vi[np.argsort(qi, kind="stable")]
                 cnt = np.bincount(slot, minlength=len(lid))
+                order = np.argsort(slot, kind="stable")
+                sorted_slot = slot[order]
+                starts = np.flatnonzero(np.r_[True, sorted_slot[1:] != sorted_slot[:-1]])
                 sums = np.zeros((len(lid), dim))
-                np.add.at(sums, slot, vecs[rows])
+                sums[sorted_slot[starts]] = np.add.reduceat(vecs[rows][order], starts, axis=0)
                 prev = acc.get(kv)
                 acc[kv] = (cnt, sums) if prev is None else (prev[0] + cnt, prev[1] + sums)
         cols = {k: [] for k in group_keys}
