@@ -205,3 +205,20 @@ def test_train_fraction_is_deterministic(spark, emb):
     cb = sorted((r["list_id"], tuple(r["centroid"])) for r in b.centroids.collect())
     assert ca == cb
     assert a.postings.count() == emb.count()
+
+
+def test_empty_and_untrained_indexes(spark, emb):
+    empty = vs.create_index(spark, 64)
+    rows = vs.search(empty, emb.where("id < 3"), 5).collect()
+    assert len(rows) == 3 and all(r["vector_idxs"] == [] and r["distances"] == [] for r in rows)
+    assert vs.knn(empty, emb.where("id < 3"), 5).count() == 0
+    with pytest.raises(ValueError):
+        vs.knn(vs.create_index(spark, 64, "ivf_flat", nlist=4), emb, 5)
+    with pytest.raises(ValueError):
+        vs.add_vectors(vs.create_index(spark, 64, "ivf_flat", nlist=4), emb)
+
+
+def test_fewer_stored_vectors_than_k(spark, emb):
+    idx = vs.build_index(emb.where("id < 3"), 64)
+    rows = vs.search(idx, emb.where("id < 2"), 10).collect()
+    assert all(len(r["vector_idxs"]) == 3 for r in rows)

@@ -84,6 +84,8 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
         items = post.select("shard_id", F.col("id").alias("_id"), F.col("vector").alias("_v"))
         return nn.nearest(qs, items, dim=spec.dim, metric=spec.metric, k=k, radius=radius,
                           per_keys=per_keys, strategy=strategy, final=final)
+    if not index.trained or index.centroids is None:
+        raise ValueError(f"an index of kind {spec.kind!r} must be trained before it is searched")
     nprobe = positive_int("nprobe", nprobe or index.options.nprobe)
     groups = index.extra.get("groups", 1)
     cents = _keyed(index.centroids, shards)
