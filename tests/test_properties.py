@@ -222,3 +222,33 @@ def test_fewer_stored_vectors_than_k(spark, emb):
     idx = vs.build_index(emb.where("id < 3"), 64)
     rows = vs.search(idx, emb.where("id < 2"), 10).collect()
     assert all(len(r["vector_idxs"]) == 3 for r in rows)
+
+
+@pytest.fixture(scope="module")
+def sharded_ivf(emb):
+    return vs.build_index(emb, 64, "ivf_flat", nlist=3, iterations=2, nprobe=2, shard=F.col("id") % 3)
+
+
+@pytest.mark.parametrize("scope", ["shard", "global"])
+def test_strategies_agree_on_sharded_ivf(spark, emb, sharded_ivf, scope):
+    spark.conf.set("vecspark.tile.bytes", str(30 * (8 * 64 + 16)))
+    try:
+        results = []
+        for strategy in ("broadcast_items", "broadcast_queries", "tiled"):
+            rows = vs.knn(sharded_ivf, emb, 4, scope=scope, strategy=strategy).collect()
+            results.append(sorted(tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in rows))
+    finally:
+        spark.conf.unset("vecspark.tile.bytes")
+    assert results[0] == results[1] == results[2]
+    assert len(results[0]) == emb.count() * 4 * (3 if scope == "shard" else 1)
+
+
+def test_strategies_agree_on_ivf_radius(spark, emb, sharded_ivf):
+    spark.conf.set("vecspark.tile.bytes", str(30 * (8 * 64 + 16)))
+    try:
+        got = [sorted((r["query_idx"], r["vector_idx"], round(r["distance"], 6)) for r in
+                      vs.range_search(sharded_ivf, emb, 1.3, strategy=s).collect())
+               for s in ("broadcast_items", "broadcast_queries", "tiled")]
+    finally:
+        spark.conf.unset("vecspark.tile.bytes")
+    assert got[0] == got[1] == got[2] and len(got[0]) >= emb.count()
