@@ -176,12 +176,17 @@ def _search_groups(acc, qmat, qkeys, qrows_all, items, join_idx, per_idx, metric
 def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
             k: int | None = None, radius: float | None = None,
             join_keys=(), per_keys=(), strategy: str = "auto",
-            items_rows: int | None = None, queries_unique: bool = True, final: bool = True) -> DataFrame:
+            items_rows: int | None = None, queries_unique: bool = True, final: bool = True,
+            carry_query_vector: bool = False) -> DataFrame:
     """Best partners of each query row among the items (see module doc).
 
     ``queries_unique`` says each ``_qid`` occurs in one query row; then the
     ``broadcast_items`` plan finishes every query inside its batch and needs
     no final merge.  ``final=False`` returns the partial lists unmerged.
+    ``carry_query_vector`` asks the ``broadcast_items`` plan to copy each
+    hit's query vector into a ``_qv`` column (an IVF probe feeds it straight
+    to the list search, with no join back to the queries); other plans
+    ignore it, so callers check for the column.
     """
     if (k is None) == (radius is None):
         raise ValueError("give exactly one of k and radius")
@@ -200,7 +205,7 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
 
     if strategy == "broadcast_items":
         out, complete = _broadcast_items(queries, items, dim, metric, k, radius, join_keys, per_keys,
-                                         kinds, schema, larger, collected), queries_unique
+                                         kinds, schema, larger, collected, carry_query_vector), queries_unique
     elif strategy == "broadcast_queries":
         out, complete = _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_keys,
                                            kinds, schema, larger, collected), False
@@ -262,11 +267,14 @@ def rank_final(cands: DataFrame, k: int | None, per_keys, larger: bool) -> DataF
 
 
 def _broadcast_items(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger,
-                     collected=None):
+                     collected=None, carry=False):
     spark = queries.sparkSession
     item_keys, join_idx, per_idx = _item_keys(join_keys, per_keys)
     side = _collect_side(items, item_keys, "_id", "_v", dim, collected)
     bc = spark.sparkContext.broadcast(side)
+    if carry:
+        qv_field = queries.schema["_qv"]
+        schema = T.StructType(schema.fields + [T.StructField("_qv", qv_field.dataType, True)])
 
     def run(batches):
         its = bc.value
@@ -280,7 +288,11 @@ def _broadcast_items(queries, items, dim, metric, k, radius, join_keys, per_keys
             _search_groups(acc, qmat, qkeys, np.arange(rb.num_rows), its, join_idx, per_idx,
                            metric, k, radius)
             qpos, per, ids, d, ranks = acc.reduce(k, larger)
-            yield _batch(per, qids[qpos], ids, d, ranks, per_keys, kinds)
+            out = _batch(per, qids[qpos], ids, d, ranks, per_keys, kinds)
+            if carry:
+                out = pa.RecordBatch.from_arrays(out.columns + [rb.column("_qv").take(pa.array(qpos))],
+                                                 names=out.schema.names + ["_qv"])
+            yield out
 
     return queries.select(*join_keys, "_qid", "_qv").mapInArrow(run, schema)
 

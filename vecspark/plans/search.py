@@ -92,8 +92,11 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
     probe = nn.nearest(qs, cents.select("shard_id", F.col("list_id").cast("long").alias("_id"),
                                         F.col("centroid").alias("_v")),
                        dim=spec.dim, metric=spec.metric, k=min(nprobe, spec.nlist), per_keys=["shard_id"],
-                       items_rows=groups * spec.nlist)
-    qp = probe.select("shard_id", F.col("_id").cast("int").alias("list_id"), "_qid").join(qs, "_qid")
+                       items_rows=groups * spec.nlist, carry_query_vector=True)
+    qp = probe.select("shard_id", F.col("_id").cast("int").alias("list_id"), "_qid",
+                      *(["_qv"] if "_qv" in probe.columns else []))
+    if "_qv" not in qp.columns:  # centroids beyond the broadcast budget: attach vectors by id
+        qp = qp.join(qs, "_qid")
     if spec.kind == "ivf_pq":
         decoded = pq.decode(post.select("shard_id", "list_id", "id", "code"), index.centroids, index.codebooks,
                             dim=spec.dim, m=spec.m, dsub=spec.dsub, ks=spec.ks,
