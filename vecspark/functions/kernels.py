@@ -98,22 +98,33 @@ def _rank_pairs(qi, vi, d, ids, k, larger):
     return qi[keep], vi[keep], d[keep]
 
 
+def prepare_items(v: np.ndarray, metric: str) -> dict:
+    """Per-block values the kernel needs for ``v``; compute once, reuse for every query batch."""
+    v = np.ascontiguousarray(v, dtype=np.float64)
+    return {
+        "vn": np.einsum("ij,ij->i", v, v) if metric in ("l2", "ip") else None,
+        "v_sel": -2.0 * v if metric == "l2" else None,
+    }
+
+
 def search_block(q: np.ndarray, v: np.ndarray, ids: np.ndarray, metric: str,
-                 k: int | None = None, radius: float | None = None):
+                 k: int | None = None, radius: float | None = None, prep: dict | None = None):
     """Best partners of every row of ``q`` among the rows of ``v``.
 
     Returns ``(query_row, item_row, distance)`` arrays, sorted by query row,
     then nearness, then item id.  ``k`` keeps the k best per query;
     ``radius`` keeps every pair strictly nearer than the radius (``<`` for
-    distances, ``>`` for inner product).
+    distances, ``>`` for inner product).  ``prep`` is ``prepare_items(v)``
+    when the same items meet many query blocks.
     """
     nq, nv = len(q), len(v)
     empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
     if nq == 0 or nv == 0 or (k is not None and k <= 0):
         return empty
     larger = larger_is_nearer(metric)
-    vn = np.einsum("ij,ij->i", v, v) if metric in ("l2", "ip") else None
-    v_sel = -2.0 * v if metric == "l2" else None
+    if prep is None:
+        prep = prepare_items(v, metric)
+    vn, v_sel = prep["vn"], prep["v_sel"]
     step = max(1, _CHUNK_BYTES // (8 * nv))
     out_q, out_v, out_d = [], [], []
     for s in range(0, nq, step):
@@ -143,21 +154,12 @@ def search_block(q: np.ndarray, v: np.ndarray, ids: np.ndarray, metric: str,
     return np.concatenate(out_q), np.concatenate(out_v), np.concatenate(out_d)
 
 
-def keep_best(qkey: np.ndarray, ids: np.ndarray, d: np.ndarray, k: int | None, larger: bool):
-    """Re-select the k best (distance, id) per integer query key from merged candidates."""
-    if len(qkey) == 0:
-        return qkey, ids, d
-    qi, vi, dd = _rank_pairs(qkey, np.arange(len(ids)), d, ids, k, larger)
-    return qi, ids[vi], dd
-
-
 def group_rows(keys: list[np.ndarray]):
     """Split row positions by the value tuple of integer key columns.
 
     Yields ``(key_tuple, row_positions)``.  With no key columns, one group.
     """
     if not keys:
-        n = None
         yield (), slice(None)
         return
     n = len(keys[0])

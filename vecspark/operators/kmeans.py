@@ -55,6 +55,7 @@ def assign_lists(df: DataFrame, centroids: DataFrame, *, dim: int, metric: str,
 
         def run(batches):
             cents = bc.value
+            preps = {}
             for rb in batches:
                 n = rb.num_rows
                 out = np.full(n, -1, np.int64)
@@ -67,7 +68,9 @@ def assign_lists(df: DataFrame, centroids: DataFrame, *, dim: int, metric: str,
                         if got is None:
                             continue
                         lid, cm = got
-                        qi, vi, _ = kernels.search_block(vecs[rows], cm, lid, metric, k=1)
+                        if kv not in preps:
+                            preps[kv] = kernels.prepare_items(cm, metric)
+                        qi, vi, _ = kernels.search_block(vecs[rows], cm, lid, metric, k=1, prep=preps[kv])
                         out[rows[qi]] = lid[vi]
                 mask = out < 0
                 arr = pa.array(out.astype(np.int32), mask=mask)
@@ -140,6 +143,7 @@ def partial_sums(train: DataFrame, centroids: DataFrame, *, dim: int, metric: st
 
     def run(batches):
         cents = bc.value
+        preps = {}
         acc = {}
         for rb in batches:
             n = rb.num_rows
@@ -153,7 +157,9 @@ def partial_sums(train: DataFrame, centroids: DataFrame, *, dim: int, metric: st
                     raise ValueError(f"no centroids for group {kv}")
                 rows = np.arange(n)[rows]
                 lid, cm = got
-                qi, vi, _ = kernels.search_block(vecs[rows], cm, lid, metric, k=1)
+                if kv not in preps:
+                    preps[kv] = kernels.prepare_items(cm, metric)
+                qi, vi, _ = kernels.search_block(vecs[rows], cm, lid, metric, k=1, prep=preps[kv])
                 slot = vi[np.argsort(qi, kind="stable")]
                 cnt = np.bincount(slot, minlength=len(lid))
                 order = np.argsort(slot, kind="stable")

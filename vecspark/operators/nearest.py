@@ -148,29 +148,41 @@ class _Acc:
         return qpos, per, ids, d, ranks
 
 
-def _search_groups(acc, qmat, qkeys, qrows_all, items, join_idx, per_idx, metric, k, radius):
+def prepare_side(side: dict, group_idx, sub_idx, metric: str) -> dict:
+    """Group a broadcast side once: ``{group key: [(sub key, row positions, ids, vectors, prep), ...]}``.
+
+    Rows are copied into one contiguous block per (group, sub-group) and the
+    kernel's per-block values are precomputed, so every streamed batch
+    reuses them.
+    """
+    keys = side["keys"]
+    out = {}
+    for gk, rows in kernels.group_rows([keys[i] for i in group_idx]):
+        rows = np.arange(len(side["ids"]))[rows]
+        parts = []
+        for sk, srows in kernels.group_rows([keys[i][rows] for i in sub_idx]):
+            sel = rows[srows] if sub_idx else rows
+            vecs = np.ascontiguousarray(side["vecs"][sel])
+            parts.append((sk, sel, side["ids"][sel], vecs, kernels.prepare_items(vecs, metric)))
+        out[gk] = parts
+    return out
+
+
+def _search_groups(acc, qmat, qkeys, qrows_all, prepared, metric, k, radius):
     """Run the block kernel for every join-key group present on both sides.
 
     ``qmat``/``qkeys`` are the query block and its join-key columns;
-    ``items`` a dict with keys/ids/vecs; ``join_idx``/``per_idx`` the
-    positions of join and per keys inside ``items['keys']``.
+    ``prepared`` is the item side grouped by ``prepare_side``.
     """
-    ikeys = items["keys"]
-    item_groups = {}
-    for kv, rows in kernels.group_rows([ikeys[i] for i in join_idx]):
-        item_groups[kv] = rows
     for kv, qrows in kernels.group_rows(qkeys):
-        irows = item_groups.get(kv)
-        if irows is None:
+        parts = prepared.get(kv)
+        if parts is None:
             continue
-        irows = np.arange(len(items["ids"]))[irows]
         qrows = qrows_all[qrows]
-        per_cols = [ikeys[i][irows] for i in per_idx]
-        for pv, prow in kernels.group_rows(per_cols):
-            sel = irows[prow] if per_idx else irows
-            v = items["vecs"][sel].astype(np.float64, copy=False)
-            qi, vi, d = kernels.search_block(qmat[qrows], v, items["ids"][sel], metric, k=k, radius=radius)
-            acc.add(qrows[qi], [np.full(len(qi), x, np.int64) for x in pv], items["ids"][sel][vi], d)
+        qm = qmat[qrows]
+        for pv, _, ids, vecs, prep in parts:
+            qi, vi, d = kernels.search_block(qm, vecs, ids, metric, k=k, radius=radius, prep=prep)
+            acc.add(qrows[qi], [np.full(len(qi), x, np.int64) for x in pv], ids[vi], d)
 
 
 def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
@@ -277,16 +289,17 @@ def _broadcast_items(queries, items, dim, metric, k, radius, join_keys, per_keys
         schema = T.StructType(schema.fields + [T.StructField("_qv", qv_field.dataType, True)])
 
     def run(batches):
-        its = bc.value
+        prepared = None
         for rb in batches:
             if rb.num_rows == 0:
                 continue
+            if prepared is None:
+                prepared = prepare_side(bc.value, join_idx, per_idx, metric)
             qmat = kernels.list_matrix(rb.column("_qv"), dim)
             qids = rb.column("_qid").to_numpy(zero_copy_only=False).astype(np.int64)
             qkeys = [rb.column(kk).to_numpy(zero_copy_only=False).astype(np.int64) for kk in join_keys]
             acc = _Acc(len(per_keys))
-            _search_groups(acc, qmat, qkeys, np.arange(rb.num_rows), its, join_idx, per_idx,
-                           metric, k, radius)
+            _search_groups(acc, qmat, qkeys, np.arange(rb.num_rows), prepared, metric, k, radius)
             qpos, per, ids, d, ranks = acc.reduce(k, larger)
             out = _batch(per, qids[qpos], ids, d, ranks, per_keys, kinds)
             if carry:
@@ -306,8 +319,10 @@ def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_ke
 
     def run(batches):
         qs = bc.value
-        qmat_all = qs["vecs"]
-        groups = {kv: rows for kv, rows in kernels.group_rows(qs["keys"])}
+        groups = {}
+        for kv, rows in kernels.group_rows(qs["keys"]):
+            rows = np.arange(len(qs["ids"]))[rows]
+            groups[kv] = (rows, np.ascontiguousarray(qs["vecs"][rows]))
         acc = _Acc(len(per_keys))
         pending = 0
         for rb in batches:
@@ -318,11 +333,10 @@ def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_ke
             jcols = [rb.column(kk).to_numpy(zero_copy_only=False).astype(np.int64) for kk in join_keys]
             pcols = [rb.column(kk).to_numpy(zero_copy_only=False).astype(np.int64) for kk in per_keys]
             for kv, irows in kernels.group_rows(jcols):
-                qrows = groups.get(kv)
-                if qrows is None:
+                got = groups.get(kv)
+                if got is None:
                     continue
-                qrows = np.arange(len(qs["ids"]))[qrows]
-                qm = qmat_all[qrows]
+                qrows, qm = got
                 irows = np.arange(rb.num_rows)[irows]
                 for pv, prow in kernels.group_rows([p[irows] for p in pcols]):
                     sel = irows[prow] if per_keys else irows
@@ -390,7 +404,8 @@ def _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, s
         qids = query_tbl.column("_qid").to_numpy().astype(np.int64)
         qkeys = [query_tbl.column(kk).to_numpy().astype(np.int64) for kk in join_keys]
         acc = _Acc(len(per_keys))
-        _search_groups(acc, qmat, qkeys, np.arange(len(qids)), its, join_idx, per_idx, metric, k, radius)
+        _search_groups(acc, qmat, qkeys, np.arange(len(qids)), prepare_side(its, join_idx, per_idx, metric),
+                       metric, k, radius)
         qpos, per, ids, d, ranks = acc.reduce(k, larger)
         return pa.Table.from_batches([_batch(per, qids[qpos], ids, d, ranks, per_keys, kinds)])
 

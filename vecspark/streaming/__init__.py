@@ -1 +1,7 @@
-"""streaming."""
+"""Streaming: intentionally empty.
+
+The reference has no streaming operators (its SQL surface is batch
+functions and aggregates only), so there is nothing to rebuild here.  A
+stream of query batches can call ``vecspark.knn`` per micro-batch from the
+user's own ``foreachBatch``, against an index saved as Parquet.
+"""
