@@ -208,3 +208,13 @@ def test_t14_sharded_search_then_merge(spark, sharded, query):
         assert np.allclose([r["distance"] for r in rows], ds)
     glob = vs.knn(sharded, query, 5, scope="global").orderBy("query_idx", "ranking").collect()
     assert [(r["query_idx"], r["vector_idx"]) for r in glob] == [(r["query_idx"], r["idx"]) for r in merged]
+
+
+def test_aggregates_over_nothing_are_null(spark):
+    none = spark.createDataFrame([], "id long, vector array<float>")
+    row = vs.pack_vectors(none, page_size=None).collect()
+    assert len(row) == 1 and row[0]["ids"] is None and row[0]["vectors"] is None
+    assert vs.pack_vectors(none).count() == 0
+    lists = spark.createDataFrame([([], [])], "idxs array<long>, distances array<float>")
+    got = vs.topk_merge(lists, 3).collect()
+    assert len(got) == 1 and got[0]["idxs"] is None and got[0]["distances"] is None

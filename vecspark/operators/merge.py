@@ -39,8 +39,10 @@ def topk_merge(df: DataFrame, k: int, *, by=(), idxs_col: str = "idxs", distance
     groups = df.select(*by).distinct() if by else None
     out = agg.select(*by, F.transform("_s", lambda s: s["idx"]).alias("idxs"),
                      F.transform("_s", lambda s: s["distance"]).alias("distances"))
-    if groups is None:
-        return out
+    if groups is None:  # one global list; NULL when every input list was empty
+        empty = F.size("_s") == 0
+        return agg.select(F.when(~empty, F.transform("_s", lambda s: s["idx"])).alias("idxs"),
+                          F.when(~empty, F.transform("_s", lambda s: s["distance"])).alias("distances"))
     elem = df.schema[distances_col].dataType.elementType
     return groups.join(out, by, "left").select(
         *by, F.col("idxs").cast(T.ArrayType(T.LongType())), F.col("distances").cast(T.ArrayType(elem)))

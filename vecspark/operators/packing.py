@@ -27,7 +27,8 @@ def pack_vectors(df: DataFrame, *, by=(), id_col: str = "id", vector_col: str =
 
     ``page_size=None`` packs each whole group into one row, as the
     reference does; that row is unbounded, so the default cuts pages.  An
-    empty input gives no rows.
+    empty input gives no rows, or, with neither ``by`` nor pages, one row of
+    NULLs.
     """
     by = list(by)
     keys = list(by)
@@ -42,8 +43,13 @@ def pack_vectors(df: DataFrame, *, by=(), id_col: str = "id", vector_col: str =
     grouped = src.groupBy(*keys).agg(F.array_sort(F.collect_list(
         F.struct(F.col(id_col).cast("long").alias("i"), checked.cast(T.ArrayType(T.FloatType())).alias("v"))))
         .alias("_s"))
-    return grouped.select(*keys, F.transform("_s", lambda s: s["i"]).alias("ids"),
-                          F.flatten(F.transform("_s", lambda s: s["v"])).alias("vectors"))
+    ids = F.transform("_s", lambda s: s["i"])
+    vectors = F.flatten(F.transform("_s", lambda s: s["v"]))
+    if not keys:  # an ungrouped pack of zero rows is NULL, as an aggregate over nothing
+        empty = F.size("_s") == 0
+        ids = F.when(~empty, ids)
+        vectors = F.when(~empty, vectors)
+    return grouped.select(*keys, ids.alias("ids"), vectors.alias("vectors"))
 
 
 def array_1d_extend(df: DataFrame, vector_col: str = "vector", *, order_col: str = "id", by=(),
