@@ -252,3 +252,20 @@ def test_strategies_agree_on_ivf_radius(spark, emb, sharded_ivf):
     finally:
         spark.conf.unset("vecspark.tile.bytes")
     assert got[0] == got[1] == got[2] and len(got[0]) >= emb.count()
+
+
+def test_pq_encode_paths_agree(spark, emb):
+    from vecspark.operators import kmeans as km
+    from vecspark.operators import pq
+    idx = vs.build_index(emb, 64, "ivf_pq", nlist=2, m=8, ks=16, iterations=2)
+    rows = km.assign_lists(emb.select(F.lit(0).alias("shard_id"), "id", F.col("vector").alias("_v"), "vector"),
+                           idx.centroids, dim=64, metric="l2", group_keys=["shard_id"], id_col="id").drop("_v")
+    args = dict(m=8, dsub=8, ks=16, groups=1, nlist=2)
+    in_place = {r["id"]: list(r["code"]) for r in pq.encode(rows, idx.centroids, idx.codebooks, **args).collect()}
+    spark.conf.set("vecspark.broadcast.maxBytes", "1")
+    try:
+        exploded = {r["id"]: list(r["code"]) for r in pq.encode(rows, idx.centroids, idx.codebooks, **args).collect()}
+    finally:
+        spark.conf.unset("vecspark.broadcast.maxBytes")
+    assert in_place == exploded
+    assert in_place == {r["id"]: list(r["code"]) for r in idx.postings.collect()}

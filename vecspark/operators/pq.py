@@ -50,10 +50,69 @@ def train_codebooks(train: DataFrame, centroids: DataFrame, *, m: int, dsub: int
     return cb.select("shard_id", "sub", F.col("list_id").alias("code"), "centroid")
 
 
+def _broadcast_tables(spark, centroids: DataFrame, codebooks: DataFrame, *, dim: int, m: int, dsub: int, ks: int):
+    """Collect the (size-checked) list centroids and codebooks into NumPy and broadcast them."""
+    ct = centroids.select("shard_id", "list_id", "centroid").toArrow()
+    cbt = codebooks.select("shard_id", "sub", "code", "centroid").toArrow()
+    cmat = kernels.list_matrix(ct.column("centroid"), dim)
+    cents = {(int(s), int(lst)): cmat[i] for i, (s, lst) in enumerate(zip(
+        ct.column("shard_id").to_pylist(), ct.column("list_id").to_pylist()))}
+    books = {}
+    bmat = kernels.list_matrix(cbt.column("centroid"), dsub)
+    for i, (s, j, c) in enumerate(zip(cbt.column("shard_id").to_pylist(), cbt.column("sub").to_pylist(),
+                                      cbt.column("code").to_pylist())):
+        books.setdefault(int(s), np.zeros((m, ks, dsub)))[j, c] = bmat[i]
+    return spark.sparkContext.broadcast((cents, books))
+
+
 def encode(rows: DataFrame, centroids: DataFrame, codebooks: DataFrame, *, m: int, dsub: int, ks: int,
-           groups: int, keep=()) -> DataFrame:
-    """Rows (shard_id, list_id, id, vector, keep...) -> (shard_id, list_id, id, code, keep...)."""
+           groups: int, nlist: int, keep=()) -> DataFrame:
+    """Rows (shard_id, list_id, id, vector, keep...) -> (shard_id, list_id, id, code, keep...).
+
+    With centroids and codebooks inside the broadcast budget (their size is
+    fixed by the spec and the shard count), every batch is encoded in place:
+    residual, then the nearest codeword per sub-space (ties to the lower
+    code).  Beyond the budget, sub-vectors are exploded, assigned with the
+    tiled plan and regrouped per vector.
+    """
     keep = list(keep)
+    spark = rows.sparkSession
+    ensure_importable(spark)
+    dim = m * dsub
+    if nn.side_bytes(groups * (nlist + m * ks), dim) <= nn.broadcast_budget(spark):
+        bc = _broadcast_tables(spark, centroids, codebooks, dim=dim, m=m, dsub=dsub, ks=ks)
+        base = rows.select("shard_id", "list_id", "id", F.col("vector").alias("_v"), *keep)
+        fields = {f.name: f for f in base.schema.fields}
+        out_schema = T.StructType([fields["shard_id"], fields["list_id"], fields["id"],
+                                   T.StructField("code", CODE_TYPE, False)] + [fields[c] for c in keep])
+        code_ids = np.arange(ks, dtype=np.int64)
+
+        def run(batches):
+            cts, bks = bc.value
+            preps = {}
+            for rb in batches:
+                n = rb.num_rows
+                vecs = kernels.list_matrix(rb.column("_v"), dim)
+                shard = rb.column("shard_id").to_numpy(zero_copy_only=False)
+                lst = rb.column("list_id").to_numpy(zero_copy_only=False)
+                codes = np.zeros((n, m), np.int32)
+                for kv, rows_ in kernels.group_rows([shard, lst]):
+                    rows_ = np.arange(n)[rows_]
+                    res = vecs[rows_] - cts[kv]
+                    book = bks[kv[0]]
+                    for j in range(m):
+                        key = (kv[0], j)
+                        if key not in preps:
+                            preps[key] = kernels.prepare_items(book[j], "l2")
+                        qi, vi, _ = kernels.search_block(res[:, j * dsub:(j + 1) * dsub], book[j], code_ids, "l2",
+                                                         k=1, prep=preps[key])
+                        codes[rows_[qi], j] = vi
+                arr = pa.FixedSizeListArray.from_arrays(pa.array(codes.reshape(-1), type=pa.int32()), m) \
+                    .cast(pa.list_(pa.int32()))
+                cols = [rb.column("shard_id"), rb.column("list_id"), rb.column("id"), arr] + [rb.column(c) for c in keep]
+                yield pa.RecordBatch.from_arrays(cols, names=["shard_id", "list_id", "id", "code"] + keep)
+
+        return base.mapInArrow(run, out_schema)
     base = rows.select("shard_id", "list_id", "id", F.col("vector").alias("_v"), *keep)
     subs = split_subvectors(residuals(base, centroids), m, dsub)
     cb = codebooks.select("shard_id", "sub", F.col("code").alias("list_id"), "centroid")
@@ -76,17 +135,7 @@ def decode(postings: DataFrame, centroids: DataFrame, codebooks: DataFrame, *, d
     spark = postings.sparkSession
     ensure_importable(spark)
     if nn.side_bytes(rows_hint, dim) <= nn.broadcast_budget(spark):
-        ct = centroids.select("shard_id", "list_id", "centroid").toArrow()
-        cbt = codebooks.select("shard_id", "sub", "code", "centroid").toArrow()
-        cmat = kernels.list_matrix(ct.column("centroid"), dim)
-        cents = {(int(s), int(l)): cmat[i] for i, (s, l) in enumerate(zip(
-            ct.column("shard_id").to_pylist(), ct.column("list_id").to_pylist()))}
-        books = {}
-        bmat = kernels.list_matrix(cbt.column("centroid"), dsub)
-        for i, (s, j, c) in enumerate(zip(cbt.column("shard_id").to_pylist(), cbt.column("sub").to_pylist(),
-                                          cbt.column("code").to_pylist())):
-            books.setdefault(int(s), np.zeros((m, ks, dsub)))[j, c] = bmat[i]
-        bc = spark.sparkContext.broadcast((cents, books))
+        bc = _broadcast_tables(spark, centroids, codebooks, dim=dim, m=m, dsub=dsub, ks=ks)
         fields = [f for f in postings.schema.fields if f.name != "code"]
         out_schema = T.StructType(fields + [T.StructField("_v", T.ArrayType(T.DoubleType()), False)])
         names = [f.name for f in fields]

@@ -162,7 +162,7 @@ def add_vectors(index: VectorIndex, df: DataFrame, *, vector_col: str = "vector"
         if spec.kind == "ivf_pq":
             keep = (("vector",) if spec.refine else ()) + tags
             new = pq.encode(assigned, index.centroids, index.codebooks, m=spec.m, dsub=spec.dsub, ks=spec.ks,
-                            groups=groups, keep=keep)
+                            groups=groups, nlist=spec.nlist, keep=keep)
         else:
             new = assigned
     cols = ["shard_id", "list_id", "id", *payload_columns(spec), *tags]
