@@ -269,3 +269,23 @@ def test_pq_encode_paths_agree(spark, emb):
         spark.conf.unset("vecspark.broadcast.maxBytes")
     assert in_place == exploded
     assert in_place == {r["id"]: list(r["code"]) for r in idx.postings.collect()}
+
+
+def test_every_fallback_path_gives_the_same_index_and_results(spark, emb):
+    """A 1-byte broadcast budget forces tiled k-means (checkpointed centroids), tiled assignment,
+    exploded PQ encoding, join-based decoding and tiled search; all must agree with the default."""
+    def run():
+        idx = vs.build_index(emb, 64, "ivf_pq", nlist=3, m=8, ks=8, iterations=2, nprobe=2)
+        cents = sorted((r["list_id"], tuple(round(x, 9) for x in r["centroid"])) for r in idx.centroids.collect())
+        codes = sorted((r["id"], r["list_id"], tuple(r["code"])) for r in idx.postings.collect())
+        hits = _pairs(vs.knn(idx, emb.where("id < 40"), 5))
+        return cents, codes, hits
+    default = run()
+    spark.conf.set("vecspark.broadcast.maxBytes", "1")
+    try:
+        forced = run()
+    finally:
+        spark.conf.unset("vecspark.broadcast.maxBytes")
+    assert default[0] == forced[0]
+    assert default[1] == forced[1]
+    assert default[2] == forced[2]
