@@ -38,6 +38,7 @@ NPROBE = 2
 SHARDS = 4
 PAGE = 256
 PQ_NLIST, PQ_M, PQ_KS, PQ_ITERS = 4, 8, 16, 2
+RERANK = 20
 DIM = 64
 
 
@@ -210,6 +211,13 @@ def ivfpq_knn(spark, sf_dir):
     return _long(vs.knn(idx, emb, K))
 
 
+def ivfpq_rerank_knn(spark, sf_dir):
+    emb = _emb(spark, sf_dir)
+    idx = vs.build_index(emb, DIM, "ivf_pq", nlist=PQ_NLIST, m=PQ_M, ks=PQ_KS, iterations=PQ_ITERS, refine=True,
+                         nprobe=NPROBE, rerank=RERANK)
+    return _long(vs.knn(idx, emb, K))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "pack_by_label": pack_by_label,
@@ -238,6 +246,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "build_index_pipeline": build_index_pipeline,
         "ivfpq_codes": ivfpq_codes,
         "ivfpq_knn": ivfpq_knn,
+        "ivfpq_rerank_knn": ivfpq_rerank_knn,
     }
 
 
@@ -412,4 +421,9 @@ def oracle_sql() -> dict[str, str]:
     sq["ivfpq_codes"] = _with(V, *pqc) + (
         f"SELECT x.id, x.list_id::INTEGER AS list_id, c.code::INTEGER[] AS code FROM {ppost} x JOIN coded c USING (id)")
     sq["ivfpq_knn"] = _with(V, *pqc) + _topk(_probe_pairs(pcents, "recon", NPROBE))
+    cand = (f"cand AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_idx ORDER BY distance, "
+            f"vector_idx) AS rn FROM ({_probe_pairs(pcents, 'recon', NPROBE)})) WHERE rn <= {RERANK})")
+    exact = (f"SELECT c.query_idx, c.vector_idx, {_dist('q.vec', 'x.vec')} AS distance FROM cand c "
+             f"JOIN v q ON q.id = c.query_idx JOIN v x ON x.id = c.vector_idx")
+    sq["ivfpq_rerank_knn"] = _with(V, *pqc, cand) + _topk(exact)
     return sq
