@@ -289,3 +289,12 @@ def test_every_fallback_path_gives_the_same_index_and_results(spark, emb):
     assert default[0] == forced[0]
     assert default[1] == forced[1]
     assert default[2] == forced[2]
+
+
+@pytest.mark.parametrize("metric", ["l2", "ip", "l1", "linf"])
+def test_distance_sql_matches_column(spark, emb, metric):
+    from vecspark.functions.distance import distance, distance_sql
+    pairs = emb.where("id < 20").select("id", "vector", F.reverse("vector").alias("other"))
+    got = pairs.select("id", distance("vector", "other", metric).alias("c"),
+                       F.expr(distance_sql("vector", "other", metric)).alias("s")).collect()
+    assert all(r["c"] == r["s"] for r in got)

@@ -1,10 +1,12 @@
-"""Distances as Spark Columns (V22).
+"""Distances as Spark SQL expressions and Columns (V22).
 
 ``distance(a, b, metric)`` is an ordinary expression over two array
 columns (``aggregate(zip_with(...))``), evaluated in the JVM; use it in
-``select``/``where``/``orderBy`` like any built-in function.  The bulk
-search path uses the NumPy block kernels instead (``functions.kernels``),
-which see whole blocks of vectors at once.  Both compute in double.
+``select``/``where``/``orderBy`` like any built-in function.
+``distance_sql(a, b, metric)`` is the same expression as SQL text, for
+``spark.sql`` queries.  The bulk search path uses the NumPy block kernels
+instead (``functions.kernels``), which see whole blocks of vectors at
+once.  Both compute in double.
 """
 
 from __future__ import annotations
@@ -14,25 +16,40 @@ from pyspark.sql import functions as F
 
 from vecspark.model import metric_name
 
+_TERMS = {
+    "l2": "(double(x) - double(y)) * (double(x) - double(y))",
+    "ip": "double(x) * double(y)",
+    "l1": "abs(double(x) - double(y))",
+    "linf": "abs(double(x) - double(y))",
+}
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
 
-
-def distance(a, b, metric="l2") -> Column:
-    """Distance of two equal-length vectors: squared L2, inner product, L1 or L-infinity.
+def distance_sql(a: str, b: str, metric="l2") -> str:
+    """SQL text of the distance between array expressions ``a`` and ``b``.
 
     Arrays of different lengths give NULL (``zip_with`` pads with NULL), so
     validate sizes first (``model.checked_vector``).
     """
     m = metric_name(metric)
-    a, b = _col(a), _col(b)
-    if m == "l2":
-        terms = F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double")))
-    elif m == "ip":
-        terms = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    else:
-        terms = F.zip_with(a, b, lambda x, y: F.abs(x.cast("double") - y.cast("double")))
+    merge = "greatest(acc, t)" if m == "linf" else "acc + t"
+    return f"aggregate(zip_with({a}, {b}, (x, y) -> {_TERMS[m]}), 0D, (acc, t) -> {merge})"
+
+
+def distance(a, b, metric="l2") -> Column:
+    """Distance of two equal-length vectors as a Column: squared L2, inner product, L1 or L-infinity."""
+    m = metric_name(metric)
+    a = F.col(a) if isinstance(a, str) else a
+    b = F.col(b) if isinstance(b, str) else b
+    terms = F.zip_with(a, b, lambda x, y: _term(m, x, y))
     if m == "linf":
-        return F.aggregate(terms, F.lit(0.0), lambda acc, x: F.greatest(acc, x))
-    return F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x)
+        return F.aggregate(terms, F.lit(0.0), lambda acc, t: F.greatest(acc, t))
+    return F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
+
+
+def _term(m: str, x: Column, y: Column) -> Column:
+    dx, dy = x.cast("double"), y.cast("double")
+    if m == "l2":
+        return (dx - dy) * (dx - dy)
+    if m == "ip":
+        return dx * dy
+    return F.abs(dx - dy)
