@@ -162,7 +162,8 @@ def prepare_side(side: dict, group_idx, sub_idx, metric: str) -> dict:
         parts = []
         for sk, srows in kernels.group_rows([keys[i][rows] for i in sub_idx]):
             sel = rows[srows] if sub_idx else rows
-            vecs = np.ascontiguousarray(side["vecs"][sel])
+            whole = len(sel) == len(side["ids"]) and bool(np.all(sel == np.arange(len(sel))))
+            vecs = side["vecs"] if whole else np.ascontiguousarray(side["vecs"][sel])  # no copy for one group
             parts.append((sk, sel, side["ids"][sel], vecs, kernels.prepare_items(vecs, metric)))
         out[gk] = parts
     return out
