@@ -92,7 +92,7 @@ def test_t5_options(spark):
     idx = vs.set_options(vs.create_index(spark, 10), nprobe=8)
     assert idx.options.nprobe == 8
     with pytest.raises(ValueError):
-        vs.set_options(idx, efSearch=80)
+        vs.set_options(idx, search_depth=80)
     with pytest.raises(ValueError):
         vs.set_options(idx, nprobe=0)
 
