@@ -190,7 +190,7 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
             k: int | None = None, radius: float | None = None,
             join_keys=(), per_keys=(), strategy: str = "auto",
             items_rows: int | None = None, queries_unique: bool = True, final: bool = True,
-            carry_query_vector: bool = False) -> DataFrame:
+            carry_query_vector: bool = False, item_transform=None) -> DataFrame:
     """Best partners of each query row among the items (see module doc).
 
     ``queries_unique`` says each ``_qid`` occurs in one query row; then the
@@ -199,7 +199,10 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
     ``carry_query_vector`` asks the ``broadcast_items`` plan to copy each
     hit's query vector into a ``_qv`` column (an IVF probe feeds it straight
     to the list search, with no join back to the queries); other plans
-    ignore it, so callers check for the column.
+    ignore it, so callers check for the column.  ``item_transform`` turns the
+    stored item rows into ``_v`` rows (PQ decoding); the ``broadcast_queries``
+    plan applies it after the group filter, so only probed lists are decoded
+    and the filter still reaches the scan.
     """
     if (k is None) == (radius is None):
         raise ValueError("give exactly one of k and radius")
@@ -212,6 +215,9 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
     schema = _schema(per_keys, key_types)
     budget = broadcast_budget(spark)
 
+    raw_items = items
+    if item_transform is not None:
+        items = item_transform(items)
     collected = None
     if strategy == "auto":
         strategy, collected = choose_strategy(queries, items, dim, budget, items_rows, join_keys, per_keys)
@@ -220,8 +226,8 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
         out, complete = _broadcast_items(queries, items, dim, metric, k, radius, join_keys, per_keys,
                                          kinds, schema, larger, collected, carry_query_vector), queries_unique
     elif strategy == "broadcast_queries":
-        out, complete = _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_keys,
-                                           kinds, schema, larger, collected), False
+        out, complete = _broadcast_queries(queries, raw_items, dim, metric, k, radius, join_keys, per_keys,
+                                           kinds, schema, larger, collected, item_transform), False
     elif strategy == "tiled":
         out, complete = _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys,
                                kinds, schema, larger), False
@@ -312,7 +318,7 @@ def _broadcast_items(queries, items, dim, metric, k, radius, join_keys, per_keys
 
 
 def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger,
-                       collected=None):
+                       collected=None, item_transform=None):
     spark = queries.sparkSession
     side = _collect_side(queries, join_keys, "_qid", "_qv", dim, collected)
     bc = spark.sparkContext.broadcast(side)
@@ -356,14 +362,16 @@ def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_ke
         if len(qpos):
             yield _batch(per, qs["ids"][qpos], hid, d, ranks, per_keys, kinds)
 
-    scan = items.select(*_item_keys(join_keys, per_keys)[0], "_id", "_v")
+    scan = items
     for pos, key in enumerate(join_keys):
         # Only groups some query asks for (an IVF probe's lists): a static IN
         # list reaches the Parquet scan as a partition or row-group filter.
         wanted = np.unique(side["keys"][pos]) if len(side["ids"]) else np.zeros(0, np.int64)
         if len(wanted) <= MAX_IN_LIST:
             scan = scan.where(F.col(key).isin([int(x) for x in wanted]))
-    return scan.mapInArrow(run, schema)
+    if item_transform is not None:
+        scan = item_transform(scan)
+    return scan.select(*_item_keys(join_keys, per_keys)[0], "_id", "_v").mapInArrow(run, schema)
 
 
 def _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger):

@@ -97,24 +97,27 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
                       *(["_qv"] if "_qv" in probe.columns else []))
     if "_qv" not in qp.columns:  # centroids beyond the broadcast budget: attach vectors by id
         qp = qp.join(qs, "_qid")
+    decode = None
     if spec.kind == "ivf_pq":
-        decoded = pq.decode(post.select("shard_id", "list_id", "id", "code"), index.centroids, index.codebooks,
-                            dim=spec.dim, m=spec.m, dsub=spec.dsub, ks=spec.ks,
-                            rows_hint=groups * (spec.nlist + spec.m * spec.ks))
-        items = decoded.select("shard_id", "list_id", F.col("id").alias("_id"), "_v")
+        items = post.select("shard_id", "list_id", F.col("id").alias("_id"), "code")
+
+        def decode(rows: DataFrame) -> DataFrame:
+            return pq.decode(rows, index.centroids, index.codebooks, dim=spec.dim, m=spec.m, dsub=spec.dsub,
+                             ks=spec.ks, rows_hint=groups * (spec.nlist + spec.m * spec.ks))
+
         rerank = index.options.rerank
         if rerank is not None and k is not None:
             if not spec.refine:
                 raise ValueError("rerank needs an ivf_pq index built with refine=True (raw vectors kept)")
-            return _reranked(qp, qs, items, post, spec, k, max(rerank, k), per_keys, strategy)
+            return _reranked(qp, qs, items, decode, post, spec, k, max(rerank, k), per_keys, strategy)
     else:
         items = post.select("shard_id", "list_id", F.col("id").alias("_id"), F.col("vector").alias("_v"))
     return nn.nearest(qp, items, dim=spec.dim, metric=spec.metric, k=k, radius=radius,
                       join_keys=["shard_id", "list_id"], per_keys=per_keys, queries_unique=False,
-                      strategy=strategy, final=final)
+                      strategy=strategy, final=final, item_transform=decode)
 
 
-def _reranked(qp, qs, items, post, spec, k, rerank, per_keys, strategy) -> DataFrame:
+def _reranked(qp, qs, items, decode, post, spec, k, rerank, per_keys, strategy) -> DataFrame:
     """PQ top-``rerank`` per (query, shard), re-scored with the raw vectors, then the top k.
 
     The candidates meet the raw vectors by an equi-join on
@@ -122,7 +125,7 @@ def _reranked(qp, qs, items, post, spec, k, rerank, per_keys, strategy) -> DataF
     first.
     """
     approx = nn.nearest(qp, items, dim=spec.dim, metric=spec.metric, k=rerank, join_keys=["shard_id", "list_id"],
-                        per_keys=["shard_id"], queries_unique=False, strategy=strategy)
+                        per_keys=["shard_id"], queries_unique=False, strategy=strategy, item_transform=decode)
     probed = qp.select("shard_id", "list_id").distinct()
     raw = (post.join(probed, ["shard_id", "list_id"], "left_semi")
            .select("shard_id", F.col("id").alias("_id"), F.col("vector").alias("_raw")))
