@@ -298,3 +298,20 @@ def test_distance_sql_matches_column(spark, emb, metric):
     got = pairs.select("id", distance("vector", "other", metric).alias("c"),
                        F.expr(distance_sql("vector", "other", metric)).alias("s")).collect()
     assert all(r["c"] == r["s"] for r in got)
+
+
+def test_positions_are_dense_and_ordered_after_a_shuffle(spark, emb):
+    """Positions come from one checkpointed tagging, so a shuffled input cannot make them inconsistent."""
+    from vecspark.operators.ranking import positions
+    shuffled = (emb.withColumn("g", (F.col("id") % 7).cast("int"))
+                .withColumn("sub", F.explode(F.sequence(F.lit(0), F.lit(3))))
+                .repartition(5, "label"))
+    pos = positions(shuffled.select("g", "sub", "id"), ["id"], ["g", "sub"]).collect()
+    by_group = {}
+    for r in pos:
+        by_group.setdefault((r["g"], r["sub"]), []).append((r["_pos"], r["id"]))
+    for rows in by_group.values():
+        rows.sort()
+        assert [p for p, _ in rows] == list(range(len(rows)))
+        assert [i for _, i in rows] == sorted(i for _, i in rows)
+    assert len(pos) == emb.count() * 4
