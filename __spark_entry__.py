@@ -94,6 +94,12 @@ def knn_unnest_ordinality(spark, sf_dir):
     return vs.from_array_form(vs.search(idx, emb, K, preserve_vector=False))
 
 
+def knn_packed_queries(spark, sf_dir):
+    emb, idx = _flat(spark, sf_dir)
+    packed = vs.pack_vectors(emb, page_size=PAGE)
+    return vs.search_packed(idx, packed, K, preserve_vector=True)
+
+
 def range_flat_l2(spark, sf_dir):
     emb, idx = _flat(spark, sf_dir)
     return _long(vs.range_search(idx, emb, RADIUS))
@@ -228,6 +234,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "knn_flat_linf": knn_flat_linf,
         "knn_array_form": knn_array_form,
         "knn_unnest_ordinality": knn_unnest_ordinality,
+        "knn_packed_queries": knn_packed_queries,
         "range_flat_l2": range_flat_l2,
         "range_array_form": range_array_form,
         "knn_tagged": knn_tagged,
@@ -377,6 +384,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT q.vec::FLOAT[] AS query_vector, q.id AS query_idx, list(r.vector_idx ORDER BY r.ranking) AS "
         "vector_idxs, list(r.distance::FLOAT ORDER BY r.ranking) AS distances FROM v q JOIN r "
         f"ON r.query_idx = q.id WHERE r.ranking <= {K} GROUP BY q.id, q.vec")
+    sq["knn_packed_queries"] = sq["knn_array_form"]
     sq["knn_unnest_ordinality"] = _with(V, ranked) + (
         f"SELECT query_idx, vector_idx, distance::FLOAT AS distance, ranking FROM r WHERE ranking <= {K}")
     in_radius = f"SELECT * FROM ({_flat_pairs()}) WHERE distance < {RADIUS}"

@@ -218,3 +218,13 @@ def test_aggregates_over_nothing_are_null(spark):
     lists = spark.createDataFrame([([], [])], "idxs array<long>, distances array<float>")
     got = vs.topk_merge(lists, 3).collect()
     assert len(got) == 1 and got[0]["idxs"] is None and got[0]["distances"] is None
+
+
+def test_t12_with_a_packed_query_and_no_ids(spark, sharded):
+    key = vs.index_keys(sharded).where("shard_id = 0").first()["index_key"]
+    packed = spark.createDataFrame([(SINGLE_QUERY,)], "vectors array<float>")
+    got = vs.search_packed(sharded, packed, 5, ids_col=None, index_key=key).collect()
+    assert len(got) == 1 and got[0]["query_idx"] is None
+    assert got[0]["vector_idxs"] == T12[0]
+    ranged = vs.range_search_packed(sharded, packed, 100.0, ids_col=None, index_key=key).collect()
+    assert [(r["vector_idxs"], r["distances"]) for r in ranged] == [([0], [2.5])]

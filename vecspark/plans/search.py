@@ -28,6 +28,7 @@ from vecspark.functions.distance import distance
 from vecspark.model import VectorIndex, checked_vector, positive_int
 from vecspark.operators import nearest as nn
 from vecspark.operators import pq
+from vecspark.operators.packing import unpack_vectors
 from vecspark.plans.index import shards_of_key
 from vecspark.session import checkpoint_dir
 
@@ -230,3 +231,26 @@ def range_search_arrays(index: VectorIndex, queries: DataFrame, radius: float, *
                       strategy=strategy, final=False)
     return to_array_form(hits, q, preserve_vector=preserve_vector, ranked=False,
                          larger_is_nearer=index.metric == "ip")
+
+
+def search_packed(index: VectorIndex, packed: DataFrame, k: int, *, vectors_col: str = "vectors",
+                  ids_col: str | None = "ids", preserve_vector: bool | None = True, index_key: str | None = None,
+                  where: Column | None = None, nprobe: int | None = None) -> DataFrame:
+    """Array-form k-NN for packed queries (a flat vector array per row, ids alongside or none).
+
+    The packed rows are unpacked (bounded by the packing's page size), then
+    searched like any query table; without ids, ``query_idx`` is NULL.
+    """
+    rows = unpack_vectors(packed, index.dim, ids_col=ids_col, vectors_col=vectors_col)
+    return search(index, rows, k, id_col="id" if ids_col else None, preserve_vector=preserve_vector,
+                  index_key=index_key, where=where, nprobe=nprobe)
+
+
+def range_search_packed(index: VectorIndex, packed: DataFrame, radius: float, *, vectors_col: str = "vectors",
+                        ids_col: str | None = "ids", preserve_vector: bool | None = True,
+                        index_key: str | None = None, where: Column | None = None,
+                        nprobe: int | None = None) -> DataFrame:
+    """Array-form radius search for packed queries."""
+    rows = unpack_vectors(packed, index.dim, ids_col=ids_col, vectors_col=vectors_col)
+    return range_search_arrays(index, rows, radius, id_col="id" if ids_col else None,
+                               preserve_vector=preserve_vector, index_key=index_key, where=where, nprobe=nprobe)
