@@ -94,6 +94,11 @@ def initial_centroids(train: DataFrame, *, nlist: int, group_keys=()) -> DataFra
     ``nlist`` chosen rows per group.
     """
     group_keys = list(group_keys)
+    if nlist == 1:  # position 0 in id order is the smallest id: no global numbering needed
+        chosen = train.groupBy(*group_keys).agg(F.min("_id").alias("_id")).withColumn("list_id", F.lit(0))
+        return (chosen.join(train.select(*group_keys, "_id", "_v"), group_keys + ["_id"])
+                .select(*group_keys, F.col("list_id").cast("int").alias("list_id"),
+                        F.col("_v").cast(CENTROID_TYPE).alias("centroid")))
     pos = positions(train, ["_id"], group_keys)
     counts = pos.groupBy(*group_keys).agg(F.count(F.lit(1)).alias("_n"))
     step = (F.col("list_id") * (F.col("_n") - 1)).cast("long")
