@@ -32,13 +32,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; sets a scratch one only when none is configured."""
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Only in local mode, when nothing is configured, a scratch folder is set
+    (tests, local runs).  On a cluster a machine-local folder would not be
+    shared, so a missing setting is an error.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (it is needed for reliable checkpoints)")
         conf = tempfile.mkdtemp(prefix="vecspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
