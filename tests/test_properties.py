@@ -55,11 +55,16 @@ def test_tiled_plan_splits_a_hot_list(spark, emb, brute):
     items = hot.select(F.lit(0).alias("shard_id"), "list_id", F.col("id").alias("_id"), F.col("vector").alias("_v"))
     queries = hot.select(F.lit(0).alias("shard_id"), "list_id", F.col("id").alias("_qid"), F.col("vector").alias("_qv"))
     spark.conf.set("vecspark.tile.bytes", str(50 * (8 * 64 + 16)))
+    spark.conf.set("vecspark.tile.stats", "true")
     try:
         got = nn.nearest(queries, items, dim=64, metric="l2", k=3, join_keys=["shard_id", "list_id"],
                          strategy="tiled").collect()
     finally:
         spark.conf.unset("vecspark.tile.bytes")
+        spark.conf.unset("vecspark.tile.stats")
+    tiles, max_items, max_queries = nn.last_tile_stats()
+    # the hot list (70% of rows) is cut into many tiles; no tile is far above the 50-row target
+    assert tiles >= 49 and max_items <= 100 and max_queries <= 100
     lists = {r["id"]: r["list_id"] for r in hot.select("id", "list_id").collect()}
     pos = {int(x): i for i, x in enumerate(ids)}
     for r in got:

@@ -35,6 +35,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark.accumulators import AccumulatorParam
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -400,8 +401,14 @@ def _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, s
             .withColumn("_ps", F.explode(F.sequence(F.lit(0), F.col("_si") - 1)))
             .select(*join_keys, "_ps", "_qs", "_qid", "_qv"))
     item_keys, join_idx, per_idx = _item_keys(join_keys, per_keys)
+    stats = None
+    if spark.conf.get("vecspark.tile.stats", "false").lower() == "true":
+        stats = spark.sparkContext.accumulator((0, 0, 0), _TileStats())
+        LAST_TILE_STATS["acc"] = stats
 
     def run(item_tbl: pa.Table, query_tbl: pa.Table) -> pa.Table:
+        if stats is not None:
+            stats.add((1, item_tbl.num_rows, query_tbl.num_rows))
         if item_tbl.num_rows == 0 or query_tbl.num_rows == 0:
             return pa.Table.from_batches([], schema=_arrow_schema(per_keys, kinds))
         its = {
@@ -426,6 +433,26 @@ def _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, s
     return it.groupBy(*g).cogroup(qt.groupBy(*g)).applyInArrow(run, schema)
 
 
+class _TileStats(AccumulatorParam):
+    """(tiles, largest item tile, largest query tile) over the tasks of a tiled plan."""
+
+    def zero(self, value):
+        return (0, 0, 0)
+
+    def addInPlace(self, a, b):
+        return (a[0] + b[0], max(a[1], b[1]), max(a[2], b[2]))
+
+
+LAST_TILE_STATS = {}
+
+
+def last_tile_stats() -> tuple[int, int, int] | None:
+    """``(tiles, max item rows, max query rows)`` of the last tiled plan run with
+    ``vecspark.tile.stats=true`` (an accumulator; valid after the job ran)."""
+    acc = LAST_TILE_STATS.get("acc")
+    return None if acc is None else acc.value
+
+
 def _item_keys(join_keys, per_keys):
     """Item key columns without repeats, and the positions of join and per keys in it."""
     keys = list(join_keys) + [p for p in per_keys if p not in join_keys]
