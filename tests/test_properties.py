@@ -320,3 +320,17 @@ def test_positions_are_dense_and_ordered_after_a_shuffle(spark, emb):
         assert [p for p, _ in rows] == list(range(len(rows)))
         assert [i for _, i in rows] == sorted(i for _, i in rows)
     assert len(pos) == emb.count() * 4
+
+
+def test_large_k_warns_about_the_partial_top_k(spark, emb):
+    import warnings as w
+    idx = vs.build_index(emb, 64)
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "5")
+    try:
+        with w.catch_warnings(record=True) as caught:
+            w.simplefilter("always")
+            rows = vs.knn(idx, emb.where("id < 3"), 6, strategy="broadcast_queries").collect()
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    assert any("windowGroupLimitThreshold" in str(x.message) for x in caught)
+    assert len(rows) == 18

@@ -32,6 +32,7 @@ radius, ranked).
 from __future__ import annotations
 
 import math
+import warnings
 
 import numpy as np
 import pyarrow as pa
@@ -278,6 +279,13 @@ def rank_final(cands: DataFrame, k: int | None, per_keys, larger: bool) -> DataF
     Spark plans ``row_number() <= k`` as a partial ``WindowGroupLimit``
     below the exchange, so each task ships at most k rows per query.
     """
+    if k is not None:
+        spark = cands.sparkSession
+        limit = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+        if k > limit:
+            warnings.warn(f"k={k} exceeds spark.sql.optimizer.windowGroupLimitThreshold={limit}: the partial "
+                          "top-k below the shuffle is off and every candidate row is shuffled; raise the setting",
+                          stacklevel=3)
     order = F.col("_d").desc() if larger else F.col("_d").asc()
     w = Window.partitionBy("_qid", *per_keys).orderBy(order, F.col("_id").asc())
     ranked = cands.drop("_rank").withColumn("_rank", F.row_number().over(w))
