@@ -32,6 +32,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 # Parameters of the registered queries.
 K = 10
 RADIUS = 1.3
+RADIUS_IP = 0.4  # inner product: hits are the pairs with similarity above it
 NLIST = 8
 ITERS = 3
 NPROBE = 2
@@ -105,6 +106,11 @@ def range_flat_l2(spark, sf_dir):
     return _long(vs.range_search(idx, emb, RADIUS))
 
 
+def range_flat_ip(spark, sf_dir):
+    emb, idx = _flat(spark, sf_dir, "ip")
+    return _long(vs.range_search(idx, emb, RADIUS_IP))
+
+
 def range_array_form(spark, sf_dir):
     emb, idx = _flat(spark, sf_dir)
     return vs.range_search_arrays(idx, emb, RADIUS, preserve_vector=False)
@@ -236,6 +242,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "knn_unnest_ordinality": knn_unnest_ordinality,
         "knn_packed_queries": knn_packed_queries,
         "range_flat_l2": range_flat_l2,
+        "range_flat_ip": range_flat_ip,
         "range_array_form": range_array_form,
         "knn_tagged": knn_tagged,
         "sharded_local_topk": sharded_local_topk,
@@ -389,6 +396,7 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT query_idx, vector_idx, distance::FLOAT AS distance, ranking FROM r WHERE ranking <= {K}")
     in_radius = f"SELECT * FROM ({_flat_pairs()}) WHERE distance < {RADIUS}"
     sq["range_flat_l2"] = _with(V) + _range_long(in_radius)
+    sq["range_flat_ip"] = _with(V) + _range_long(f"SELECT * FROM ({_flat_pairs('ip')}) WHERE distance > {RADIUS_IP}")
     sq["range_array_form"] = _with(V, f"h AS ({in_radius})") + (
         "SELECT NULL::FLOAT[] AS query_vector, q.id AS query_idx, "
         "coalesce(list(h.vector_idx ORDER BY h.distance, h.vector_idx) FILTER (WHERE h.vector_idx IS NOT NULL), "
