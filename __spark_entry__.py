@@ -162,6 +162,12 @@ def ivf_knn_nprobe2(spark, sf_dir):
     return _long(vs.knn(idx, emb, K))
 
 
+def ivf_knn_ip(spark, sf_dir):
+    emb = _emb(spark, sf_dir)
+    idx = vs.build_index(emb, DIM, "ivf_flat", "ip", nlist=NLIST, iterations=ITERS, nprobe=NPROBE)
+    return _long(vs.knn(idx, emb, K))
+
+
 def ivf_range_nprobe2(spark, sf_dir):
     emb, idx = _ivf(spark, sf_dir, nprobe=NPROBE)
     return _long(vs.range_search(idx, emb, RADIUS))
@@ -251,6 +257,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ivf_centroids": ivf_centroids,
         "ivf_postings": ivf_postings,
         "ivf_knn_nprobe2": ivf_knn_nprobe2,
+        "ivf_knn_ip": ivf_knn_ip,
         "ivf_range_nprobe2": ivf_range_nprobe2,
         "ivf_knn_all_lists": ivf_knn_all_lists,
         "ivf_sharded_build": ivf_sharded_build,
@@ -294,7 +301,7 @@ def _flat_pairs(metric="l2", where="", shard_expr=None) -> str:
             f"FROM v q JOIN v x ON TRUE {where}")
 
 
-def _lloyd(points: str, groups: list[str], k: int, iters: int, p: str) -> tuple[list[str], str]:
+def _lloyd(points: str, groups: list[str], k: int, iters: int, p: str, metric: str = "l2") -> tuple[list[str], str]:
     """CTEs of Lloyd k-means over ``points`` (groups..., id, v DOUBLE[]); returns (ctes, final centroid CTE)."""
     g = ", ".join(groups)
     gp = ", ".join(f"p.{c}" for c in groups)
@@ -309,7 +316,7 @@ def _lloyd(points: str, groups: list[str], k: int, iters: int, p: str) -> tuple[
     ]
     for it in range(1, iters + 1):
         prev = f"{p}_c{it - 1}"
-        ctes.append(_assign_cte(f"{p}_a{it}", f"{p}_pts", prev, groups, on))
+        ctes.append(_assign_cte(f"{p}_a{it}", f"{p}_pts", prev, groups, on, metric))
         sel = f"{g}, " if groups else ""
         ctes.append(
             f"{p}_m{it} AS (SELECT {sel}list_id, list(a ORDER BY i) AS c FROM ("
@@ -322,20 +329,21 @@ def _lloyd(points: str, groups: list[str], k: int, iters: int, p: str) -> tuple[
     return ctes, f"{p}_c{iters}"
 
 
-def _assign_cte(name: str, pts: str, cents: str, groups: list[str], on: str) -> str:
+def _assign_cte(name: str, pts: str, cents: str, groups: list[str], on: str, metric: str = "l2") -> str:
     gp = ", ".join(f"p.{c}" for c in groups)
     part = ", ".join([f"p.{c}" for c in groups] + ["p.id"])
     cols = ", ".join(groups + ["id", "v", "list_id"])
     return (f"{name} AS (SELECT {cols} FROM (SELECT {gp + ', ' if groups else ''}p.id, p.v, c.list_id, "
-            f"row_number() OVER (PARTITION BY {part} ORDER BY {_dist('p.v', 'c.c')}, c.list_id) AS rn "
+            f"row_number() OVER (PARTITION BY {part} ORDER BY {_dist('p.v', 'c.c', metric)}"
+            f"{' DESC' if metric == 'ip' else ''}, c.list_id) AS rn "
             f"FROM {pts} p JOIN {cents} c ON {on}) WHERE rn = 1)")
 
 
-def _ivf_ctes(nlist=NLIST, iters=ITERS, p="k") -> tuple[list[str], str, str]:
+def _ivf_ctes(nlist=NLIST, iters=ITERS, p="k", metric="l2") -> tuple[list[str], str, str]:
     """CTEs for an unsharded IVF build; returns (ctes, centroids CTE, postings CTE (id, v, list_id))."""
-    pts = "kp AS (SELECT id, vec::DOUBLE[] AS v FROM v)"
-    ctes, cents = _lloyd("kp", [], nlist, iters, p)
-    ctes = [pts] + ctes + [_assign_cte(f"{p}_post", f"{p}_pts", cents, [], "TRUE")]
+    pts = f"{p}p AS (SELECT id, vec::DOUBLE[] AS v FROM v)"
+    ctes, cents = _lloyd(f"{p}p", [], nlist, iters, p, metric)
+    ctes = [pts] + ctes + [_assign_cte(f"{p}_post", f"{p}_pts", cents, [], "TRUE", metric)]
     return ctes, cents, f"{p}_post"
 
 
@@ -343,11 +351,12 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def _probe_pairs(cents: str, post: str, nprobe: int, radius: float | None = None) -> str:
+def _probe_pairs(cents: str, post: str, nprobe: int, radius: float | None = None, metric: str = "l2") -> str:
+    desc = " DESC" if metric == "ip" else ""
     probe = (f"SELECT qid, list_id FROM (SELECT q.id AS qid, c.list_id, row_number() OVER (PARTITION BY q.id "
-             f"ORDER BY {_dist('q.vec', 'c.c')}, c.list_id) AS rn FROM v q JOIN {cents} c ON TRUE) "
+             f"ORDER BY {_dist('q.vec', 'c.c', metric)}{desc}, c.list_id) AS rn FROM v q JOIN {cents} c ON TRUE) "
              f"WHERE rn <= {nprobe}")
-    pairs = (f"SELECT pr.qid AS query_idx, x.id AS vector_idx, {_dist('q.vec', 'x.v')} AS distance "
+    pairs = (f"SELECT pr.qid AS query_idx, x.id AS vector_idx, {_dist('q.vec', 'x.v', metric)} AS distance "
              f"FROM ({probe}) pr JOIN {post} x ON x.list_id = pr.list_id JOIN v q ON q.id = pr.qid")
     if radius is not None:
         pairs = f"SELECT * FROM ({pairs}) WHERE distance < {radius}"
@@ -419,6 +428,8 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT list_id::INTEGER AS list_id, list_transform(c, lambda x: round(x, 6)) AS centroid FROM {cents}")
     sq["ivf_postings"] = _with(V, *ivf) + f"SELECT id, list_id::INTEGER AS list_id FROM {post}"
     sq["ivf_knn_nprobe2"] = _with(V, *ivf) + _topk(_probe_pairs(cents, post, NPROBE))
+    ivf_ip, cents_ip, post_ip = _ivf_ctes(p="ki", metric="ip")
+    sq["ivf_knn_ip"] = _with(V, *ivf_ip) + _topk(_probe_pairs(cents_ip, post_ip, NPROBE, metric="ip"), desc=True)
     sq["ivf_range_nprobe2"] = _with(V, *ivf) + _range_long(_probe_pairs(cents, post, NPROBE, RADIUS))
     sq["ivf_knn_all_lists"] = _with(V, *ivf) + _topk(_probe_pairs(cents, post, NLIST))
     sh_pts = f"sp AS (SELECT id % {SHARDS} AS shard_id, id, vec::DOUBLE[] AS v FROM v)"
