@@ -183,6 +183,11 @@ def ivf_sharded_build(spark, sf_dir):
     return idx.postings.groupBy("shard_id", "list_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+def ivf_sharded_knn(spark, sf_dir):
+    emb, idx = _ivf(spark, sf_dir, nlist=4, shard=F.col("id") % SHARDS, nprobe=NPROBE)
+    return _long(vs.knn(idx, emb, K, scope="shard"))
+
+
 def index_add_incremental(spark, sf_dir):
     emb = _emb(spark, sf_dir)
     idx = vs.create_index(spark, DIM, "ivf_flat", nlist=NLIST, iterations=ITERS)
@@ -261,6 +266,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ivf_range_nprobe2": ivf_range_nprobe2,
         "ivf_knn_all_lists": ivf_knn_all_lists,
         "ivf_sharded_build": ivf_sharded_build,
+        "ivf_sharded_knn": ivf_sharded_knn,
         "index_add_incremental": index_add_incremental,
         "index_reset": index_reset,
         "index_keyed_search": index_keyed_search,
@@ -438,6 +444,17 @@ def oracle_sql() -> dict[str, str]:
                                                                 "p.shard_id = c.shard_id")) + (
         "SELECT shard_id::INTEGER AS shard_id, list_id::INTEGER AS list_id, count(*) AS n FROM s_post "
         "GROUP BY ALL")
+    sh_post = _assign_cte("s_post", "s_pts", sh_c, ["shard_id"], "p.shard_id = c.shard_id")
+    sh_probe = (f"SELECT qid, shard_id, list_id FROM (SELECT q.id AS qid, c.shard_id, c.list_id, row_number() OVER "
+                f"(PARTITION BY q.id, c.shard_id ORDER BY {_dist('q.vec', 'c.c')}, c.list_id) AS rn "
+                f"FROM v q JOIN {sh_c} c ON TRUE) WHERE rn <= {NPROBE}")
+    sh_pairs = (f"SELECT pr.qid AS query_idx, x.shard_id, x.id AS vector_idx, {_dist('q.vec', 'x.v')} AS distance "
+                f"FROM ({sh_probe}) pr JOIN s_post x ON x.shard_id = pr.shard_id AND x.list_id = pr.list_id "
+                f"JOIN v q ON q.id = pr.qid")
+    sq["ivf_sharded_knn"] = _with(V, sh_pts, *sh, sh_post) + (
+        f"SELECT query_idx, shard_id::INTEGER AS shard_id, vector_idx, round(distance, 6) AS distance, ranking FROM ("
+        f"SELECT *, row_number() OVER (PARTITION BY query_idx, shard_id ORDER BY distance, vector_idx) AS ranking "
+        f"FROM ({sh_pairs})) WHERE ranking <= {K}")
     sq["index_add_incremental"] = _with(V, *ivf) + (
         f"SELECT list_id::INTEGER AS list_id, count(*) AS n FROM {post} GROUP BY ALL")
     sq["index_reset"] = ("SELECT row_number() OVER (ORDER BY vec_id) - 1 AS id, 0::INTEGER AS list_id, "
