@@ -37,6 +37,9 @@ def prepare_queries(queries: DataFrame, dim: int, id_col: str | None = "id",
                     vector_col: str = "vector") -> DataFrame:
     """(_qid, _qv, query_idx, query_vector): validated queries with a row identity.
 
+    Query ids must be unique: each id gets one result list (a repeated id
+    would get one list per row).
+
     Without ids, ``_qid`` is ``monotonically_increasing_id()``, checkpointed so
     it stays fixed, and ``query_idx`` is NULL, as in the reference.
     """
