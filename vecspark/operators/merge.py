@@ -18,34 +18,41 @@ from pyspark.sql import types as T
 from vecspark.model import positive_int
 
 
-def explode_lists(df: DataFrame, *, by=(), idxs_col: str = "idxs", distances_col: str = "distances") -> DataFrame:
+def explode_lists(df: DataFrame, *, by=(), idxs_col: str = "idxs", distances_col: str = "distances",
+                  keep_empty: bool = False) -> DataFrame:
+    """One row per list entry; ``keep_empty`` leaves one NULL row for an empty list (so its group survives)."""
     by = list(by)
     i, d = F.col(idxs_col), F.col(distances_col)
     bad = i.isNull() | d.isNull() | (F.size(i) != F.size(d))
     checked = F.when(bad, F.raise_error(F.lit("topk_merge: idxs and distances must be non-NULL and of equal length"))) \
         .otherwise(F.arrays_zip(i.alias("idx"), d.alias("distance")))
-    return df.select(*by, F.explode(checked).alias("_e")).select(
+    explode = F.explode_outer if keep_empty else F.explode
+    return df.select(*by, explode(checked).alias("_e")).select(
         *by, F.col("_e.idx").cast("long").alias("idx"), F.col("_e.distance").alias("distance"))
 
 
 def topk_merge(df: DataFrame, k: int, *, by=(), idxs_col: str = "idxs", distances_col: str = "distances",
                larger_is_nearer: bool = False) -> DataFrame:
-    """``by..., idxs, distances``: the best k of all the group's lists, nearest first."""
+    """``by..., idxs, distances``: the best k of all the group's lists, nearest first.
+
+    One window and one aggregate: empty lists leave a NULL marker row (ranked
+    last), so a group whose lists are all empty still appears, with NULL.
+    """
     k = positive_int("k", k)
     by = list(by)
-    ranked = rank_lists(df, k, by=by, idxs_col=idxs_col, distances_col=distances_col,
-                        larger_is_nearer=larger_is_nearer)
-    agg = ranked.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("ranking", "idx", "distance"))).alias("_s"))
-    groups = df.select(*by).distinct() if by else None
-    out = agg.select(*by, F.transform("_s", lambda s: s["idx"]).alias("idxs"),
-                     F.transform("_s", lambda s: s["distance"]).alias("distances"))
-    if groups is None:  # one global list; NULL when every input list was empty
-        empty = F.size("_s") == 0
-        return agg.select(F.when(~empty, F.transform("_s", lambda s: s["idx"])).alias("idxs"),
-                          F.when(~empty, F.transform("_s", lambda s: s["distance"])).alias("distances"))
+    ex = explode_lists(df, by=by, idxs_col=idxs_col, distances_col=distances_col, keep_empty=True)
+    order = F.col("distance").desc_nulls_last() if larger_is_nearer else F.col("distance").asc_nulls_last()
+    w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(order, F.col("idx").asc_nulls_last())
+    ranked = ex.withColumn("ranking", F.row_number().over(w)).where(F.col("ranking") <= k)
+    entry = F.when(F.col("idx").isNotNull(), F.struct("ranking", "idx", "distance"))
+    agg = ranked.groupBy(*by).agg(F.array_sort(F.collect_list(entry)).alias("_s"))
+    empty = F.size("_s") == 0
     elem = df.schema[distances_col].dataType.elementType
-    return groups.join(out, by, "left").select(
-        *by, F.col("idxs").cast(T.ArrayType(T.LongType())), F.col("distances").cast(T.ArrayType(elem)))
+    return agg.select(*by,
+                      F.when(~empty, F.transform("_s", lambda x: x["idx"])).cast(T.ArrayType(T.LongType()))
+                      .alias("idxs"),
+                      F.when(~empty, F.transform("_s", lambda x: x["distance"])).cast(T.ArrayType(elem))
+                      .alias("distances"))
 
 
 def rank_lists(df: DataFrame, k: int, *, by=(), idxs_col: str = "idxs", distances_col: str = "distances",
