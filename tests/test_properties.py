@@ -334,3 +334,17 @@ def test_large_k_warns_about_the_partial_top_k(spark, emb):
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
     assert any("windowGroupLimitThreshold" in str(x.message) for x in caught)
     assert len(rows) == 18
+
+
+def test_ivfpq_save_load_round_trip_with_rerank_and_keys(spark, emb):
+    idx = vs.with_keys(vs.build_index(emb, 64, "ivf_pq", nlist=2, m=8, ks=16, iterations=2, refine=True,
+                                      nprobe=2, rerank=30, tag_columns=["label"], shard=F.col("id") % 2))
+    path = os.path.join(tempfile.mkdtemp(prefix="vecspark-pq-"), "idx")
+    vs.save_index(idx, path)
+    back = vs.load_index(spark, path)
+    assert back.spec == idx.spec and back.options == idx.options and back.tag_columns == ("label",)
+    assert sorted(tuple(r) for r in vs.index_keys(back).collect()) == \
+        sorted(tuple(r) for r in vs.index_keys(idx).collect())
+    key = vs.index_keys(back).where("shard_id = 1").first()["index_key"]
+    assert _pairs(vs.knn(back, emb, 5, index_key=key)) == _pairs(vs.knn(idx, emb, 5, index_key=key))
+    assert _pairs(vs.knn(back, emb, 5, where=F.col("label") < 5)) == _pairs(vs.knn(idx, emb, 5, where=F.col("label") < 5))
