@@ -13,6 +13,7 @@ array-form distances keep the reference's REAL type on both sides.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -241,7 +242,29 @@ def ivfpq_rerank_knn(spark, sf_dir):
     return _long(vs.knn(idx, emb, K))
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and SQL of the ``llm`` subpackage and of the pipeline, where they exist."""
+    found, sql = {}, {}
+    if importlib.util.find_spec("vecspark.llm") is not None:
+        from vecspark.llm.queries import ORACLES, QUERIES
+        found, sql = dict(QUERIES), dict(ORACLES)
+        if importlib.util.find_spec("corpus_pipeline") is not None:
+            import corpus_pipeline
+            found["pipeline"] = corpus_pipeline.run
+            if corpus_pipeline.ORACLE_SQL is not None:
+                sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _own_queries() | _llm()[0]
+
+
+def oracle_sql() -> dict[str, str]:
+    return _own_oracle_sql() | _llm()[1]
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "pack_by_label": pack_by_label,
         "unpack_vectors": unpack_vectors,
@@ -392,7 +415,7 @@ def _pq_ctes() -> tuple[list[str], str, str]:
     return ctes, cents, post
 
 
-def oracle_sql() -> dict[str, str]:
+def _own_oracle_sql() -> dict[str, str]:
     sq = {}
     sq["pack_by_label"] = (
         f"SELECT label, vec_id // {PAGE} AS page, list(vec_id ORDER BY vec_id) AS ids, "
