@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from vecspark.llm import decontaminate, lang_id
+from vecspark.llm import decontaminate, lang_id, minhash
 
 QUERIES = {
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op7_language_id": lang_id.op7_language_id,
+    "op9_minhash": minhash.op9_minhash,
 }
 
 ORACLES = {
     "op4_decontaminate": decontaminate.OP4_SQL,
+    "op9_minhash": minhash.OP9_SQL,
 }
