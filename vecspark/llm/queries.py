@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from vecspark.llm import decontaminate, lang_id, minhash
+from vecspark.llm import decontaminate, lang_id, minhash, secrets
 
 QUERIES = {
+    "op1_secrets": secrets.op1_secrets,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op7_language_id": lang_id.op7_language_id,
     "op9_minhash": minhash.op9_minhash,
 }
 
 ORACLES = {
+    "op1_secrets": secrets.OP1_SQL,
     "op4_decontaminate": decontaminate.OP4_SQL,
     "op9_minhash": minhash.OP9_SQL,
 }
