@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from vecspark.llm import bin_packing, decontaminate, lang_id, minhash, secrets
+from vecspark.llm import bin_packing, decontaminate, lang_id, minhash, secrets, token_file
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
     "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op5_token_file": token_file.op5_token_file,
     "op7_language_id": lang_id.op7_language_id,
     "op9_minhash": minhash.op9_minhash,
     "op10_packing": bin_packing.op10_packing,
