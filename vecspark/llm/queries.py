@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from vecspark.llm import bin_packing, decontaminate, lang_id, minhash, secrets, token_file
+from vecspark.llm import bin_packing, decontaminate, lang_id, minhash, secrets, token_file, vp_tree
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_token_file": token_file.op5_token_file,
     "op7_language_id": lang_id.op7_language_id,
+    "op8_vp_tree": vp_tree.op8_vp_tree,
     "op9_minhash": minhash.op9_minhash,
     "op10_packing": bin_packing.op10_packing,
 }
@@ -16,5 +17,6 @@ QUERIES = {
 ORACLES = {
     "op1_secrets": secrets.OP1_SQL,
     "op4_decontaminate": decontaminate.OP4_SQL,
+    "op8_vp_tree": vp_tree.OP8_SQL,
     "op9_minhash": minhash.OP9_SQL,
 }
