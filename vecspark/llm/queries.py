@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from vecspark.llm import bin_packing, decontaminate, lang_id, minhash, secrets, token_file, vp_tree
+from vecspark.llm import bin_packing, decontaminate, lang_id, licenses, minhash, secrets, token_file, vp_tree
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
+    "op3_licenses": licenses.op3_licenses,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_token_file": token_file.op5_token_file,
     "op7_language_id": lang_id.op7_language_id,
@@ -16,6 +17,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_secrets": secrets.OP1_SQL,
+    "op3_licenses": licenses.OP3_SQL,
     "op4_decontaminate": decontaminate.OP4_SQL,
     "op8_vp_tree": vp_tree.OP8_SQL,
     "op9_minhash": minhash.OP9_SQL,
