@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from vecspark.llm import bin_packing, decontaminate, lang_id, licenses, minhash, secrets, token_file, vp_tree
+from vecspark.llm import bin_packing, decontaminate, html_text, lang_id, licenses, minhash, secrets, token_file, vp_tree
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
+    "op2_html_text": html_text.op2_html_text,
     "op3_licenses": licenses.op3_licenses,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_token_file": token_file.op5_token_file,
