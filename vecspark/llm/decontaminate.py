@@ -24,8 +24,6 @@ repeated item_ids are listed once; an empty benchmark leaves all clean.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame

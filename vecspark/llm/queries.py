@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vecspark.llm import bin_packing, decontaminate, html_text, lang_id, licenses, minhash, secrets, token_file, vp_tree
+from vecspark.llm import bin_packing, decontaminate, html_text, lang_id, licenses, minhash, secrets, suffix_dedup, token_file, vp_tree
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_licenses": licenses.op3_licenses,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_token_file": token_file.op5_token_file,
+    "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op7_language_id": lang_id.op7_language_id,
     "op8_vp_tree": vp_tree.op8_vp_tree,
     "op9_minhash": minhash.op9_minhash,
