@@ -16,6 +16,7 @@ from __future__ import annotations
 import importlib.util
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 _ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import vecspark as vs  # noqa: E402
+from vecspark.session import checkpoint_dir  # noqa: E402
 from vecspark.sources.tables import embeddings  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -242,6 +244,79 @@ def ivfpq_rerank_knn(spark, sf_dir):
     return _long(vs.knn(idx, emb, K))
 
 
+def _nonfinite(emb):
+    """The embeddings with a NaN in vector 7 and an infinite component in vector 11."""
+    first = F.when(F.col("id") == 7, F.lit(float("nan"))).when(F.col("id") == 11, F.lit(float("inf")))
+    return emb.withColumn("vector", F.transform("vector", lambda x, i: F.when(
+        (i == 0) & first.isNotNull(), first.cast("float")).otherwise(x)))
+
+
+def knn_nonfinite_vector(spark, sf_dir):
+    emb = _nonfinite(_emb(spark, sf_dir))
+    return _long(vs.knn(vs.build_index(emb, DIM), emb, K))
+
+
+def range_nonfinite_vector(spark, sf_dir):
+    emb = _nonfinite(_emb(spark, sf_dir))
+    return _long(vs.range_search(vs.build_index(emb, DIM), emb, RADIUS))
+
+
+def knn_repeated_query_ids(spark, sf_dir):
+    """Query ids are labels: many rows share one, each has its own list."""
+    emb, idx = _flat(spark, sf_dir)
+    found = vs.search(idx, emb, K, id_col="label")
+    return found.withColumn("distances", F.transform("distances", lambda x: F.round(x.cast("double"), 4)))
+
+
+def build_without_ids(spark, sf_dir):
+    emb = _emb(spark, sf_dir)
+    idx = vs.build_index(emb.withColumn("rank", -F.col("id")), DIM, "ivf_flat", nlist=NLIST, iterations=ITERS,
+                         id_col=None, order_col="rank")
+    return idx.postings.groupBy("list_id").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+
+
+def add_without_ids_sharded(spark, sf_dir):
+    """Each shard's vectors are numbered from 0, also over an order column with ties (one vector per id and label)."""
+    emb, shard = _emb(spark, sf_dir), F.col("id") % SHARDS
+    idx = vs.add_vectors(vs.create_index(spark, DIM), emb.where("label < 5"), id_col=None, order_col="id", shard=shard)
+    idx = vs.add_vectors(idx, emb.where("label >= 5"), id_col=None, order_col="id", shard=shard)
+    return idx.postings.select("shard_id", "id", "vector")
+
+
+def ivfpq_range(spark, sf_dir):
+    emb, idx = _pq(spark, sf_dir)
+    return _long(vs.range_search(idx, emb, RADIUS))
+
+
+def index_keyed_range(spark, sf_dir):
+    emb, idx = _flat(spark, sf_dir, shard=F.col("id") % 2)
+    idx = vs.with_keys(idx)
+    key = vs.index_keys(idx).where(F.col("shard_id") == 1).first()["index_key"]
+    return _long(vs.range_search(idx, emb, RADIUS, index_key=key))
+
+
+def build_string_shards(spark, sf_dir):
+    """A string shard key with a NULL among its values."""
+    emb = _emb(spark, sf_dir)
+    key = F.when(F.col("label") != 9, F.concat(F.lit("s"), (F.col("label") % 3).cast("string")))
+    idx = vs.build_index(emb, DIM, shard=key)
+    counts = idx.postings.groupBy("shard_id").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+    return counts.join(vs.shard_labels(idx), "shard_id").select("shard", "n", "ids")
+
+
+def ivf_global_merge(spark, sf_dir):
+    emb, idx = _ivf(spark, sf_dir, nlist=4, shard=F.col("id") % SHARDS, nprobe=NPROBE)
+    return _long(vs.knn(idx, emb, K, scope="global"))
+
+
+def saved_index_search(spark, sf_dir):
+    """Search of an index written to the shared scratch folder and read back."""
+    _, idx = _ivf(spark, sf_dir, nprobe=NPROBE)
+    path = os.path.join(checkpoint_dir(spark), f"index-{uuid.uuid4().hex}")
+    vs.save_index(idx, path)
+    return _long(vs.knn(vs.load_index(spark, path), _emb(spark, sf_dir), K))
+
+
 def _llm() -> tuple[dict, dict]:
     """Queries and SQL of the ``llm`` subpackage and of the pipeline, where they exist."""
     found, sql = {}, {}
@@ -297,6 +372,16 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ivfpq_codes": ivfpq_codes,
         "ivfpq_knn": ivfpq_knn,
         "ivfpq_rerank_knn": ivfpq_rerank_knn,
+        "ivfpq_range": ivfpq_range,
+        "knn_nonfinite_vector": knn_nonfinite_vector,
+        "range_nonfinite_vector": range_nonfinite_vector,
+        "knn_repeated_query_ids": knn_repeated_query_ids,
+        "build_without_ids": build_without_ids,
+        "add_without_ids_sharded": add_without_ids_sharded,
+        "index_keyed_range": index_keyed_range,
+        "build_string_shards": build_string_shards,
+        "ivf_global_merge": ivf_global_merge,
+        "saved_index_search": saved_index_search,
     }
 
 
@@ -493,4 +578,26 @@ def _own_oracle_sql() -> dict[str, str]:
     exact = (f"SELECT c.query_idx, c.vector_idx, {_dist('q.vec', 'x.vec')} AS distance FROM cand c "
              f"JOIN v q ON q.id = c.query_idx JOIN v x ON x.id = c.vector_idx")
     sq["ivfpq_rerank_knn"] = _with(V, *pqc, cand) + _topk(exact)
+    sq["ivfpq_range"] = _with(V, *pqc) + _range_long(_probe_pairs(pcents, "recon", NPROBE, RADIUS))
+    finite = "AND q.id NOT IN (7, 11) AND x.id NOT IN (7, 11)"
+    sq["knn_nonfinite_vector"] = _with(V) + _topk(_flat_pairs(where=finite))
+    sq["range_nonfinite_vector"] = _with(V) + _range_long(
+        f"SELECT * FROM ({_flat_pairs(where=finite)}) WHERE distance < {RADIUS}")
+    sq["knn_repeated_query_ids"] = _with(V, ranked) + (
+        "SELECT q.vec::FLOAT[] AS query_vector, q.label::BIGINT AS query_idx, list(r.vector_idx ORDER BY r.ranking) AS "
+        "vector_idxs, list(round(r.distance::FLOAT::DOUBLE, 4) ORDER BY r.ranking) AS distances FROM v q JOIN r "
+        f"ON r.query_idx = q.id WHERE r.ranking <= {K} GROUP BY q.id, q.label, q.vec")
+    back = "v AS (SELECT row_number() OVER (ORDER BY vec_id DESC) - 1 AS id, embedding AS vec, label FROM embeddings)"
+    sq["build_without_ids"] = _with(back, *ivf) + (
+        f"SELECT list_id::INTEGER AS list_id, count(*) AS n, sum(id)::DECIMAL(38,0)::BIGINT AS ids FROM {post} GROUP BY list_id")
+    sq["add_without_ids_sharded"] = (
+        f"SELECT (vec_id % {SHARDS})::INTEGER AS shard_id, row_number() OVER (PARTITION BY vec_id % {SHARDS} "
+        "ORDER BY label >= 5, vec_id) - 1 AS id, embedding AS vector FROM embeddings")
+    sq["index_keyed_range"] = _with(V) + _range_long(
+        f"SELECT * FROM ({_flat_pairs(where='AND x.id % 2 = 1')}) WHERE distance < {RADIUS}")
+    sq["build_string_shards"] = (
+        "SELECT CASE WHEN label <> 9 THEN 's' || (label % 3)::VARCHAR END AS shard, count(*) AS n, "
+        "sum(vec_id)::BIGINT AS ids FROM embeddings GROUP BY 1")
+    sq["ivf_global_merge"] = _with(V, sh_pts, *sh, sh_post) + _topk(f"SELECT query_idx, vector_idx, distance FROM ({sh_pairs})")
+    sq["saved_index_search"] = sq["ivf_knn_nprobe2"]
     return sq

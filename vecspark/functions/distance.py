@@ -31,8 +31,10 @@ def distance_sql(a: str, b: str, metric="l2") -> str:
     validate sizes first (``model.checked_vector``).
     """
     m = metric_name(metric)
-    merge = "greatest(acc, t)" if m == "linf" else "acc + t"
-    return f"aggregate(zip_with({a}, {b}, (x, y) -> {_TERMS[m]}), 0D, (acc, t) -> {merge})"
+    if m == "linf":  # greatest() skips NULL, so the lengths are compared
+        return (f"if(size({a}) = size({b}), aggregate(zip_with({a}, {b}, (x, y) -> {_TERMS[m]}), 0D, "
+                "(acc, t) -> if(isnull(t), t, greatest(acc, t))), NULL)")
+    return f"aggregate(zip_with({a}, {b}, (x, y) -> {_TERMS[m]}), 0D, (acc, t) -> acc + t)"
 
 
 def distance(a, b, metric="l2") -> Column:
@@ -42,7 +44,8 @@ def distance(a, b, metric="l2") -> Column:
     b = F.col(b) if isinstance(b, str) else b
     terms = F.zip_with(a, b, lambda x, y: _term(m, x, y))
     if m == "linf":
-        return F.aggregate(terms, F.lit(0.0), lambda acc, t: F.greatest(acc, t))
+        largest = F.aggregate(terms, F.lit(0.0), lambda acc, t: F.when(t.isNotNull(), F.greatest(acc, t)))
+        return F.when(F.size(a) == F.size(b), largest)
     return F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
 
 

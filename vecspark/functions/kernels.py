@@ -10,6 +10,11 @@ Distances are computed in float64.  For L2 and inner product the
 candidate set is chosen with a matrix product (BLAS), then the distances
 of the chosen pairs are recomputed directly, so the emitted values do
 not depend on the cancellation error of the expanded form.
+
+A vector with a NaN or infinite component has no finite distance to
+anything: as an item it is never a hit, as a query it has none.  Such rows
+are set aside before any matrix is formed, so they cannot touch the error
+bounds of the others.
 """
 
 from __future__ import annotations
@@ -19,6 +24,8 @@ import pyarrow as pa
 
 # Bytes of one float64 distance matrix chunk held at a time.
 _CHUNK_BYTES = 32 << 20
+# Bytes of gathered vectors when chosen pairs are re-computed.
+_PAIR_BYTES = 16 << 20
 
 
 def larger_is_nearer(metric: str) -> bool:
@@ -42,6 +49,14 @@ def list_matrix(col, dim: int) -> np.ndarray:
     return values.to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(n, dim)
 
 
+def _pairs_exact(q: np.ndarray, v: np.ndarray, qi: np.ndarray, vi: np.ndarray, metric: str) -> np.ndarray:
+    """Distances of the pairs ``q[qi], v[vi]``, gathering a bounded number of vectors at a time."""
+    step = max(1, _PAIR_BYTES // (16 * max(1, q.shape[1])))
+    if len(qi) <= step:
+        return _pair_exact(q[qi], v[vi], metric)
+    return np.concatenate([_pair_exact(q[qi[i:i + step]], v[vi[i:i + step]], metric) for i in range(0, len(qi), step)])
+
+
 def _pair_exact(q: np.ndarray, v: np.ndarray, metric: str) -> np.ndarray:
     """Row-wise distance of aligned pairs q[i], v[i]."""
     if metric == "l2":
@@ -101,7 +116,13 @@ def _rank_pairs(qi, vi, d, ids, k, larger):
 def prepare_items(v: np.ndarray, metric: str) -> dict:
     """Per-block values the kernel needs for ``v``; compute once, reuse for every query batch."""
     v = np.ascontiguousarray(v, dtype=np.float64)
+    finite = np.isfinite(v).all(axis=1)
+    kept = None if finite.all() else np.flatnonzero(finite)
+    if kept is not None:
+        v = v[kept]
     return {
+        "kept": kept,  # rows that can be hits, if not all
+        "v": v,
         "vn": np.einsum("ij,ij->i", v, v) if metric in ("l2", "ip") else None,
         "v_sel": -2.0 * v if metric == "l2" else None,
     }
@@ -124,8 +145,19 @@ def search_block(q: np.ndarray, v: np.ndarray, ids: np.ndarray, metric: str,
     larger = larger_is_nearer(metric)
     if prep is None:
         prep = prepare_items(v, metric)
-    vn, v_sel = prep["vn"], prep["v_sel"]
+    vn, v_sel, kept = prep["vn"], prep["v_sel"], prep["kept"]
+    asked = np.isfinite(q).all(axis=1)
+    asked = None if asked.all() else np.flatnonzero(asked)
+    if asked is not None:
+        q = q[asked]
+    if kept is not None:
+        v, ids = prep["v"], ids[kept]
+    nq, nv = len(q), len(v)
+    if nq == 0 or nv == 0:
+        return empty
     step = max(1, _CHUNK_BYTES // (8 * nv))
+    if k is not None and k >= nv:
+        step = max(1, step // 8)  # every pair of the chunk is ranked
     out_q, out_v, out_d = [], [], []
     for s in range(0, nq, step):
         qc = q[s:s + step]
@@ -143,7 +175,7 @@ def search_block(q: np.ndarray, v: np.ndarray, ids: np.ndarray, metric: str,
                 kth = np.partition(d, k - 1, axis=1)[:, k - 1]
                 mask = d <= (kth + tol)[:, None]
         qi, vi = np.nonzero(mask)
-        exact = _pair_exact(qc[qi], v[vi], metric)
+        exact = _pairs_exact(qc, v, qi, vi, metric)
         if radius is not None:
             hit = (exact > radius) if larger else (exact < radius)
             qi, vi, exact = qi[hit], vi[hit], exact[hit]
@@ -151,7 +183,8 @@ def search_block(q: np.ndarray, v: np.ndarray, ids: np.ndarray, metric: str,
         out_q.append(qi + s)
         out_v.append(vi)
         out_d.append(exact)
-    return np.concatenate(out_q), np.concatenate(out_v), np.concatenate(out_d)
+    qi, vi, d = np.concatenate(out_q), np.concatenate(out_v), np.concatenate(out_d)
+    return qi if asked is None else asked[qi], vi if kept is None else kept[vi], d
 
 
 def group_rows(keys: list[np.ndarray]):

@@ -9,10 +9,9 @@ centroid by the mean of its rows; an empty list keeps its centroid.
 When the centroids of all groups fit the broadcast budget (they are
 ``groups x nlist x dim`` doubles, known before the job), each iteration is
 one pass over the training rows: a ``mapInArrow`` task assigns its rows and
-adds them up per list, emitting one partial row per list, and a hash
-aggregate with one ``sum`` per dimension combines the partial rows.  Beyond
-the budget, rows are assigned with the tiled plan of ``nearest`` and the
-aggregate runs over the assigned rows.
+adds them up per list, emitting one partial row per list; these rows are
+shuffled by list and added as arrays.  Beyond the budget, rows are assigned
+with the tiled plan of ``nearest``, added up per task, and combined alike.
 """
 
 from __future__ import annotations
@@ -77,14 +76,17 @@ def assign_lists(df: DataFrame, centroids: DataFrame, *, dim: int, metric: str,
                 yield pa.RecordBatch.from_arrays(rb.columns + [arr], names=rb.schema.names + [out_col])
 
         return df.mapInArrow(run, out_schema)
-    # Tiled: nearest centroid per row, then attach it back by (group, id).
-    q = df.select(*group_keys, F.col(id_col).alias("_qid"), F.col(vec_col).alias("_qv"))
+    # Tiled: nearest centroid per row, then attach it back by a row identity (ids may repeat), written once.
+    checkpoint_dir(spark)
+    columns = df.columns
+    df = df.withColumn("_rid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    q = df.select(*group_keys, F.col("_rid").alias("_qid"), F.col(vec_col).alias("_qv"))
     items = centroids.select(*group_keys, F.col("list_id").cast("long").alias("_id"),
                              F.col("centroid").alias("_v"))
     best = nn.nearest(q, items, dim=dim, metric=metric, k=1, join_keys=group_keys, per_keys=group_keys,
                       strategy="tiled")
-    best = best.select(*group_keys, F.col("_qid").alias(id_col), F.col("_id").cast("int").alias(out_col))
-    return df.join(best, group_keys + [id_col], "left")
+    best = best.select(F.col("_qid").alias("_rid"), F.col("_id").cast("int").alias(out_col))
+    return df.join(best, "_rid", "left").select(*columns, out_col)
 
 
 def initial_centroids(train: DataFrame, *, nlist: int, group_keys=()) -> DataFrame:
@@ -96,9 +98,7 @@ def initial_centroids(train: DataFrame, *, nlist: int, group_keys=()) -> DataFra
     group_keys = list(group_keys)
     if nlist == 1:  # position 0 in id order is the smallest id: no global numbering needed
         chosen = train.groupBy(*group_keys).agg(F.min("_id").alias("_id")).withColumn("list_id", F.lit(0))
-        return (chosen.join(train.select(*group_keys, "_id", "_v"), group_keys + ["_id"])
-                .select(*group_keys, F.col("list_id").cast("int").alias("list_id"),
-                        F.col("_v").cast(CENTROID_TYPE).alias("centroid")))
+        return _vectors_of(chosen, train, group_keys)
     pos = positions(train, ["_id"], group_keys)
     counts = pos.groupBy(*group_keys).agg(F.count(F.lit(1)).alias("_n"))
     step = (F.col("list_id") * (F.col("_n") - 1)).cast("long")
@@ -109,17 +109,49 @@ def initial_centroids(train: DataFrame, *, nlist: int, group_keys=()) -> DataFra
                .withColumn("list_id", F.explode(F.sequence(F.lit(0), F.lit(nlist - 1))))
                .withColumn("_pos", F.lit(0).cast("long") if nlist == 1 else F.floor(step / (nlist - 1)).cast("long")))
     chosen = targets.join(pos, group_keys + ["_pos"]).select(*group_keys, "list_id", "_id")
-    return (chosen.join(train.select(*group_keys, "_id", "_v"), group_keys + ["_id"])
-            .select(*group_keys, F.col("list_id").cast("int").alias("list_id"),
-                    F.col("_v").cast(CENTROID_TYPE).alias("centroid")))
+    return _vectors_of(chosen, train, group_keys)
+
+
+def _vectors_of(chosen: DataFrame, train: DataFrame, group_keys) -> DataFrame:
+    """The chosen ids' vectors, one per list also where rows repeat an id (the smallest)."""
+    rows = chosen.join(train.select(*group_keys, "_id", "_v"), group_keys + ["_id"])
+    return (rows.groupBy(*group_keys, F.col("list_id").cast("int").alias("list_id"))
+            .agg(F.min(F.col("_v").cast(CENTROID_TYPE)).alias("centroid")))
 
 
 def update_centroids(assigned: DataFrame, old: DataFrame, *, dim: int, group_keys=()) -> DataFrame:
-    """Mean of the rows of each list; a list without rows keeps its centroid (tiled path)."""
+    """Mean of the rows of each list; a list without rows keeps its centroid (tiled path).
+
+    Lists are added up per task before the shuffle: a hot list sends one row
+    per task and batch.
+    """
     group_keys = list(group_keys)
-    partials = assigned.where(F.col("list_id").isNotNull()).select(
-        *group_keys, "list_id", F.lit(1).cast("long").alias("_cnt"), F.col("_v").cast(CENTROID_TYPE).alias("_sum"))
-    return combine_sums(partials, old, dim=dim, group_keys=group_keys)
+    keys = [*group_keys, "list_id"]
+    rows = assigned.where(F.col("list_id").isNotNull()).select(*keys, F.col("_v").cast(CENTROID_TYPE).alias("_sum"))
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    schema = T.StructType([T.StructField(k, types[k], True) for k in keys] + [
+        T.StructField("_cnt", T.LongType(), False), T.StructField("_sum", CENTROID_TYPE, False)])
+
+    def run(batches):
+        for rb in batches:
+            if not rb.num_rows:
+                continue
+            vecs = kernels.list_matrix(rb.column("_sum"), dim)
+            cols = [rb.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in keys]
+            order = np.lexsort(cols[::-1])
+            cols = [c[order] for c in cols]
+            new = np.zeros(len(order), dtype=bool)
+            new[0] = True
+            for c in cols:
+                new[1:] |= c[1:] != c[:-1]
+            starts = np.flatnonzero(new)
+            sums = np.add.reduceat(vecs[order], starts, axis=0)
+            arrays = [pa.array(c[starts]).cast(rb.column(k).type) for c, k in zip(cols, keys)]
+            arrays += [pa.array(np.diff(np.r_[starts, len(order)]), type=pa.int64()),
+                       pa.FixedSizeListArray.from_arrays(pa.array(sums.reshape(-1)), dim).cast(pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*keys, "_cnt", "_sum"])
+
+    return combine_sums(rows.mapInArrow(run, schema), old, dim=dim, group_keys=group_keys)
 
 
 def _broadcast_centroids(spark, centroids: DataFrame, dim: int, group_keys):
@@ -165,6 +197,8 @@ def partial_sums(train: DataFrame, centroids: DataFrame, *, dim: int, metric: st
                 if kv not in preps:
                     preps[kv] = kernels.prepare_items(cm, metric)
                 qi, vi, _ = kernels.search_block(vecs[rows], cm, lid, metric, k=1, prep=preps[kv])
+                if len(qi) != len(rows):
+                    raise ValueError("k-means: a training vector has NaN or infinite components")
                 slot = vi[np.argsort(qi, kind="stable")]
                 cnt = np.bincount(slot, minlength=len(lid))
                 order = np.argsort(slot, kind="stable")
@@ -198,20 +232,37 @@ def partial_sums(train: DataFrame, centroids: DataFrame, *, dim: int, metric: st
 def combine_sums(partials: DataFrame, old: DataFrame, *, dim: int, group_keys=()) -> DataFrame:
     """Reduce side of the update: add the partial sums per list and divide.
 
-    The partial vectors are exploded to ``(list, position)`` cells and
-    summed with a narrow hash aggregate (partial before the shuffle), then
-    each list's ``dim`` cells are packed back in position order.
+    One row per (task, list) is shuffled by list, its sum as one array; each
+    task adds the arrays of its lists and emits a mean per list.  Rows are
+    added in a fixed order (of their values), so a build is deterministic.
     """
-    group_keys = list(group_keys)
-    cells = (partials.select(*group_keys, "list_id", "_cnt", F.posexplode("_sum").alias("_pos", "_x"))
-             .groupBy(*group_keys, "list_id", "_pos")
-             .agg(F.sum("_cnt").alias("_cnt"), F.sum("_x").alias("_s")))
-    means = (cells.groupBy(*group_keys, "list_id")
-             .agg(F.array_sort(F.collect_list(F.struct("_pos", (F.col("_s") / F.col("_cnt")).alias("_m"))))
-                  .alias("_c"))
-             .select(*group_keys, "list_id", F.transform("_c", lambda c: c["_m"]).alias("_mean")))
-    return (old.join(means, group_keys + ["list_id"], "left")
-            .select(*group_keys, "list_id", F.coalesce("_mean", "centroid").alias("centroid")))
+    keys = [*group_keys, "list_id"]
+    types = {f.name: f.dataType for f in partials.schema.fields}
+    schema = T.StructType([T.StructField(k, types[k], True) for k in keys] + [T.StructField("_mean", CENTROID_TYPE, False)])
+
+    def run(batches):
+        rows = [rb for rb in batches if rb.num_rows]
+        if not rows:
+            return
+        tbl = pa.Table.from_batches(rows)
+        sums = kernels.list_matrix(tbl.column("_sum"), dim)
+        counts = tbl.column("_cnt").to_numpy().astype(np.float64)
+        cols = [tbl.column(k).to_numpy().astype(np.int64) for k in keys]
+        order = np.lexsort((sums[:, 0], counts, *cols[::-1]))
+        cols = [c[order] for c in cols]
+        new = np.zeros(len(order), dtype=bool)
+        new[0] = True
+        for c in cols:
+            new[1:] |= c[1:] != c[:-1]
+        starts = np.flatnonzero(new)
+        means = np.add.reduceat(sums[order], starts, axis=0) / np.add.reduceat(counts[order], starts)[:, None]
+        arrays = [pa.array(c[starts]).cast(tbl.column(k).type) for c, k in zip(cols, keys)]
+        arrays.append(pa.FixedSizeListArray.from_arrays(pa.array(means.reshape(-1)), dim).cast(pa.list_(pa.float64())))
+        yield pa.RecordBatch.from_arrays(arrays, names=[*keys, "_mean"])
+
+    means = partials.repartition(*keys).mapInArrow(run, schema)
+    return (old.join(means, keys, "left")
+            .select(*keys, F.coalesce("_mean", "centroid").alias("centroid")))
 
 
 def kmeans(train: DataFrame, *, dim: int, nlist: int, iterations: int, metric: str = "l2",

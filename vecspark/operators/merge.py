@@ -5,7 +5,7 @@ length (e.g. one row per shard's local result).  The lists are exploded,
 ranked with ``row_number() <= k`` (planned as a partial ``WindowGroupLimit``
 before the exchange, so each task ships at most k rows per group) and
 re-packed.  Rows with empty lists are skipped; a group with nothing left
-gives NULL, as in the reference.  Inputs need not be sorted.  Duplicate ids
+gives NULL, as in the reference; NULL lists and NULL elements are errors.  Inputs need not be sorted.  Duplicate ids
 are kept.  Ties are broken by id.
 """
 
@@ -23,8 +23,10 @@ def explode_lists(df: DataFrame, *, by=(), idxs_col: str = "idxs", distances_col
     """One row per list entry; ``keep_empty`` leaves one NULL row for an empty list (so its group survives)."""
     by = list(by)
     i, d = F.col(idxs_col), F.col(distances_col)
-    bad = i.isNull() | d.isNull() | (F.size(i) != F.size(d))
-    checked = F.when(bad, F.raise_error(F.lit("topk_merge: idxs and distances must be non-NULL and of equal length"))) \
+    bad = (i.isNull() | d.isNull() | (F.size(i) != F.size(d))
+           | F.exists(i, lambda x: x.isNull()) | F.exists(d, lambda x: x.isNull()))
+    checked = F.when(bad, F.raise_error(F.lit(
+        "topk_merge: idxs and distances must be non-NULL, without NULL elements and of equal length"))) \
         .otherwise(F.arrays_zip(i.alias("idx"), d.alias("distance")))
     explode = F.explode_outer if keep_empty else F.explode
     return df.select(*by, explode(checked).alias("_e")).select(

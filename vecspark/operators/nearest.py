@@ -26,7 +26,8 @@ by checked sizes:
 Inputs: ``queries`` has ``join_keys + [_qid, _qv]``; ``items`` has
 ``join_keys + per_keys + [_id, _v]``.  Output: ``per_keys + [_qid, _id, _d,
 _rank]``, the best ``k`` per ``(_qid, per_keys)`` (or every hit within the
-radius, ranked).
+radius, ranked).  ``_qid`` identifies a query row; a ``_qlab`` column of the
+queries (the user's query id, which may repeat) is carried to the output.
 """
 
 from __future__ import annotations
@@ -42,11 +43,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecspark.functions import kernels
-from vecspark.session import ensure_importable
+from vecspark.session import checkpoint_dir, ensure_importable
 
 DEFAULT_BROADCAST_BYTES = 128 << 20
 DEFAULT_TILE_BYTES = 32 << 20
-MAX_IN_LIST = 4096
+RADIUS_TILE_ROWS = 2048  # a radius tile pair can hit everywhere: at most 2048 x 2048 hits leave a task at once
+RADIUS_BLOCK = 512  # rows of a streamed batch searched at once in a radius search
+SCAN_RANGES = 8
 
 
 def _conf_int(spark, key: str, default: int) -> int:
@@ -62,8 +65,16 @@ def tile_rows(spark, dim: int) -> int:
     return max(1, _conf_int(spark, "vecspark.tile.bytes", DEFAULT_TILE_BYTES) // (8 * dim + 16))
 
 
-def side_bytes(rows: int, dim: int) -> int:
-    return rows * (8 * dim + 16)
+def side_bytes(rows: int, dim: int, hits: int = 0) -> int:
+    """Bytes of a broadcast side: its vectors, and ``hits`` results held per row."""
+    return rows * (8 * dim + 16 + 40 * hits)
+
+
+LABEL = "_qlab"
+
+
+def _labels(df: DataFrame) -> list[str]:
+    return [LABEL] if LABEL in df.columns else []
 
 
 def _schema(per_keys, key_types) -> T.StructType:
@@ -80,14 +91,25 @@ def _schema(per_keys, key_types) -> T.StructType:
 def _collect_side(df: DataFrame, key_cols, id_col, vec_col, dim, tbl: pa.Table | None = None):
     """Collect a size-checked side to the driver as NumPy (float64 vectors)."""
     if tbl is None:
-        tbl = df.select(*key_cols, id_col, vec_col).toArrow()
+        tbl = df.select(*key_cols, id_col, vec_col, *_labels(df)).toArrow()
     return {
         "keys": [tbl.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in key_cols],
         "ids": tbl.column(id_col).to_numpy(zero_copy_only=False).astype(np.int64),
         "vecs": kernels.list_matrix(tbl.column(vec_col), dim),
+        "labels": tbl.column(LABEL).combine_chunks() if LABEL in tbl.column_names else None,
     }
 
 
+def _labelled(batch: pa.RecordBatch, labels, qpos) -> pa.RecordBatch:
+    """``batch`` with the labels of its query positions, if there are any."""
+    if labels is None:
+        return batch
+    if isinstance(labels, pa.ChunkedArray):
+        labels = labels.combine_chunks()
+    return pa.RecordBatch.from_arrays([*batch.columns, labels.take(pa.array(qpos, type=pa.int64()))],
+                                      names=[*batch.schema.names, LABEL])
+
+
 def _batch(per_vals, qids, ids, d, ranks, per_keys, kinds):
     cols = [pa.array(v, type=pa.int32() if kinds[k] == "int" else pa.int64())
             for k, v in zip(per_keys, per_vals)]
@@ -192,7 +214,7 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
             k: int | None = None, radius: float | None = None,
             join_keys=(), per_keys=(), strategy: str = "auto",
             items_rows: int | None = None, queries_unique: bool = True, final: bool = True,
-            carry_query_vector: bool = False, item_transform=None) -> DataFrame:
+            carry_query_vector: bool = False, item_transform=None, shards: int = 1) -> DataFrame:
     """Best partners of each query row among the items (see module doc).
 
     ``queries_unique`` says each ``_qid`` occurs in one query row; then the
@@ -204,7 +226,8 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
     ignore it, so callers check for the column.  ``item_transform`` turns the
     stored item rows into ``_v`` rows (PQ decoding); the ``broadcast_queries``
     plan applies it after the group filter, so only probed lists are decoded
-    and the filter still reaches the scan.
+    and the filter still reaches the scan.  ``shards`` bounds the lists a query
+    has in one task (``per_keys`` groups), for the size check.
     """
     if (k is None) == (radius is None):
         raise ValueError("give exactly one of k and radius")
@@ -222,7 +245,8 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
         items = item_transform(items)
     collected = None
     if strategy == "auto":
-        strategy, collected = choose_strategy(queries, items, dim, budget, items_rows, join_keys, per_keys)
+        strategy, collected = choose_strategy(queries, items, dim, budget, items_rows, join_keys, per_keys,
+                                              hits=(k or 1) * (shards if per_keys else 1))
 
     if strategy == "broadcast_items":
         out, complete = _broadcast_items(queries, items, dim, metric, k, radius, join_keys, per_keys,
@@ -240,39 +264,54 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
     return rank_final(out, k, per_keys, larger)
 
 
-def bounded_collect(df: DataFrame, cols, dim: int, budget: int) -> pa.Table | None:
-    """The rows of ``df`` as Arrow if they fit the budget, else None.
-
-    One pass: at most ``budget`` bytes' worth of rows plus one reach the
-    driver, which is both the size check and the data to broadcast.
-    """
-    max_rows = max(0, budget // (8 * dim + 16))
-    tbl = df.select(*cols).limit(max_rows + 1).toArrow()
-    return tbl if tbl.num_rows <= max_rows else None
-
-
 def choose_strategy(queries: DataFrame, items: DataFrame, dim: int, budget: int,
-                    items_rows: int | None = None, join_keys=(), per_keys=()):
-    """Pick a plan from checked sizes; returns ``(strategy, collected side or None)``.
+                    items_rows: int | None = None, join_keys=(), per_keys=(), hits: int = 1):
+    """Pick a plan from counted sizes; returns ``(strategy, collected side or None)``.
 
     An item side of known small size (centroids, codebooks) is broadcast.
-    Otherwise the query side is tried first: a batch of queries that fits is
-    broadcast and the item side (a large index) is streamed in place and
-    never counted.  Only when the queries do not fit is the item side tried;
-    if neither fits, the tiled plan is used.
+    Otherwise the queries are counted: a batch of queries that fits, with the
+    ``hits`` per query that a task holds, is broadcast and the item side (a
+    large index) is streamed in place and never counted.  Only when the
+    queries do not fit are the items counted; if neither fits, the tiled plan
+    is used.
     """
     if items_rows is not None and side_bytes(items_rows, dim) <= budget:
         return "broadcast_items", None
-    q_tbl = bounded_collect(queries, list(join_keys) + ["_qid", "_qv"], dim, budget)
-    if q_tbl is not None:
-        return "broadcast_queries", q_tbl
-    if items_rows is None:
-        i_tbl = bounded_collect(items, _item_keys(join_keys, per_keys)[0] + ["_id", "_v"], dim, budget)
-        if i_tbl is not None:
-            return "broadcast_items", i_tbl
+    if side_bytes(queries.count(), dim, hits) <= budget:
+        return "broadcast_queries", queries.select(*join_keys, "_qid", "_qv", *_labels(queries)).toArrow()
+    if items_rows is None and side_bytes(items.count(), dim) <= budget:
+        return "broadcast_items", items.select(*_item_keys(join_keys, per_keys)[0], "_id", "_v").toArrow()
     return "tiled", None
 
 
+def scan_filter(scan: DataFrame, key_cols, keys: list[np.ndarray]) -> DataFrame:
+    """Only rows of the groups that some query asks for (an IVF probe's lists).
+
+    At most ``SCAN_RANGES`` value ranges per key, cut at the widest gaps, reach
+    the Parquet scan as a plain predicate whatever the number of groups; a
+    semi-join with the broadcast groups (no more rows than the broadcast
+    queries) then keeps exactly those.
+    """
+    if not key_cols:
+        return scan
+    spark = scan.sparkSession
+    wanted = np.unique(np.stack(keys, axis=1), axis=0) if len(keys[0]) else np.zeros((0, len(keys)), np.int64)
+    if not len(wanted):
+        return scan.where(F.lit(False))
+    for pos, key in enumerate(key_cols):
+        values = np.unique(wanted[:, pos])
+        gaps = np.diff(values)
+        cuts = np.sort(np.argsort(-gaps, kind="stable")[:SCAN_RANGES - 1]) if len(gaps) else np.zeros(0, np.int64)
+        cuts = cuts[gaps[cuts] > 1]
+        near = F.lit(False)
+        for a, b in zip(np.r_[0, cuts + 1], np.r_[cuts, len(values) - 1]):
+            near = near | F.col(key).between(int(values[a]), int(values[b]))
+        scan = scan.where(near)
+    table = pa.table({k: pa.array(wanted[:, i]) for i, k in enumerate(key_cols)})
+    groups = spark.createDataFrame(table).select(*[F.col(k).cast(scan.schema[k].dataType) for k in key_cols])
+    return scan.join(F.broadcast(groups), list(key_cols), "left_semi")
+
+
 def rank_final(cands: DataFrame, k: int | None, per_keys, larger: bool) -> DataFrame:
     """Merge partial candidate lists: best k per (query, per_keys) by (distance, id).
 
@@ -303,12 +342,12 @@ def _broadcast_items(queries, items, dim, metric, k, radius, join_keys, per_keys
     if carry:
         qv_field = queries.schema["_qv"]
         schema = T.StructType(schema.fields + [T.StructField("_qv", qv_field.dataType, True)])
+    labels = _labels(queries)
+    schema = T.StructType(schema.fields + [queries.schema[c] for c in labels])
 
     def run(batches):
         prepared = None
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
+        for rb in _pieces(batches, radius):
             if prepared is None:
                 prepared = prepare_side(bc.value, join_idx, per_idx, metric)
             qmat = kernels.list_matrix(rb.column("_qv"), dim)
@@ -321,9 +360,16 @@ def _broadcast_items(queries, items, dim, metric, k, radius, join_keys, per_keys
             if carry:
                 out = pa.RecordBatch.from_arrays(out.columns + [rb.column("_qv").take(pa.array(qpos))],
                                                  names=out.schema.names + ["_qv"])
-            yield out
+            yield _labelled(out, rb.column(LABEL) if labels else None, qpos)
 
-    return queries.select(*join_keys, "_qid", "_qv").mapInArrow(run, schema)
+    return queries.select(*join_keys, "_qid", "_qv", *labels).mapInArrow(run, schema)
+
+
+def _pieces(batches, radius):
+    """Non-empty batches; in a radius search, where anything can hit, cut to ``RADIUS_BLOCK`` rows."""
+    for rb in batches:
+        for at in range(0, rb.num_rows, RADIUS_BLOCK if radius is not None else max(1, rb.num_rows)):
+            yield rb.slice(at, RADIUS_BLOCK) if radius is not None else rb
 
 
 def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger,
@@ -332,6 +378,7 @@ def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_ke
     side = _collect_side(queries, join_keys, "_qid", "_qv", dim, collected)
     bc = spark.sparkContext.broadcast(side)
     reduce_at = 1 << 20
+    schema = T.StructType(schema.fields + [queries.schema[c] for c in _labels(queries)])
 
     def run(batches):
         qs = bc.value
@@ -341,9 +388,7 @@ def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_ke
             groups[kv] = (rows, np.ascontiguousarray(qs["vecs"][rows]))
         acc = _Acc(len(per_keys))
         pending = 0
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
+        for rb in _pieces(batches, radius):
             vmat = kernels.list_matrix(rb.column("_v"), dim)
             ids = rb.column("_id").to_numpy(zero_copy_only=False).astype(np.int64)
             jcols = [rb.column(kk).to_numpy(zero_copy_only=False).astype(np.int64) for kk in join_keys]
@@ -356,28 +401,26 @@ def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_ke
                 irows = np.arange(rb.num_rows)[irows]
                 for pv, prow in kernels.group_rows([p[irows] for p in pcols]):
                     sel = irows[prow] if per_keys else irows
-                    qi, vi, d = kernels.search_block(qm, vmat[sel], ids[sel], metric, k=k, radius=radius)
-                    acc.add(qrows[qi], [np.full(len(qi), x, np.int64) for x in pv], ids[sel][vi], d)
-                    pending += len(qi)
+                    # a radius search also takes the queries in steps, so hits leave the task as they are found
+                    step = len(qm) if radius is None else max(1, reduce_at // len(sel))
+                    for at in range(0, len(qm), step):
+                        qi, vi, d = kernels.search_block(qm[at:at + step], vmat[sel], ids[sel], metric, k=k, radius=radius)
+                        acc.add(qrows[at + qi], [np.full(len(qi), x, np.int64) for x in pv], ids[sel][vi], d)
+                        pending += len(qi)
+                        if radius is not None and pending > reduce_at:
+                            qpos, per, hid, d = acc.arrays()
+                            yield _labelled(_batch(per, qs["ids"][qpos], hid, d, np.zeros(len(qpos), np.int32), per_keys,
+                                                   kinds), qs["labels"], qpos)
+                            acc = _Acc(len(per_keys))
+                            pending = 0
             if k is not None and pending > reduce_at:
                 acc.reduce(k, larger)
                 pending = 0
-            if radius is not None and pending > reduce_at:
-                qpos, per, hid, d = acc.arrays()
-                yield _batch(per, qs["ids"][qpos], hid, d, np.zeros(len(qpos), np.int32), per_keys, kinds)
-                acc = _Acc(len(per_keys))
-                pending = 0
         qpos, per, hid, d, ranks = acc.reduce(k, larger)
         if len(qpos):
-            yield _batch(per, qs["ids"][qpos], hid, d, ranks, per_keys, kinds)
-
-    scan = items
-    for pos, key in enumerate(join_keys):
-        # Only groups some query asks for (an IVF probe's lists): a static IN
-        # list reaches the Parquet scan as a partition or row-group filter.
-        wanted = np.unique(side["keys"][pos]) if len(side["ids"]) else np.zeros(0, np.int64)
-        if len(wanted) <= MAX_IN_LIST:
-            scan = scan.where(F.col(key).isin([int(x) for x in wanted]))
+            yield _labelled(_batch(per, qs["ids"][qpos], hid, d, ranks, per_keys, kinds), qs["labels"], qpos)
+
+    scan = scan_filter(items, join_keys, side["keys"])
     if item_transform is not None:
         scan = item_transform(scan)
     return scan.select(*_item_keys(join_keys, per_keys)[0], "_id", "_v").mapInArrow(run, schema)
@@ -385,8 +428,11 @@ def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_ke
 
 def _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger):
     spark = queries.sparkSession
-    per_tile = tile_rows(spark, dim)
+    per_tile = tile_rows(spark, dim) if radius is None else min(tile_rows(spark, dim), RADIUS_TILE_ROWS)
     items = items.select(*[F.col(c).alias(c) for c in items.columns])
+    # Written once: the queries (an IVF probe, say) are counted, split and joined, with one row identity throughout.
+    checkpoint_dir(spark)
+    queries = queries.checkpoint(eager=True)
     queries = queries.select(*[F.col(c).alias(c) for c in queries.columns])
     if join_keys:
         ic = items.groupBy(*join_keys).agg(F.count(F.lit(1)).alias("_ni"))
@@ -395,6 +441,11 @@ def _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, s
             *join_keys,
             F.ceil(F.col("_ni") / per_tile).cast("int").alias("_si"),
             F.ceil(F.col("_nq") / per_tile).cast("int").alias("_sq"))
+        # One row per asked group, no more than query rows; broadcast where its counted size allows, so that
+        # a hot group's rows are cut into tiles before their first shuffle.
+        splits = splits.checkpoint(eager=True)
+        if 40 * splits.count() <= broadcast_budget(spark):
+            splits = F.broadcast(splits)
         it = items.join(splits, join_keys)
         qt = queries.join(splits, join_keys)
     else:
@@ -438,7 +489,10 @@ def _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, s
     it = it.select(*[F.col(c).alias(c) for c in it.columns])
     qt = qt.select(*[F.col(c).alias(c) for c in qt.columns])
     g = join_keys + ["_ps", "_qs"]
-    return it.groupBy(*g).cogroup(qt.groupBy(*g)).applyInArrow(run, schema)
+    found = it.groupBy(*g).cogroup(qt.groupBy(*g)).applyInArrow(run, schema)
+    if _labels(queries):
+        found = found.join(queries.select("_qid", LABEL).distinct(), "_qid").select(*found.columns, LABEL)
+    return found
 
 
 class _TileStats(AccumulatorParam):

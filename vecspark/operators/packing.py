@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecspark.model import positive_int
+from vecspark.operators.ranking import with_positions
 
 
 DEFAULT_PAGE = 65536
@@ -54,7 +55,16 @@ def pack_vectors(df: DataFrame, *, by=(), id_col: str = "id", vector_col: str =
 
 def array_1d_extend(df: DataFrame, vector_col: str = "vector", *, order_col: str = "id", by=(),
                     page_size: int | None = DEFAULT_PAGE) -> DataFrame:
-    """Concatenate the vectors of each group in ``order_col`` order (V1)."""
+    """Concatenate the vectors of each group in ``order_col`` order (V1).
+
+    Any orderable column will do.  Pages of an integer column hold the ids of
+    one page range; another column's rows are numbered first (NULLs first,
+    ties by content) and the pages cut by that number.
+    """
+    by = list(by)
+    if df.schema[order_col].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        df = with_positions(df.select(*by, order_col, vector_col), [order_col], by, name="_ordinal")
+        order_col = "_ordinal"
     packed = pack_vectors(df, by=by, id_col=order_col, vector_col=vector_col, page_size=page_size)
     return packed.drop("ids")
 

@@ -50,19 +50,36 @@ def train_codebooks(train: DataFrame, centroids: DataFrame, *, m: int, dsub: int
     return cb.select("shard_id", "sub", F.col("list_id").alias("code"), "centroid")
 
 
+class _Tables:
+    """List centroids and codebooks as matrices with sorted keys, to be gathered for a whole batch at once."""
+
+    def __init__(self, centroids: pa.Table, codebooks: pa.Table, dim: int, m: int, dsub: int, ks: int):
+        shard, lst = (centroids.column(c).to_numpy().astype(np.int64) for c in ("shard_id", "list_id"))
+        key = (shard << 32) | lst
+        order = np.argsort(key)
+        self.list_keys = key[order]
+        self.lists = kernels.list_matrix(centroids.column("centroid"), dim)[order]
+        book_shard, sub, code = (codebooks.column(c).to_numpy().astype(np.int64) for c in ("shard_id", "sub", "code"))
+        self.shards, place = np.unique(book_shard, return_inverse=True)
+        self.books = np.zeros((len(self.shards), m, ks, dsub))
+        self.books[place, sub, code] = kernels.list_matrix(codebooks.column("centroid"), dsub)
+
+    def centroids_of(self, shard: np.ndarray, lst: np.ndarray) -> np.ndarray:
+        key = (shard.astype(np.int64) << 32) | lst.astype(np.int64)
+        place = np.minimum(np.searchsorted(self.list_keys, key), len(self.list_keys) - 1)
+        if not (self.list_keys[place] == key).all():
+            raise ValueError("a stored vector's list has no centroid")
+        return self.lists[place]
+
+    def books_of(self, shard: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.shards, shard)
+
+
 def _broadcast_tables(spark, centroids: DataFrame, codebooks: DataFrame, *, dim: int, m: int, dsub: int, ks: int):
     """Collect the (size-checked) list centroids and codebooks into NumPy and broadcast them."""
     ct = centroids.select("shard_id", "list_id", "centroid").toArrow()
     cbt = codebooks.select("shard_id", "sub", "code", "centroid").toArrow()
-    cmat = kernels.list_matrix(ct.column("centroid"), dim)
-    cents = {(int(s), int(lst)): cmat[i] for i, (s, lst) in enumerate(zip(
-        ct.column("shard_id").to_pylist(), ct.column("list_id").to_pylist()))}
-    books = {}
-    bmat = kernels.list_matrix(cbt.column("centroid"), dsub)
-    for i, (s, j, c) in enumerate(zip(cbt.column("shard_id").to_pylist(), cbt.column("sub").to_pylist(),
-                                      cbt.column("code").to_pylist())):
-        books.setdefault(int(s), np.zeros((m, ks, dsub)))[j, c] = bmat[i]
-    return spark.sparkContext.broadcast((cents, books))
+    return spark.sparkContext.broadcast(_Tables(ct, cbt, dim, m, dsub, ks))
 
 
 def encode(rows: DataFrame, centroids: DataFrame, codebooks: DataFrame, *, m: int, dsub: int, ks: int,
@@ -88,24 +105,26 @@ def encode(rows: DataFrame, centroids: DataFrame, codebooks: DataFrame, *, m: in
         code_ids = np.arange(ks, dtype=np.int64)
 
         def run(batches):
-            cts, bks = bc.value
+            tables = bc.value
             preps = {}
             for rb in batches:
                 n = rb.num_rows
+                if not n:
+                    continue
                 vecs = kernels.list_matrix(rb.column("_v"), dim)
                 shard = rb.column("shard_id").to_numpy(zero_copy_only=False)
                 lst = rb.column("list_id").to_numpy(zero_copy_only=False)
                 codes = np.zeros((n, m), np.int32)
-                for kv, rows_ in kernels.group_rows([shard, lst]):
-                    rows_ = np.arange(n)[rows_]
-                    res = vecs[rows_] - cts[kv]
-                    book = bks[kv[0]]
+                res = vecs - tables.centroids_of(shard, lst)
+                book_of = tables.books_of(shard)
+                for at in np.unique(book_of):  # one kernel call per shard and sub-space, whatever the number of lists
+                    rows_ = np.flatnonzero(book_of == at)
                     for j in range(m):
-                        key = (kv[0], j)
-                        if key not in preps:
-                            preps[key] = kernels.prepare_items(book[j], "l2")
-                        qi, vi, _ = kernels.search_block(res[:, j * dsub:(j + 1) * dsub], book[j], code_ids, "l2",
-                                                         k=1, prep=preps[key])
+                        book = tables.books[at, j]
+                        if (at, j) not in preps:
+                            preps[at, j] = kernels.prepare_items(book, "l2")
+                        qi, vi, _ = kernels.search_block(res[rows_, j * dsub:(j + 1) * dsub], book, code_ids, "l2",
+                                                         k=1, prep=preps[at, j])
                         codes[rows_[qi], j] = vi
                 arr = pa.FixedSizeListArray.from_arrays(pa.array(codes.reshape(-1), type=pa.int32()), m) \
                     .cast(pa.list_(pa.int32()))
@@ -141,18 +160,16 @@ def decode(postings: DataFrame, centroids: DataFrame, codebooks: DataFrame, *, d
         names = [f.name for f in fields]
 
         def run(batches):
-            cts, bks = bc.value
+            tables = bc.value
             for rb in batches:
                 n = rb.num_rows
-                codes = kernels.list_matrix(rb.column("code"), m).astype(np.int64) if n else np.zeros((0, m), np.int64)
+                if not n:
+                    continue
+                codes = kernels.list_matrix(rb.column("code"), m).astype(np.int64)
                 shard = rb.column("shard_id").to_numpy(zero_copy_only=False)
                 lst = rb.column("list_id").to_numpy(zero_copy_only=False)
-                rec = np.zeros((n, dim))
-                for kv, rows in kernels.group_rows([shard, lst]):
-                    rows = np.arange(n)[rows]
-                    book = bks[kv[0]]
-                    parts = book[np.arange(m)[None, :], codes[rows]]  # (r, m, dsub)
-                    rec[rows] = parts.reshape(len(rows), dim) + cts[kv]
+                parts = tables.books[tables.books_of(shard)[:, None], np.arange(m)[None, :], codes]  # (n, m, dsub)
+                rec = parts.reshape(n, dim) + tables.centroids_of(shard, lst)
                 arr = pa.FixedSizeListArray.from_arrays(pa.array(rec.reshape(-1)), dim).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([rb.column(c) for c in names] + [arr], names=names + ["_v"])
 

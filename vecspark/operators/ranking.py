@@ -1,15 +1,18 @@
 """Dense positions in a global order without a single-task window.
 
 ``row_number()`` over an unpartitioned window moves every row into one
-task.  Here the key columns are range-partitioned on the order keys,
-numbered inside each partition, and shifted by the row counts of the
-earlier partitions (a table with one row per partition and group).
-
-The tagging depends on range bounds sampled from the input, and an input
+task.  Here the rows are range-partitioned on the order keys, numbered in
+place inside each partition, and shifted by the row counts of the earlier
+partitions (a broadcast table with one row per partition and group).  Rows
+of equal or NULL keys are ordered by a hash of the whole row, which is also
+part of the range bounds, so a key shared by very many rows is split too;
+nothing is joined back on the keys, so no row is ever multiplied or lost.
+
+The numbering depends on range bounds sampled from the input, and an input
 that comes out of a shuffle can be sampled differently each time it is
-computed; so the tagged keys are written once (a reliable checkpoint in the
-shared checkpoint folder) and both the counts and the numbering read that
-copy.  Only the key columns are written.
+computed; so the numbered rows are written once (a reliable checkpoint in
+the shared checkpoint folder) and both the counts and the numbering read
+that copy.
 """
 
 from __future__ import annotations
@@ -22,19 +25,17 @@ from vecspark.session import checkpoint_dir
 _LOCAL_BITS = 33  # monotonically_increasing_id(): partition index << 33 | row in partition
 
 
-def positions(df: DataFrame, order_cols, group_cols=(), name: str = "_pos",
-              num_partitions: int | None = None) -> DataFrame:
-    """``group_cols + order_cols + [name]``: 0-based position in ``order_cols`` order within each group.
-
-    The order keys must be unique within a group (ids are).
-    """
+def with_positions(df: DataFrame, order_cols, group_cols=(), name: str = "_pos",
+                   num_partitions: int | None = None) -> DataFrame:
+    """``df`` with ``name``: the row's 0-based position in ``order_cols`` order within its group."""
     order_cols, group_cols = list(order_cols), list(group_cols)
-    keys = group_cols + order_cols
     spark = df.sparkSession
     if num_partitions is None:
         num_partitions = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
     checkpoint_dir(spark)
-    tagged = (df.select(*keys)
+    columns = df.columns
+    keys = [*group_cols, *order_cols, "_tie"]
+    tagged = (df.withColumn("_tie", F.xxhash64(*columns))
               .repartitionByRange(num_partitions, *keys)
               .sortWithinPartitions(*keys)
               .withColumn("_mid", F.monotonically_increasing_id())
@@ -44,14 +45,17 @@ def positions(df: DataFrame, order_cols, group_cols=(), name: str = "_pos",
     counts = tagged.groupBy("_part", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_first"))
     w = Window.partitionBy(*group_cols).orderBy("_part") if group_cols else Window.orderBy("_part")
-    offsets = counts.withColumn(
-        "_offset", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    joined = tagged.join(offsets.select("_part", *group_cols, "_offset", "_first"), ["_part", *group_cols])
-    return joined.select(*keys, (F.col("_offset") + F.col("_local") - F.col("_first")).alias(name))
+    offsets = counts.select(
+        F.col("_part").alias("_p"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group_cols)], "_first",
+        F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
+    same = F.col("_part") == F.col("_p")
+    for i, g in enumerate(group_cols):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    joined = tagged.join(F.broadcast(offsets), same)
+    return joined.select(*columns, (F.col("_offset") + F.col("_local") - F.col("_first")).alias(name))
 
 
-def with_positions(df: DataFrame, order_cols, group_cols=(), name: str = "_pos",
-                   num_partitions: int | None = None) -> DataFrame:
-    """``df`` with ``name`` added (joined back on the group and order keys)."""
-    pos = positions(df, order_cols, group_cols, name, num_partitions)
-    return df.join(pos, list(group_cols) + list(order_cols))
+def positions(df: DataFrame, order_cols, group_cols=(), name: str = "_pos",
+              num_partitions: int | None = None) -> DataFrame:
+    """``group_cols + order_cols + [name]`` of every row."""
+    return with_positions(df.select(*group_cols, *order_cols), order_cols, group_cols, name, num_partitions)

@@ -69,30 +69,75 @@ def reset_index(index: VectorIndex) -> VectorIndex:
                          tag_columns=(), extra=_changed(index, empty=True))
 
 
-def _shard_column(df: DataFrame, shard) -> tuple[DataFrame, bool]:
+_SHARD_TYPES = (T.ByteType, T.ShortType, T.IntegerType)
+
+
+def _shard_column(df: DataFrame, shard, index: VectorIndex | None = None) -> tuple[DataFrame, bool, DataFrame | None]:
+    """``df`` with ``shard_id``, whether it is sharded, and the key table of a coded shard key.
+
+    An INT (or narrower) key is the shard id itself and must not be NULL.
+    Any other key is coded: its distinct values, NULL among them, are
+    numbered in order (a table of one row per shard, written once); values
+    an index does not know yet are numbered on.
+    """
     if shard is None:
-        return df.withColumn("shard_id", F.lit(0)), False
+        if index is not None and index.sharded:
+            raise ValueError("the index is sharded: give the shard of the vectors")
+        return df.withColumn("shard_id", F.lit(0)), False, None
     expr = F.col(shard) if isinstance(shard, str) else shard
-    return df.withColumn("shard_id", expr.cast("int")), True
+    keyed = df.withColumn("_shard_key", expr)
+    if isinstance(keyed.schema["_shard_key"].dataType, _SHARD_TYPES):
+        checked = F.when(F.col("_shard_key").isNull(), F.raise_error(F.lit("an integer shard key must not be NULL")))
+        return keyed.withColumn("shard_id", checked.otherwise(F.col("_shard_key").cast("int"))).drop("_shard_key"), True, None
+    known = index.extra.get("shards") if index is not None else None
+    seen = keyed.select(F.col("_shard_key").alias("shard")).distinct()
+    first = 0
+    if known is not None:
+        k = known.select(F.col("shard").alias("_k"), F.col("shard_id").alias("_kid"))
+        seen = seen.join(F.broadcast(k), seen["shard"].eqNullSafe(F.col("_k")), "left_anti")
+        first = (known.agg(F.max("shard_id")).first()[0] or 0) + 1
+    numbered = with_positions(seen, ["shard"], name="_n").select(
+        (F.col("_n") + F.lit(first)).cast("int").alias("shard_id"), "shard")
+    table = numbered if known is None else known.unionByName(numbered)
+    t = table.select(F.col("shard").alias("_k"), "shard_id")
+    joined = keyed.join(F.broadcast(t), F.col("_shard_key").eqNullSafe(F.col("_k")), "left").drop("_shard_key", "_k")
+    return joined, True, table
+
+
+def shard_labels(index: VectorIndex) -> DataFrame | None:
+    """``shard_id, shard`` of an index whose shard key is coded, else None (the key is the id)."""
+    return index.extra.get("shards")
 
 
 def _vectors(df: DataFrame, index: VectorIndex, id_col, vector_col, shard, order_col=None,
-             first_id: int = 0, tags=()) -> tuple[DataFrame, bool]:
-    """(shard_id, id, vector, tags...) with validated vectors and ids."""
-    df, sharded = _shard_column(df, shard)
+             numbered_from: DataFrame | None = None, tags=(), finite: bool = False):
+    """(shard_id, id, vector, tags...) with validated vectors and ids, whether sharded, and the shard key table.
+
+    Without ids, each shard's vectors are numbered in ``order_col`` order, from
+    0 or on from the shard's count in ``numbered_from`` (shard_id, n).
+    """
+    df, sharded, table = _shard_column(df, shard, index)
     vec = checked_vector(vector_col, index.dim)
     if id_col is None:
         if order_col is None:
             raise ValueError("vectors without ids need an order column: ids are assigned 0, 1, 2, ... in that order")
-        pos = with_positions(df.select("shard_id", F.col(order_col).alias("_ord"), F.col(vector_col).alias("_vin"),
-                                       *tags), ["_ord"])
-        out = pos.select("shard_id", (F.col("_pos") + F.lit(first_id)).alias("id"),
+        out = with_positions(df.select("shard_id", F.col(order_col).alias("_ord"), F.col(vector_col).alias("_vin"),
+                                       *tags), ["_ord"], ["shard_id"])
+        start = F.lit(0).cast("long")
+        if numbered_from is not None:
+            out = out.join(F.broadcast(numbered_from), "shard_id", "left")
+            start = F.coalesce("n", F.lit(0).cast("long"))
+        out = out.select("shard_id", (F.col("_pos") + start).alias("id"),
                          checked_vector("_vin", index.dim).alias("vector"), *tags)
     else:
         ident = F.col(id_col)
         out = df.select("shard_id", F.when(ident.isNull(), F.raise_error(F.lit("vector ids must not be NULL")))
                         .otherwise(ident.cast("long")).alias("id"), vec.alias("vector"), *tags)
-    return out, sharded
+    if finite:
+        bad = F.exists("vector", lambda x: F.isnan(x) | (F.abs(x) == float("inf")))
+        out = out.withColumn("vector", F.when(bad, F.raise_error(F.lit(
+            "a vector with NaN or infinite components cannot be assigned to a list"))).otherwise(F.col("vector")))
+    return out, sharded, table
 
 
 def _shard_count(df: DataFrame) -> int:
@@ -100,15 +145,13 @@ def _shard_count(df: DataFrame) -> int:
 
 
 def train_index(index: VectorIndex, df: DataFrame, *, vector_col: str = "vector", id_col: str = "id",
-                shard=None, train_fraction: float | None = None) -> VectorIndex:
+                order_col: str | None = None, shard=None) -> VectorIndex:
     """Learn the lists (and PQ codebooks) from training vectors (V5).
 
-    ``id_col`` fixes the order used to pick the initial centroids; it must be
-    unique per shard.  ``train_fraction`` trains on a deterministic share of
-    the rows (chosen by a hash of the id, so the same rows every run), the
-    usual way to bound k-means cost on very large tables; by default every
-    row is used.  Adding vectors always uses every row.  A flat index needs
-    no training: warning, unchanged.
+    Every row of ``df`` is used; to train on fewer vectors than are added,
+    pass that table.  ``id_col`` (or, without ids, ``order_col``) fixes the
+    order used to pick the initial centroids.  NaN and infinite components
+    are errors.  A flat index needs no training: warning, unchanged.
     """
     spec = index.spec
     if not spec.needs_training:
@@ -117,12 +160,7 @@ def train_index(index: VectorIndex, df: DataFrame, *, vector_col: str = "vector"
     if index.trained:
         warn("index is already trained; unchanged")
         return index
-    rows, sharded = _vectors(df, index, id_col, vector_col, shard)
-    if train_fraction is not None:
-        if not 0.0 < train_fraction <= 1.0:
-            raise ValueError("train_fraction must be in (0, 1]")
-        buckets = 1 << 20
-        rows = rows.where(F.pmod(F.xxhash64("id"), F.lit(buckets)) < F.lit(int(train_fraction * buckets)))
+    rows, sharded, table = _vectors(df, index, id_col, vector_col, shard, order_col, finite=True)
     train = rows.select("shard_id", F.col("id").alias("_id"), F.col("vector").alias("_v"))
     groups = _shard_count(train) if sharded else 1
     cents = km.kmeans(train, dim=spec.dim, nlist=spec.nlist, iterations=spec.iterations, metric=spec.metric,
@@ -134,12 +172,15 @@ def train_index(index: VectorIndex, df: DataFrame, *, vector_col: str = "vector"
         books = pq.train_codebooks(assigned, cents, m=spec.m, dsub=spec.dsub, ks=spec.ks,
                                    iterations=spec.iterations, groups=groups)
     return index.replace(centroids=cents, codebooks=books, trained=True, sharded=index.sharded or sharded,
-                         extra=_changed(index, groups=groups))
+                         extra=_changed(index, groups=groups, **({} if table is None else {"shards": table})))
 
 
 def add_vectors(index: VectorIndex, df: DataFrame, *, vector_col: str = "vector", id_col: str | None = "id",
                 order_col: str | None = None, shard=None, tag_columns=()) -> VectorIndex:
-    """Append vectors (V6) with their ids, or ids ``n, n+1, ...`` in ``order_col`` order when ``id_col`` is None.
+    """Append vectors (V6) with their ids, or, when ``id_col`` is None, numbered in ``order_col`` order.
+
+    Numbers go on from each shard's own count, as every shard is an index of
+    its own.  Rows of equal or NULL order keys are all kept, each with its number.
 
     Tag columns are stored next to the vectors for filtered search.
     """
@@ -148,8 +189,10 @@ def add_vectors(index: VectorIndex, df: DataFrame, *, vector_col: str = "vector"
         raise ValueError("index must be trained before vectors are added")
     tags = tuple(tag_columns)
     empty = index.extra.get("empty", False)
-    first = 0 if (id_col is not None or empty) else index.postings.count()
-    rows, sharded = _vectors(df, index, id_col, vector_col, shard, order_col, first, tags)
+    counts = None if (id_col is not None or empty) else index.postings.groupBy("shard_id").agg(
+        F.count(F.lit(1)).alias("n"))
+    rows, sharded, table = _vectors(df, index, id_col, vector_col, shard, order_col, counts, tags,
+                                    finite=spec.kind != "flat")
     if spec.kind == "flat":
         new = rows.withColumn("list_id", F.lit(0))
     else:
@@ -170,38 +213,60 @@ def add_vectors(index: VectorIndex, df: DataFrame, *, vector_col: str = "vector"
     old = index.postings
     postings = new if empty else old.unionByName(new, allowMissingColumns=True)
     return index.replace(postings=postings, tag_columns=tuple(dict.fromkeys(index.tag_columns + tags)),
-                         sharded=index.sharded or sharded, extra=_changed(index, empty=False))
+                         sharded=index.sharded or sharded,
+                         extra=_changed(index, empty=False, **({} if table is None else {"shards": table})))
 
 
 def build_index(df: DataFrame, dim: int, kind: str = "flat", metric="l2", *, nlist: int = 1,
                 m: int | None = None, ks: int = 256, iterations: int = 10, refine: bool = False,
-                vector_col: str = "vector", id_col: str = "id", shard=None, tag_columns=(),
-                train_fraction: float | None = None, **options) -> VectorIndex:
-    """create + set options + train + add in one call (V9); ``shard`` builds one index per shard (V10)."""
+                vector_col: str = "vector", id_col: str | None = "id", order_col: str | None = None, shard=None,
+                tag_columns=(), **options) -> VectorIndex:
+    """create + set options + train + add in one call (V9); ``shard`` builds one index per shard (V10).
+
+    Without ids (``id_col=None``) vectors are numbered per shard in ``order_col`` order.
+    """
     idx = create_index(df.sparkSession, dim, kind, metric, nlist=nlist, m=m, ks=ks, iterations=iterations,
                        refine=refine)
     if options:
         idx = set_options(idx, **options)
     if idx.spec.needs_training:
-        idx = train_index(idx, df, vector_col=vector_col, id_col=id_col, shard=shard,
-                          train_fraction=train_fraction)
-    return add_vectors(idx, df, vector_col=vector_col, id_col=id_col, shard=shard, tag_columns=tag_columns)
+        idx = train_index(idx, df, vector_col=vector_col, id_col=id_col, order_col=order_col, shard=shard)
+    return add_vectors(idx, df, vector_col=vector_col, id_col=id_col, order_col=order_col, shard=shard,
+                       tag_columns=tag_columns)
+
+
+def _content(df: DataFrame, shard_col, columns) -> DataFrame:
+    """``shard_id, part``: row count and two independent order-free sums of row hashes, as text.
+
+    Sums, unlike exclusive-or, keep repeated rows apart; DECIMAL(38) cannot
+    overflow below 10**18 rows.
+    """
+    def total(seed):
+        return F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)")).cast("string")
+
+    return df.groupBy(shard_col.alias("shard_id")).agg(F.concat_ws(
+        "|", F.count(F.lit(1)).cast("string"), total(1), total(2)).alias("part"))
 
 
 def _compute_keys(index: VectorIndex) -> DataFrame:
     spec = index.spec
-    payload = payload_columns(spec)[0]
-    desc = json.dumps({"spec": spec.__dict__, "options": index.options.as_map()}, sort_keys=True)
-    stats = index.postings.groupBy("shard_id").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.bit_xor(F.xxhash64("list_id", "id", payload)).alias("_h"))
-    return stats.select("shard_id", F.md5(F.concat_ws("|", F.lit(desc), F.col("shard_id").cast("string"),
-                                                      F.col("_n").cast("string"),
-                                                      F.col("_h").cast("string"))).alias("index_key"))
+    desc = json.dumps({"spec": spec.__dict__, "options": index.options.as_map(), "tags": list(index.tag_columns)},
+                      sort_keys=True)
+    shard = F.col("shard_id")
+    keys = _content(index.postings, shard, ["list_id", "id", *payload_columns(spec), *index.tag_columns])
+    keys = keys.withColumnRenamed("part", "_p0")
+    parts = ["_p0"]
+    for name, df, columns in (("_p1", index.centroids, ["list_id", "centroid"]),
+                              ("_p2", index.codebooks, ["sub", "code", "centroid"])):
+        if df is not None:
+            keys = keys.join(_content(df, shard, columns).withColumnRenamed("part", name), "shard_id", "left")
+            parts.append(name)
+    return keys.select("shard_id", F.md5(F.concat_ws("#", F.lit(desc), shard.cast("string"), *[
+        F.coalesce(F.col(p), F.lit("-")) for p in parts])).alias("index_key"))
 
 
 def index_keys(index: VectorIndex) -> DataFrame:
-    """(shard_id, index_key): md5 over spec, options, row count and an order-free hash of the postings (V17).
+    """(shard_id, index_key): md5 over spec, options and the contents of postings, tags, centroids and codebooks (V17).
 
     Uses the keys stored by ``with_keys`` / ``load_index`` when present;
     otherwise this is one aggregate pass over the postings.
@@ -223,12 +288,18 @@ def shards_of_key(index: VectorIndex, key: str) -> list[int]:
             .select("shard_id").collect()]
 
 
+SAVE_TASK_BYTES = 256 << 20
+
+
 def save_index(index: VectorIndex, path: str, mode: str = "error") -> None:
     spec = index.spec
     # Range partitioning on (shard, list, id) keeps tasks balanced even when one
     # shard or list holds a large share of the rows, and leaves every file
-    # sorted by list, so list filters skip row groups.
-    n = max(1, int(index.spark.conf.get("spark.sql.shuffle.partitions", "8")))
+    # sorted by list, so list filters skip row groups.  The number of tasks
+    # follows the counted size.
+    row_bytes = 32 + (4 * spec.dim if "vector" in payload_columns(spec) else 0) + (spec.m or 0)
+    n = max(1, int(index.spark.conf.get("spark.sql.shuffle.partitions", "8")),
+            -(-index.postings.count() * row_bytes // SAVE_TASK_BYTES))
     (index.postings.repartitionByRange(n, "shard_id", "list_id", "id")
      .sortWithinPartitions("shard_id", "list_id", "id")
      .write.mode(mode).partitionBy("shard_id").parquet(os.path.join(path, "postings")))
@@ -238,14 +309,25 @@ def save_index(index: VectorIndex, path: str, mode: str = "error") -> None:
         index.codebooks.write.mode(mode).parquet(os.path.join(path, "codebooks"))
     meta = {"spec": spec.__dict__, "options": {"nprobe": index.options.nprobe, "rerank": index.options.rerank},
             "tags": list(index.tag_columns), "sharded": index.sharded, "trained": index.trained,
-            "groups": index.extra.get("groups", 1)}
+            "groups": index.extra.get("groups", 1), "coded_shards": "shards" in index.extra}
     index.spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(mode).json(
         os.path.join(path, "meta"))
-    index_keys(index).write.mode(mode).parquet(os.path.join(path, "keys"))
+    if "shards" in index.extra:
+        index.extra["shards"].write.mode(mode).parquet(os.path.join(path, "shards"))
+    # Keys are those of the tables as written, read back rather than computed again from their lineage.
+    keys = index.extra.get("keys")
+    if keys is None:
+        keys = _compute_keys(_tables(index.spark, path, meta))
+    keys.write.mode(mode).parquet(os.path.join(path, "keys"))
 
 
 def load_index(spark: SparkSession, path: str) -> VectorIndex:
     meta = json.loads(spark.read.json(os.path.join(path, "meta")).first()["meta"])
+    index = _tables(spark, path, meta)
+    return index.replace(extra={**index.extra, "keys": spark.read.parquet(os.path.join(path, "keys"))})
+
+
+def _tables(spark: SparkSession, path: str, meta: dict) -> VectorIndex:
     spec = IndexSpec(**meta["spec"])
     postings = spark.read.parquet(os.path.join(path, "postings"))
     postings = postings.select(F.col("shard_id").cast("int"), "list_id", "id", *payload_columns(spec),
@@ -255,10 +337,11 @@ def load_index(spark: SparkSession, path: str) -> VectorIndex:
     books = spark.read.schema(CODEBOOKS_SCHEMA).parquet(os.path.join(path, "codebooks")) \
         if spec.kind == "ivf_pq" else None
     opts = SearchOptions(**{k: v for k, v in meta["options"].items() if v is not None})
+    extra = {"groups": meta["groups"], "empty": False}
+    if meta.get("coded_shards"):
+        extra["shards"] = spark.read.parquet(os.path.join(path, "shards"))
     return VectorIndex(spark=spark, spec=spec, options=opts, postings=postings, centroids=cents, codebooks=books,
-                       tag_columns=tuple(meta["tags"]), sharded=meta["sharded"], trained=meta["trained"],
-                       extra={"groups": meta["groups"], "empty": False,
-                              "keys": spark.read.parquet(os.path.join(path, "keys"))})
+                       tag_columns=tuple(meta["tags"]), sharded=meta["sharded"], trained=meta["trained"], extra=extra)
 
 
 def count_vectors(index: VectorIndex) -> int:

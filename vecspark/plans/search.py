@@ -34,33 +34,37 @@ from vecspark.session import checkpoint_dir
 
 
 def prepare_queries(queries: DataFrame, dim: int, id_col: str | None = "id",
-                    vector_col: str = "vector") -> DataFrame:
-    """(_qid, _qv, query_idx, query_vector): validated queries with a row identity.
-
-    Query ids must be unique: each id gets one result list (a repeated id
-    would get one list per row).
-
-    Without ids, ``_qid`` is ``monotonically_increasing_id()``, checkpointed so
-    it stays fixed, and ``query_idx`` is NULL, as in the reference.
+                    vector_col: str = "vector", stable: bool = True) -> DataFrame:
+    """(_qid, _qv, _qlab, query_vector): validated queries with a row identity.
+
+    Each query row gets its own result list; its id is only a label
+    (``_qlab``), so ids may repeat.  Without ids the label is NULL, as in the
+    reference.  ``_qid`` is ``monotonically_increasing_id()``; with ``stable``
+    the rows are written once, so it stays fixed over several uses (the plans
+    that use the queries once do not need that).
     """
     if id_col is None:
-        qid = F.monotonically_increasing_id()
-        qidx = F.lit(None).cast(T.LongType())
+        label = F.lit(None).cast(T.LongType())
     else:
         c = F.col(id_col).cast("long")
-        qid = F.when(c.isNull(), F.raise_error(F.lit("query ids must not be NULL"))).otherwise(c)
-        qidx = c
-    out = queries.select(qid.alias("_qid"), checked_vector(vector_col, dim, "query vector").alias("_qv"),
-                         qidx.alias("query_idx"), F.col(vector_col).cast(T.ArrayType(T.FloatType()))
-                         .alias("query_vector"))
-    if id_col is None:
-        # The surrogate id must not change between the uses of the queries
-        # (search, and the join back in array form): write it once.
+        label = F.when(c.isNull(), F.raise_error(F.lit("query ids must not be NULL"))).otherwise(c)
+    out = queries.select(F.monotonically_increasing_id().alias("_qid"),
+                         checked_vector(vector_col, dim, "query vector").alias("_qv"), label.alias("_qlab"),
+                         F.col(vector_col).cast(T.ArrayType(T.FloatType())).alias("query_vector"))
+    if stable:
         checkpoint_dir(queries.sparkSession)
         out = out.checkpoint(eager=True)
     return out
 
 
+def _used_twice(index: VectorIndex) -> bool:
+    """Whether a long-form search joins back to the queries (re-ranking, or a probe beyond the broadcast budget)."""
+    spec = index.spec
+    rows = index.extra.get("groups", 1) * spec.nlist
+    return index.options.rerank is not None or (
+        spec.kind != "flat" and nn.side_bytes(rows, spec.dim) > nn.broadcast_budget(index.spark))
+
+
 def _keyed(df: DataFrame, shards: list[int] | None) -> DataFrame:
     """Restrict to the shards a key names; a literal list reaches the scan as a partition filter."""
     return df if shards is None else df.where(F.col("shard_id").isin(shards))
@@ -83,24 +87,24 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
         post = post.where(where)
     shards = None if index_key is None else shards_of_key(index, index_key)
     post = _keyed(post, shards)
-    qs = q.select("_qid", "_qv")
+    qs = q.select("_qid", "_qv", "_qlab")
+    groups = index.extra.get("groups", 1)
     if spec.kind == "flat":
         items = post.select("shard_id", F.col("id").alias("_id"), F.col("vector").alias("_v"))
         return nn.nearest(qs, items, dim=spec.dim, metric=spec.metric, k=k, radius=radius,
-                          per_keys=per_keys, strategy=strategy, final=final)
+                          per_keys=per_keys, strategy=strategy, final=final, shards=groups)
     if not index.trained or index.centroids is None:
         raise ValueError(f"an index of kind {spec.kind!r} must be trained before it is searched")
-    nprobe = positive_int("nprobe", nprobe or index.options.nprobe)
-    groups = index.extra.get("groups", 1)
+    nprobe = positive_int("nprobe", index.options.nprobe if nprobe is None else nprobe)
     cents = _keyed(index.centroids, shards)
     probe = nn.nearest(qs, cents.select("shard_id", F.col("list_id").cast("long").alias("_id"),
                                         F.col("centroid").alias("_v")),
                        dim=spec.dim, metric=spec.metric, k=min(nprobe, spec.nlist), per_keys=["shard_id"],
                        items_rows=groups * spec.nlist, carry_query_vector=True)
-    qp = probe.select("shard_id", F.col("_id").cast("int").alias("list_id"), "_qid",
+    qp = probe.select("shard_id", F.col("_id").cast("int").alias("list_id"), "_qid", "_qlab",
                       *(["_qv"] if "_qv" in probe.columns else []))
     if "_qv" not in qp.columns:  # centroids beyond the broadcast budget: attach vectors by id
-        qp = qp.join(qs, "_qid")
+        qp = qp.join(qs.select("_qid", "_qv"), "_qid")
     decode = None
     if spec.kind == "ivf_pq":
         items = post.select("shard_id", "list_id", F.col("id").alias("_id"), "code")
@@ -110,44 +114,58 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
                              ks=spec.ks, rows_hint=groups * (spec.nlist + spec.m * spec.ks))
 
         rerank = index.options.rerank
-        if rerank is not None and k is not None:
+        if rerank is not None:
             if not spec.refine:
                 raise ValueError("rerank needs an ivf_pq index built with refine=True (raw vectors kept)")
-            return _reranked(qp, qs, items, decode, post, spec, k, max(rerank, k), per_keys, strategy)
+            if k is None:
+                raise ValueError("rerank does not apply to radius search on an ivf_pq index; unset the option "
+                                 "(hits are judged by the reconstructions)")
+            return _reranked(qp, qs, items, decode, post, spec, k, max(rerank, k), per_keys, strategy, groups)
     else:
         items = post.select("shard_id", "list_id", F.col("id").alias("_id"), F.col("vector").alias("_v"))
     return nn.nearest(qp, items, dim=spec.dim, metric=spec.metric, k=k, radius=radius,
                       join_keys=["shard_id", "list_id"], per_keys=per_keys, queries_unique=False,
-                      strategy=strategy, final=final, item_transform=decode)
+                      strategy=strategy, final=final, item_transform=decode, shards=groups)
 
 
-def _reranked(qp, qs, items, decode, post, spec, k, rerank, per_keys, strategy) -> DataFrame:
+def _reranked(qp, qs, items, decode, post, spec, k, rerank, per_keys, strategy, groups) -> DataFrame:
     """PQ top-``rerank`` per (query, shard), re-scored with the raw vectors, then the top k.
 
-    The candidates meet the raw vectors by an equi-join on
-    ``(shard_id, list_id, id)``; the raw side is cut to the probed lists
-    first.
+    Candidates (at most ``rerank`` per query and shard) are stored once and
+    counted.  Where they fit the broadcast budget, the raw vectors of their
+    value ranges are scanned in place and meet them in a broadcast join; else
+    both sides are joined on the stored vector's id, which no hot list can
+    skew.  A stored id that repeats is one candidate, scored by each of its
+    rows; the nearest counts.
     """
     approx = nn.nearest(qp, items, dim=spec.dim, metric=spec.metric, k=rerank, join_keys=["shard_id", "list_id"],
-                        per_keys=["shard_id"], queries_unique=False, strategy=strategy, item_transform=decode)
-    probed = qp.select("shard_id", "list_id").distinct()
-    raw = (post.join(probed, ["shard_id", "list_id"], "left_semi")
-           .select("shard_id", F.col("id").alias("_id"), F.col("vector").alias("_raw")))
-    exact = (approx.select("shard_id", "_qid", "_id").join(raw, ["shard_id", "_id"]).join(qs, "_qid")
-             .select("shard_id", "_qid", "_id", distance("_qv", "_raw", spec.metric).alias("_d")))
+                        per_keys=["shard_id"], queries_unique=False, strategy=strategy, item_transform=decode, shards=groups)
+    cands = approx.select("shard_id", "_qid", "_qlab", "_id").distinct()
+    checkpoint_dir(cands.sparkSession)
+    cands = cands.checkpoint(eager=True)
+    raw = post.select("shard_id", F.col("id").alias("_id"), F.col("vector").alias("_raw"))
+    near = cands.join(qs.select("_qid", "_qv"), "_qid")
+    if nn.side_bytes(cands.count(), spec.dim) <= nn.broadcast_budget(cands.sparkSession):
+        ids = cands.agg(F.min("shard_id"), F.max("shard_id"), F.min("_id"), F.max("_id")).first()
+        if ids[0] is not None:
+            raw = raw.where(F.col("shard_id").between(ids[0], ids[1]) & F.col("_id").between(ids[2], ids[3]))
+        near = F.broadcast(near)
+    exact = (raw.join(near, ["shard_id", "_id"])
+             .select("shard_id", "_qid", "_qlab", "_id", distance("_qv", "_raw", spec.metric).alias("_d"))
+             .groupBy("shard_id", "_qid", "_qlab", "_id")
+             .agg((F.max("_d") if spec.metric == "ip" else F.min("_d")).alias("_d")))
     return nn.rank_final(exact, k, per_keys, spec.metric == "ip")
 
 
-def _long(hits: DataFrame, scope: str, with_ids: bool, ranked: bool = True) -> DataFrame:
-    """Long form; with query ids, ``_qid`` is the id itself, so no join back to the queries.
+def _long(hits: DataFrame, scope: str, ranked: bool = True) -> DataFrame:
+    """Long form; the query's label comes with its hits, so no join back to the queries.
 
     Radius results carry no ranking: ranking all hits of one query would put
     them in one task, and the hit count of a query is not bounded.
     """
     shard = ["shard_id"] if scope == "shard" else []
-    qidx = F.col("_qid") if with_ids else F.lit(None).cast(T.LongType())
     rank = [F.col("_rank").cast("long").alias("ranking")] if ranked else []
-    return hits.select(qidx.alias("query_idx"), *shard, F.col("_id").alias("vector_idx"),
+    return hits.select(F.col("_qlab").alias("query_idx"), *shard, F.col("_id").alias("vector_idx"),
                        F.col("_d").alias("distance"), *rank)
 
 
@@ -156,10 +174,10 @@ def knn(index: VectorIndex, queries: DataFrame, k: int, *, id_col: str | None =
         index_key: str | None = None, nprobe: int | None = None, strategy: str = "auto") -> DataFrame:
     """The k nearest stored vectors of each query, long form (V11-V13, V18, V20, V21)."""
     k = positive_int("k", k)
-    q = prepare_queries(queries, index.dim, id_col, vector_col)
+    q = prepare_queries(queries, index.dim, id_col, vector_col, stable=_used_twice(index))
     hits = candidates(index, q, k=k, scope=scope, where=where, index_key=index_key, nprobe=nprobe,
                       strategy=strategy)
-    return _long(hits, scope, id_col is not None)
+    return _long(hits, scope)
 
 
 def range_search(index: VectorIndex, queries: DataFrame, radius: float, *, id_col: str | None = "id",
@@ -168,10 +186,10 @@ def range_search(index: VectorIndex, queries: DataFrame, radius: float, *, id_co
     """Every stored vector nearer than ``radius`` (``>`` radius for inner product), long form (V15, V16)."""
     if radius is None:
         raise ValueError("radius is required")
-    q = prepare_queries(queries, index.dim, id_col, vector_col)
+    q = prepare_queries(queries, index.dim, id_col, vector_col, stable=_used_twice(index))
     hits = candidates(index, q, radius=float(radius), scope=scope, where=where, index_key=index_key,
                       nprobe=nprobe, strategy=strategy, final=False)
-    return _long(hits, scope, id_col is not None, ranked=False)
+    return _long(hits, scope, ranked=False)
 
 
 def to_array_form(hits: DataFrame, q: DataFrame, *, preserve_vector: bool | None = True,
@@ -191,7 +209,7 @@ def to_array_form(hits: DataFrame, q: DataFrame, *, preserve_vector: bool | None
     keep = bool(preserve_vector)
     return out.select(
         (F.col("query_vector") if keep else F.lit(None).cast(T.ArrayType(T.FloatType()))).alias("query_vector"),
-        "query_idx",
+        F.col("_qlab").alias("query_idx"),
         F.coalesce(F.transform("_h", lambda x: x["_id"]), F.array().cast(T.ArrayType(T.LongType())))
         .alias("vector_idxs"),
         F.coalesce(F.transform("_h", lambda x: x["_d"].cast("float")), F.array().cast(T.ArrayType(T.FloatType())))
