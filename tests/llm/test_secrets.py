@@ -1,0 +1,79 @@
+import hashlib
+import random
+import re
+from collections import Counter
+from math import log2
+
+from llm.helpers import ODD, frame
+from vecspark.llm import secrets as S
+
+
+def brute(text):
+    text = text or ""
+    found = []
+    for m in re.finditer(r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
+        if len(m[2]) >= 6:
+            found.append((m.start(), 0, m.end(), "assign"))
+    found += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    for rank, (kind, (members, required, _, fold, bits)) in enumerate(S.ENTROPY_KINDS.items(), 3):
+        for m in re.finditer(f"[{members}]{{{S.WINDOW},}}", text):
+            value = m[0]
+            if not all(re.search(f"[{x}]", value) for x in required) or re.search("(?i)" + "|".join(S.ALLOWED), value):
+                continue
+            best = 0
+            for i in range(len(value) - S.WINDOW + 1):
+                counts = Counter((value.lower() if fold else value)[i:i + S.WINDOW]).values()
+                best = max(best, -sum(c / S.WINDOW * log2(c / S.WINDOW) for c in counts))
+            if best >= bits - 1e-9:
+                found.append((m.start(), rank, m.end(), kind))
+    found.sort()
+    base = ",".join(f"{k}:{a}:{b}" for a, r, b, k in found if r < 3)
+    n = Counter(k for *_, k in found)
+    return (n["assign"], n["access"], n["hex"], hashlib.sha256(base.encode()).hexdigest(),
+            ",".join(f"{k}:{a}:{b}" for a, _, b, k in found))
+
+
+def texts():
+    rng = random.Random(3)
+    out = list(ODD)
+    parts = ["token = ", "password:", "API_KEY=\"", "apikey='", "AKIA", "deadbeef", "ABCDEFGH", " ", "é", "\n", "secret=secret=abc",
+             "token: token: abcdefgh", "EXAMPLE", "0123456789abcdef01234567"]
+    for _ in range(200):
+        out.append("".join(rng.choice(parts) + "".join(rng.choices("abcdef0123456789ABCXYZ+/_-=. ", k=rng.randint(0, 40)))
+                           for _ in range(rng.randint(1, 8))))
+    out.append(" ".join(f"token={i:08d}" for i in range(700)))  # many spans in one text
+    return out
+
+
+def test_spans_equal_brute_force(spark):
+    rows = texts()
+    got = {r["doc_id"]: tuple(r)[1:] for r in S.scan(frame(spark, rows)).collect()}
+    assert got == {i: brute(t) for i, t in enumerate(rows)}
+    assert any("entropy" in v[4] for v in got.values())
+
+
+def test_redact_replaces_exactly_the_spans(spark):
+    rows = texts()
+    docs = frame(spark, rows)
+    got = {r["doc_id"]: r for r in S.redact(docs).collect()}
+    for i, t in enumerate(rows):
+        spans = sorted((int(a), int(b)) for a, b in (x.split(":")[1:] for x in brute(t)[4].split(",") if x))
+        merged = []
+        for a, b in spans:
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(b, merged[-1][1])
+            else:
+                merged.append([a, b])
+        want = t
+        for a, b in reversed(merged):
+            want = want[:a] + S.PLACEHOLDER + want[b:]
+        assert got[i]["text"] == want
+        assert got[i]["n_chars"] == (None if t is None else len(want))
+    assert S.redact(docs).columns == docs.columns
+
+
+def test_empty_table_and_plan_without_python(spark):
+    assert S.scan(frame(spark, ["x"]).limit(0)).count() == 0
+    plan = S.scan(frame(spark, ["x"]))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan

@@ -100,9 +100,14 @@ def features(nodes: list[Node], told: list[list[bool]]) -> np.ndarray:
         runs[p] += runs[i]
     own_roles = np.array(told, dtype=np.float64)
     above = own_roles.copy()
+    # role of the nearest element that tells one: 1 content, -1 another, 0 none; and whether any tells another
+    nearest = np.where(own_roles[:, :CONTENT].any(1), -1.0, own_roles[:, CONTENT])
     parent = np.array([x.parent for x in nodes])
     for i in range(1, n):
         above[i] = np.maximum(above[i], above[parent[i]])
+        if nearest[i] == 0:
+            nearest[i] = nearest[parent[i]]
+    told_above = np.stack((nearest, above[:, :CONTENT].max(1)), 1)
     p0 = np.maximum(parent, 0)
     siblings = np.array([len(nodes[p].children) for p in p0], dtype=np.float64)
     place = np.zeros(n)
@@ -116,7 +121,7 @@ def features(nodes: list[Node], told: list[list[bool]]) -> np.ndarray:
         place / np.maximum(siblings - 1, 1), np.log1p(place), np.log1p((chars[p0] - chars) / np.maximum(siblings - 1, 1)),
     ], 1)
     names = np.array([[x.tag == t for t in _TAGS] for x in nodes], dtype=np.float64)
-    return np.concatenate((numbers, names, own_roles, above), 1)
+    return np.concatenate((numbers, names, told_above, own_roles, above), 1)
 
 
 def decode(nodes: list[Node], margin: np.ndarray) -> np.ndarray:
