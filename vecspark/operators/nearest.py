@@ -214,7 +214,7 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
             k: int | None = None, radius: float | None = None,
             join_keys=(), per_keys=(), strategy: str = "auto",
             items_rows: int | None = None, queries_unique: bool = True, final: bool = True,
-            carry_query_vector: bool = False, item_transform=None, shards: int = 1) -> DataFrame:
+            carry_query_vector: bool = False, item_transform=None, item_decoder=None, shards: int = 1) -> DataFrame:
     """Best partners of each query row among the items (see module doc).
 
     ``queries_unique`` says each ``_qid`` occurs in one query row; then the
@@ -224,9 +224,10 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
     hit's query vector into a ``_qv`` column (an IVF probe feeds it straight
     to the list search, with no join back to the queries); other plans
     ignore it, so callers check for the column.  ``item_transform`` turns the
-    stored item rows into ``_v`` rows (PQ decoding); the ``broadcast_queries``
-    plan applies it after the group filter, so only probed lists are decoded
-    and the filter still reaches the scan.  ``shards`` bounds the lists a query
+    stored item rows into ``_v`` rows (PQ decoding).  ``item_decoder``,
+    ``(columns, batch -> float64 matrix)``, does the same inside a task: the
+    ``broadcast_queries`` plan reads the stored columns of the probed lists
+    only and decodes each batch where it is searched.  ``shards`` bounds the lists a query
     has in one task (``per_keys`` groups), for the size check.
     """
     if (k is None) == (radius is None):
@@ -253,7 +254,7 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
                                          kinds, schema, larger, collected, carry_query_vector), queries_unique
     elif strategy == "broadcast_queries":
         out, complete = _broadcast_queries(queries, raw_items, dim, metric, k, radius, join_keys, per_keys,
-                                           kinds, schema, larger, collected, item_transform), False
+                                           kinds, schema, larger, collected, item_transform, item_decoder), False
     elif strategy == "tiled":
         out, complete = _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys,
                                kinds, schema, larger), False
@@ -373,12 +374,15 @@ def _pieces(batches, radius):
 
 
 def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger,
-                       collected=None, item_transform=None):
+                       collected=None, item_transform=None, item_decoder=None):
     spark = queries.sparkSession
     side = _collect_side(queries, join_keys, "_qid", "_qv", dim, collected)
     bc = spark.sparkContext.broadcast(side)
     reduce_at = 1 << 20
     schema = T.StructType(schema.fields + [queries.schema[c] for c in _labels(queries)])
+    item_columns = _item_keys(join_keys, per_keys)[0]
+    stored, decode = (["_v"], lambda rb: kernels.list_matrix(rb.column("_v"), dim)) if item_decoder is None else item_decoder
+    stored = [c for c in stored if c not in item_columns]
 
     def run(batches):
         qs = bc.value
@@ -389,7 +393,7 @@ def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_ke
         acc = _Acc(len(per_keys))
         pending = 0
         for rb in _pieces(batches, radius):
-            vmat = kernels.list_matrix(rb.column("_v"), dim)
+            vmat = decode(rb)
             ids = rb.column("_id").to_numpy(zero_copy_only=False).astype(np.int64)
             jcols = [rb.column(kk).to_numpy(zero_copy_only=False).astype(np.int64) for kk in join_keys]
             pcols = [rb.column(kk).to_numpy(zero_copy_only=False).astype(np.int64) for kk in per_keys]
@@ -421,9 +425,9 @@ def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_ke
             yield _labelled(_batch(per, qs["ids"][qpos], hid, d, ranks, per_keys, kinds), qs["labels"], qpos)
 
     scan = scan_filter(items, join_keys, side["keys"])
-    if item_transform is not None:
+    if item_decoder is None and item_transform is not None:
         scan = item_transform(scan)
-    return scan.select(*_item_keys(join_keys, per_keys)[0], "_id", "_v").mapInArrow(run, schema)
+    return scan.select(*item_columns, "_id", *stored).mapInArrow(run, schema)
 
 
 def _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger):

@@ -71,6 +71,14 @@ class _Tables:
             raise ValueError("a stored vector's list has no centroid")
         return self.lists[place]
 
+    def reconstruct(self, rb: pa.RecordBatch, m: int) -> np.ndarray:
+        """``(rows, dim)`` reconstructions of a batch's ``shard_id, list_id, code``."""
+        codes = kernels.list_matrix(rb.column("code"), m).astype(np.int64)
+        shard = rb.column("shard_id").to_numpy(zero_copy_only=False)
+        lst = rb.column("list_id").to_numpy(zero_copy_only=False)
+        parts = self.books[self.books_of(shard)[:, None], np.arange(m)[None, :], codes]  # (n, m, dsub)
+        return parts.reshape(len(codes), -1) + self.centroids_of(shard, lst)
+
     def books_of(self, shard: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.shards, shard)
 
@@ -143,6 +151,19 @@ def encode(rows: DataFrame, centroids: DataFrame, codebooks: DataFrame, *, m: in
                  .alias("code"), *[F.first(c).alias(c) for c in keep]))
 
 
+def batch_decoder(spark, centroids: DataFrame, codebooks: DataFrame, *, dim: int, m: int, dsub: int, ks: int,
+                  rows_hint: int):
+    """``(columns, batch -> reconstructions)`` for decoding inside a search task, or None beyond the budget."""
+    if nn.side_bytes(rows_hint, dim) > nn.broadcast_budget(spark):
+        return None
+    bc = _broadcast_tables(spark, centroids, codebooks, dim=dim, m=m, dsub=dsub, ks=ks)
+
+    def run(rb: pa.RecordBatch) -> np.ndarray:
+        return bc.value.reconstruct(rb, m)
+
+    return ["shard_id", "list_id", "code"], run
+
+
 def decode(postings: DataFrame, centroids: DataFrame, codebooks: DataFrame, *, dim: int, m: int,
            dsub: int, ks: int, rows_hint: int) -> DataFrame:
     """Postings with codes -> ``_v`` = reconstruction (doubles), other columns kept.
@@ -165,11 +186,7 @@ def decode(postings: DataFrame, centroids: DataFrame, codebooks: DataFrame, *, d
                 n = rb.num_rows
                 if not n:
                     continue
-                codes = kernels.list_matrix(rb.column("code"), m).astype(np.int64)
-                shard = rb.column("shard_id").to_numpy(zero_copy_only=False)
-                lst = rb.column("list_id").to_numpy(zero_copy_only=False)
-                parts = tables.books[tables.books_of(shard)[:, None], np.arange(m)[None, :], codes]  # (n, m, dsub)
-                rec = parts.reshape(n, dim) + tables.centroids_of(shard, lst)
+                rec = tables.reconstruct(rb, m)
                 arr = pa.FixedSizeListArray.from_arrays(pa.array(rec.reshape(-1)), dim).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([rb.column(c) for c in names] + [arr], names=names + ["_v"])
 

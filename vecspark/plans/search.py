@@ -105,7 +105,7 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
                       *(["_qv"] if "_qv" in probe.columns else []))
     if "_qv" not in qp.columns:  # centroids beyond the broadcast budget: attach vectors by id
         qp = qp.join(qs.select("_qid", "_qv"), "_qid")
-    decode = None
+    decode = decoder = None
     if spec.kind == "ivf_pq":
         items = post.select("shard_id", "list_id", F.col("id").alias("_id"), "code")
 
@@ -113,6 +113,8 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
             return pq.decode(rows, index.centroids, index.codebooks, dim=spec.dim, m=spec.m, dsub=spec.dsub,
                              ks=spec.ks, rows_hint=groups * (spec.nlist + spec.m * spec.ks))
 
+        decoder = pq.batch_decoder(index.spark, index.centroids, index.codebooks, dim=spec.dim, m=spec.m,
+                                   dsub=spec.dsub, ks=spec.ks, rows_hint=groups * (spec.nlist + spec.m * spec.ks))
         rerank = index.options.rerank
         if rerank is not None:
             if not spec.refine:
@@ -120,15 +122,15 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
             if k is None:
                 raise ValueError("rerank does not apply to radius search on an ivf_pq index; unset the option "
                                  "(hits are judged by the reconstructions)")
-            return _reranked(qp, qs, items, decode, post, spec, k, max(rerank, k), per_keys, strategy, groups)
+            return _reranked(qp, qs, items, decode, decoder, post, spec, k, max(rerank, k), per_keys, strategy, groups)
     else:
         items = post.select("shard_id", "list_id", F.col("id").alias("_id"), F.col("vector").alias("_v"))
     return nn.nearest(qp, items, dim=spec.dim, metric=spec.metric, k=k, radius=radius,
                       join_keys=["shard_id", "list_id"], per_keys=per_keys, queries_unique=False,
-                      strategy=strategy, final=final, item_transform=decode, shards=groups)
+                      strategy=strategy, final=final, item_transform=decode, item_decoder=decoder, shards=groups)
 
 
-def _reranked(qp, qs, items, decode, post, spec, k, rerank, per_keys, strategy, groups) -> DataFrame:
+def _reranked(qp, qs, items, decode, decoder, post, spec, k, rerank, per_keys, strategy, groups) -> DataFrame:
     """PQ top-``rerank`` per (query, shard), re-scored with the raw vectors, then the top k.
 
     Candidates (at most ``rerank`` per query and shard) are stored once and
@@ -139,7 +141,8 @@ def _reranked(qp, qs, items, decode, post, spec, k, rerank, per_keys, strategy,
     rows; the nearest counts.
     """
     approx = nn.nearest(qp, items, dim=spec.dim, metric=spec.metric, k=rerank, join_keys=["shard_id", "list_id"],
-                        per_keys=["shard_id"], queries_unique=False, strategy=strategy, item_transform=decode, shards=groups)
+                        per_keys=["shard_id"], queries_unique=False, strategy=strategy, item_transform=decode,
+                        item_decoder=decoder, shards=groups)
     cands = approx.select("shard_id", "_qid", "_qlab", "_id").distinct()
     checkpoint_dir(cands.sparkSession)
     cands = cands.checkpoint(eager=True)
