@@ -8,11 +8,14 @@
 2. Classes.  Documents of equal sets collapse into one class first (partial
    aggregation), so copies never meet each other.
 3. Candidates.  Classes that share a band key are candidates.  They are
-   never paired all with all: in every bucket the members meet a few hubs
-   (``HUB_ROUNDS`` rounds of at most ``HUBS`` each); what is linked merges
-   into components; at last each member outside its hub's component meets
-   the members of other components.  Every pair sharing a band key thus
-   either ends in one component or has been compared.
+   never paired all with all: in every bucket the members meet a hub, one of
+   at most ``HUBS`` for a group sharing many keys, and what is linked merges
+   into components.  The classes near a hub form its neighbourhood; in each,
+   those not yet linked with the hub are compared with all others by an
+   inverted index, block by block, and only links that join components come
+   out.  At last members of a bucket that are of different neighbourhoods and
+   components are compared one by one.  Every pair sharing a band key thus
+   ends in one component or has been compared.
 4. Verification.  The population count of the XOR of two odd sketches
    estimates the similarity; pairs clearly below the threshold (over six
    standard deviations) are dropped, the others are confirmed on their full
@@ -42,7 +45,9 @@ from vecspark.llm.words import NONSPACE, PART_BYTES, U64, Words, mix, shingle_ha
 
 BANDS, ROWS = 32, 4
 SKETCH_BITS = 512
-HUB_ROUNDS, HUBS = 2, 4
+HUBS = 4
+HOME_DEVIATIONS = 9  # a neighbourhood is wider than what is compared with its hub
+INDEX_ROWS = 2000
 _HASHES = BANDS * ROWS
 _FACTORS = mix(np.arange(1, _HASHES + 1, dtype=U64)) | U64(1)
 _SHIFTS = mix(np.arange(1001, 1001 + _HASHES, dtype=U64))
@@ -126,19 +131,19 @@ def _shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.mapInArrow(run, "cls binary, shingles array<bigint>")
 
 
-def _least_similarity(percent: int) -> float:
-    """Estimates below this are over six standard deviations under the threshold."""
+def _least_similarity(percent: int, deviations: float) -> float:
+    """Estimates below this are that many standard deviations under the threshold."""
     s = percent / 100
-    return s - 6 * (s * (1 - s) / _HASHES) ** 0.5
+    return s - deviations * (s * (1 - s) / _HASHES) ** 0.5
 
 
-def _may_link(n_a, n_b, sketch_a, sketch_b, percent: int):
+def _may_link(n_a, n_b, sketch_a, sketch_b, percent: int, deviations: float = 6):
     """Column: sizes allow the similarity, and so does the odd sketches' estimate."""
     differing = F.aggregate(F.zip_with(sketch_a, sketch_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))),
                             F.lit(0), lambda total, x: total + x)
     # Expected differing bits when the MinHash samples of two sets of the least similarity are folded,
     # and four standard deviations of that folding.
-    flips = 2 * _HASHES * (1 - _least_similarity(percent))
+    flips = 2 * _HASHES * (1 - _least_similarity(percent, deviations))
     most = SKETCH_BITS * (1 - (1 - 2 / SKETCH_BITS) ** flips) / 2
     most += 4 * (SKETCH_BITS / 4) ** 0.5
     return ((100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & (differing <= int(most)))
@@ -153,6 +158,89 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return (pairs.join(left, "a").join(right, "b").where(100 * both >= percent * union).select("a", "b"))
 
 
+def _home_links(home: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components of one neighbourhood, enough to join them.
+
+    The classes outside the largest component are indexed in blocks of
+    ``INDEX_ROWS`` by their shingles; all classes of the neighbourhood stream
+    past each block, and the index counts their common shingles exactly.  A
+    task holds one block and emits at most a link per component it joins.
+    """
+    main = home.groupBy("home", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("home").agg(
+        F.max(F.struct("c", "comp")).alias("m")).select("home", F.col("m.comp").alias("main"))
+    rows = home.join(main, "home").withColumn("inner", F.col("comp") == F.col("main"))
+    counts = rows.groupBy("home").agg(F.sum((~F.col("inner")).cast("int")).alias("outside")).where("outside > 0").select(
+        "home", F.ceil(F.col("outside") / INDEX_ROWS).cast("int").alias("blocks"))
+    dealt = rows.join(counts, "home").select("home", "cls", "comp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+                                             (~F.col("inner") & (F.pmod(F.xxhash64("cls"), F.col("blocks")) == F.col("block"))).alias("indexed"))
+    # Which block holds a class depends on its hash, so a block may be somewhat larger than INDEX_ROWS.
+    whole = (dealt.join(sets, "cls").select("home", "block", "indexed", "cls", "comp", "shingles")
+             .repartition("home", "block").sortWithinPartitions("home", "block", F.desc("indexed")))
+
+    def run(batches):
+        index = None
+        for batch in batches:
+            homes, blocks, indexed = (batch.column(c).to_pylist() for c in ("home", "block", "indexed"))
+            classes, comps = batch.column("cls").to_pylist(), batch.column("comp").to_pylist()
+            flat, ends = batch.column("shingles").flatten().to_numpy().view(U64), batch.column("shingles").offsets.to_numpy()
+            ends = ends - ends[0]
+            out = []
+            for i in range(batch.num_rows):
+                if index is None or index.key != (homes[i], blocks[i]):
+                    index = _ShingleIndex((homes[i], blocks[i]), percent)
+                own = flat[ends[i]:ends[i + 1]]
+                if indexed[i]:
+                    index.add(classes[i], comps[i], own)
+                out.extend(index.links(classes[i], comps[i], own))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())],
+                                             names=["a", "b"])
+
+    return whole.mapInArrow(run, "a binary, b binary")
+
+
+class _ShingleIndex:
+    """Inverted index of a block's sets, in sorted parts of doubling size, with
+    the components joined so far."""
+
+    def __init__(self, key, percent: int):
+        self.key, self.percent = key, percent
+        self.classes, self.comps, self.sizes = [], [], []
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.joined: dict[bytes, bytes] = {}
+
+    def _root(self, comp: bytes) -> bytes:
+        while comp in self.joined:
+            comp = self.joined[comp]
+        return comp
+
+    def add(self, cls: bytes, comp: bytes, own: np.ndarray) -> None:
+        rows = np.full(len(own), len(self.classes), dtype=np.int64)
+        self.classes.append(cls), self.comps.append(comp), self.sizes.append(len(own))
+        self.parts.append((own, rows))
+        while len(self.parts) > 1 and len(self.parts[-1][0]) * 2 > len(self.parts[-2][0]):
+            (k1, r1), (k0, r0) = self.parts.pop(), self.parts.pop()
+            keys = np.concatenate((k0, k1))
+            order = np.argsort(keys, kind="stable")
+            self.parts.append((keys[order], np.concatenate((r0, r1))[order]))
+
+    def links(self, cls: bytes, comp: bytes, own: np.ndarray) -> list[tuple[bytes, bytes]]:
+        """Links of a set with indexed ones whose components are not joined yet."""
+        common = np.zeros(len(self.classes), dtype=np.int64)
+        for keys, rows in self.parts:
+            lo, hi = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
+            n = hi - lo
+            at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+            common += np.bincount(rows[at], minlength=len(common))
+        union = np.array(self.sizes, dtype=np.int64) + len(own) - common
+        out = []
+        for i in np.flatnonzero(100 * common >= self.percent * union).tolist():
+            x, y = self._root(self.comps[i]), self._root(comp)
+            if x != y:
+                self.joined[x] = y
+                out.append((self.classes[i], cls))
+        return out
+
+
 def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     """``node, comp``: the smallest node reachable over links ``a, b``.
 
@@ -201,37 +289,47 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     # Rows repeating a doc_id with another text are other classes, wanted or not.
     sets = stored(sets.join(wanted, "cls", "left_semi"), "sets")
 
-    tried = links = comp = None
-    for step in range(HUB_ROUNDS + 1):
-        rows = members if comp is None else members.join(comp, members.cls == comp.node, "left").select(
-            *members.columns, F.coalesce("comp", "cls").alias("comp"))
-        rows = rows.withColumn("comp", F.col("cls")) if comp is None else rows
-        order = F.xxhash64("cls", F.col("band") % HUBS, F.lit(step))
-        hubs = rows.groupBy("band", "key").agg(F.min(F.struct(
-            order.alias("o"), "cls", "n", "sketch", "comp")).alias("hub"), F.min("comp").alias("c0"),
-            F.max("comp").alias("c1")).where("c0 <> c1").drop("c0", "c1")
-        met = rows.join(hubs, ["band", "key"]).where(F.col("comp") != F.col("hub.comp"))
-        if step == HUB_ROUNDS:  # whoever is still outside meets all members of other components
-            other = rows.select("band", "key", F.struct("cls", "n", "sketch", "comp").alias("hub"))
-            met = met.drop("hub").join(other, ["band", "key"]).where(F.col("comp") != F.col("hub.comp"))
-        pairs = met.where(_may_link(F.col("n"), F.col("hub.n"), F.col("sketch"), F.col("hub.sketch"), percent)).select(
-            F.least("cls", "hub.cls").alias("a"), F.greatest("cls", "hub.cls").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        if pairs.isEmpty():
-            if step < HUB_ROUNDS:
-                continue
-            break
-        tried = pairs if tried is None else tried.unionAll(pairs)
-        found = stored(_confirmed(pairs, sets, percent), "confirmed")
-        links = found if links is None else links.unionAll(found)
-        comp = components(links)
+    # Members meet the hubs of their buckets; `near` says who was close enough to which to be compared.
+    order = F.xxhash64("cls", F.col("band") % HUBS)
+    hubs = members.groupBy("band", "key").agg(F.min(F.struct(order.alias("o"), "cls", "n", "sketch")).alias("hub"))
+    met = members.join(hubs, ["band", "key"]).where(F.col("cls") != F.col("hub.cls"))
+    signs = (F.col("n"), F.col("hub.n"), F.col("sketch"), F.col("hub.sketch"), percent)
+    near = stored(met.where(_may_link(*signs, HOME_DEVIATIONS)).select(
+        "cls", F.col("hub.cls").alias("hub"), _may_link(*signs).alias("tried")).distinct(), "near")
+    tried = near.where("tried").select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
+    pairs = tried
+    links = stored(_confirmed(pairs, sets, percent), "confirmed")
+    comp = components(links)
+    # Each class joins the largest neighbourhood of a hub, and with it the largest one that this hub is itself
+    # near to; inside one, what is not linked yet is compared.
+    sizes = near.groupBy("hub").agg(F.count(F.lit(1)).alias("size"))
+    both = near.select("cls", "hub").unionAll(near.select(F.col("hub").alias("cls"), "hub")).distinct()
+    first = both.join(sizes, "hub").groupBy("cls").agg(F.max(F.struct("size", "hub")).alias("h")).select(
+        "cls", F.col("h.hub").alias("hub"))
+    first = stored(first, "first_home")
+    second = first.select(F.col("cls").alias("hub"), F.col("hub").alias("home"))
+    home = stored(first.join(second, "hub").join(comp, F.col("cls") == F.col("node"), "left")
+                  .select("cls", "home", F.coalesce("comp", "cls").alias("comp")), "home")
+    links = links.unionAll(stored(_home_links(home, sets, percent), "confirmed"))
+    comp = components(links)
+    # Members of a bucket from different neighbourhoods and components are compared one by one: whoever is
+    # not of its hub's neighbourhood meets all others.
+    state = home.select("cls", "home").join(comp, F.col("cls") == F.col("node"), "left").select(
+        "cls", "home", F.coalesce("comp", "cls").alias("comp"))
+    rows = stored(members.join(state, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), "rows")
+    mixed = rows.groupBy("band", "key").agg(F.min(F.struct(order.alias("o"), "home")).alias("hub"), F.min("comp").alias("c0"),
+                                            F.max("comp").alias("c1")).where("c0 <> c1").select("band", "key", F.col("hub.home").alias("main"))
+    odd = rows.join(mixed, ["band", "key"]).where(F.col("home").isNull() | ~F.col("home").eqNullSafe(F.col("main"))).drop("main")
+    other = rows.select("band", "key", F.struct("cls", "n", "sketch", "comp", "home").alias("y"))
+    apart = (F.col("comp") != F.col("y.comp")) & (F.col("home").isNull() | ~F.col("home").eqNullSafe(F.col("y.home")))
+    pairs = odd.join(other, ["band", "key"]).where(
+        apart & _may_link(F.col("n"), F.col("y.n"), F.col("sketch"), F.col("y.sketch"), percent))
+    pairs = pairs.select(F.least("cls", "y.cls").alias("a"), F.greatest("cls", "y.cls").alias("b")).distinct()
+    last = stored(_confirmed(stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs"), sets, percent), "confirmed")
+    if not last.isEmpty():
+        comp = components(links.unionAll(last))
     out = sig.select("doc_id", "n", "cls")
-    if comp is not None:
-        out = out.join(comp, out.cls == comp.node, "left").select("doc_id", "n", "cls", F.coalesce("comp", "cls").alias("comp"))
-    else:
-        out = out.withColumn("comp", F.col("cls"))
+    out = out.join(comp, out.cls == comp.node, "left").select("doc_id", "n", "cls", F.coalesce("comp", "cls").alias("comp"))
     names = out.where("cls is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
     found = out.join(names, "comp", "left")
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("least"))
