@@ -105,4 +105,6 @@ def test_null_and_repeated_ids_and_empty_table(spark):
     rows = M.near_duplicates(frame(spark, [t, t, t, None, t + " x"], ids=[None, 7, 7, None, 9]), 3, 85).collect()
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["component_id"], r["kept"]) for r in rows if r["n_shingles"]) == [
         (False, 7, 7, True), (False, 7, 7, True), (False, 9, 7, False), (True, 0, 7, False)]
+    rows = M.near_duplicates(frame(spark, [t + " x", t], ids=[None, 4]), 3, 85).collect()
+    assert sorted((r["component_id"], r["kept"]) for r in rows) == [(4, False), (4, True)]
     assert M.near_duplicates(frame(spark, ["x"]).limit(0)).count() == 0

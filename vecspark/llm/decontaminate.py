@@ -14,8 +14,8 @@ occur in some item is found in NumPy first; only such runs of at least the
 shortest window reach the automaton, since every other word resets it.
 
 Items go out in blocks of at most ``BLOCK_WORDS`` words, each a broadcast of
-proven size.  Every block passes over the documents in the same task, one
-automaton in memory at a time, so any number of items works.
+proven size.  With several blocks each passes over the documents of a batch
+in turn, one automaton in memory at a time, so any number of items works.
 
 Defined results: null texts have no words; an item without words matches
 nothing; a null item_id takes part in hits but is not listed or counted;
@@ -34,7 +34,7 @@ from vecspark.llm.common import parts_of, texts_of
 from vecspark.llm.words import ALNUM, PART_BYTES, Words
 
 WINDOW = 10
-BLOCK_WORDS = 1_000_000  # 8 MB of fingerprints
+BLOCK_WORDS = 100_000  # under 1 MB of fingerprints, about 100 MB as an automaton
 #: Limits of ``decontaminate``: spans of this many hit words are removed, and a text goes
 #: when at least this share of its words is hit.
 MIN_SPAN = 10
@@ -217,26 +217,33 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col:
         T.StructField("items", T.ArrayType(T.StringType())), T.StructField("spans", T.ArrayType(span))])
 
     def run(batches):
-        ready: list[_Block] = []
+        only = None
         for batch in batches:
             texts = texts_of(batch.column("text"))
             out = [[], [], [], []]
-            for a, b in parts_of(texts, PART_BYTES):
-                w = Words(texts[a:b], ALNUM)
-                hit, found = np.zeros(len(w.hash), dtype=bool), [set() for _ in range(b - a)]
-                for k, shared in enumerate(blocks):
-                    if len(blocks) == 1:
-                        ready = ready or [_Block(shared.value, window)]
-                        block = ready[0]
-                    else:
-                        block = _Block(shared.value, window)
-                    block.scan(w.hash, w.first, hit, found)
-                counts = np.concatenate(([0], np.cumsum(hit)))
-                out[0].extend(np.diff(w.first).tolist())
-                out[1].extend((counts[w.first[1:]] - counts[w.first[:-1]]).tolist())
-                out[2].extend([sorted(x for x in f if x is not None) for f in found])
-                out[3].extend(_spans(w, hit, i) if counts[w.first[i + 1]] > counts[w.first[i]] else []
-                              for i in range(b - a))
+            if len(blocks) <= 1:
+                # one block (or none): each part is cut into words once
+                if blocks and only is None:
+                    only = _Block(blocks[0].value, window)
+                for a, b in parts_of(texts, PART_BYTES):
+                    w = Words(texts[a:b], ALNUM)
+                    hit, found = np.zeros(len(w.hash), dtype=bool), [set() for _ in range(b - a)]
+                    if only is not None:
+                        only.scan(w.hash, w.first, hit, found)
+                    _collect(out, w, hit, found)
+            else:
+                # several: each block's automaton is made once for the batch, and passes over all of its parts
+                parts = list(parts_of(texts, PART_BYTES))
+                marks = [None] * len(parts)
+                for shared in blocks:
+                    block = _Block(shared.value, window)
+                    for i, (a, b) in enumerate(parts):
+                        w = Words(texts[a:b], ALNUM)
+                        if marks[i] is None:
+                            marks[i] = np.zeros(len(w.hash), dtype=bool), [set() for _ in range(b - a)]
+                        block.scan(w.hash, w.first, *marks[i])
+                for (a, b), (hit, found) in zip(parts, marks, strict=True):
+                    _collect(out, Words(texts[a:b], ALNUM), hit, found)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
                  pa.array(out[2], pa.list_(pa.string())),
@@ -247,6 +254,15 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col:
     return packed.mapInArrow(run, schema)
 
 
+def _collect(out: list[list], w: Words, hit: np.ndarray, found: list[set]) -> None:
+    """Append ``n_words, n_hit, items, spans`` of a part's texts."""
+    counts = np.concatenate(([0], np.cumsum(hit)))
+    out[0].extend(np.diff(w.first).tolist())
+    out[1].extend((counts[w.first[1:]] - counts[w.first[:-1]]).tolist())
+    out[2].extend([sorted(x for x in f if x is not None) for f in found])
+    out[3].extend(_spans(w, hit, i) if counts[w.first[i + 1]] > counts[w.first[i]] else [] for i in range(len(found)))
+
+
 def _spans(w: Words, hit: np.ndarray, i: int) -> list[dict]:
     """Maximal runs of hit words of text ``i``, in code points of that text."""
     own = w.text(i)
