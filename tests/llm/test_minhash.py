@@ -94,6 +94,20 @@ def test_odd_sketch_estimates_high_similarity():
         assert abs(np.mean(gaps)) < 8
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sketch_limit_spares_pairs_at_the_threshold(percent):
+    rng, worst, n = np.random.default_rng(percent), 0, 40
+    both = rng.integers(0, 2**63, (300, percent * n), dtype=np.uint64)
+    rest = rng.integers(0, 2**63, (300, (100 - percent) * n), dtype=np.uint64)
+    for common, own in zip(both, rest, strict=True):
+        half = len(own) // 2
+        a, b = np.concatenate((common, own[:half])), np.concatenate((common, own[half:]))
+        x = M.odd_sketch(M.minhash(a)) ^ M.odd_sketch(M.minhash(b))
+        worst = max(worst, int(np.unpackbits(x.view(np.uint8)).sum()))
+    # of 300 pairs at the threshold the farthest stays well inside: under four of the six standard deviations
+    assert worst <= M.most_differing(percent, 4) < M.most_differing(percent, 6)
+
+
 def test_components_of_long_paths(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 102), (102, 101)], "a bigint, b bigint")
     got = {r["node"]: r["comp"] for r in M.components(links).collect()}

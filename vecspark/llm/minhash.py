@@ -46,8 +46,8 @@ from vecspark.llm.words import NONSPACE, PART_BYTES, U64, Words, mix, shingle_ha
 BANDS, ROWS = 32, 4
 SKETCH_BITS = 512
 HUBS = 4
-HOME_DEVIATIONS = 9  # a neighbourhood is wider than what is compared with its hub
-INDEX_ROWS = 2000
+HOME_DEVIATIONS = 13  # a neighbourhood is wider than what is compared with its hub
+INDEX_ROWS = 500
 _HASHES = BANDS * ROWS
 _FACTORS = mix(np.arange(1, _HASHES + 1, dtype=U64)) | U64(1)
 _SHIFTS = mix(np.arange(1001, 1001 + _HASHES, dtype=U64))
@@ -131,22 +131,22 @@ def _shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.mapInArrow(run, "cls binary, shingles array<bigint>")
 
 
-def _least_similarity(percent: int, deviations: float) -> float:
-    """Estimates below this are that many standard deviations under the threshold."""
+def most_differing(percent: int, deviations: float) -> int:
+    """Bits in which the odd sketches of two sets of the threshold similarity may differ, that many standard
+    deviations above the mean: of the number of differing MinHash values, and of their collisions in the bitmap."""
     s = percent / 100
-    return s - deviations * (s * (1 - s) / _HASHES) ** 0.5
+    flips = 2 * _HASHES * (1 - s)
+    stay = (1 - 2 / SKETCH_BITS) ** flips
+    mean = SKETCH_BITS / 2 * (1 - stay)
+    variance = (2 * stay) ** 2 * _HASHES * s * (1 - s) + 2 * flips**2 / SKETCH_BITS
+    return int(mean + deviations * variance**0.5)
 
 
 def _may_link(n_a, n_b, sketch_a, sketch_b, percent: int, deviations: float = 6):
     """Column: sizes allow the similarity, and so does the odd sketches' estimate."""
     differing = F.aggregate(F.zip_with(sketch_a, sketch_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))),
                             F.lit(0), lambda total, x: total + x)
-    # Expected differing bits when the MinHash samples of two sets of the least similarity are folded,
-    # and four standard deviations of that folding.
-    flips = 2 * _HASHES * (1 - _least_similarity(percent, deviations))
-    most = SKETCH_BITS * (1 - (1 - 2 / SKETCH_BITS) ** flips) / 2
-    most += 4 * (SKETCH_BITS / 4) ** 0.5
-    return ((100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & (differing <= int(most)))
+    return ((100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & (differing <= most_differing(percent, deviations)))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -187,25 +187,36 @@ def _home_links(home: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             out = []
             for i in range(batch.num_rows):
                 if index is None or index.key != (homes[i], blocks[i]):
+                    out.extend(index.among() if index else ())
                     index = _ShingleIndex((homes[i], blocks[i]), percent)
                 own = flat[ends[i]:ends[i + 1]]
                 if indexed[i]:
                     index.add(classes[i], comps[i], own)
-                out.extend(index.links(classes[i], comps[i], own))
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())],
-                                             names=["a", "b"])
+                else:
+                    out.extend(index.links(classes[i], comps[i], own))
+            yield _links_batch(out)
+        if index is not None:
+            yield _links_batch(index.among())
 
     return whole.mapInArrow(run, "a binary, b binary")
 
 
+def _links_batch(links) -> pa.RecordBatch:
+    links = list(links)
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.binary()), pa.array([y for _, y in links], pa.binary())],
+                                      names=["a", "b"])
+
+
 class _ShingleIndex:
-    """Inverted index of a block's sets, in sorted parts of doubling size, with
-    the components joined so far."""
+    """Inverted index of a block's sets, with the components joined so far.
+
+    Sets are added first; the first question sorts the index.
+    """
 
     def __init__(self, key, percent: int):
         self.key, self.percent = key, percent
-        self.classes, self.comps, self.sizes = [], [], []
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.classes, self.comps, self.sets = [], [], []
+        self.keys = None
         self.joined: dict[bytes, bytes] = {}
 
     def _root(self, comp: bytes) -> bytes:
@@ -214,24 +225,28 @@ class _ShingleIndex:
         return comp
 
     def add(self, cls: bytes, comp: bytes, own: np.ndarray) -> None:
-        rows = np.full(len(own), len(self.classes), dtype=np.int64)
-        self.classes.append(cls), self.comps.append(comp), self.sizes.append(len(own))
-        self.parts.append((own, rows))
-        while len(self.parts) > 1 and len(self.parts[-1][0]) * 2 > len(self.parts[-2][0]):
-            (k1, r1), (k0, r0) = self.parts.pop(), self.parts.pop()
-            keys = np.concatenate((k0, k1))
-            order = np.argsort(keys, kind="stable")
-            self.parts.append((keys[order], np.concatenate((r0, r1))[order]))
+        self.classes.append(cls), self.comps.append(comp), self.sets.append(own)
+
+    def _sort(self) -> None:
+        self.sizes = np.array([len(x) for x in self.sets], dtype=np.int64)
+        keys = np.concatenate(self.sets) if self.sets else np.zeros(0, dtype=U64)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.rows = keys[order], np.repeat(np.arange(len(self.sets)), self.sizes)[order]
+
+    def among(self):
+        """Links between the indexed sets themselves."""
+        for cls, comp, own in zip(self.classes, self.comps, self.sets, strict=True):
+            yield from self.links(cls, comp, own)
 
     def links(self, cls: bytes, comp: bytes, own: np.ndarray) -> list[tuple[bytes, bytes]]:
         """Links of a set with indexed ones whose components are not joined yet."""
-        common = np.zeros(len(self.classes), dtype=np.int64)
-        for keys, rows in self.parts:
-            lo, hi = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
-            n = hi - lo
-            at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-            common += np.bincount(rows[at], minlength=len(common))
-        union = np.array(self.sizes, dtype=np.int64) + len(own) - common
+        if self.keys is None:
+            self._sort()
+        lo, hi = np.searchsorted(self.keys, own, "left"), np.searchsorted(self.keys, own, "right")
+        n = hi - lo
+        at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+        common = np.bincount(self.rows[at], minlength=len(self.classes))
+        union = self.sizes + len(own) - common
         out = []
         for i in np.flatnonzero(100 * common >= self.percent * union).tolist():
             x, y = self._root(self.comps[i]), self._root(comp)
@@ -284,8 +299,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     members = stored(keys.join(shared, ["band", "key"]), "members")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     wanted = members.select("cls").distinct()
-    chosen = classes.select("cls", "rep").join(wanted, "cls", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
-    sets = _shingle_sets(texts.join(chosen, "doc_id", "left_semi"), shingle)
+    chosen = classes.select("cls", "rep").join(wanted, "cls", "left_semi").select("rep").distinct()
+    sets = _shingle_sets(texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi"), shingle)
     # Rows repeating a doc_id with another text are other classes, wanted or not.
     sets = stored(sets.join(wanted, "cls", "left_semi"), "sets")
 
@@ -297,9 +312,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     near = stored(met.where(_may_link(*signs, HOME_DEVIATIONS)).select(
         "cls", F.col("hub.cls").alias("hub"), _may_link(*signs).alias("tried")).distinct(), "near")
     tried = near.where("tried").select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
-    pairs = tried
-    links = stored(_confirmed(pairs, sets, percent), "confirmed")
-    comp = components(links)
+    links = stored(_confirmed(tried, sets, percent), "confirmed")
     # Each class joins the largest neighbourhood of a hub, and with it the largest one that this hub is itself
     # near to; inside one, what is not linked yet is compared.
     sizes = near.groupBy("hub").agg(F.count(F.lit(1)).alias("size"))
@@ -308,8 +321,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
         "cls", F.col("h.hub").alias("hub"))
     first = stored(first, "first_home")
     second = first.select(F.col("cls").alias("hub"), F.col("hub").alias("home"))
-    home = stored(first.join(second, "hub").join(comp, F.col("cls") == F.col("node"), "left")
-                  .select("cls", "home", F.coalesce("comp", "cls").alias("comp")), "home")
+    # Who is linked with a hub is in one component with it: that much is known without joining components.
+    star = near.where("tried").select("cls", "hub", F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).join(
+        links, ["a", "b"]).join(sizes, "hub").groupBy("cls").agg(F.max(F.struct("size", "hub")).alias("h")).select(
+        F.col("cls").alias("node"), F.col("h.hub").alias("star"))
+    home = stored(first.join(second, "hub").join(star, F.col("cls") == F.col("node"), "left")
+                  .select("cls", "home", F.coalesce("star", "cls").alias("comp")), "home")
     links = links.unionAll(stored(_home_links(home, sets, percent), "confirmed"))
     comp = components(links)
     # Members of a bucket from different neighbourhoods and components are compared one by one: whoever is
