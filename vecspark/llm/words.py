@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 
 U64 = np.uint64
-PART_BYTES = 1 << 21  # bytes handled at once; a longer text is handled alone
+PART_BYTES = 1 << 20  # bytes handled at once; a longer text is handled alone
 
 _b = np.arange(256)
 LOWER = np.where((_b >= 65) & (_b <= 90), _b + 32, _b).astype(np.uint8)
