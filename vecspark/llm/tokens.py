@@ -17,7 +17,7 @@ import re
 
 import numpy as np
 
-MOST_CACHED = 700_000  # pieces, about 150 MB
+MOST_CACHED = 600_000  # pieces, about 130 MB
 JOINED = 200
 
 # The tokenizer's own pieces, for lower-case ASCII and Latin-1 letters.
