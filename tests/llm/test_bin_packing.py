@@ -87,3 +87,13 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert sorted((r["doc_id"] or 0, r["length"]) for r in rows) == [(0, 1), (1, 3), (1, 3)]
     assert len({(r["sequence_id"], r["offset"]) for r in rows}) == 3
     assert B.pack_documents(docs.limit(0), PATH).count() == 0
+
+
+def test_every_round_runs_when_no_bin_ever_closes(spark):
+    n = 4 * B.PARTITION_PIECES + 1000
+    items = spark.range(n).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "2100 + id % 1500 AS length", "id * 7 AS ids_crc32")
+    rows = B.pack(items).selectExpr("count(*)", "count(DISTINCT doc_id)", "count(DISTINCT sequence_id)", "max(offset)",
+                                    "min(sequence_id)", "max(sequence_id)").first()
+    assert tuple(rows)[:4] == (n, n, n, 0)
+    rounds = B.PARTITION_BITS + B.BIN_BITS
+    assert rows[4] >> rounds == rows[5] >> rounds == B.ROUNDS - 1

@@ -35,6 +35,8 @@ CAPACITY = 4096
 PARTITION_PIECES = 50_000
 ROOM = 64
 ROUNDS = 8
+# A sequence id holds the round (3 bits), the partition and the bin, 59 bits in all.
+PARTITION_BITS, BIN_BITS = 24, 32
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 1, id_col: str = "doc_id",
@@ -132,7 +134,7 @@ def _packed(items: DataFrame, partitions: int, step: int, capacity: int) -> Data
         bins, offsets, room = best_fit_decreasing(lengths, capacity)
         bound = lower_bound(lengths, capacity)
         opened = np.array(room) * ROOM > capacity
-        base = ((step << 40) | TaskContext.get().partitionId()) * PARTITION_PIECES * 64
+        base = ((step << PARTITION_BITS) | TaskContext.get().partitionId()) << BIN_BITS
         rows = (rows.append_column("sequence_id", pa.array(base + bins)).append_column("offset", pa.array(offsets))
                 .append_column("bins", pa.array(np.full(len(lengths), len(room), dtype=np.int64)))
                 .append_column("bound", pa.array(np.full(len(lengths), bound, dtype=np.int64)))
