@@ -69,6 +69,30 @@ def test_markup_rules():
     assert runs("1 < 2 and 3 > 2") == ["1 < 2 and 3 > 2"]
 
 
+def test_controls_and_graphics_end_with_their_parent():
+    runs = lambda h: [w for _, w in parse(h)[1]]
+    options = "<datalist id=d><option value=a><option value=b>B</datalist>"
+    assert runs(f"<body>{options}<article><p>text</article><select><option>x</option></select>") == ["text"]
+    assert runs("<form><select><option>a<option>b</select>c</form><p>d") == ["c", "d"]
+    for tag in ("button", "svg", "object", "audio", "video", "canvas", "option", "select", "datalist", "template"):
+        assert runs(f"<header>a<{tag} class=x>no</header><article><p>text</article>") == ["a", "text"], tag
+        assert runs(f"<body><{tag} class=x>no<article><p>text</article><p>more<{tag}>no</{tag}>") == ["text", "more"], tag
+        assert runs(f"<p>a<{tag}>no <b>no</b></{tag}>b<p>c") == ["a b", "c"], tag
+        assert runs(f"<ul><li>a<{tag}>no<li>b</ul>") == ["a", "b"], tag
+        if tag != "svg":
+            assert runs(f"<div><{tag}><div><p>no</div></{tag}>a</div>") == ["a"], tag
+    assert runs("<div>a<button><svg><title>no</title><path d=x>no</button>b</div>") == ["a b"]
+    assert runs("<div>a<svg><foreignObject><div>no</div></foreignObject><text>no</text></svg>b</div>") == ["a b"]
+    assert runs("<p>a<svg viewBox='0'/>b") == ["ab"]
+    assert runs("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds") == ["so x=2 holds"]
+
+
+def test_article_after_unclosed_controls(model):
+    options = "<datalist id=s><option value=a><option value=b></datalist>"
+    for junk in (f"<header><form><input list=s>{options}</form></header>", "<header><button>Menu</header>", "<header><svg><path d=m></header>"):
+        assert H.main_texts([page(7).replace("<nav>", junk + "<nav>")], model) == [want(7)]
+
+
 def test_boosting_learns_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.uniform(-1, 1, (2000, 4))
