@@ -3,8 +3,9 @@
 Texts are handled as UTF-8 bytes.  A word is a maximal run of word bytes
 after lower-casing A-Z; as every byte of a non-ASCII character is a word
 byte in both alphabets below, runs of bytes are the runs of code points of
-the stated patterns.  Word fingerprints are polynomial hashes modulo 2**64
-of random byte codes; equal words always have equal fingerprints.
+the stated patterns.  Word fingerprints are polynomial hashes of the bytes
+modulo two primes (a modulus of 2**64 would collide on Thue-Morse strings
+for every base); equal words always have equal fingerprints.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ ALNUM = ((_b >= 48) & (_b <= 57)) | ((_b >= 97) & (_b <= 122)) | (_b >= 128)
 #: ``[^\x20\x09-\x0D]``: everything but white space.
 NONSPACE = ~((_b == 32) | ((_b >= 9) & (_b <= 13)))
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+# Two primes below 2**31, so that products fit 64 bits; a fixed base for each.
+_PRIMES = (2**31 - 1, 2**31 - 19)
+_BASES = (1_431_655_781, 1_812_433_253 % (2**31 - 19))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -39,42 +41,51 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-BYTE_CODES = mix(np.arange(1, 257, dtype=U64) * U64(0xD1342543DE82EF95))
-
-
-def _powers(base: int, n: int) -> np.ndarray:
+def _powers(base: int, prime: int, n: int) -> np.ndarray:
+    """``base ** 0 ... base ** (n - 1)`` modulo ``prime``, by doubling."""
     out = np.ones(n, dtype=U64)
-    if n > 1:
-        out[1:] = U64(base)
-        with np.errstate(over="ignore"):
-            np.multiply.accumulate(out, out=out)
+    done = 1
+    while done < n:
+        step = min(done, n - done)
+        out[done:done + step] = out[:step] * U64(pow(base, done, prime)) % U64(prime)
+        done += step
     return out
 
 
 @lru_cache(maxsize=4)
-def _cached(base: int) -> np.ndarray:
-    return _powers(base, PART_BYTES + 4096)
-
-
-def powers(n: int, inverse: bool = False) -> np.ndarray:
-    """``base ** 0 ... base ** (n - 1)`` or those of its inverse, modulo 2**64."""
-    base = _INVERSE if inverse else _BASE
-    kept = _cached(base)
-    return kept[:n] if n <= len(kept) else _powers(base, n)
-
-
-def prefix_sums(data: np.ndarray) -> np.ndarray:
-    """``s`` with ``s[j] - s[i]`` the unshifted polynomial hash of ``data[i:j]``."""
-    s = np.zeros(len(data) + 1, dtype=U64)
-    with np.errstate(over="ignore"):
-        np.cumsum(BYTE_CODES[data] * powers(len(data)), out=s[1:])
-    return s
+def _cached(base: int, prime: int) -> np.ndarray:
+    return _powers(base, prime, PART_BYTES + 4096)
+
+
+def powers(which: int, n: int, inverse: bool = False) -> np.ndarray:
+    """Powers of one of the bases, or of its inverse, modulo its prime."""
+    prime, base = _PRIMES[which], _BASES[which]
+    base = pow(base, -1, prime) if inverse else base
+    kept = _cached(base, prime)
+    return kept[:n] if n <= len(kept) else _powers(base, prime, n)
+
+
+def prefix_sums(data: np.ndarray) -> list[np.ndarray]:
+    """Per prime ``s`` with ``s[j] - s[i]`` the unshifted polynomial hash of ``data[i:j]``, up to multiples of the prime."""
+    out, codes = [], data.astype(U64) + U64(1)
+    for i, prime in enumerate(_PRIMES):
+        terms = codes * powers(i, len(data))  # below 2**40
+        if len(data) > 1 << 22:  # up to there, sums of unreduced terms stay below 2**62
+            terms %= U64(prime)
+        s = np.zeros(len(data) + 1, dtype=U64)
+        np.cumsum(terms, out=s[1:])
+        out.append(s)
+    return out
 
 
-def range_hash(s: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Fingerprints of the byte ranges, equal for equal contents anywhere."""
+def range_hash(sums: list[np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Fingerprints of the byte ranges, equal for equal contents anywhere: 62 bits of two prime residues, and the length."""
+    both = None
+    for i, (s, prime) in enumerate(zip(sums, _PRIMES, strict=True)):
+        own = (s[end] - s[start]) % U64(prime) * powers(i, len(s), inverse=True)[start] % U64(prime)
+        both = own if both is None else (both << U64(31)) | own
     with np.errstate(over="ignore"):
-        return mix((s[end] - s[start]) * powers(len(s), inverse=True)[start] + (end - start).astype(U64))
+        return mix(both + (end - start).astype(U64) * U64(0x9E3779B97F4A7C15))
 
 
 class Words:
