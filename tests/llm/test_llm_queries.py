@@ -7,7 +7,7 @@ from vecspark.llm.queries import ORACLES, QUERIES
 
 
 def test_every_operator_and_the_pipeline_are_registered():
-    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLES) <= set(QUERIES)
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from vecspark.llm import bin_packing, decontaminate, html_text, lang_id, licenses, minhash, secrets, suffix_dedup, token_file, vp_tree
+from vecspark.llm import (bin_packing, cover_codes, decontaminate, html_text, jaccard_join, lang_id, licenses, minhash, secrets,
+                          suffix_dedup, token_file, vp_tree, whitening)
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_vp_tree": vp_tree.op8_vp_tree,
     "op9_minhash": minhash.op9_minhash,
     "op10_packing": bin_packing.op10_packing,
+    "op11_cover_codes": cover_codes.op11_cover_codes,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_jaccard_join": jaccard_join.op13_jaccard_join,
 }
 
 ORACLES = {
@@ -23,4 +27,6 @@ ORACLES = {
     "op4_decontaminate": decontaminate.OP4_SQL,
     "op8_vp_tree": vp_tree.OP8_SQL,
     "op9_minhash": minhash.OP9_SQL,
+    "op11_cover_codes": cover_codes.OP11_SQL,
+    "op13_jaccard_join": jaccard_join.OP13_SQL,
 }
