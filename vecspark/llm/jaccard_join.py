@@ -15,7 +15,8 @@ differ in at most ``d * (n_a + n_b)`` shingles.
    are equal and not empty.  A segment's key is the XOR of the whole hashes of
    its shingles, a finer parity than its bits.  ``S`` is chosen so that
    ``k > D`` but for odd cases; where ``k <= D``, all empty segments of the
-   band count as one more key.
+   band count as one more key.  Keys are counted with partial aggregation,
+   and those that occur once go before any row is dealt by key.
 4. Buckets.  Sets of equal content are one class.  Classes sharing a key meet a
    hub of their bucket; the Hamming distance drops most pairs, the others are
    verified on the whole sets, and links join components.  What is left are
@@ -52,6 +53,7 @@ from vecspark.llm.words import NONSPACE, PART_BYTES, U64, Words, mix, shingle_ha
 BUCKET = 64
 HUBS = 4
 BLOCK = 512
+SHARED_BROADCAST = 1 << 22  # keys: 64 MB of rows
 _GROWTH = 1.4
 _HUB_SALTS = [0x2A5F3C19, 0x15E0D4B7, 0x3B19A6E2, 0x0C7725D8][:HUBS]
 
@@ -64,7 +66,7 @@ def size_bands(percent: int, most: int = 1 << 33) -> tuple[tuple[int, int, int,
         hi = int(lo * _GROWTH)
         differ = 2 * hi * (100 - percent) // (100 + percent)
         bits = max(8, (2 * hi - 1).bit_length())
-        out.append((lo, hi, differ, differ + 3 * differ // 10 + 4, bits))
+        out.append((lo, hi, differ, differ + 3 * differ // 20 + 3, bits))
         lo = hi + 1
     return tuple(out)
 
@@ -133,35 +135,41 @@ def _sets(texts: list[bytes], shingle: int):
 
 
 def _sketched(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """``doc_id, n, cls, keys, sketch`` of ``doc_id, text`` rows; empty sets have a null class."""
+    """``doc_id, n, cls, keys, filled, sketch`` of ``doc_id, text`` rows; empty sets have a null class.
+
+    ``filled`` holds ``256 * k + band`` for each band's number ``k`` of keys.
+    """
 
     def run(batches):
         for batch in batches:
-            ids = batch.column("doc_id")
-            sizes, classes, keys, sketches, at, held = [], [], [], [], 0, 0
+            held, at, size = [], 0, 0
             for own in _sets(texts_of(batch.column("text")), shingle):
-                sizes.append(len(own))
-                classes.append(_set_class(own) if len(own) else None)
-                parts = [segment_keys(own, j, percent) for j in bands_of(len(own), percent)] if len(own) else []
-                keys.append(np.concatenate(parts).view(np.int64) if parts else np.zeros(0, dtype=np.int64))
-                sketches.append(parity_sketch(own, percent) if parts else None)
-                held += len(keys[-1])
-                if held > 1 << 20:
-                    yield _sketch_batch(ids.slice(at, len(sizes)), sizes, classes, keys, sketches)
-                    at, held, sizes, classes, keys, sketches = at + len(sizes), 0, [], [], [], []
-            yield _sketch_batch(ids.slice(at, len(sizes)), sizes, classes, keys, sketches)
+                bands = bands_of(len(own), percent) if len(own) else []
+                parts = [segment_keys(own, j, percent) for j in bands]
+                held.append((len(own), _set_class(own) if len(own) else None,
+                             np.concatenate(parts).view(np.int64) if parts else np.zeros(0, dtype=np.int64),
+                             np.array([256 * len(p) + j for p, j in zip(parts, bands, strict=True)], dtype=np.int64),
+                             parity_sketch(own, percent) if parts else None))
+                size += len(held[-1][2])
+                if size > 1 << 20:
+                    yield _sketch_batch(batch.column("doc_id").slice(at, len(held)), held)
+                    at, held, size = at + len(held), [], 0
+            yield _sketch_batch(batch.column("doc_id").slice(at, len(held)), held)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n bigint, cls binary, keys array<bigint>, sketch binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, n bigint, cls binary, keys array<bigint>, filled array<bigint>, sketch binary")
+
 
+def _sketch_batch(ids, held) -> pa.RecordBatch:
+    sizes, classes, keys, filled, sketches = zip(*held, strict=True) if held else ((),) * 5
+    return pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), _lists(keys), _lists(filled),
+                                       pa.array(sketches, pa.binary())], names=["doc_id", "n", "cls", "keys", "filled", "sketch"])
 
-def _sketch_batch(ids, sizes, classes, keys, sketches) -> pa.RecordBatch:
-    ends = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
-    flat = np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64)
-    return pa.RecordBatch.from_arrays(
-        [ids, pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()),
-         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)), pa.array(sketches, pa.binary())],
-        names=["doc_id", "n", "cls", "keys", "sketch"])
+
+def _lists(arrays) -> pa.ListArray:
+    ends = np.concatenate(([0], np.cumsum([len(x) for x in arrays], dtype=np.int64)))
+    flat = np.concatenate(arrays) if len(arrays) else np.zeros(0, dtype=np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
 
 def _class_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -227,7 +235,7 @@ def _family_pairs(families: DataFrame, sketches: DataFrame, percent: int) -> Dat
     rows = families.join(main, "fam").withColumn("outside", F.col("comp") != F.col("main"))
     blocks = rows.groupBy("fam").agg(F.sum(F.col("outside").cast("int")).alias("o")).where("o > 0").select(
         "fam", F.ceil(F.col("o") / BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(blocks, "fam").join(sketches, "id")
+    rows = rows.join(blocks, "fam").join(sketches.select("id", "n", "sketch"), "id")
     held = F.col("outside") & (F.pmod(F.xxhash64("id"), F.col("blocks")) == F.col("block"))
     dealt = (rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("held", held)
              .select("fam", "block", "held", "id", "comp", "n", "sketch")
@@ -299,34 +307,40 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_
                        text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``."""
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    signed = stored(_sketched(texts, shingle, percent), "parity_sketches")
-    classes = stored(signed.where("n > 0").groupBy("cls").agg(
-        F.min("doc_id").alias("rep"), F.any_value("n").alias("n"), F.any_value("keys").alias("keys"),
-        F.any_value("sketch").alias("sketch")).withColumn("id", F.monotonically_increasing_id()), "classes")
-
+    signed = stored(_sketched(texts, shingle, percent).withColumn("id", F.monotonically_increasing_id()), "parity_sketches")
+    classes = stored(signed.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("id").alias("id")), "classes")
+
+    # Keys that occur once are dropped before any row is dealt by key; copies of one class still count here.
+    shared = signed.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    shared = stored(shared, "shared")
+    if shared.count() <= SHARED_BROADCAST:
+        shared = F.broadcast(shared)
+    keys = signed.select("id", F.explode("keys").alias("key")).join(shared, "key", "left_semi").join(classes.select("id"), "id", "left_semi")
+    keys = stored(keys, "keys")
     # Buckets of two or more classes, each with a hub; `m` classes share the key.
-    keys = classes.select("id", F.explode("keys").alias("key"))
     salts = F.array(*[F.lit(s).cast("bigint") for s in _HUB_SALTS])
     salt = F.get(salts, F.pmod(F.shiftrightunsigned("key", 8), F.lit(HUBS)).cast("int"))
     buckets = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min(F.col("id").bitwiseXOR(salt)).alias("h")).where("m > 1")
     members = stored(keys.join(buckets.withColumn("hub", F.col("h").bitwiseXOR(salt)).drop("h"), "key"), "members")
     known = members.select("id").distinct()
-    sketches = stored(classes.select("id", "n", "sketch").join(known, "id", "left_semi"), "sketches")
-    sets = stored(_class_sets(texts, classes.select("id", "cls", "rep").join(known, "id", "left_semi"), shingle), "sets")
+    sketches = stored(signed.select("id", "n", "sketch", "filled").join(known, "id", "left_semi"), "sketches")
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        return stored(_verified(pairs, sets, percent), "verified")
+        near = stored(_near(pairs, sketches, percent), "near")
+        asked = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        sets = stored(_class_sets(texts, classes.join(asked, "id", "left_semi"), shingle), "sets")
+        return stored(_verified(near, sets, percent), "verified")
 
     tried = stored(members.where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct(), "met")
-    links = links_of(_near(tried, sketches, percent))
+    links = links_of(tried)
     comp = components(links)
     state = stored(_compared(members, comp), "state")
-    more = links_of(_near(_small_pairs(state.where(F.col("m") <= BUCKET)).join(tried, ["a", "b"], "left_anti"), sketches, percent))
+    more = links_of(_small_pairs(state.where(F.col("m") <= BUCKET)).join(tried, ["a", "b"], "left_anti"))
 
     # Classes that may meet a partner in large buckets alone.
     large = state.where(F.col("m") > BUCKET).withColumn("band", F.col("key").bitwiseAND(F.lit(255)).cast("int"))
-    owned = classes.select("id", F.explode("keys").alias("key")).join(large.select("id").distinct(), "id", "left_semi").groupBy(
-        "id", F.col("key").bitwiseAND(F.lit(255)).cast("int").alias("band")).agg(F.count(F.lit(1)).alias("k"))
+    owned = sketches.select("id", F.explode("filled").alias("f")).select(
+        "id", F.col("f").bitwiseAND(F.lit(255)).cast("int").alias("band"), F.shiftright("f", 8).alias("k"))
     differ = F.get(F.array(*[F.lit(b[2]) for b in size_bands(percent)]), F.col("band"))
     needing = (large.groupBy("id", "band").agg(F.count(F.lit(1)).alias("l")).join(owned, ["id", "band"])
                .where(F.col("k") - F.col("l") <= differ).select("id", "band"))
