@@ -16,7 +16,9 @@ differ in at most ``d * (n_a + n_b)`` shingles.
    its shingles, a finer parity than its bits.  ``S`` is chosen so that
    ``k > D`` but for odd cases; where ``k <= D``, all empty segments of the
    band count as one more key.  Keys are counted with partial aggregation,
-   and those that occur once go before any row is dealt by key.
+   and those that occur once go before any row is dealt by key: a bit array of
+   at most ``2 ** MARK_BITS`` bits (64 MB) marks the places of the others, and
+   what else falls on a marked place is one more bucket of one.
 4. Buckets.  Sets of equal content are one class.  Classes sharing a key meet a
    hub of their bucket; the Hamming distance drops most pairs, the others are
    verified on the whole sets, and links join components.  What is left are
@@ -25,9 +27,11 @@ differ in at most ``d * (n_a + n_b)`` shingles.
    - larger buckets are needed only by classes that have too many keys in
      such (``k`` less those at most ``D``): any other class meets each partner in
      a small bucket.  Classes that need them form families over common large
-     buckets; in each, the classes outside its main component are dealt to
-     blocks, and the family's sketches stream past each block.  A task holds
-     one block and emits only pairs that pass the Hamming bound.
+     buckets.  All classes of a family meet about ``HELD`` of it first, which
+     joins nearly all that belong together; then the classes outside its main
+     component are dealt to blocks, and the whole family streams past each
+     block.  A task holds one block, verifies what passes the Hamming bound,
+     and emits only links that join components.
 5. Components of the verified links by rounds over stored tables.
 
 Defined results: null and wordless texts have size 0 and link with nothing;
@@ -53,7 +57,9 @@ from vecspark.llm.words import NONSPACE, PART_BYTES, U64, Words, mix, shingle_ha
 BUCKET = 64
 HUBS = 4
 BLOCK = 512
-SHARED_BROADCAST = 1 << 22  # keys: 64 MB of rows
+HELD = 128
+SLICE = 20_000
+MARK_BITS = 29
 _GROWTH = 1.4
 _HUB_SALTS = [0x2A5F3C19, 0x15E0D4B7, 0x3B19A6E2, 0x0C7725D8][:HUBS]
 
@@ -65,7 +71,7 @@ def size_bands(percent: int, most: int = 1 << 33) -> tuple[tuple[int, int, int,
     while lo < most:
         hi = int(lo * _GROWTH)
         differ = 2 * hi * (100 - percent) // (100 + percent)
-        bits = max(8, (2 * hi - 1).bit_length())
+        bits = max(10, (4 * hi - 1).bit_length())
         out.append((lo, hi, differ, differ + 3 * differ // 20 + 3, bits))
         lo = hi + 1
     return tuple(out)
@@ -228,38 +234,45 @@ def _small_pairs(members: DataFrame) -> DataFrame:
     return rows.join(other, "key").where("id < b and comp <> other").select(F.col("id").alias("a"), "b").distinct()
 
 
-def _family_pairs(families: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components of a family ``fam, id, comp`` that pass the Hamming bound."""
-    main = families.groupBy("fam", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("fam").agg(
-        F.max(F.struct("c", "comp")).alias("m")).select("fam", F.col("m.comp").alias("main"))
-    rows = families.join(main, "fam").withColumn("outside", F.col("comp") != F.col("main"))
-    blocks = rows.groupBy("fam").agg(F.sum(F.col("outside").cast("int")).alias("o")).where("o > 0").select(
-        "fam", F.ceil(F.col("o") / BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(blocks, "fam").join(sketches.select("id", "n", "sketch"), "id")
-    held = F.col("outside") & (F.pmod(F.xxhash64("id"), F.col("blocks")) == F.col("block"))
-    dealt = (rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("held", held)
-             .select("fam", "block", "held", "id", "comp", "n", "sketch")
-             .repartition("fam", "block").sortWithinPartitions("fam", "block", F.desc("held")))
+def _family_links(rows: DataFrame, held, percent: int) -> DataFrame:
+    """Verified links between components of a family, enough to join those that touch a held class.
+
+    ``rows`` are ``fam, id, comp, n, sketch, shingles``, with the family's ``blocks``
+    and ``slices``, and ``block``, the block that holds the class where ``held``.
+    Every class streams past each block, slice by slice; a task holds one
+    block and emits at most a link per component it joins.
+    """
+    columns = ("fam", "block", "slice", "held", "id", "comp", "n", "sketch", "shingles")
+    passing = (rows.withColumn("own", F.when(held, F.col("block")))
+               .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+               .where(F.col("own").isNull() | (F.col("own") != F.col("block")))
+               .select("fam", "block", F.pmod(F.xxhash64("id", F.lit(5)), F.col("slices")).alias("slice"), F.lit(False).alias("held"),
+                       *columns[4:]))
+    kept = rows.where(held).withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1))).select(
+        "fam", "block", "slice", F.lit(True).alias("held"), *columns[4:])
+    dealt = kept.unionAll(passing).repartition("fam", "block", "slice").sortWithinPartitions("fam", "block", "slice", F.desc("held"))
 
     def run(batches):
         key, block = None, None
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("fam", "block", "held", "id", "comp", "n", "sketch")]
             found = []
-            for fam, number, held, ident, comp, n, sketch in zip(*columns, strict=True):
-                if (fam, number) != key:
+            places = list(zip(*[batch.column(c).to_pylist() for c in columns[:7]], strict=True))
+            sketches, sets = batch.column("sketch"), batch.column("shingles")
+            for i, (fam, number, part, holds, ident, comp, n) in enumerate(places):
+                if (fam, number, part) != key:
                     if block is not None:
                         found.extend(block.among())
-                    key, block = (fam, number), _Block(percent)
-                if held:
-                    block.add(ident, comp, n, sketch)
+                    key, block = (fam, number, part), _Block(percent)
+                row = (ident, comp, n, np.frombuffer(sketches[i].as_py(), dtype=np.uint64), sets[i].values.to_numpy())
+                if holds:
+                    block.rows.append(row)
                 else:
-                    found.extend(block.near(ident, comp, n, sketch))
+                    found.extend(block.links(*row))
             yield _pair_batch(found)
         if block is not None:
             yield _pair_batch(block.among())
 
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
 def _pair_batch(found) -> pa.RecordBatch:
@@ -268,39 +281,114 @@ def _pair_batch(found) -> pa.RecordBatch:
 
 
 class _Block:
-    """Sketches of at most about ``BLOCK`` classes; those within the Hamming bound of one that passes by are found at once."""
+    """Held classes ``(id, comp, n, sketch, shingles)``, and the components joined so far."""
 
     def __init__(self, percent: int):
-        self.percent, self.rows, self.tables = percent, [], None
+        self.percent, self.rows, self.tables, self.joined = percent, [], {}, {}
 
-    def add(self, ident, comp, n, sketch) -> None:
-        self.rows.append((ident, comp, n, np.frombuffer(sketch, dtype=np.uint64)))
+    def _root(self, comp):
+        while comp in self.joined:
+            comp = self.joined[comp]
+        return comp
 
     def _table(self, size: int):
-        """Ids, components, sizes and sketches of the rows of each sketch length, folded to at most ``size`` words."""
-        if self.tables is None:
-            self.tables = {}
+        """Positions, components, sizes and sketches of the held, by sketch length, folded to at most ``size`` words."""
         if size not in self.tables:
             groups = {}
-            for row in self.rows:
-                groups.setdefault(min(size, len(row[3])), []).append(row)
-            self.tables[size] = [(width, *(np.array(x) for x in list(zip(*rows))[:3]), np.array([folded(r[3], width) for r in rows]))
-                                 for width, rows in groups.items()]
+            for i, row in enumerate(self.rows):
+                groups.setdefault(min(size, len(row[3])), []).append(i)
+            self.tables[size] = [(width, np.array(at), np.array([self.rows[i][1] for i in at]), np.array([self.rows[i][2] for i in at]),
+                                  np.array([folded(self.rows[i][3], width) for i in at])) for width, at in groups.items()]
         return self.tables[size]
 
-    def near(self, ident, comp, n, sketch):
-        own = np.frombuffer(sketch, dtype=np.uint64)
-        for width, ids, comps, sizes, rows in self._table(len(own)):
-            most = (sizes + n) * (100 - self.percent) // (100 + self.percent)
-            fits = (comps != comp) & (100 * np.minimum(sizes, n) >= self.percent * np.maximum(sizes, n))
-            at = np.flatnonzero(fits)
-            near = np.bitwise_count(rows[at] ^ folded(own, width)).sum(1, dtype=np.int64) <= most[at]
-            for other in ids[at[near]].tolist():
-                yield ident, other
+    def links(self, ident, comp, n, sketch, shingles):
+        """Verified links with held classes whose components are not joined yet."""
+        for width, at, comps, sizes, sketches in self._table(len(sketch)):
+            fits = np.flatnonzero((comps != comp) & (100 * np.minimum(sizes, n) >= self.percent * np.maximum(sizes, n)))
+            most = (sizes[fits] + n) * (100 - self.percent) // (100 + self.percent)
+            near = np.bitwise_count(sketches[fits] ^ folded(sketch, width)).sum(1, dtype=np.int64) <= most
+            for i in at[fits[near]].tolist():
+                other = self.rows[i]
+                x, y = self._root(other[1]), self._root(comp)
+                if x != y:
+                    both = len(np.intersect1d(shingles, other[4], assume_unique=True))
+                    if 100 * both >= self.percent * (n + other[2] - both):
+                        self.joined[x] = y
+                        yield ident, other[0]
 
     def among(self):
-        for ident, comp, n, sketch in self.rows:
-            yield from self.near(ident, comp, n, sketch.tobytes())
+        for row in self.rows:
+            yield from self.links(*row)
+
+
+def _family_rows(families: DataFrame, contents: DataFrame) -> DataFrame:
+    """``fam, id, comp`` with the family's ``size`` and ``slices``, and the classes' sizes, sketches and sets."""
+    sizes = families.groupBy("fam").agg(F.count(F.lit(1)).alias("size"))
+    return families.join(sizes, "fam").withColumn("slices", F.ceil(F.col("size") / SLICE)).join(contents, "id")
+
+
+def _held_links(families: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
+    """Links of every class with about ``HELD`` classes of its family, chosen by a hash."""
+    chosen = F.pmod(F.xxhash64("id", F.lit(77)), F.ceil(F.col("size") / HELD)) == 0
+    rows = _family_rows(families, contents).withColumn("blocks", F.lit(1)).withColumn("block", F.lit(0))
+    return _family_links(rows, chosen, percent)
+
+
+def _outside_links(families: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
+    """Links of every class with all classes outside its family's main component."""
+    main = families.groupBy("fam", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("fam").agg(
+        F.max(F.struct("c", "comp")).alias("m")).select("fam", F.col("m.comp").alias("main"))
+    rows = families.join(main, "fam").withColumn("outside", F.col("comp") != F.col("main"))
+    blocks = rows.groupBy("fam").agg(F.sum(F.col("outside").cast("int")).alias("o")).where("o > 0").select(
+        "fam", F.ceil(F.col("o") / BLOCK).cast("int").alias("blocks"))
+    rows = _family_rows(rows.join(blocks, "fam"), contents)
+    return _family_links(rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), F.col("outside"), percent)
+
+
+def _marked_places(shared: DataFrame) -> np.ndarray:
+    """A bit array with the places of the shared keys (their upper bits) set; at most ``MARK_BITS`` bits whatever their number."""
+    count = shared.count()
+    bits = min(MARK_BITS, max(16, (8 * count).bit_length()))
+    slices = max(1, (1 << bits) >> 24)
+
+    def run(batches):
+        own = {}
+        for batch in batches:
+            place = (batch.column("key").to_numpy().view(np.uint64) >> U64(64 - bits)).astype(np.int64)
+            part = place * slices >> bits
+            for p in np.unique(part).tolist():
+                flags = own.setdefault(p, np.zeros((1 << bits) // slices, dtype=bool))
+                flags[place[part == p] - p * len(flags)] = True
+        for p, flags in own.items():
+            yield pa.RecordBatch.from_arrays([pa.array([p]), pa.array([np.packbits(flags, bitorder="little").tobytes()])], names=["p", "v"])
+
+    dealt = shared.repartition(F.shiftright(F.shiftrightunsigned("key", 64 - bits) * slices, bits))
+    out = np.zeros((slices, (1 << bits) // slices // 8), dtype=np.uint8)
+    for row in dealt.mapInArrow(run, "p bigint, v binary").collect():
+        out[row["p"]] |= np.frombuffer(row["v"], dtype=np.uint8)
+    return out.reshape(-1)
+
+
+def _kept_keys(signed: DataFrame, marks: np.ndarray) -> DataFrame:
+    """``id, keys`` with only the keys on marked places; rows without any go."""
+    bits = (8 * len(marks)).bit_length() - 1
+    held = signed.sparkSession.sparkContext.broadcast(marks)
+
+    def run(batches):
+        table = held.value
+        for batch in batches:
+            keys = batch.column("keys")
+            flat, ends = keys.flatten().to_numpy(), keys.offsets.to_numpy() - keys.offsets[0].as_py()
+            place = (flat.view(np.uint64) >> U64(64 - bits)).astype(np.int64)
+            on = (table[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            sizes = np.diff(np.concatenate(([0], np.cumsum(on)))[ends])
+            rows = np.flatnonzero(sizes)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(pa.array(rows)),
+                 pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes[rows]))), pa.int32()), pa.array(flat[on]))],
+                names=["id", "keys"])
+
+    return signed.select("id", "keys").mapInArrow(run, "id bigint, keys array<bigint>")
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -312,11 +400,9 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_
 
     # Keys that occur once are dropped before any row is dealt by key; copies of one class still count here.
     shared = signed.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    shared = stored(shared, "shared")
-    if shared.count() <= SHARED_BROADCAST:
-        shared = F.broadcast(shared)
-    keys = signed.select("id", F.explode("keys").alias("key")).join(shared, "key", "left_semi").join(classes.select("id"), "id", "left_semi")
-    keys = stored(keys, "keys")
+    marks = _marked_places(stored(shared, "shared"))
+    kept = _kept_keys(signed, marks).join(classes.select("id"), "id", "left_semi")
+    keys = stored(kept.select("id", F.explode("keys").alias("key")), "keys")
     # Buckets of two or more classes, each with a hub; `m` classes share the key.
     salts = F.array(*[F.lit(s).cast("bigint") for s in _HUB_SALTS])
     salt = F.get(salts, F.pmod(F.shiftrightunsigned("key", 8), F.lit(HUBS)).cast("int"))
@@ -353,9 +439,13 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_
         first = needed.groupBy("key").agg(F.min(place).alias("v"))
         fam = components(needed.join(first, "key").select(place.alias("a"), F.col("v").alias("b")))
         rows = needed.select("id", "comp", place.alias("node")).distinct().join(fam.withColumnRenamed("comp", "fam"), "node", "left")
-        families = stored(rows.select(F.coalesce("fam", "node").alias("fam"), "id", "comp"), "families")
-        pairs = _family_pairs(families, sketches, percent).join(tried, ["a", "b"], "left_anti")
-        more = more.unionAll(links_of(pairs))
+        families = rows.select(F.coalesce("fam", "node").alias("fam"), "id", "comp")
+        asked = families.select("id").distinct()
+        contents = stored(sketches.drop("filled").join(_class_sets(texts, classes.join(asked, "id", "left_semi"), shingle), "id"), "sets")
+        families = stored(families, "families")
+        more = stored(more.unionAll(_held_links(families, contents, percent)), "verified")
+        comp = components(links.unionAll(more))
+        more = more.unionAll(stored(_outside_links(_compared(families.drop("comp"), comp), contents, percent), "verified"))
     if not more.isEmpty():
         comp = components(links.unionAll(more))
 
