@@ -230,7 +230,7 @@ def _pq(spark, sf_dir):
 
 def ivfpq_codes(spark, sf_dir):
     _, idx = _pq(spark, sf_dir)
-    return idx.postings.select("id", "list_id", "code")
+    return idx.postings.select("id", "list_id", vs.code_array("code", PQ_M, PQ_KS).alias("code"))
 
 
 def ivfpq_knn(spark, sf_dir):

@@ -103,7 +103,8 @@ def test_sharded_merge_equals_unsharded(spark, emb):
 def test_pq_recall_and_rerank_free_codes(spark, emb):
     flat = {(q, v) for q, v, *_ in _pairs(vs.knn(vs.build_index(emb, 64), emb, 10))}
     pq = vs.build_index(emb, 64, "ivf_pq", nlist=2, m=16, ks=16, iterations=4)
-    codes = pq.postings.select(F.size("code").alias("m"), F.array_max("code").alias("mx")).collect()
+    code = vs.code_array("code", 16, 16)
+    codes = pq.postings.select(F.size(code).alias("m"), F.array_max(code).alias("mx")).collect()
     assert all(r["m"] == 16 and r["mx"] < 16 for r in codes)
     got = {(q, v) for q, v, *_ in _pairs(vs.knn(pq, emb, 10, nprobe=2))}
     assert len(got & flat) / len(flat) > 0.3

@@ -5,6 +5,7 @@ indexes kept as plain tables, packing of vector arrays and merging of
 partial top-k lists.
 """
 
+from vecspark.functions.codes import code_array
 from vecspark.model import IndexSpec, SearchOptions, VectorIndex
 from vecspark.operators.merge import rank_lists, topk_merge
 from vecspark.operators.packing import array_1d_extend, pack_vectors, unpack_vectors
@@ -20,5 +21,5 @@ __all__ = [
     "index_keys", "with_keys", "save_index", "load_index", "count_vectors", "shard_labels",
     "knn", "range_search", "search", "range_search_arrays", "to_array_form", "from_array_form",
     "search_packed", "range_search_packed",
-    "pack_vectors", "array_1d_extend", "unpack_vectors", "topk_merge", "rank_lists",
+    "code_array", "pack_vectors", "array_1d_extend", "unpack_vectors", "topk_merge", "rank_lists",
 ]

@@ -25,7 +25,7 @@ import pyarrow as pa
 # Bytes of one float64 distance matrix chunk held at a time.
 _CHUNK_BYTES = 32 << 20
 # Bytes of gathered vectors when chosen pairs are re-computed.
-_PAIR_BYTES = 16 << 20
+PAIR_BYTES = 16 << 20
 
 
 def larger_is_nearer(metric: str) -> bool:
@@ -51,13 +51,13 @@ def list_matrix(col, dim: int) -> np.ndarray:
 
 def _pairs_exact(q: np.ndarray, v: np.ndarray, qi: np.ndarray, vi: np.ndarray, metric: str) -> np.ndarray:
     """Distances of the pairs ``q[qi], v[vi]``, gathering a bounded number of vectors at a time."""
-    step = max(1, _PAIR_BYTES // (16 * max(1, q.shape[1])))
+    step = max(1, PAIR_BYTES // (16 * max(1, q.shape[1])))
     if len(qi) <= step:
-        return _pair_exact(q[qi], v[vi], metric)
-    return np.concatenate([_pair_exact(q[qi[i:i + step]], v[vi[i:i + step]], metric) for i in range(0, len(qi), step)])
+        return pair_exact(q[qi], v[vi], metric)
+    return np.concatenate([pair_exact(q[qi[i:i + step]], v[vi[i:i + step]], metric) for i in range(0, len(qi), step)])
 
 
-def _pair_exact(q: np.ndarray, v: np.ndarray, metric: str) -> np.ndarray:
+def pair_exact(q: np.ndarray, v: np.ndarray, metric: str) -> np.ndarray:
     """Row-wise distance of aligned pairs q[i], v[i]."""
     if metric == "l2":
         diff = q - v
@@ -98,7 +98,7 @@ def _block(q: np.ndarray, v: np.ndarray, metric: str, vn: np.ndarray | None, v_s
     return d, np.zeros(len(q)), np.zeros(len(q))
 
 
-def _rank_pairs(qi, vi, d, ids, k, larger):
+def rank_pairs(qi, vi, d, ids, k, larger):
     """Keep the k best (distance, id) per query index; ties go to the lower id."""
     if len(qi) == 0:
         return qi, vi, d
@@ -179,7 +179,7 @@ def search_block(q: np.ndarray, v: np.ndarray, ids: np.ndarray, metric: str,
         if radius is not None:
             hit = (exact > radius) if larger else (exact < radius)
             qi, vi, exact = qi[hit], vi[hit], exact[hit]
-        qi, vi, exact = _rank_pairs(qi, vi, exact, ids, k, larger)
+        qi, vi, exact = rank_pairs(qi, vi, exact, ids, k, larger)
         out_q.append(qi + s)
         out_v.append(vi)
         out_d.append(exact)

@@ -7,7 +7,7 @@ changed, as in the reference where each function returns a new value.
     centroids  (shard_id INT, list_id INT, centroid ARRAY<DOUBLE>)        ivf_*
     codebooks  (shard_id INT, sub INT, code INT, centroid ARRAY<DOUBLE>)  ivf_pq
     postings   (shard_id INT, list_id INT, id LONG, vector ARRAY<FLOAT>, <tags>)   flat / ivf_flat
-               (shard_id INT, list_id INT, id LONG, code ARRAY<INT>, <tags>)       ivf_pq
+               (shard_id INT, list_id INT, id LONG, code BINARY, <tags>)           ivf_pq
 """
 
 from __future__ import annotations

@@ -214,7 +214,8 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
             k: int | None = None, radius: float | None = None,
             join_keys=(), per_keys=(), strategy: str = "auto",
             items_rows: int | None = None, queries_unique: bool = True, final: bool = True,
-            carry_query_vector: bool = False, item_transform=None, item_decoder=None, shards: int = 1) -> DataFrame:
+            carry_query_vector: bool = False, item_transform=None, item_search=None, shards: int = 1,
+            queries_bound: int | None = None, item_groups: int | None = None, items_table: pa.Table | None = None) -> DataFrame:
     """Best partners of each query row among the items (see module doc).
 
     ``queries_unique`` says each ``_qid`` occurs in one query row; then the
@@ -224,11 +225,13 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
     hit's query vector into a ``_qv`` column (an IVF probe feeds it straight
     to the list search, with no join back to the queries); other plans
     ignore it, so callers check for the column.  ``item_transform`` turns the
-    stored item rows into ``_v`` rows (PQ decoding).  ``item_decoder``,
-    ``(columns, batch -> float64 matrix)``, does the same inside a task: the
-    ``broadcast_queries`` plan reads the stored columns of the probed lists
-    only and decodes each batch where it is searched.  ``shards`` bounds the lists a query
-    has in one task (``per_keys`` groups), for the size check.
+    stored item rows into ``_v`` rows (PQ decoding).  ``item_search`` (see
+    ``VectorSearch``) searches the stored columns inside a task instead: the
+    ``broadcast_queries`` plan reads those of the probed lists only.  ``shards``
+    bounds the lists a query has in one task (``per_keys`` groups), for the size
+    check; ``queries_bound`` is a known bound of the query rows, which are then
+    not counted; ``item_groups`` the number of join groups that exist;
+    ``items_table`` the item side where it is at hand already.
     """
     if (k is None) == (radius is None):
         raise ValueError("give exactly one of k and radius")
@@ -247,14 +250,15 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
     collected = None
     if strategy == "auto":
         strategy, collected = choose_strategy(queries, items, dim, budget, items_rows, join_keys, per_keys,
-                                              hits=(k or 1) * (shards if per_keys else 1))
+                                              hits=(k or 1) * (shards if per_keys else 1),
+                                          queries_bound=queries_bound, items_table=items_table)
 
     if strategy == "broadcast_items":
         out, complete = _broadcast_items(queries, items, dim, metric, k, radius, join_keys, per_keys,
                                          kinds, schema, larger, collected, carry_query_vector), queries_unique
     elif strategy == "broadcast_queries":
         out, complete = _broadcast_queries(queries, raw_items, dim, metric, k, radius, join_keys, per_keys,
-                                           kinds, schema, larger, collected, item_transform, item_decoder), False
+                                           kinds, schema, larger, collected, item_transform, item_search, item_groups), False
     elif strategy == "tiled":
         out, complete = _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys,
                                kinds, schema, larger), False
@@ -266,7 +270,8 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
 
 
 def choose_strategy(queries: DataFrame, items: DataFrame, dim: int, budget: int,
-                    items_rows: int | None = None, join_keys=(), per_keys=(), hits: int = 1):
+                    items_rows: int | None = None, join_keys=(), per_keys=(), hits: int = 1,
+                    queries_bound: int | None = None, items_table: pa.Table | None = None):
     """Pick a plan from counted sizes; returns ``(strategy, collected side or None)``.
 
     An item side of known small size (centroids, codebooks) is broadcast.
@@ -277,21 +282,39 @@ def choose_strategy(queries: DataFrame, items: DataFrame, dim: int, budget: int,
     is used.
     """
     if items_rows is not None and side_bytes(items_rows, dim) <= budget:
-        return "broadcast_items", None
-    if side_bytes(queries.count(), dim, hits) <= budget:
+        return "broadcast_items", items_table
+    if queries_bound is None or side_bytes(queries_bound, dim, hits) > budget:
+        queries_bound = queries.count()
+    if side_bytes(queries_bound, dim, hits) <= budget:
         return "broadcast_queries", queries.select(*join_keys, "_qid", "_qv", *_labels(queries)).toArrow()
     if items_rows is None and side_bytes(items.count(), dim) <= budget:
         return "broadcast_items", items.select(*_item_keys(join_keys, per_keys)[0], "_id", "_v").toArrow()
     return "tiled", None
 
 
-def scan_filter(scan: DataFrame, key_cols, keys: list[np.ndarray]) -> DataFrame:
+class VectorSearch:
+    """How a task searches item rows: ``columns`` to read, ``open`` a batch, ``search`` some of its rows for a query block."""
+
+    columns = ("_v",)
+
+    def __init__(self, dim: int):
+        self.dim = dim
+
+    def open(self, rb: pa.RecordBatch) -> np.ndarray:
+        return kernels.list_matrix(rb.column("_v"), self.dim)
+
+    def search(self, qm, opened, rows, ids, group, metric, k, radius):
+        return kernels.search_block(qm, opened[rows], ids[rows], metric, k=k, radius=radius)
+
+
+def scan_filter(scan: DataFrame, key_cols, keys: list[np.ndarray], groups: int | None = None) -> DataFrame:
     """Only rows of the groups that some query asks for (an IVF probe's lists).
 
     At most ``SCAN_RANGES`` value ranges per key, cut at the widest gaps, reach
     the Parquet scan as a plain predicate whatever the number of groups; a
     semi-join with the broadcast groups (no more rows than the broadcast
-    queries) then keeps exactly those.
+    queries) then keeps exactly those.  Where most of the ``groups`` that exist
+    are asked for, the scan stays as it is: a task passes over the others.
     """
     if not key_cols:
         return scan
@@ -299,6 +322,8 @@ def scan_filter(scan: DataFrame, key_cols, keys: list[np.ndarray]) -> DataFrame:
     wanted = np.unique(np.stack(keys, axis=1), axis=0) if len(keys[0]) else np.zeros((0, len(keys)), np.int64)
     if not len(wanted):
         return scan.where(F.lit(False))
+    if groups is not None and 2 * len(wanted) >= groups:
+        return scan
     for pos, key in enumerate(key_cols):
         values = np.unique(wanted[:, pos])
         gaps = np.diff(values)
@@ -374,15 +399,15 @@ def _pieces(batches, radius):
 
 
 def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger,
-                       collected=None, item_transform=None, item_decoder=None):
+                       collected=None, item_transform=None, item_search=None, item_groups=None):
     spark = queries.sparkSession
     side = _collect_side(queries, join_keys, "_qid", "_qv", dim, collected)
     bc = spark.sparkContext.broadcast(side)
     reduce_at = 1 << 20
     schema = T.StructType(schema.fields + [queries.schema[c] for c in _labels(queries)])
     item_columns = _item_keys(join_keys, per_keys)[0]
-    stored, decode = (["_v"], lambda rb: kernels.list_matrix(rb.column("_v"), dim)) if item_decoder is None else item_decoder
-    stored = [c for c in stored if c not in item_columns]
+    search = VectorSearch(dim) if item_search is None else item_search
+    stored = [c for c in search.columns if c not in item_columns]
 
     def run(batches):
         qs = bc.value
@@ -393,7 +418,7 @@ def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_ke
         acc = _Acc(len(per_keys))
         pending = 0
         for rb in _pieces(batches, radius):
-            vmat = decode(rb)
+            opened = search.open(rb)
             ids = rb.column("_id").to_numpy(zero_copy_only=False).astype(np.int64)
             jcols = [rb.column(kk).to_numpy(zero_copy_only=False).astype(np.int64) for kk in join_keys]
             pcols = [rb.column(kk).to_numpy(zero_copy_only=False).astype(np.int64) for kk in per_keys]
@@ -408,7 +433,7 @@ def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_ke
                     # a radius search also takes the queries in steps, so hits leave the task as they are found
                     step = len(qm) if radius is None else max(1, reduce_at // len(sel))
                     for at in range(0, len(qm), step):
-                        qi, vi, d = kernels.search_block(qm[at:at + step], vmat[sel], ids[sel], metric, k=k, radius=radius)
+                        qi, vi, d = search.search(qm[at:at + step], opened, sel, ids, kv, metric, k, radius)
                         acc.add(qrows[at + qi], [np.full(len(qi), x, np.int64) for x in pv], ids[sel][vi], d)
                         pending += len(qi)
                         if radius is not None and pending > reduce_at:
@@ -424,8 +449,8 @@ def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_ke
         if len(qpos):
             yield _labelled(_batch(per, qs["ids"][qpos], hid, d, ranks, per_keys, kinds), qs["labels"], qpos)
 
-    scan = scan_filter(items, join_keys, side["keys"])
-    if item_decoder is None and item_transform is not None:
+    scan = scan_filter(items, join_keys, side["keys"], item_groups)
+    if item_search is None and item_transform is not None:
         scan = item_transform(scan)
     return scan.select(*item_columns, "_id", *stored).mapInArrow(run, schema)
 

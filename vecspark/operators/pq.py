@@ -6,6 +6,7 @@ replaced by the number of its nearest centroid among ``ks`` centroids of
 that sub-space (one codebook per shard and sub-space, trained by the same
 k-means as the lists).  The asymmetric distance of a query to a stored
 vector is its distance to the reconstruction ``c_L + concat_j C_j[code_j]``.
+Codes are stored packed (``functions.codes``) and searched by lookup tables.
 """
 
 from __future__ import annotations
@@ -16,12 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vecspark.functions import codes as pc
 from vecspark.functions import kernels
 from vecspark.session import ensure_importable
 from vecspark.operators import kmeans as km
 from vecspark.operators import nearest as nn
 
-CODE_TYPE = T.ArrayType(T.IntegerType())
+CODE_TYPE = T.BinaryType()
 
 
 def residuals(rows: DataFrame, centroids: DataFrame) -> DataFrame:
@@ -73,7 +75,7 @@ class _Tables:
 
     def reconstruct(self, rb: pa.RecordBatch, m: int) -> np.ndarray:
         """``(rows, dim)`` reconstructions of a batch's ``shard_id, list_id, code``."""
-        codes = kernels.list_matrix(rb.column("code"), m).astype(np.int64)
+        codes = pc.unpack(pc.stored_words(rb.column("code"), m, self.books.shape[2]), m, self.books.shape[2])
         shard = rb.column("shard_id").to_numpy(zero_copy_only=False)
         lst = rb.column("list_id").to_numpy(zero_copy_only=False)
         parts = self.books[self.books_of(shard)[:, None], np.arange(m)[None, :], codes]  # (n, m, dsub)
@@ -134,9 +136,7 @@ def encode(rows: DataFrame, centroids: DataFrame, codebooks: DataFrame, *, m: in
                         qi, vi, _ = kernels.search_block(res[rows_, j * dsub:(j + 1) * dsub], book, code_ids, "l2",
                                                          k=1, prep=preps[at, j])
                         codes[rows_[qi], j] = vi
-                arr = pa.FixedSizeListArray.from_arrays(pa.array(codes.reshape(-1), type=pa.int32()), m) \
-                    .cast(pa.list_(pa.int32()))
-                cols = [rb.column("shard_id"), rb.column("list_id"), rb.column("id"), arr] + [rb.column(c) for c in keep]
+                cols = [rb.column("shard_id"), rb.column("list_id"), rb.column("id"), pc.pack(codes, ks)] + [rb.column(c) for c in keep]
                 yield pa.RecordBatch.from_arrays(cols, names=["shard_id", "list_id", "id", "code"] + keep)
 
         return base.mapInArrow(run, out_schema)
@@ -146,22 +146,47 @@ def encode(rows: DataFrame, centroids: DataFrame, codebooks: DataFrame, *, m: in
     coded = km.assign_lists(subs.withColumnRenamed("list_id", "_list"), cb, dim=dsub, metric="l2",
                             group_keys=["shard_id", "sub"], id_col="id", out_col="_code",
                             centroid_rows=groups * m * ks)
-    return (coded.groupBy("shard_id", F.col("_list").alias("list_id"), "id")
+    arrays = (coded.groupBy("shard_id", F.col("_list").alias("list_id"), "id")
             .agg(F.transform(F.array_sort(F.collect_list(F.struct("sub", "_code"))), lambda x: x["_code"])
                  .alias("code"), *[F.first(c).alias(c) for c in keep]))
 
+    def packed(batches):
+        for rb in batches:
+            codes = kernels.list_matrix(rb.column("code"), m).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pc.pack(codes, ks) if c == "code" else rb.column(c) for c in rb.schema.names],
+                                             names=rb.schema.names)
 
-def batch_decoder(spark, centroids: DataFrame, codebooks: DataFrame, *, dim: int, m: int, dsub: int, ks: int,
-                  rows_hint: int):
-    """``(columns, batch -> reconstructions)`` for decoding inside a search task, or None beyond the budget."""
-    if nn.side_bytes(rows_hint, dim) > nn.broadcast_budget(spark):
-        return None
-    bc = _broadcast_tables(spark, centroids, codebooks, dim=dim, m=m, dsub=dsub, ks=ks)
+    return arrays.mapInArrow(packed, T.StructType([T.StructField("code", CODE_TYPE, False) if f.name == "code" else f
+                                                   for f in arrays.schema.fields]))
+
+
+class CodeSearch:
+    """Search of stored codes inside a task (see ``nearest``): tables per (query, list), nothing is reconstructed."""
+
+    columns = ("shard_id", "list_id", "code")
 
-    def run(rb: pa.RecordBatch) -> np.ndarray:
-        return bc.value.reconstruct(rb, m)
+    def __init__(self, tables, m: int, ks: int):
+        self.tables, self.m, self.ks = tables, m, ks
 
-    return ["shard_id", "list_id", "code"], run
+    def open(self, rb: pa.RecordBatch) -> np.ndarray:
+        return pc.stored_words(rb.column("code"), self.m, self.ks)
+
+    def search(self, qm, words, rows, ids, group, metric, k, radius):
+        shard, lst = group
+        t = self.tables.value
+        return pc.search_codes(qm, words[rows], ids[rows], t.centroids_of(np.array([shard]), np.array([lst]))[0],
+                               t.books[t.books_of(np.array([shard]))[0]], metric, k=k, radius=radius)
+
+
+def code_search(spark, centroids: DataFrame, codebooks: DataFrame, *, dim: int, m: int, dsub: int, ks: int, rows_hint: int,
+                memo: dict | None = None) -> CodeSearch | None:
+    """A ``CodeSearch``, or None beyond the broadcast budget; ``memo`` keeps the broadcast tables of an index."""
+    if nn.side_bytes(rows_hint, dim) > nn.broadcast_budget(spark):
+        return None
+    memo = {} if memo is None else memo
+    if "code_tables" not in memo:
+        memo["code_tables"] = _broadcast_tables(spark, centroids, codebooks, dim=dim, m=m, dsub=dsub, ks=ks)
+    return CodeSearch(memo["code_tables"], m, ks)
 
 
 def decode(postings: DataFrame, centroids: DataFrame, codebooks: DataFrame, *, dim: int, m: int,
@@ -191,7 +216,7 @@ def decode(postings: DataFrame, centroids: DataFrame, codebooks: DataFrame, *, d
                 yield pa.RecordBatch.from_arrays([rb.column(c) for c in names] + [arr], names=names + ["_v"])
 
         return postings.mapInArrow(run, out_schema)
-    ex = postings.select("*", F.posexplode("code").alias("sub", "_cd"))
+    ex = postings.select("*", F.posexplode(pc.code_array("code", m, ks)).alias("sub", "_cd"))
     cb = codebooks.select("shard_id", "sub", F.col("code").alias("_cd"), F.col("centroid").alias("_part"))
     keys = [c for c in postings.columns if c != "code"]
     parts = (ex.join(cb, ["shard_id", "sub", "_cd"])

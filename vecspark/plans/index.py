@@ -52,8 +52,8 @@ def create_index(spark: SparkSession, dim: int, kind: str = "flat", metric="l2",
 
 
 def _changed(index: VectorIndex, **extra) -> dict:
-    """``extra`` of a modified index: stored keys no longer describe it."""
-    out = {k: v for k, v in index.extra.items() if k != "keys"}
+    """``extra`` of a modified index: stored keys, and what was collected of it, no longer describe it."""
+    out = {k: v for k, v in index.extra.items() if k not in ("keys", "memo")}
     out.update(extra)
     return out
 
@@ -337,7 +337,7 @@ def _tables(spark: SparkSession, path: str, meta: dict) -> VectorIndex:
     books = spark.read.schema(CODEBOOKS_SCHEMA).parquet(os.path.join(path, "codebooks")) \
         if spec.kind == "ivf_pq" else None
     opts = SearchOptions(**{k: v for k, v in meta["options"].items() if v is not None})
-    extra = {"groups": meta["groups"], "empty": False}
+    extra = {"groups": meta["groups"], "empty": False, "memo": {}}
     if meta.get("coded_shards"):
         extra["shards"] = spark.read.parquet(os.path.join(path, "shards"))
     return VectorIndex(spark=spark, spec=spec, options=opts, postings=postings, centroids=cents, codebooks=books,

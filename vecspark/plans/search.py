@@ -97,15 +97,18 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
         raise ValueError(f"an index of kind {spec.kind!r} must be trained before it is searched")
     nprobe = positive_int("nprobe", index.options.nprobe if nprobe is None else nprobe)
     cents = _keyed(index.centroids, shards)
-    probe = nn.nearest(qs, cents.select("shard_id", F.col("list_id").cast("long").alias("_id"),
-                                        F.col("centroid").alias("_v")),
+    asked = q.count()
+    probe = nn.nearest(qs, cents.select("shard_id", F.col("list_id").cast("long").alias("_id"), F.col("centroid").alias("_v")),
                        dim=spec.dim, metric=spec.metric, k=min(nprobe, spec.nlist), per_keys=["shard_id"],
-                       items_rows=groups * spec.nlist, carry_query_vector=True)
+                       items_rows=groups * spec.nlist, carry_query_vector=True,
+                       items_table=_centroid_table(index, groups, shards))
+    # The probe is as many rows as asked for, so it need not be counted; nor is a list looked for that no query probes.
+    bound, known = asked * min(nprobe, spec.nlist) * groups, groups * spec.nlist
     qp = probe.select("shard_id", F.col("_id").cast("int").alias("list_id"), "_qid", "_qlab",
                       *(["_qv"] if "_qv" in probe.columns else []))
     if "_qv" not in qp.columns:  # centroids beyond the broadcast budget: attach vectors by id
         qp = qp.join(qs.select("_qid", "_qv"), "_qid")
-    decode = decoder = None
+    decode = coded = None
     if spec.kind == "ivf_pq":
         items = post.select("shard_id", "list_id", F.col("id").alias("_id"), "code")
 
@@ -113,8 +116,8 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
             return pq.decode(rows, index.centroids, index.codebooks, dim=spec.dim, m=spec.m, dsub=spec.dsub,
                              ks=spec.ks, rows_hint=groups * (spec.nlist + spec.m * spec.ks))
 
-        decoder = pq.batch_decoder(index.spark, index.centroids, index.codebooks, dim=spec.dim, m=spec.m,
-                                   dsub=spec.dsub, ks=spec.ks, rows_hint=groups * (spec.nlist + spec.m * spec.ks))
+        coded = pq.code_search(index.spark, index.centroids, index.codebooks, dim=spec.dim, m=spec.m, dsub=spec.dsub, ks=spec.ks,
+                               rows_hint=groups * (spec.nlist + spec.m * spec.ks), memo=index.extra.get("memo"))
         rerank = index.options.rerank
         if rerank is not None:
             if not spec.refine:
@@ -122,15 +125,27 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
             if k is None:
                 raise ValueError("rerank does not apply to radius search on an ivf_pq index; unset the option "
                                  "(hits are judged by the reconstructions)")
-            return _reranked(qp, qs, items, decode, decoder, post, spec, k, max(rerank, k), per_keys, strategy, groups)
+            return _reranked(qp, qs, items, decode, coded, post, spec, k, max(rerank, k), per_keys, strategy, groups, bound, known)
     else:
         items = post.select("shard_id", "list_id", F.col("id").alias("_id"), F.col("vector").alias("_v"))
     return nn.nearest(qp, items, dim=spec.dim, metric=spec.metric, k=k, radius=radius,
                       join_keys=["shard_id", "list_id"], per_keys=per_keys, queries_unique=False,
-                      strategy=strategy, final=final, item_transform=decode, item_decoder=decoder, shards=groups)
+                      strategy=strategy, final=final, item_transform=decode, item_search=coded, shards=groups,
+                      queries_bound=bound, item_groups=known)
 
 
-def _reranked(qp, qs, items, decode, decoder, post, spec, k, rerank, per_keys, strategy, groups) -> DataFrame:
+def _centroid_table(index: VectorIndex, groups: int, shards: list[int] | None):
+    """The list centroids of an opened index, collected once (they are broadcast by every probe); None beyond the budget."""
+    memo = index.extra.get("memo")
+    if memo is None or shards is not None or nn.side_bytes(groups * index.spec.nlist, index.dim) > nn.broadcast_budget(index.spark):
+        return None
+    if "centroids" not in memo:
+        memo["centroids"] = index.centroids.select("shard_id", F.col("list_id").cast("long").alias("_id"),
+                                                   F.col("centroid").alias("_v")).toArrow()
+    return memo["centroids"]
+
+
+def _reranked(qp, qs, items, decode, coded, post, spec, k, rerank, per_keys, strategy, groups, bound, known) -> DataFrame:
     """PQ top-``rerank`` per (query, shard), re-scored with the raw vectors, then the top k.
 
     Candidates (at most ``rerank`` per query and shard) are stored once and
@@ -142,7 +157,7 @@ def _reranked(qp, qs, items, decode, decoder, post, spec, k, rerank, per_keys, s
     """
     approx = nn.nearest(qp, items, dim=spec.dim, metric=spec.metric, k=rerank, join_keys=["shard_id", "list_id"],
                         per_keys=["shard_id"], queries_unique=False, strategy=strategy, item_transform=decode,
-                        item_decoder=decoder, shards=groups)
+                        item_search=coded, shards=groups, queries_bound=bound, item_groups=known)
     cands = approx.select("shard_id", "_qid", "_qlab", "_id").distinct()
     checkpoint_dir(cands.sparkSession)
     cands = cands.checkpoint(eager=True)
