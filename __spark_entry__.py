@@ -14,7 +14,6 @@ array-form distances keep the reference's REAL type on both sides.
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 import uuid
@@ -318,17 +317,57 @@ def saved_index_search(spark, sf_dir):
     return _long(vs.knn(vs.load_index(spark, path), _emb(spark, sf_dir), K))
 
 
+def ivf_range_exact(spark, sf_dir):
+    """Radius search over inverted lists that loses nothing: lists are skipped by their shells alone."""
+    emb, idx = _ivf(spark, sf_dir)
+    return _long(vs.range_search(idx, emb, RADIUS, exact=True))
+
+
+def sharded_threshold_topk(spark, sf_dir):
+    emb, idx = _flat(spark, sf_dir, shard=F.col("id") % SHARDS)
+    return _long(vs.knn(idx, emb, K, waves=True))
+
+
+def ivf_knn_tagged(spark, sf_dir):
+    """Under a filter, a query probes on until its lists hold k matching vectors."""
+    emb = _emb(spark, sf_dir)
+    idx = vs.build_index(emb, DIM, "ivf_flat", nlist=NLIST, iterations=ITERS, tag_columns=["label"])
+    return _long(vs.knn(idx, emb, K, where=F.col("label") == 3, fill=True))
+
+
+def keyed_search_by_row(spark, sf_dir):
+    """Every query row names the index it meets by that index's key."""
+    emb, idx = _flat(spark, sf_dir, shard=F.col("id") % SHARDS)
+    idx = vs.with_keys(idx)
+    asked = emb.withColumn("shard_id", (F.col("label") % SHARDS).cast("int")).join(vs.index_keys(idx), "shard_id")
+    return _long(vs.knn(idx, asked, K, key_col="index_key"))
+
+
+def stored_index_append(spark, sf_dir):
+    """An index stored with one half of the vectors, the other half appended as a segment of its own."""
+    emb = _emb(spark, sf_dir)
+    idx = vs.train_index(vs.create_index(spark, DIM, "ivf_flat", nlist=NLIST, iterations=ITERS), emb)
+    path = os.path.join(checkpoint_dir(spark), f"index-{uuid.uuid4().hex}")
+    vs.save_index(vs.add_vectors(vs.set_options(idx, nprobe=NPROBE), emb.where("label < 5")), path)
+    vs.append_to_index(spark, path, emb.where("label >= 5"))
+    return _long(vs.knn(vs.load_index(spark, path), emb, K))
+
+
 def _llm() -> tuple[dict, dict]:
     """Queries and SQL of the ``llm`` subpackage and of the pipeline, where they exist."""
     found, sql = {}, {}
-    if importlib.util.find_spec("vecspark.llm") and importlib.util.find_spec("vecspark.llm.queries"):
+    try:
         from vecspark.llm.queries import ORACLES, QUERIES
-        found, sql = dict(QUERIES), dict(ORACLES)
-        if importlib.util.find_spec("corpus_pipeline"):
-            import corpus_pipeline
-            found["pipeline"] = corpus_pipeline.run
-            if corpus_pipeline.ORACLE_SQL is not None:
-                sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ImportError:
+        return found, sql
+    found, sql = dict(QUERIES), dict(ORACLES)
+    try:
+        import corpus_pipeline
+    except ImportError:
+        return found, sql
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found, sql
 
 
@@ -383,6 +422,11 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "build_string_shards": build_string_shards,
         "ivf_global_merge": ivf_global_merge,
         "saved_index_search": saved_index_search,
+        "ivf_range_exact": ivf_range_exact,
+        "sharded_threshold_topk": sharded_threshold_topk,
+        "ivf_knn_tagged": ivf_knn_tagged,
+        "keyed_search_by_row": keyed_search_by_row,
+        "stored_index_append": stored_index_append,
     }
 
 
@@ -601,4 +645,16 @@ def _own_oracle_sql() -> dict[str, str]:
         "sum(vec_id)::BIGINT AS ids FROM embeddings GROUP BY 1")
     sq["ivf_global_merge"] = _with(V, sh_pts, *sh, sh_post) + _topk(f"SELECT query_idx, vector_idx, distance FROM ({sh_pairs})")
     sq["saved_index_search"] = sq["ivf_knn_nprobe2"]
+    sq["stored_index_append"] = sq["ivf_knn_nprobe2"]
+    sq["ivf_range_exact"] = sq["range_flat_l2"]
+    sq["sharded_threshold_topk"] = sq["knn_flat_l2"]
+    sq["keyed_search_by_row"] = _with(V) + _topk(_flat_pairs(where=f"AND x.id % {SHARDS} = q.label % {SHARDS}"))
+    held = f"held AS (SELECT list_id, count(*) FILTER (WHERE v.label = 3) AS n FROM {post} x JOIN v USING (id) GROUP BY list_id)"
+    ranked_lists = (f"lists AS (SELECT q.id AS qid, c.list_id, h.n, row_number() OVER w AS rn, coalesce(sum(h.n) OVER "
+                    f"(PARTITION BY q.id ORDER BY {_dist('q.vec', 'c.c')}, c.list_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
+                    f"AS before FROM v q JOIN {cents} c ON TRUE LEFT JOIN held h USING (list_id) "
+                    f"WINDOW w AS (PARTITION BY q.id ORDER BY {_dist('q.vec', 'c.c')}, c.list_id))")
+    sq["ivf_knn_tagged"] = _with(V, *ivf, held, ranked_lists) + _topk(
+        f"SELECT l.qid AS query_idx, x.id AS vector_idx, {_dist('q.vec', 'x.v')} AS distance FROM lists l JOIN {post} x USING (list_id) "
+        f"JOIN v t ON t.id = x.id JOIN v q ON q.id = l.qid WHERE t.label = 3 AND (l.before < {K} OR l.rn <= 1)")
     return sq

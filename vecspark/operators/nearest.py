@@ -215,7 +215,8 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
             join_keys=(), per_keys=(), strategy: str = "auto",
             items_rows: int | None = None, queries_unique: bool = True, final: bool = True,
             carry_query_vector: bool = False, item_transform=None, item_search=None, shards: int = 1,
-            queries_bound: int | None = None, item_groups: int | None = None, items_table: pa.Table | None = None) -> DataFrame:
+            queries_bound: int | None = None, item_groups: int | None = None, items_table: pa.Table | None = None,
+            limits: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
     """Best partners of each query row among the items (see module doc).
 
     ``queries_unique`` says each ``_qid`` occurs in one query row; then the
@@ -231,7 +232,9 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
     bounds the lists a query has in one task (``per_keys`` groups), for the size
     check; ``queries_bound`` is a known bound of the query rows, which are then
     not counted; ``item_groups`` the number of join groups that exist;
-    ``items_table`` the item side where it is at hand already.
+    ``items_table`` the item side where it is at hand already.  ``limits``
+    (sorted ``_qid``s and distances) are known k-th distances: the
+    ``broadcast_queries`` plan sends nothing on that is farther.
     """
     if (k is None) == (radius is None):
         raise ValueError("give exactly one of k and radius")
@@ -258,7 +261,7 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
                                          kinds, schema, larger, collected, carry_query_vector), queries_unique
     elif strategy == "broadcast_queries":
         out, complete = _broadcast_queries(queries, raw_items, dim, metric, k, radius, join_keys, per_keys,
-                                           kinds, schema, larger, collected, item_transform, item_search, item_groups), False
+                                           kinds, schema, larger, collected, item_transform, item_search, item_groups, limits), False
     elif strategy == "tiled":
         out, complete = _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys,
                                kinds, schema, larger), False
@@ -399,9 +402,13 @@ def _pieces(batches, radius):
 
 
 def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger,
-                       collected=None, item_transform=None, item_search=None, item_groups=None):
+                       collected=None, item_transform=None, item_search=None, item_groups=None, limits=None):
     spark = queries.sparkSession
     side = _collect_side(queries, join_keys, "_qid", "_qv", dim, collected)
+    if limits is not None:
+        place = np.minimum(np.searchsorted(limits[0], side["ids"]), max(0, len(limits[0]) - 1))
+        known = limits[0][place] == side["ids"] if len(limits[0]) else np.zeros(len(side["ids"]), bool)
+        side["limits"] = np.where(known, limits[1][place], -np.inf if larger else np.inf) if len(limits[0]) else None
     bc = spark.sparkContext.broadcast(side)
     reduce_at = 1 << 20
     schema = T.StructType(schema.fields + [queries.schema[c] for c in _labels(queries)])
@@ -434,6 +441,10 @@ def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_ke
                     step = len(qm) if radius is None else max(1, reduce_at // len(sel))
                     for at in range(0, len(qm), step):
                         qi, vi, d = search.search(qm[at:at + step], opened, sel, ids, kv, metric, k, radius)
+                        if qs.get("limits") is not None:
+                            most = qs["limits"][qrows[at + qi]]
+                            near = d >= most if larger else d <= most
+                            qi, vi, d = qi[near], vi[near], d[near]
                         acc.add(qrows[at + qi], [np.full(len(qi), x, np.int64) for x in pv], ids[sel][vi], d)
                         pending += len(qi)
                         if radius is not None and pending > reduce_at:

@@ -4,14 +4,21 @@ Each function returns a new ``VectorIndex``; the tables are DataFrames, so
 a build is a plan until something is written or searched.  ``save_index``
 writes the tables as Parquet (postings range-partitioned on
 ``(shard_id, list_id, id)``, written in ``shard_id`` folders and sorted by
-``list_id`` inside files, so shard filters prune folders and list filters
-skip row groups); ``load_index`` reads them back lazily.
+``list_id`` inside files, in small row groups, so shard filters prune folders
+and list filters skip row groups); ``load_index`` reads them back lazily.
+
+The postings of a stored index are immutable segments, each with statistics
+by list.  A manifest names the segments of a version; it is one small file
+whose rename makes the version visible.  ``append_to_index`` writes a segment
+and then a manifest, so a failed append leaves the version before it as it
+was; ``compact_index`` writes small segments as one.  One writer at a time.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -184,10 +191,18 @@ def add_vectors(index: VectorIndex, df: DataFrame, *, vector_col: str = "vector"
 
     Tag columns are stored next to the vectors for filtered search.
     """
+    new, sharded, table = _new_postings(index, df, vector_col, id_col, order_col, shard, tuple(tag_columns))
+    postings = new if index.extra.get("empty", False) else index.postings.unionByName(new, allowMissingColumns=True)
+    return index.replace(postings=postings, tag_columns=tuple(dict.fromkeys(index.tag_columns + tuple(tag_columns))),
+                         sharded=index.sharded or sharded,
+                         extra=_changed(index, empty=False, **({} if table is None else {"shards": table})))
+
+
+def _new_postings(index: VectorIndex, df: DataFrame, vector_col, id_col, order_col, shard, tags):
+    """Posting rows of new vectors, whether they are sharded, and the key table of a coded shard key."""
     spec = index.spec
     if not index.trained:
         raise ValueError("index must be trained before vectors are added")
-    tags = tuple(tag_columns)
     empty = index.extra.get("empty", False)
     counts = None if (id_col is not None or empty) else index.postings.groupBy("shard_id").agg(
         F.count(F.lit(1)).alias("n"))
@@ -209,12 +224,7 @@ def add_vectors(index: VectorIndex, df: DataFrame, *, vector_col: str = "vector"
         else:
             new = assigned
     cols = ["shard_id", "list_id", "id", *payload_columns(spec), *tags]
-    new = new.select(*cols)
-    old = index.postings
-    postings = new if empty else old.unionByName(new, allowMissingColumns=True)
-    return index.replace(postings=postings, tag_columns=tuple(dict.fromkeys(index.tag_columns + tags)),
-                         sharded=index.sharded or sharded,
-                         extra=_changed(index, empty=False, **({} if table is None else {"shards": table})))
+    return new.select(*cols), sharded, table
 
 
 def build_index(df: DataFrame, dim: int, kind: str = "flat", metric="l2", *, nlist: int = 1,
@@ -235,33 +245,46 @@ def build_index(df: DataFrame, dim: int, kind: str = "flat", metric="l2", *, nli
                        tag_columns=tag_columns)
 
 
-def _content(df: DataFrame, shard_col, columns) -> DataFrame:
-    """``shard_id, part``: row count and two independent order-free sums of row hashes, as text.
+_SUMS = {1: "sum1", 2: "sum2"}
+
+
+def _content(df: DataFrame, by: list[str], columns) -> DataFrame:
+    """``by, n, sum1, sum2``: row count and two independent order-free sums of row hashes.
 
     Sums, unlike exclusive-or, keep repeated rows apart; DECIMAL(38) cannot
-    overflow below 10**18 rows.
+    overflow below 10**18 rows.  Null columns do not enter a hash.
     """
-    def total(seed):
-        return F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)")).cast("string")
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[
+        F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(20,0)")).cast("decimal(38,0)").alias(name)
+        for seed, name in _SUMS.items()])
 
-    return df.groupBy(shard_col.alias("shard_id")).agg(F.concat_ws(
-        "|", F.count(F.lit(1)).cast("string"), total(1), total(2)).alias("part"))
 
+def _added(content: DataFrame) -> DataFrame:
+    """``shard_id, part`` of content rows of any number of segments and lists."""
+    added = content.groupBy("shard_id").agg(F.sum("n").alias("n"), *[F.sum(c).cast("decimal(38,0)").alias(c) for c in _SUMS.values()])
+    return added.select("shard_id", F.concat_ws("|", F.col("n").cast("string"), *[F.col(c).cast("string") for c in _SUMS.values()])
+                        .alias("part"))
 
-def _compute_keys(index: VectorIndex) -> DataFrame:
+
+def _posting_columns(spec: IndexSpec, tags) -> list[str]:
+    return ["list_id", "id", *payload_columns(spec), *tags]
+
+
+def _compute_keys(index: VectorIndex, content: DataFrame | None = None) -> DataFrame:
+    """Keys of the shards; ``content`` is that of the postings where it is stored."""
     spec = index.spec
     desc = json.dumps({"spec": spec.__dict__, "options": index.options.as_map(), "tags": list(index.tag_columns)},
                       sort_keys=True)
-    shard = F.col("shard_id")
-    keys = _content(index.postings, shard, ["list_id", "id", *payload_columns(spec), *index.tag_columns])
-    keys = keys.withColumnRenamed("part", "_p0")
+    if content is None:
+        content = _content(index.postings, ["shard_id"], _posting_columns(spec, index.tag_columns))
+    keys = _added(content).withColumnRenamed("part", "_p0")
     parts = ["_p0"]
     for name, df, columns in (("_p1", index.centroids, ["list_id", "centroid"]),
                               ("_p2", index.codebooks, ["sub", "code", "centroid"])):
         if df is not None:
-            keys = keys.join(_content(df, shard, columns).withColumnRenamed("part", name), "shard_id", "left")
+            keys = keys.join(_added(_content(df, ["shard_id"], columns)).withColumnRenamed("part", name), "shard_id", "left")
             parts.append(name)
-    return keys.select("shard_id", F.md5(F.concat_ws("#", F.lit(desc), shard.cast("string"), *[
+    return keys.select("shard_id", F.md5(F.concat_ws("#", F.lit(desc), F.col("shard_id").cast("string"), *[
         F.coalesce(F.col(p), F.lit("-")) for p in parts])).alias("index_key"))
 
 
@@ -289,59 +312,132 @@ def shards_of_key(index: VectorIndex, key: str) -> list[int]:
 
 
 SAVE_TASK_BYTES = 256 << 20
+ROW_GROUP_BYTES = 8 << 20  # a probe of a few lists skips the row groups of the others
 
 
-def save_index(index: VectorIndex, path: str, mode: str = "error") -> None:
-    spec = index.spec
+def _write_segment(index: VectorIndex, postings: DataFrame, path: str, name: str, mode: str = "error") -> dict:
+    """Write posting rows as a segment with its statistics by list; returns its manifest entry."""
+    spec, spark = index.spec, index.spark
     # Range partitioning on (shard, list, id) keeps tasks balanced even when one
     # shard or list holds a large share of the rows, and leaves every file
-    # sorted by list, so list filters skip row groups.  The number of tasks
-    # follows the counted size.
+    # sorted by list.  The number of tasks follows the counted size.
     row_bytes = 32 + (4 * spec.dim if "vector" in payload_columns(spec) else 0) + (spec.m or 0)
-    n = max(1, int(index.spark.conf.get("spark.sql.shuffle.partitions", "8")),
-            -(-index.postings.count() * row_bytes // SAVE_TASK_BYTES))
-    (index.postings.repartitionByRange(n, "shard_id", "list_id", "id")
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")), -(-postings.count() * row_bytes // SAVE_TASK_BYTES))
+    (postings.repartitionByRange(n, "shard_id", "list_id", "id")
      .sortWithinPartitions("shard_id", "list_id", "id")
-     .write.mode(mode).partitionBy("shard_id").parquet(os.path.join(path, "postings")))
+     .write.mode(mode).option("parquet.block.size", ROW_GROUP_BYTES).partitionBy("shard_id").parquet(os.path.join(path, "postings", f"segment={name}")))
+    tags = [c for c in postings.columns if c in index.tag_columns]
+    # Of the rows as written, read back rather than computed again from their lineage.
+    written = _segments(spark, path, [name], postings.schema)
+    stats = _content(written, ["shard_id", "list_id"], _posting_columns(spec, tags))
+    stats.write.mode(mode).parquet(os.path.join(path, "stats", name))
+    rows = spark.read.schema(stats.schema).parquet(os.path.join(path, "stats", name)).agg(F.sum("n")).first()[0] or 0
+    return {"name": name, "rows": int(rows)}
+
+
+def _commit(spark: SparkSession, path: str, manifest: dict) -> None:
+    """Make a version visible: one file, moved into its place when it is whole."""
+    where = os.path.join(path, "manifests", f"{manifest['epoch']}-{manifest['version']:08d}")
+    spark.createDataFrame([(json.dumps(manifest),)], "manifest string").coalesce(1).write.mode("error").text(where)
+
+
+def _manifest(spark: SparkSession, path: str, epoch: str, version: int | None = None) -> dict:
+    rows = spark.read.text(os.path.join(path, "manifests", f"{epoch}-*")).collect()  # one short row a version
+    known = {m["version"]: m for m in (json.loads(r["value"]) for r in rows)}
+    if version is not None and version not in known:
+        raise ValueError(f"the stored index has no version {version}")
+    return known[max(known) if version is None else version]
+
+
+def save_index(index: VectorIndex, path: str, mode: str = "error") -> None:
+    spec, spark = index.spec, index.spark
+    epoch = uuid.uuid4().hex  # manifests of an index that this one replaces do not count
+    meta = {"spec": spec.__dict__, "options": {"nprobe": index.options.nprobe, "rerank": index.options.rerank},
+            "trained": index.trained, "groups": index.extra.get("groups", 1), "epoch": epoch}
     if index.centroids is not None:
         index.centroids.write.mode(mode).parquet(os.path.join(path, "centroids"))
     if index.codebooks is not None:
         index.codebooks.write.mode(mode).parquet(os.path.join(path, "codebooks"))
-    meta = {"spec": spec.__dict__, "options": {"nprobe": index.options.nprobe, "rerank": index.options.rerank},
-            "tags": list(index.tag_columns), "sharded": index.sharded, "trained": index.trained,
-            "groups": index.extra.get("groups", 1), "coded_shards": "shards" in index.extra}
-    index.spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(mode).json(
-        os.path.join(path, "meta"))
+    segment = _write_segment(index, index.postings, path, "s0", mode)
+    shards = None
     if "shards" in index.extra:
-        index.extra["shards"].write.mode(mode).parquet(os.path.join(path, "shards"))
-    # Keys are those of the tables as written, read back rather than computed again from their lineage.
-    keys = index.extra.get("keys")
-    if keys is None:
-        keys = _compute_keys(_tables(index.spark, path, meta))
-    keys.write.mode(mode).parquet(os.path.join(path, "keys"))
+        shards = "shards"
+        index.extra["shards"].write.mode(mode).parquet(os.path.join(path, shards))
+    spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(mode).json(os.path.join(path, "meta"))
+    _commit(spark, path, {"epoch": epoch, "version": 0, "segments": [segment], "sharded": index.sharded, "shards": shards,
+                          "tags": list(index.tag_columns), "schema": index.postings.schema.jsonValue()})
 
 
-def load_index(spark: SparkSession, path: str) -> VectorIndex:
-    meta = json.loads(spark.read.json(os.path.join(path, "meta")).first()["meta"])
-    index = _tables(spark, path, meta)
-    return index.replace(extra={**index.extra, "keys": spark.read.parquet(os.path.join(path, "keys"))})
+def load_index(spark: SparkSession, path: str, version: int | None = None) -> VectorIndex:
+    """The stored index, in its latest version or in one of those before."""
+    return _opened(spark, path, version)[0]
 
 
-def _tables(spark: SparkSession, path: str, meta: dict) -> VectorIndex:
+def _opened(spark: SparkSession, path: str, version: int | None = None) -> tuple[VectorIndex, dict]:
+    meta = json.loads(spark.read.json(os.path.join(path, "meta")).first()["meta"])
+    manifest = _manifest(spark, path, meta["epoch"], version)
     spec = IndexSpec(**meta["spec"])
-    postings = spark.read.parquet(os.path.join(path, "postings"))
-    postings = postings.select(F.col("shard_id").cast("int"), "list_id", "id", *payload_columns(spec),
-                               *meta["tags"])
+    names = [s["name"] for s in manifest["segments"]]
+    postings = _segments(spark, path, names, T.StructType.fromJson(manifest["schema"]))
     cents = spark.read.schema(CENTROIDS_SCHEMA).parquet(os.path.join(path, "centroids")) \
         if spec.needs_training else None
     books = spark.read.schema(CODEBOOKS_SCHEMA).parquet(os.path.join(path, "codebooks")) \
         if spec.kind == "ivf_pq" else None
     opts = SearchOptions(**{k: v for k, v in meta["options"].items() if v is not None})
     extra = {"groups": meta["groups"], "empty": False, "memo": {}}
-    if meta.get("coded_shards"):
-        extra["shards"] = spark.read.parquet(os.path.join(path, "shards"))
-    return VectorIndex(spark=spark, spec=spec, options=opts, postings=postings, centroids=cents, codebooks=books,
-                       tag_columns=tuple(meta["tags"]), sharded=meta["sharded"], trained=meta["trained"], extra=extra)
+    if manifest["shards"]:
+        extra["shards"] = spark.read.parquet(os.path.join(path, manifest["shards"]))
+    index = VectorIndex(spark=spark, spec=spec, options=opts, postings=postings, centroids=cents, codebooks=books,
+                        tag_columns=tuple(manifest["tags"]), sharded=manifest["sharded"], trained=meta["trained"], extra=extra)
+    content = spark.read.parquet(*[os.path.join(path, "stats", n) for n in names])
+    return index.replace(extra={**extra, "keys": _compute_keys(index, content)}), manifest
+
+
+def _segments(spark: SparkSession, path: str, names: list[str], schema: T.StructType) -> DataFrame:
+    """The rows of segments; a tag column that a segment lacks is NULL there."""
+    root = os.path.join(path, "postings")
+    return (spark.read.option("basePath", root).schema(T.StructType([*schema.fields, T.StructField("segment", T.StringType())]))
+            .parquet(*[os.path.join(root, f"segment={n}") for n in names]).select(*schema.names))
+
+
+def append_to_index(spark: SparkSession, path: str, df: DataFrame, *, vector_col: str = "vector", id_col: str | None = "id",
+                    order_col: str | None = None, shard=None, tag_columns=()) -> int:
+    """Add vectors to a stored index as one more segment; returns the new version.
+
+    As ``add_vectors``, but what is stored already is not written again, nor
+    read (but for its counts by shard where vectors without ids are numbered).
+    """
+    index, old = _opened(spark, path)
+    tags = tuple(tag_columns)
+    new, sharded, table = _new_postings(index, df, vector_col, id_col, order_col, shard, tags)
+    fields = T.StructType.fromJson(old["schema"]).fields
+    schema = T.StructType(fields + [new.schema[t] for t in tags if t not in old["tags"]])
+    index = index.replace(tag_columns=tuple(dict.fromkeys(index.tag_columns + tags)))
+    name = f"s{uuid.uuid4().hex}"
+    segment = _write_segment(index, new, path, name)
+    shards = old["shards"]
+    if table is not None:
+        shards = f"shards-{name}"
+        table.write.parquet(os.path.join(path, shards))
+    _commit(spark, path, {**old, "version": old["version"] + 1, "segments": old["segments"] + [segment], "shards": shards,
+                          "sharded": index.sharded or sharded, "tags": list(index.tag_columns), "schema": schema.jsonValue()})
+    return old["version"] + 1
+
+
+def compact_index(spark: SparkSession, path: str, small_rows: int = 1 << 20) -> int:
+    """Write the segments of fewer than ``small_rows`` rows as one; returns the version in force.
+
+    Versions before it keep their files.
+    """
+    index, old = _opened(spark, path)
+    small = [s for s in old["segments"] if s["rows"] < small_rows]
+    if len(small) < 2:
+        return old["version"]
+    rows = _segments(spark, path, [s["name"] for s in small], T.StructType.fromJson(old["schema"]))
+    merged = _write_segment(index, rows, path, f"s{uuid.uuid4().hex}")
+    kept = [s for s in old["segments"] if s not in small]
+    _commit(spark, path, {**old, "version": old["version"] + 1, "segments": kept + [merged]})
+    return old["version"] + 1
 
 
 def count_vectors(index: VectorIndex) -> int:

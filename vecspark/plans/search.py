@@ -29,19 +29,20 @@ from vecspark.model import VectorIndex, checked_vector, positive_int
 from vecspark.operators import nearest as nn
 from vecspark.operators import pq
 from vecspark.operators.packing import unpack_vectors
-from vecspark.plans.index import shards_of_key
+from vecspark.plans import probing
+from vecspark.plans.index import index_keys, shards_of_key
 from vecspark.session import checkpoint_dir
 
 
 def prepare_queries(queries: DataFrame, dim: int, id_col: str | None = "id",
-                    vector_col: str = "vector", stable: bool = True) -> DataFrame:
+                    vector_col: str = "vector", stable: bool = True, keep=()) -> DataFrame:
     """(_qid, _qv, _qlab, query_vector): validated queries with a row identity.
 
     Each query row gets its own result list; its id is only a label
     (``_qlab``), so ids may repeat.  Without ids the label is NULL, as in the
     reference.  ``_qid`` is ``monotonically_increasing_id()``; with ``stable``
     the rows are written once, so it stays fixed over several uses (the plans
-    that use the queries once do not need that).
+    that use the queries once do not need that).  ``keep`` columns are carried along.
     """
     if id_col is None:
         label = F.lit(None).cast(T.LongType())
@@ -50,7 +51,7 @@ def prepare_queries(queries: DataFrame, dim: int, id_col: str | None = "id",
         label = F.when(c.isNull(), F.raise_error(F.lit("query ids must not be NULL"))).otherwise(c)
     out = queries.select(F.monotonically_increasing_id().alias("_qid"),
                          checked_vector(vector_col, dim, "query vector").alias("_qv"), label.alias("_qlab"),
-                         F.col(vector_col).cast(T.ArrayType(T.FloatType())).alias("query_vector"))
+                         F.col(vector_col).cast(T.ArrayType(T.FloatType())).alias("query_vector"), *keep)
     if stable:
         checkpoint_dir(queries.sparkSession)
         out = out.checkpoint(eager=True)
@@ -72,11 +73,14 @@ def _keyed(df: DataFrame, shards: list[int] | None) -> DataFrame:
 
 def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius: float | None = None,
                scope: str = "global", where: Column | None = None, index_key: str | None = None,
-               nprobe: int | None = None, strategy: str = "auto", final: bool = True) -> DataFrame:
+               nprobe: int | None = None, strategy: str = "auto", final: bool = True, fill: bool = False,
+               exact: bool = False, limits=None) -> DataFrame:
     """Ranked hits ``[shard_id,] _qid, _id, _d, _rank`` for prepared queries.
 
     ``final=False`` (radius search) skips the per-query ranking window; the
-    hits are complete but ``_rank`` is only task-local.
+    hits are complete but ``_rank`` is only task-local.  Queries with a
+    ``shard_id`` column meet that shard alone.  ``fill`` and ``exact`` choose the
+    lists probed (see ``knn`` and ``range_search``), ``limits`` goes to ``nearest``.
     """
     if scope not in ("global", "shard"):
         raise ValueError("scope must be 'global' or 'shard'")
@@ -87,20 +91,28 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
         post = post.where(where)
     shards = None if index_key is None else shards_of_key(index, index_key)
     post = _keyed(post, shards)
-    qs = q.select("_qid", "_qv", "_qlab")
+    own = ["shard_id"] if "shard_id" in q.columns else []
+    qs = q.select(*own, "_qid", "_qv", "_qlab")
     groups = index.extra.get("groups", 1)
-    if spec.kind == "flat":
+    if spec.kind == "flat" or (exact and not probing.lists_fit(index, groups)):  # beyond the budget every list is searched
         items = post.select("shard_id", F.col("id").alias("_id"), F.col("vector").alias("_v"))
-        return nn.nearest(qs, items, dim=spec.dim, metric=spec.metric, k=k, radius=radius,
-                          per_keys=per_keys, strategy=strategy, final=final, shards=groups)
+        return nn.nearest(qs, items, dim=spec.dim, metric=spec.metric, k=k, radius=radius, join_keys=own,
+                          per_keys=per_keys, queries_unique=not own, strategy=strategy, final=final, shards=groups, limits=limits)
     if not index.trained or index.centroids is None:
         raise ValueError(f"an index of kind {spec.kind!r} must be trained before it is searched")
     nprobe = positive_int("nprobe", index.options.nprobe if nprobe is None else nprobe)
     cents = _keyed(index.centroids, shards)
     asked = q.count()
+    if fill or exact:
+        chosen = probing.shell_probe(index, qs, cents, radius) if exact else probing.filled_probe(
+            index, qs, cents, post, k, nprobe, groups)
+        return nn.nearest(chosen, post.select("shard_id", "list_id", F.col("id").alias("_id"), F.col("vector").alias("_v")),
+                          dim=spec.dim, metric=spec.metric, k=k, radius=radius, join_keys=["shard_id", "list_id"],
+                          per_keys=per_keys, queries_unique=False, strategy=strategy, final=final, shards=groups,
+                          queries_bound=asked * groups * spec.nlist, item_groups=groups * spec.nlist)
     probe = nn.nearest(qs, cents.select("shard_id", F.col("list_id").cast("long").alias("_id"), F.col("centroid").alias("_v")),
-                       dim=spec.dim, metric=spec.metric, k=min(nprobe, spec.nlist), per_keys=["shard_id"],
-                       items_rows=groups * spec.nlist, carry_query_vector=True,
+                       dim=spec.dim, metric=spec.metric, k=min(nprobe, spec.nlist), join_keys=own, per_keys=["shard_id"],
+                       queries_unique=not own, items_rows=groups * spec.nlist, carry_query_vector=True,
                        items_table=_centroid_table(index, groups, shards))
     # The probe is as many rows as asked for, so it need not be counted; nor is a list looked for that no query probes.
     bound, known = asked * min(nprobe, spec.nlist) * groups, groups * spec.nlist
@@ -131,7 +143,7 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
     return nn.nearest(qp, items, dim=spec.dim, metric=spec.metric, k=k, radius=radius,
                       join_keys=["shard_id", "list_id"], per_keys=per_keys, queries_unique=False,
                       strategy=strategy, final=final, item_transform=decode, item_search=coded, shards=groups,
-                      queries_bound=bound, item_groups=known)
+                      queries_bound=bound, item_groups=known, limits=limits)
 
 
 def _centroid_table(index: VectorIndex, groups: int, shards: list[int] | None):
@@ -187,26 +199,93 @@ def _long(hits: DataFrame, scope: str, ranked: bool = True) -> DataFrame:
                        F.col("_d").alias("distance"), *rank)
 
 
+def _asked(index: VectorIndex, queries: DataFrame, id_col, vector_col, key_col, stable: bool) -> DataFrame:
+    """Prepared queries; with ``key_col``, one row for each shard that the row's key names (V17)."""
+    if key_col is None:
+        return prepare_queries(queries, index.dim, id_col, vector_col, stable=stable)
+    q = prepare_queries(queries, index.dim, id_col, vector_col, stable=stable, keep=[F.col(key_col).alias("_key")])
+    keys = index_keys(index).select(F.col("index_key").alias("_key"), "shard_id")
+    return q.join(keys, "_key").drop("_key")
+
+
 def knn(index: VectorIndex, queries: DataFrame, k: int, *, id_col: str | None = "id",
         vector_col: str = "vector", scope: str = "global", where: Column | None = None,
-        index_key: str | None = None, nprobe: int | None = None, strategy: str = "auto") -> DataFrame:
-    """The k nearest stored vectors of each query, long form (V11-V13, V18, V20, V21)."""
+        index_key: str | None = None, key_col: str | None = None, nprobe: int | None = None, fill: bool = False,
+        waves: bool = False, strategy: str = "auto") -> DataFrame:
+    """The k nearest stored vectors of each query, long form (V11-V13, V18, V20, V21).
+
+    ``index_key`` names one shard for all queries, ``key_col`` a column with
+    each query's own key; a query whose key is unknown has no hits.  ``fill``
+    (``ivf_flat``) probes as many more lists, nearest first, as hold k vectors
+    that pass ``where``, so each query has k hits wherever k exist.  ``waves``
+    (global scope) searches some shards first and hands their k-th distances
+    to the tasks of the others, which send on nothing farther; the result
+    is the same.
+    """
     k = positive_int("k", k)
-    q = prepare_queries(queries, index.dim, id_col, vector_col, stable=_used_twice(index))
-    hits = candidates(index, q, k=k, scope=scope, where=where, index_key=index_key, nprobe=nprobe,
-                      strategy=strategy)
+    if fill and (index.spec.kind != "ivf_flat" or index_key is not None or key_col is not None):
+        raise ValueError("fill applies to searches of all shards of an ivf_flat index")
+    q = _asked(index, queries, id_col, vector_col, key_col, _used_twice(index) or waves or fill)
+    if waves:
+        if scope != "global" or index.options.rerank is not None:
+            raise ValueError("waves applies to global searches without re-ranking")
+        hits = _in_waves(index, q, k, where, index_key, nprobe, strategy)
+    else:
+        hits = candidates(index, q, k=k, scope=scope, where=where, index_key=index_key, nprobe=nprobe, strategy=strategy,
+                          fill=fill)
     return _long(hits, scope)
 
 
+FIRST_WAVE = 4  # a quarter of the rows
+
+
+def _in_waves(index: VectorIndex, q: DataFrame, k: int, where, index_key, nprobe, strategy) -> DataFrame:
+    """Top k over all shards in two waves of shards.
+
+    The first holds about a quarter of the rows.  Its result, at most k rows a
+    query, is stored; its k-th distances are broadcast where they fit the
+    budget (else the second wave runs without them).
+    """
+    sizes = index.postings.groupBy("shard_id").count().orderBy("shard_id").collect() if index.extra.get("groups", 1) > 1 or index.sharded else []
+    total, first, held = sum(r["count"] for r in sizes), [], 0
+    for r in sizes:
+        if held * FIRST_WAVE < total:
+            first.append(r["shard_id"])
+            held += r["count"]
+    early = index.replace(postings=index.postings.where(F.col("shard_id").isin(first)))
+    late = index.replace(postings=index.postings.where(~F.col("shard_id").isin(first)))
+    if not first or len(first) == len(sizes):
+        return candidates(index, q, k=k, where=where, index_key=index_key, nprobe=nprobe, strategy=strategy)
+    checkpoint_dir(index.spark)
+    got = candidates(early, q, k=k, where=where, index_key=index_key, nprobe=nprobe, strategy=strategy).checkpoint(eager=True)
+    limits = None
+    if 16 * q.count() <= nn.broadcast_budget(index.spark):
+        kth = got.where(F.col("_rank") == k).select("_qid", "_d").toArrow()
+        ids, d = kth.column("_qid").to_numpy(), kth.column("_d").to_numpy()
+        order = ids.argsort()
+        limits = ids[order], d[order]
+    rest = candidates(late, q, k=k, where=where, index_key=index_key, nprobe=nprobe, strategy=strategy, final=False, limits=limits)
+    columns = ["_qid", "_qlab", "_id", "_d"]
+    return nn.rank_final(got.select(*columns).unionByName(rest.select(*columns)), k, [], index.metric == "ip")
+
+
 def range_search(index: VectorIndex, queries: DataFrame, radius: float, *, id_col: str | None = "id",
                  vector_col: str = "vector", scope: str = "global", where: Column | None = None,
-                 index_key: str | None = None, nprobe: int | None = None, strategy: str = "auto") -> DataFrame:
-    """Every stored vector nearer than ``radius`` (``>`` radius for inner product), long form (V15, V16)."""
+                 index_key: str | None = None, key_col: str | None = None, nprobe: int | None = None, exact: bool = False,
+                 strategy: str = "auto") -> DataFrame:
+    """Every stored vector nearer than ``radius`` (``>`` radius for inner product), long form (V15, V16).
+
+    ``exact`` (``ivf_flat``, not inner product) probes every list whose shell,
+    the span of its vectors' distances from its centroid, the ball around the
+    query can meet: all hits, as in a flat search, without reading the other lists.
+    """
     if radius is None:
         raise ValueError("radius is required")
-    q = prepare_queries(queries, index.dim, id_col, vector_col, stable=_used_twice(index))
+    if exact and (index.spec.kind != "ivf_flat" or index.metric == "ip" or index_key is not None or key_col is not None):
+        raise ValueError("exact applies to searches of all shards of an ivf_flat index, for metrics with a triangle inequality")
+    q = _asked(index, queries, id_col, vector_col, key_col, _used_twice(index) or exact)
     hits = candidates(index, q, radius=float(radius), scope=scope, where=where, index_key=index_key,
-                      nprobe=nprobe, strategy=strategy, final=False)
+                      nprobe=nprobe, strategy=strategy, final=False, exact=exact)
     return _long(hits, scope, ranked=False)
 
 
