@@ -109,3 +109,25 @@ def test_query_shape_and_odd_rows(spark):
     assert got[len(ODD)] == got[len(ODD) + 1] == want(1)
     assert all(v is not None for v in got.values())
     assert H.extract(pages.limit(0)).count() == 0
+
+
+def test_an_unclosed_noscript_and_stray_end_tags(spark):
+    from time import process_time
+
+    from vecspark.llm.dom import parse
+    assert [t for _, t in parse("<p>one</p><noscript><img src=x><p>two</p>")[1]] == ["one", "two"]
+    start = process_time()
+    nodes, runs = parse("<div>" * 20_000 + "text" + "</section>" * 20_000)
+    assert len(nodes) == 20_001 and len(runs) == 1 and process_time() - start < 5
+
+
+def test_pages_that_are_all_long_still_train(spark, monkeypatch):
+    monkeypatch.setattr(H, "MOST_SAMPLE_CHARS", 50)
+    body = "".join(f"<p>{prose_of(i)}</p>" for i in range(6))
+    page = f"<html><body><nav><a href=/>Home</a> menu</nav><article>{body}</article><footer>foot</footer></body></html>"
+    got = H.extract(spark.createDataFrame([(1, page)], "page_id bigint, html string")).first()["text"]
+    assert got == " ".join(prose_of(i) for i in range(6))
+
+
+def prose_of(i):
+    return " ".join(f"word{(i * 31 + j * 7) % 97}" for j in range(40)) + "."

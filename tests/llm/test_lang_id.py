@@ -71,3 +71,12 @@ def test_clashing_names_are_refused_and_held_out_is_by_crc32(spark):
     import zlib
     got = {r[0]: r[1] for r in spark.range(200).select("id", L.held_out(F.col("id"))).collect()}
     assert got == {i: zlib.crc32(str(i).encode()) % 4 == 2 for i in range(200)}
+
+
+def test_a_text_of_very_many_rows_neither_hides_languages_nor_crowds_the_driver(spark):
+    df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("la casa es grande y la puerta es pequeña").alias("text"),
+                                    F.when(F.col("id") % 2 == 0, "es").otherwise("en").alias("lang"))
+    assert L.train(df, sample_rows=40).languages == ["en", "es"]
+    for lang in ("es", "en"):
+        drawn, _ = L._sample(df.where(F.col("lang") == lang), 40)
+        assert drawn.count() == 1

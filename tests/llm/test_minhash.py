@@ -122,3 +122,19 @@ def test_null_and_repeated_ids_and_empty_table(spark):
     rows = M.near_duplicates(frame(spark, [t + " x", t], ids=[None, 4]), 3, 85).collect()
     assert sorted((r["component_id"], r["kept"]) for r in rows) == [(4, False), (4, True)]
     assert M.near_duplicates(frame(spark, ["x"]).limit(0)).count() == 0
+
+
+def test_keep_one_judges_rows_not_ids(spark):
+    a, b = prose(1), prose(2)
+    rows = [(1, a), (2, a), (2, b), (3, b), (3, b), (4, None), (4, ""), (5, prose(3))]
+    docs = frame(spark, [t for _, t in rows], ids=[i for i, _ in rows])
+    kept = sorted(((r["doc_id"], r["text"]) for r in M.keep_one(docs).collect()), key=repr)
+    assert kept == sorted([(1, a), (2, b), (4, None), (4, ""), (5, prose(3))], key=repr)
+
+
+def test_strings_that_collide_modulo_a_power_of_two_stay_apart(spark):
+    s = "a"
+    while len(s) < 1024:
+        s += s.translate(str.maketrans("ab", "ba"))
+    texts = [s, s.translate(str.maketrans("ab", "ba"))]
+    assert [r["component_id"] for r in M.near_duplicates(frame(spark, texts), 3, 85).orderBy("doc_id").collect()] == [0, 1]

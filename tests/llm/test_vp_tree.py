@@ -65,3 +65,14 @@ def test_recall_grows_with_the_factor():
 def test_few_or_no_vectors(spark, n):
     rows = [(50 * i, [1.0, float(i)]) for i in range(n)]
     assert search(spark, rows) == {k: v for k, v in brute(rows).items() if v}
+
+
+def test_repeated_rows(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(40)]
+    df = spark.createDataFrame(rows + [rows[10], rows[20], rows[20]], "vec_id bigint, embedding array<double>")
+    want = sorted(map(tuple, V.nearest(spark.createDataFrame(rows, df.schema), df.where("vec_id % 10 = 0").distinct(), 5).collect()))
+    assert sorted(map(tuple, V.nearest(df, df.where("vec_id % 10 = 0"), 5).collect())) == want
+    other = spark.createDataFrame(rows + [(20, rng.normal(size=6).tolist())], df.schema)
+    got = V.nearest(other, other.where("vec_id = 20"), 5).groupBy("rank").count().collect()
+    assert sorted((r["rank"], r["count"]) for r in got) == [(i, 2) for i in range(1, 6)]

@@ -36,15 +36,19 @@ _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}}
 
 
+_BIT = {tag: 1 << i for i, tag in enumerate(sorted(BLOCKS))}
+
+
 class Node:
     """A block element: its own text runs are those of no deeper block."""
 
-    __slots__ = ("tag", "words", "parent", "children", "depth", "chars", "linked", "runs")
+    __slots__ = ("tag", "words", "parent", "children", "depth", "chars", "linked", "runs", "open_tags")
 
     def __init__(self, tag: str, words: list[str], parent: int, depth: int):
         self.tag, self.words, self.parent, self.depth = tag, words, parent, depth
         self.children: list[int] = []
         self.chars = self.linked = self.runs = 0
+        self.open_tags = 0  # a bit for its own element name and those above it
 
 
 def attribute_words(attributes: str) -> list[str]:
@@ -159,7 +163,7 @@ def parse(text: str) -> tuple[list[Node], list[tuple[int, str]]]:
         elif tag in RAW or tag == "head":
             if not closing and not m[3].endswith("/"):
                 stop = re.compile(rf"</{tag}\b[^>]*>" + (r"|(?=<body\b)" if tag == "head" else ""), re.I).search(text, end)
-                end = stop.end() if stop else (size if tag != "head" else end)
+                end = stop.end() if stop else (size if tag not in ("head", "noscript") else end)
                 open_text.append(" ")
         elif tag == "a":
             links = 0 if closing else 1
@@ -172,10 +176,10 @@ def parse(text: str) -> tuple[list[Node], list[tuple[int, str]]]:
             flush()
             links = 0
             if closing:
-                up = at
-                while up > 0 and nodes[up].tag != tag:
-                    up = nodes[up].parent
-                if up > 0:
+                if nodes[at].open_tags & _BIT[tag]:  # an end tag without an open element costs nothing
+                    up = at
+                    while nodes[up].tag != tag:
+                        up = nodes[up].parent
                     at = nodes[up].parent
             else:
                 if nodes[at].tag == "p":  # no block is inside a paragraph
@@ -193,6 +197,7 @@ def parse(text: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 if tag not in VOID:
                     nodes.append(Node(tag, attribute_words(m[3]), at, nodes[at].depth + 1))
                     nodes[at].children.append(len(nodes) - 1)
+                    nodes[-1].open_tags = nodes[at].open_tags | _BIT[tag]
                     at = len(nodes) - 1
     flush()
     return nodes, runs

@@ -232,9 +232,13 @@ def extract(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE
     total = pages.count()
     share = min(1.0, 2.0 * sample_pages / total) if total else 1.0
     point = F.xxhash64(html, F.lit(17)).bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
-    drawn = (pages.where((point <= share) & (F.length(html).between(1, MOST_SAMPLE_CHARS)))
+    short = F.length(html).between(1, MOST_SAMPLE_CHARS)
+    drawn = (pages.where((point <= share) & short)
              .groupBy(html.alias("html")).agg(F.min(point).alias("point")).orderBy("point", "html").limit(sample_pages))
-    model = train([r["html"] for r in drawn.select("html").collect()])
+    sample = [r["html"] for r in drawn.select("html").collect()]
+    if not sample:  # no page is short enough (or the share missed the few that are): the shortest one of all
+        sample = [r["html"] for r in pages.where(F.length(html) > 0).select(html.alias("html")).orderBy(F.length("html"), "html").limit(1).collect()]
+    model = train(sample)
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

@@ -136,18 +136,22 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 120, rate: float = 40.0
 
 
 def _sample(docs: DataFrame, sample_rows: int) -> tuple[DataFrame, int]:
-    """About ``sample_rows`` rows, equally many of each language, by a hash of the text, and that number.
+    """About twice the wanted rows of each language, one of each text, by a hash of the text; and the wanted number.
 
-    A share of the hash range a little above the wanted one is kept, so a
-    bounded number of rows is left to choose from.
+    Copies of a text are one before a share is drawn, so they neither crowd the
+    sample nor the driver, and the share leaves a dozen rows and more, so
+    every language with a usable row is learned.
     """
-    sizes = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    point = F.xxhash64("text", F.lit(41))
+    rows = docs.withColumn("__point", point.bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40))
+    texts = rows.select("lang", point.alias("t")).distinct()
+    sizes = {r["lang"]: r["n"] for r in texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     per_language = max(1, sample_rows // max(1, len(sizes)))
-    point = (F.xxhash64("text", F.lit(41)).bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40))
     share = F.lit(0.0)
     for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, min(1.0, 1.5 * per_language / n)).otherwise(share)
-    return docs.withColumn("__point", point).where(F.col("__point") <= share), per_language
+        share = F.when(F.col("lang") == lang, min(1.0, (1.5 * per_language + 12) / n)).otherwise(share)
+    drawn = rows.where(F.col("__point") <= share).groupBy("lang", "__point", F.xxhash64("text").alias("__text"))
+    return drawn.agg(F.min("text").alias("text")).drop("__text"), per_language
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",

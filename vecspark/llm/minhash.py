@@ -87,7 +87,7 @@ def _set_class(shingles: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n, cls, bands, sketch`` of every row; empty sets have null class."""
+    """``doc_id, n, cls, bands, sketch, k1, k2`` of every row; empty sets have null class, equal rows equal keys."""
 
     def run(batches):
         for batch in batches:
@@ -107,12 +107,19 @@ def signatures(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> Dat
                     sketches.append(odd_sketch(values).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "cls", "bands", "sketch"])
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64())),
+                 batch.column("k1"), batch.column("k2")],
+                names=["doc_id", "n", "cls", "bands", "sketch", "k1", "k2"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *_row_keys(id_col, text_col))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n bigint, cls binary, bands array<bigint>, sketch array<bigint>")
+    return rows.mapInArrow(run, f"doc_id {kind}, n bigint, cls binary, bands array<bigint>, sketch array<bigint>, k1 bigint, k2 bigint")
+
+
+def _row_keys(id_col: str, text_col: str):
+    """``k1, k2``: rows of equal keys have equal ids and texts."""
+    row = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    return F.xxhash64(*row).alias("k1"), F.xxhash64(F.lit(7), *reversed(row)).alias("k2")
 
 
 def _shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -289,6 +296,11 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``."""
+    return _found(docs, shingle, percent, id_col, text_col).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _found(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """The same with each row's component ``comp`` (null for empty sets) and keys ``k1, k2``."""
     sig = stored(signatures(docs, shingle, id_col, text_col), "signatures")
     classes = (sig.where("n > 0").groupBy("cls").agg(
         F.min("doc_id").alias("rep"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"),
@@ -345,25 +357,33 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     last = stored(_confirmed(stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs"), sets, percent), "confirmed")
     if not last.isEmpty():
         comp = components(links.unionAll(last))
-    out = sig.select("doc_id", "n", "cls")
-    out = out.join(comp, out.cls == comp.node, "left").select("doc_id", "n", "cls", F.coalesce("comp", "cls").alias("comp"))
+    out = sig.select("doc_id", "n", "cls", "k1", "k2")
+    out = out.join(comp, out.cls == comp.node, "left").select("doc_id", "n", "cls", "k1", "k2", F.coalesce("comp", "cls").alias("comp"))
     names = out.where("cls is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
     found = out.join(names, "comp", "left")
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("least"))
     return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+                        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"), "comp", "k1", "k2")
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one of the smallest id.
+    """``docs`` with one row of each component: of the smallest id, and of its rows one by a hash.
 
-    Rows that repeat a kept doc_id with the same set stay one row; rows with a
-    null id stay, as nothing names them.
+    So a row that repeats an id with another text is judged by its own text,
+    and of equal rows one stays.  Rows without words stay, and so do rows with
+    a null id, as nothing names them.
     """
-    dropped = (near_duplicates(docs, shingle, percent, id_col, text_col)
-               .where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id"))
-    return docs.join(dropped.distinct().withColumnRenamed("doc_id", id_col), id_col, "left_anti").select(*docs.columns)
+    found = stored(_found(docs, shingle, percent, id_col, text_col).where(
+        F.col("comp").isNotNull() & F.col("doc_id").isNotNull()).select("comp", "doc_id", "k1", "k2"), "found")
+    best = found.groupBy("comp").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("b"))
+    dropped = found.join(best, "comp").where((F.col("k1") != F.col("b.k1")) | (F.col("k2") != F.col("b.k2"))).select("k1", "k2").distinct()
+    twice = found.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("k1", "k2")
+    k1, k2 = _row_keys(id_col, text_col)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), k1, k2).join(dropped, ["k1", "k2"], "left_anti")
+    once = rows.join(twice, ["k1", "k2"], "left_anti")
+    one = rows.join(twice, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    return once.unionAll(one).select("row.*")
 
 
 def op9_minhash(spark, sf_dir: str) -> DataFrame:

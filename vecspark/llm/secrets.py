@@ -11,6 +11,8 @@ windows give equal results anywhere.  A candidate whose best window reaches
 the class's threshold is a span, unless the allow-list suppresses it (known
 examples and digests of nothing, counting-up sequences).  The allow-list
 suppresses a candidate only if no whole window lies beside what it names.
+Candidates of the mixed class that consist of small letters in runs of three
+or more to nearly a half (paths, identifiers, version strings) are no secrets.
 
 All work is local to a row: no shuffle, no Python, and no step is quadratic
 in the text.  Positions are code points, ends exclusive.
@@ -57,6 +59,9 @@ ENTROPY_KINDS = {
     "entropy_lower": ("0-9a-z", ("0-9", "a-z"), "0123456789abcdefghijklmnopqrstuvwxyz", False, 3.24),
     "entropy_upper": ("0-9A-Z", ("0-9", "A-Z"), "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", False, 3.14),
 }
+#: Classes whose candidates may be made of words: from 40 % of the length and three and a half more letters in runs
+#: of three or more on they are; one in 300 random base64 strings of 20 is, fewer of longer ones.
+WORDLIKE = ("entropy_mixed",)
 SCALE = 1_000_000
 #: ``c * log2(c)`` in millionths, for counts of 0 to WINDOW.
 TABLE = [round(SCALE * c * log2(c)) if c else 0 for c in range(WINDOW + 1)]
@@ -142,7 +147,13 @@ def entropy_spans(text: Column, kind: str) -> Column:
     ahead = "".join(f"(?=[{members}]*[{x}])" for x in required)
     pattern = f"(?<![{members}]){ahead}[{members}]{{{WINDOW},}}"
     allowed = "(?i)" + "|".join(ALLOWED)
-    return F.filter(_matches(text, pattern), lambda x: ~x["value"].rlike(allowed) & (
+
+    def no_words(value):
+        if kind not in WORDLIKE:
+            return F.lit(True)
+        return 200 * (F.length(value) - F.length(F.regexp_replace(value, "[a-z]{3,}", ""))) < 80 * F.length(value) + 700
+
+    return F.filter(_matches(text, pattern), lambda x: ~x["value"].rlike(allowed) & no_words(x["value"]) & (
         _concentration(x["value"], alphabet, fold) <= most_concentration(bits)))
 
 
@@ -231,10 +242,11 @@ def _sql() -> str:
         allowed = "|".join(ALLOWED)
         char = "lower(m[i])" if fold else "m[i]"
         has = " AND ".join(f"regexp_matches(m, '[{x}]')" for x in required)
+        words = "200 * (length(m) - length(regexp_replace(m, '[a-z]{3,}', '', 'g'))) < 80 * length(m) + 700" if kind in WORDLIKE else "TRUE"
         low = (f"(SELECT min(z) FROM (SELECT s, sum(round({SCALE} * c * log2(c))) AS z FROM (SELECT s, c1, count(*) AS c FROM "
                f"(SELECT s, {char} AS c1 FROM unnest(range(1, length(m) - {WINDOW} + 2)) AS a(s), "
                f"unnest(range(s, s + {WINDOW})) AS b(i)) GROUP BY s, c1) GROUP BY s)) <= {most_concentration(bits)}")
-        kinds.append((kind, f"[{members}]{{{WINDOW},}}", f"{has} AND NOT regexp_matches(m, '(?i){allowed}') AND {low}"))
+        kinds.append((kind, f"[{members}]{{{WINDOW},}}", f"{has} AND NOT regexp_matches(m, '(?i){allowed}') AND {words} AND {low}"))
     parts = []
     for rank, (kind, pattern, test) in enumerate(kinds):
         test = test.replace("{re}", pattern)

@@ -21,11 +21,15 @@ ties go to the smaller id.
 Defined results: a vector that is null, zero, or has a null or non-finite
 component takes no part, as query or as candidate; vectors of another
 length are never candidates of a query; a query's own rows (equal id) are
-no candidates; null ids take no part.
+no candidates; null ids take no part.  Rows of equal id and vector are one
+row; a row that repeats an id with another vector is a candidate and a query of
+its own, with its own ``k`` ranks.  An empty table gives an empty result; extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import pickle
 
 import numpy as np
@@ -151,6 +155,14 @@ def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
                       & finite & F.exists("vector", lambda x: x != 0))
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """Equal rows as one; only rows of repeated ids are dealt for it."""
+    twice = stored(rows.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("id"), "repeated_ids")
+    if twice.isEmpty():
+        return rows
+    return rows.join(twice, "id", "left_anti").unionAll(rows.join(twice, "id", "left_semi").distinct())
+
+
 def build_trees(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int]:
     """Stored ``shard, dim, tree`` rows and the number of shards."""
     shards = max(1, -(-rows.count() // shard_rows))
@@ -170,9 +182,9 @@ def build_trees(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFram
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, factor: float = 1.0, id_col: str = "vec_id",
             vector_col: str = "embedding", shard_rows: int = SHARD_ROWS, query_block: int = QUERY_BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score`` of each query's ``k`` nearest vectors."""
-    rows = _usable(vectors, id_col, vector_col)
+    rows = _once(_usable(vectors, id_col, vector_col))
     trees, shards = build_trees(rows, shard_rows)
-    asked = _usable(queries, id_col, vector_col).select("id", "vector", F.size("vector").alias("dim"))
+    asked = _once(_usable(queries, id_col, vector_col)).select("id", "vector", F.size("vector").alias("dim"))
     blocks = max(1, -(-asked.count() // query_block))
     packed = (asked.withColumn("block", F.pmod(F.xxhash64("id", F.lit(9)), F.lit(blocks)))
               .groupBy("block", "dim").agg(F.sort_array(F.collect_list(F.struct("id", "vector"))).alias("block_rows"))
@@ -185,13 +197,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, factor: float =
             for i in range(batch.num_rows):
                 tree = pickle.loads(batch.column("tree")[i].as_py())
                 ids = batch.column("ids")[i].values.to_numpy()
-                row, found, score = tree.search(ids, batch.column("values")[i].values.to_numpy().reshape(len(ids), -1), k, factor)
-                yield pa.RecordBatch.from_pydict({"query_id": ids[row], "vec_id": found, "score": score})
+                queries = batch.column("values")[i].values.to_numpy().reshape(len(ids), -1)
+                row, found, score = tree.search(ids, queries, k, factor)
+                own = np.array([int.from_bytes(hashlib.blake2b(v.tobytes(), digest_size=8).digest(), "little", signed=True) for v in queries], dtype=np.int64)
+                yield pa.RecordBatch.from_pydict({"query_id": ids[row], "q": own[row], "vec_id": found, "score": score})
 
     pairs = packed.join(trees, ["shard", "dim"]).select("ids", "values", "tree")
-    found = pairs.mapInArrow(search, f"query_id {kind}, vec_id {kind}, score double")
+    found = pairs.mapInArrow(search, f"query_id {kind}, q bigint, vec_id {kind}, score double")
     # The k best of each query and shard arrive; k of them stay.
-    best = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct(
+    best = found.groupBy("query_id", "q").agg(F.slice(F.array_sort(F.collect_list(F.struct(
         (-F.col("score")).alias("order"), "vec_id", "score"))), 1, k).alias("best"))
     return best.select("query_id", F.posexplode("best").alias("p", "b")).select(
         "query_id", (F.col("p") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), F.col("b.score").alias("score"))
