@@ -57,6 +57,7 @@ from vecspark.llm.words import NONSPACE, PART_BYTES, U64, Words, mix, shingle_ha
 BUCKET = 64
 HUBS = 4
 BLOCK = 512
+REP_BROADCAST = 1 << 21  # ids: 32 MB of numbers
 HELD = 128
 SLICE = 20_000
 MARK_BITS = 29
@@ -188,7 +189,11 @@ def _class_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                 [pa.array([_set_class(x) if len(x) else None for x in found], pa.binary()),
                  pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], names=["cls", "shingles"])
 
-    texts = docs.join(wanted.select("rep").distinct(), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
+    wanted = stored(wanted.select("id", "cls", "rep"), "wanted")
+    reps = wanted.select("rep").distinct()
+    if wanted.count() <= REP_BROADCAST:  # the texts stay where they are
+        reps = F.broadcast(reps)
+    texts = docs.join(reps, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
     # Rows repeating a doc_id with another text are other classes, wanted or not; copies among them are one.
     sets = texts.select("text").mapInArrow(run, "cls binary, shingles array<bigint>").dropDuplicates(["cls"])
     return sets.join(wanted.select("id", "cls"), "cls").select("id", "shingles")
