@@ -9,9 +9,10 @@ centroid by the mean of its rows; an empty list keeps its centroid.
 When the centroids of all groups fit the broadcast budget (they are
 ``groups x nlist x dim`` doubles, known before the job), each iteration is
 one pass over the training rows: a ``mapInArrow`` task assigns its rows and
-adds them up per list, emitting one partial row per list; these rows are
-shuffled by list and added as arrays.  Beyond the budget, rows are assigned
-with the tiled plan of ``nearest``, added up per task, and combined alike.
+adds them up per list, emitting one partial row per list.  Beyond the budget,
+rows are assigned with the tiled plan of ``nearest`` and added up per task.
+The partial sums are added as a tree over the tasks: a round adds those of at
+most ``FAN_IN`` neighbouring tasks for each list, in the order of the tasks.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from vecspark.operators import nearest as nn
 from vecspark.operators.ranking import positions
 from vecspark.session import checkpoint_dir, ensure_importable
 
+FAN_IN = 64  # tasks (or nodes of the round before) whose sums of a list are added in one place
+
 
 def centroids_fit(spark, rows: int, dim: int) -> bool:
     return nn.side_bytes(rows, dim) <= nn.broadcast_budget(spark)
@@ -89,7 +92,7 @@ def assign_lists(df: DataFrame, centroids: DataFrame, *, dim: int, metric: str,
     return df.join(best, "_rid", "left").select(*columns, out_col)
 
 
-def initial_centroids(train: DataFrame, *, nlist: int, group_keys=()) -> DataFrame:
+def initial_centroids(train: DataFrame, *, nlist: int, group_keys=(), groups: int | None = None) -> DataFrame:
     """Rows at evenly spaced positions of each group in id order.
 
     Positions are computed on the keys only; vectors are joined back for the
@@ -99,7 +102,7 @@ def initial_centroids(train: DataFrame, *, nlist: int, group_keys=()) -> DataFra
     if nlist == 1:  # position 0 in id order is the smallest id: no global numbering needed
         chosen = train.groupBy(*group_keys).agg(F.min("_id").alias("_id")).withColumn("list_id", F.lit(0))
         return _vectors_of(chosen, train, group_keys)
-    pos = positions(train, ["_id"], group_keys)
+    pos = positions(train, ["_id"], group_keys, groups=groups)
     counts = pos.groupBy(*group_keys).agg(F.count(F.lit(1)).alias("_n"))
     step = (F.col("list_id") * (F.col("_n") - 1)).cast("long")
     targets = (counts
@@ -151,7 +154,8 @@ def update_centroids(assigned: DataFrame, old: DataFrame, *, dim: int, group_key
                        pa.FixedSizeListArray.from_arrays(pa.array(sums.reshape(-1)), dim).cast(pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keys, "_cnt", "_sum"])
 
-    return combine_sums(rows.mapInArrow(run, schema), old, dim=dim, group_keys=group_keys)
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the assignment ends in a shuffled join
+    return combine_sums(rows.mapInArrow(run, schema), old, dim=dim, group_keys=group_keys, tasks=tasks)
 
 
 def _broadcast_centroids(spark, centroids: DataFrame, dim: int, group_keys):
@@ -229,38 +233,54 @@ def partial_sums(train: DataFrame, centroids: DataFrame, *, dim: int, metric: st
     return train.select(*group_keys, "_v").mapInArrow(run, schema)
 
 
-def combine_sums(partials: DataFrame, old: DataFrame, *, dim: int, group_keys=()) -> DataFrame:
-    """Reduce side of the update: add the partial sums per list and divide.
+def add_sums(sums: DataFrame, keys, *, dim: int, last: bool = False) -> DataFrame:
+    """One round of the tree: the rows ``keys, _task, _cnt, _sum`` of ``FAN_IN`` neighbouring tasks become one per list.
 
-    One row per (task, list) is shuffled by list, its sum as one array; each
-    task adds the arrays of its lists and emits a mean per list.  Rows are
-    added in a fixed order (of their values), so a build is deterministic.
+    The ``last`` round leaves one row a list, whatever the number of tasks was taken to be.
+    Rows arrive sorted, so a task holds one batch and one open sum, and rows
+    are added in a fixed order: a build is deterministic.
     """
-    keys = [*group_keys, "list_id"]
-    types = {f.name: f.dataType for f in partials.schema.fields}
-    schema = T.StructType([T.StructField(k, types[k], True) for k in keys] + [T.StructField("_mean", CENTROID_TYPE, False)])
+    keys = list(keys)
+    node = F.lit(0) if last else F.floor(F.col("_task") / FAN_IN).cast("int")
+    rows = sums.select(*keys, node.alias("_node"), F.col("_task").alias("_order"), "_cnt", "_sum")
+    by = [*keys, "_node"]
+    dealt = rows.repartition(*by).sortWithinPartitions(*by, "_order", "_cnt", "_sum").select(*by, "_cnt", "_sum")
+
+    def emitted(types, where, counts, vecs):
+        arrays = [pa.array(c).cast(t) for c, t in zip(where, types)]
+        arrays += [pa.array(counts, type=pa.int64()),
+                   pa.FixedSizeListArray.from_arrays(pa.array(vecs.reshape(-1)), dim).cast(pa.list_(pa.float64()))]
+        return pa.RecordBatch.from_arrays(arrays, names=[*by, "_cnt", "_sum"])
 
     def run(batches):
-        rows = [rb for rb in batches if rb.num_rows]
-        if not rows:
-            return
-        tbl = pa.Table.from_batches(rows)
-        sums = kernels.list_matrix(tbl.column("_sum"), dim)
-        counts = tbl.column("_cnt").to_numpy().astype(np.float64)
-        cols = [tbl.column(k).to_numpy().astype(np.int64) for k in keys]
-        order = np.lexsort((sums[:, 0], counts, *cols[::-1]))
-        cols = [c[order] for c in cols]
-        new = np.zeros(len(order), dtype=bool)
-        new[0] = True
-        for c in cols:
-            new[1:] |= c[1:] != c[:-1]
-        starts = np.flatnonzero(new)
-        means = np.add.reduceat(sums[order], starts, axis=0) / np.add.reduceat(counts[order], starts)[:, None]
-        arrays = [pa.array(c[starts]).cast(tbl.column(k).type) for c, k in zip(cols, keys)]
-        arrays.append(pa.FixedSizeListArray.from_arrays(pa.array(means.reshape(-1)), dim).cast(pa.list_(pa.float64())))
-        yield pa.RecordBatch.from_arrays(arrays, names=[*keys, "_mean"])
-
-    means = partials.repartition(*keys).mapInArrow(run, schema)
+        held, types = None, None
+        for rb in batches:
+            if not rb.num_rows:
+                continue
+            types = [rb.column(k).type for k in by]
+            where = np.stack([rb.column(k).to_numpy().astype(np.int64) for k in by])
+            counts, vecs = rb.column("_cnt").to_numpy(), kernels.list_matrix(rb.column("_sum"), dim)
+            if held is not None:
+                where, counts, vecs = np.c_[held[0], where], np.r_[held[1], counts], np.r_[held[2], vecs]
+            starts = np.r_[0, np.flatnonzero((where[:, 1:] != where[:, :-1]).any(axis=0)) + 1]
+            where, counts, vecs = where[:, starts], np.add.reduceat(counts, starts), np.add.reduceat(vecs, starts, axis=0)
+            if len(starts) > 1:
+                yield emitted(types, where[:, :-1], counts[:-1], vecs[:-1])
+            held = where[:, -1:], counts[-1:], vecs[-1:]
+        if held is not None:
+            yield emitted(types, *held)
+
+    return dealt.mapInArrow(run, dealt.schema).withColumnRenamed("_node", "_task")
+
+
+def combine_sums(partials: DataFrame, old: DataFrame, *, dim: int, group_keys=(), tasks: int) -> DataFrame:
+    """Reduce side of the update: add the partial sums of ``tasks`` tasks per list and divide."""
+    keys = [*group_keys, "list_id"]
+    sums = partials.withColumn("_task", F.spark_partition_id()).select(*keys, "_task", "_cnt", "_sum")
+    while tasks > FAN_IN:
+        sums, tasks = add_sums(sums, keys, dim=dim), -(-tasks // FAN_IN)
+    sums = add_sums(sums, keys, dim=dim, last=True)
+    means = sums.select(*keys, F.transform("_sum", lambda x: x / F.col("_cnt")).alias("_mean"))
     return (old.join(means, keys, "left")
             .select(*keys, F.coalesce("_mean", "centroid").alias("centroid")))
 
@@ -281,11 +301,12 @@ def kmeans(train: DataFrame, *, dim: int, nlist: int, iterations: int, metric: s
     small = centroids_fit(spark, rows, dim)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cents = _settle(initial_centroids(train, nlist=nlist, group_keys=group_keys), small)
+        cents = _settle(initial_centroids(train, nlist=nlist, group_keys=group_keys, groups=groups), small)
+        tasks = train.rdd.getNumPartitions() if small else None
         for _ in range(iterations):
             if small:
                 part = partial_sums(train, cents, dim=dim, metric=metric, group_keys=group_keys)
-                cents = _settle(combine_sums(part, cents, dim=dim, group_keys=group_keys), small)
+                cents = _settle(combine_sums(part, cents, dim=dim, group_keys=group_keys, tasks=tasks), small)
             else:
                 assigned = assign_lists(train, cents, dim=dim, metric=metric, group_keys=group_keys,
                                         centroid_rows=rows, strategy="tiled")

@@ -70,6 +70,22 @@ def side_bytes(rows: int, dim: int, hits: int = 0) -> int:
     return rows * (8 * dim + 16 + 40 * hits)
 
 
+def sized_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` as a broadcast side where it fits the budget, else as it is (a shuffled join).
+
+    ``rows`` is a known bound of the rows; without it they are counted, strings
+    and binaries with their lengths.
+    """
+    row_bytes = 16 + 16 * len(df.columns)
+    if rows is not None:
+        size = rows * row_bytes
+    else:
+        long = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields
+                if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+        size = df.agg(F.sum(sum(long, F.lit(row_bytes)))).first()[0] or 0
+    return F.broadcast(df) if size <= broadcast_budget(df.sparkSession) else df
+
+
 LABEL = "_qlab"
 
 

@@ -3,7 +3,8 @@
 ``row_number()`` over an unpartitioned window moves every row into one
 task.  Here the rows are range-partitioned on the order keys, numbered in
 place inside each partition, and shifted by the row counts of the earlier
-partitions (a broadcast table with one row per partition and group).  Rows
+partitions (a table with one row per partition and group in it, broadcast
+where it fits the budget).  Rows
 of equal or NULL keys are ordered by a hash of the whole row, which is also
 part of the range bounds, so a key shared by very many rows is split too;
 nothing is joined back on the keys, so no row is ever multiplied or lost.
@@ -20,14 +21,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vecspark.operators.nearest import sized_broadcast
 from vecspark.session import checkpoint_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id(): partition index << 33 | row in partition
 
 
 def with_positions(df: DataFrame, order_cols, group_cols=(), name: str = "_pos",
-                   num_partitions: int | None = None) -> DataFrame:
-    """``df`` with ``name``: the row's 0-based position in ``order_cols`` order within its group."""
+                   num_partitions: int | None = None, groups: int | None = None) -> DataFrame:
+    """``df`` with ``name``: the row's 0-based position in ``order_cols`` order within its group.
+
+    ``groups`` is a known bound of the groups; a group is a range of partitions,
+    so there are at most partitions + groups offsets, which are then not counted.
+    """
     order_cols, group_cols = list(order_cols), list(group_cols)
     spark = df.sparkSession
     if num_partitions is None:
@@ -51,11 +57,12 @@ def with_positions(df: DataFrame, order_cols, group_cols=(), name: str = "_pos",
     same = F.col("_part") == F.col("_p")
     for i, g in enumerate(group_cols):
         same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    joined = tagged.join(F.broadcast(offsets), same)
+    bound = num_partitions + (groups or 0) if groups is not None or not group_cols else None
+    joined = tagged.join(sized_broadcast(offsets, bound), same)
     return joined.select(*columns, (F.col("_offset") + F.col("_local") - F.col("_first")).alias(name))
 
 
 def positions(df: DataFrame, order_cols, group_cols=(), name: str = "_pos",
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, groups: int | None = None) -> DataFrame:
     """``group_cols + order_cols + [name]`` of every row."""
-    return with_positions(df.select(*group_cols, *order_cols), order_cols, group_cols, name, num_partitions)
+    return with_positions(df.select(*group_cols, *order_cols), order_cols, group_cols, name, num_partitions, groups)

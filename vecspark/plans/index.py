@@ -28,6 +28,7 @@ from vecspark.model import (CENTROIDS_SCHEMA, CODEBOOKS_SCHEMA, VECTOR_TYPE, Ind
                             VectorIndex, checked_vector, warn)
 from vecspark.operators import kmeans as km
 from vecspark.operators import pq
+from vecspark.operators.nearest import sized_broadcast
 from vecspark.operators.ranking import with_positions
 
 
@@ -101,13 +102,13 @@ def _shard_column(df: DataFrame, shard, index: VectorIndex | None = None) -> tup
     first = 0
     if known is not None:
         k = known.select(F.col("shard").alias("_k"), F.col("shard_id").alias("_kid"))
-        seen = seen.join(F.broadcast(k), seen["shard"].eqNullSafe(F.col("_k")), "left_anti")
+        seen = seen.join(sized_broadcast(k), seen["shard"].eqNullSafe(F.col("_k")), "left_anti")
         first = (known.agg(F.max("shard_id")).first()[0] or 0) + 1
     numbered = with_positions(seen, ["shard"], name="_n").select(
         (F.col("_n") + F.lit(first)).cast("int").alias("shard_id"), "shard")
     table = numbered if known is None else known.unionByName(numbered)
     t = table.select(F.col("shard").alias("_k"), "shard_id")
-    joined = keyed.join(F.broadcast(t), F.col("_shard_key").eqNullSafe(F.col("_k")), "left").drop("_shard_key", "_k")
+    joined = keyed.join(sized_broadcast(t), F.col("_shard_key").eqNullSafe(F.col("_k")), "left").drop("_shard_key", "_k")
     return joined, True, table
 
 
@@ -132,7 +133,7 @@ def _vectors(df: DataFrame, index: VectorIndex, id_col, vector_col, shard, order
                                        *tags), ["_ord"], ["shard_id"])
         start = F.lit(0).cast("long")
         if numbered_from is not None:
-            out = out.join(F.broadcast(numbered_from), "shard_id", "left")
+            out = out.join(sized_broadcast(numbered_from), "shard_id", "left")
             start = F.coalesce("n", F.lit(0).cast("long"))
         out = out.select("shard_id", (F.col("_pos") + start).alias("id"),
                          checked_vector("_vin", index.dim).alias("vector"), *tags)
