@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 import vecspark as vs  # noqa: E402
 from vecspark.session import checkpoint_dir  # noqa: E402
-from vecspark.sources.tables import embeddings  # noqa: E402
+from vecspark.sources.tables import embeddings, ramp  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -353,6 +353,39 @@ def stored_index_append(spark, sf_dir):
     return _long(vs.knn(vs.load_index(spark, path), emb, K))
 
 
+def _sql_views(spark, sf_dir):
+    """Names of the views of a stored index and of its queries, for SQL text."""
+    emb, idx = _flat(spark, sf_dir)
+    name = f"index_{uuid.uuid4().hex}"
+    path = os.path.join(checkpoint_dir(spark), name)
+    vs.save_index(idx, path)
+    vs.register_sql(spark)
+    vs.register_index(vs.load_index(spark, path), name)
+    emb.createOrReplaceTempView(f"{name}_asked")
+    return name, f"{name}_asked"
+
+
+def sql_knn(spark, sf_dir):
+    """Search of a stored index by SQL text alone."""
+    items, asked = _sql_views(spark, sf_dir)
+    return _long(spark.sql(vs.knn_sql(items, asked, K)))
+
+
+def sql_knn_tagged(spark, sf_dir):
+    items, asked = _sql_views(spark, sf_dir)
+    return _long(spark.sql(vs.knn_sql(items, asked, K, where="label = 3")))
+
+
+def sql_range(spark, sf_dir):
+    items, asked = _sql_views(spark, sf_dir)
+    return _long(spark.sql(vs.range_sql(items, asked, RADIUS)))
+
+
+def series_arrays(spark, sf_dir):
+    """A series of numbers from each row's id, gathered into an array."""
+    return _emb(spark, sf_dir).select("id", ramp("id").alias("vector"))
+
+
 def _llm() -> tuple[dict, dict]:
     """Queries and SQL of the ``llm`` subpackage and of the pipeline, where they exist."""
     found, sql = {}, {}
@@ -397,6 +430,10 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sharded_local_topk": sharded_local_topk,
         "sharded_global_topk": sharded_global_topk,
         "topk_merge_lists": topk_merge_lists,
+        "sql_knn": sql_knn,
+        "sql_knn_tagged": sql_knn_tagged,
+        "sql_range": sql_range,
+        "series_arrays": series_arrays,
         "ivf_centroids": ivf_centroids,
         "ivf_postings": ivf_postings,
         "ivf_knn_nprobe2": ivf_knn_nprobe2,
@@ -577,6 +614,9 @@ def _own_oracle_sql() -> dict[str, str]:
         f"SELECT *, row_number() OVER (PARTITION BY query_idx, shard_id ORDER BY distance, vector_idx) AS ranking "
         f"FROM ({_flat_pairs(shard_expr=f'x.id % {SHARDS}')})) WHERE ranking <= {K}")
     sq["sharded_global_topk"] = sq["knn_flat_l2"]
+    sq["sql_knn"], sq["sql_knn_tagged"], sq["sql_range"] = sq["knn_flat_l2"], sq["knn_tagged"], sq["range_flat_l2"]
+    sq["series_arrays"] = ("SELECT vec_id AS id, (SELECT list(g::FLOAT ORDER BY g) FROM generate_series(vec_id, vec_id + 9) AS t(g)) "
+                           "AS vector FROM embeddings")
     sq["topk_merge_lists"] = _with(V, f"t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_idx "
                                       f"ORDER BY distance, vector_idx) AS ranking FROM ({_flat_pairs()})) "
                                       f"WHERE ranking <= {K})") + (

@@ -6,6 +6,7 @@ partial top-k lists.
 """
 
 from vecspark.functions.codes import code_array
+from vecspark.functions.table import knn_sql, range_sql, register_index, register_sql
 from vecspark.model import IndexSpec, SearchOptions, VectorIndex
 from vecspark.operators.merge import rank_lists, topk_merge
 from vecspark.operators.packing import array_1d_extend, pack_vectors, unpack_vectors
@@ -21,5 +22,6 @@ __all__ = [
     "index_keys", "with_keys", "save_index", "load_index", "append_to_index", "compact_index", "count_vectors", "shard_labels",
     "knn", "range_search", "search", "range_search_arrays", "to_array_form", "from_array_form",
     "search_packed", "range_search_packed",
+    "register_sql", "register_index", "knn_sql", "range_sql",
     "code_array", "pack_vectors", "array_1d_extend", "unpack_vectors", "topk_merge", "rank_lists",
 ]

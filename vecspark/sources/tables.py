@@ -25,7 +25,7 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), F.col("label"))
 
 
-def _ramp(id_col, offset: float = 0.0, width: int = 10):
+def ramp(id_col, offset: float = 0.0, width: int = 10):
     """Vector ``id + offset, id + 1 + offset, ... `` of ``width`` floats."""
     return F.transform(F.sequence(F.col(id_col), F.col(id_col) + (width - 1)),
                        lambda x: x.cast("float") + F.lit(offset).cast("float"))
@@ -33,17 +33,17 @@ def _ramp(id_col, offset: float = 0.0, width: int = 10):
 
 def vector_queried(spark: SparkSession) -> DataFrame:
     """10,000 vectors: id = 0, 10, ..., 99990; vector = id ... id+9."""
-    return spark.range(0, 100000, 10).select(F.col("id"), _ramp("id").alias("vector"))
+    return spark.range(0, 100000, 10).select(F.col("id"), ramp("id").alias("vector"))
 
 
 def vector_query(spark: SparkSession) -> DataFrame:
     """10 queries: id = 0, 10005, ..., 90045; vector = id+0.5 ... id+9.5."""
-    return spark.range(0, 100000, 10005).select(F.col("id"), _ramp("id", 0.5).alias("vector"))
+    return spark.range(0, 100000, 10005).select(F.col("id"), ramp("id", 0.5).alias("vector"))
 
 
 def small_pack_input(spark: SparkSession) -> DataFrame:
     """10 vectors: id = 0, 10, ..., 90; vector = id ... id+9."""
-    return spark.range(0, 100, 10).select(F.col("id"), _ramp("id").alias("vector"))
+    return spark.range(0, 100, 10).select(F.col("id"), ramp("id").alias("vector"))
 
 
 def training_ramp(spark: SparkSession, n_values: int = 2560) -> DataFrame:
