@@ -9,7 +9,8 @@ centroid by the mean of its rows; an empty list keeps its centroid.
 When the centroids of all groups fit the broadcast budget (they are
 ``groups x nlist x dim`` doubles, known before the job), each iteration is
 one pass over the training rows: a ``mapInArrow`` task assigns its rows and
-adds them up per list, emitting one partial row per list.  Beyond the budget,
+adds them up per list, emitting one partial row per list (among very many
+centroids the nearest is found by cells, see ``functions.cells``).  Beyond the budget,
 rows are assigned with the tiled plan of ``nearest`` and added up per task.
 The partial sums are added as a tree over the tasks: a round adds those of at
 most ``FAN_IN`` neighbouring tasks for each list, in the order of the tasks.
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecspark.functions import kernels
+from vecspark.functions import cells, kernels
 from vecspark.model import CENTROID_TYPE
 from vecspark.operators import nearest as nn
 from vecspark.operators.ranking import positions
@@ -52,7 +53,7 @@ def assign_lists(df: DataFrame, centroids: DataFrame, *, dim: int, metric: str,
             centroid_rows = centroids.count()
         strategy = "broadcast" if centroids_fit(spark, centroid_rows, dim) else "tiled"
     if strategy == "broadcast":
-        bc = _broadcast_centroids(spark, centroids, dim, group_keys)
+        bc = _broadcast_centroids(spark, centroids, dim, group_keys, metric)
         out_schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.IntegerType(), True)])
 
         def run(batches):
@@ -69,11 +70,11 @@ def assign_lists(df: DataFrame, centroids: DataFrame, *, dim: int, metric: str,
                         got = cents.get(kv)
                         if got is None:
                             continue
-                        lid, cm = got
+                        lid, cm, layout = got
                         if kv not in preps:
-                            preps[kv] = kernels.prepare_items(cm, metric)
-                        qi, vi, _ = kernels.search_block(vecs[rows], cm, lid, metric, k=1, prep=preps[kv])
-                        out[rows[qi]] = lid[vi]
+                            preps[kv] = cells.Nearest(cm, lid, metric, layout)
+                        found = preps[kv].search(vecs[rows])
+                        out[rows[found >= 0]] = lid[found[found >= 0]]
                 mask = out < 0
                 arr = pa.array(out.astype(np.int32), mask=mask)
                 yield pa.RecordBatch.from_arrays(rb.columns + [arr], names=rb.schema.names + [out_col])
@@ -158,12 +159,14 @@ def update_centroids(assigned: DataFrame, old: DataFrame, *, dim: int, group_key
     return combine_sums(rows.mapInArrow(run, schema), old, dim=dim, group_keys=group_keys, tasks=tasks)
 
 
-def _broadcast_centroids(spark, centroids: DataFrame, dim: int, group_keys):
+def _broadcast_centroids(spark, centroids: DataFrame, dim: int, group_keys, metric: str):
+    """``{group: (list ids, centroids, layout of their cells)}``."""
     tbl = centroids.select(*group_keys, "list_id", "centroid").toArrow()
     keys = [tbl.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in group_keys]
     lists = tbl.column("list_id").to_numpy(zero_copy_only=False).astype(np.int64)
     mat = kernels.list_matrix(tbl.column("centroid"), dim)
-    return spark.sparkContext.broadcast({kv: (lists[rows], mat[rows]) for kv, rows in kernels.group_rows(keys)})
+    return spark.sparkContext.broadcast({kv: (lists[rows], mat[rows], cells.layout(mat[rows], metric))
+                                         for kv, rows in kernels.group_rows(keys)})
 
 
 def partial_sums(train: DataFrame, centroids: DataFrame, *, dim: int, metric: str, group_keys=()) -> DataFrame:
@@ -175,7 +178,7 @@ def partial_sums(train: DataFrame, centroids: DataFrame, *, dim: int, metric: st
     group_keys = list(group_keys)
     spark = train.sparkSession
     ensure_importable(spark)
-    bc = _broadcast_centroids(spark, centroids, dim, group_keys)
+    bc = _broadcast_centroids(spark, centroids, dim, group_keys, metric)
     key_types = {f.name: f.dataType for f in train.schema.fields}
     schema = T.StructType([T.StructField(k, key_types[k], True) for k in group_keys] + [
         T.StructField("list_id", T.IntegerType(), False), T.StructField("_cnt", T.LongType(), False),
@@ -197,13 +200,12 @@ def partial_sums(train: DataFrame, centroids: DataFrame, *, dim: int, metric: st
                 if got is None:
                     raise ValueError(f"no centroids for group {kv}")
                 rows = np.arange(n)[rows]
-                lid, cm = got
+                lid, cm, layout = got
                 if kv not in preps:
-                    preps[kv] = kernels.prepare_items(cm, metric)
-                qi, vi, _ = kernels.search_block(vecs[rows], cm, lid, metric, k=1, prep=preps[kv])
-                if len(qi) != len(rows):
+                    preps[kv] = cells.Nearest(cm, lid, metric, layout)
+                slot = preps[kv].search(vecs[rows])
+                if (slot < 0).any():
                     raise ValueError("k-means: a training vector has NaN or infinite components")
-                slot = vi[np.argsort(qi, kind="stable")]
                 cnt = np.bincount(slot, minlength=len(lid))
                 order = np.argsort(slot, kind="stable")
                 sorted_slot = slot[order]
