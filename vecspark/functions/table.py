@@ -107,7 +107,7 @@ def _search(items, queries, k, radius, metric, where, item_id, query_id, item_ve
     blocks = f"greatest(1, (SELECT ceil(count(*) / {BLOCK_ROWS}) FROM {queries}))"
 
     def side(flag, table, ident, vector, condition, own, own_count, other, other_count):
-        return (f"SELECT {flag} AS is_item, CAST({ident} AS BIGINT) AS id, CAST({vector} AS ARRAY<DOUBLE>) AS vector, "
+        return (f"SELECT {flag} AS is_item, CAST({ident} AS BIGINT) AS id, {vector} AS vector, "
                 f"CAST(pmod(xxhash64({ident}), {own_count}) AS INT) AS {own}, "
                 f"explode(sequence(0, CAST({other_count} - 1 AS INT))) AS {other} FROM {table}{condition}")
 
