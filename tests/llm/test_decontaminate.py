@@ -90,3 +90,26 @@ def test_empty_tables(spark):
     assert D.scan(frame(spark, docs).limit(0), bench(spark, items)).count() == 0
     got = D.scan(frame(spark, docs), bench(spark, items).limit(0)).collect()
     assert len(got) == len(docs) and all(r["n_hit"] == 0 for r in got)
+
+
+def test_blocks_with_hot_texts_and_odd_columns(spark, monkeypatch):
+    """Beyond one broadcast: parts of a hot block, equal texts, items cut in segments, joins without broadcasts."""
+    docs, items = data()
+    docs = docs + [docs[20]] * 300
+    items = items + [(i, "long item " + " ".join(f"u{j * (i % 3 + 1)}" for j in range(70))) for i in range(200, 206)]
+    docs += [items[-1][1].upper(), "zz " + items[-2][1][40:] + " zz", items[-3][1][:60]]
+    want = {i: brute(t, items) for i, t in enumerate(docs)}
+    for small in (1 << 20, 0):
+        monkeypatch.setattr(D, "PART_TEXT", 500)
+        monkeypatch.setattr(D, "SMALL_ROWS", small)
+        monkeypatch.setattr(D, "SMALL_BYTES", small)
+        found = D.scan(frame(spark, docs), bench(spark, items), block_words=25)
+        got = {r["row"]["doc_id"]: (r["n_words"], r["n_hit"], list(r["items"])) for r in found.collect()}
+        assert got == want
+
+
+def test_blocks_and_one_broadcast_cut_the_same_spans(spark):
+    docs, items = data()
+    one, many = ({r["row"]["doc_id"]: r["spans"] for r in D.scan(frame(spark, docs), bench(spark, items), block_words=n).collect()}
+                 for n in (1_000_000, 15))
+    assert one == many

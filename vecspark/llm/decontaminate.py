@@ -13,13 +13,24 @@ Words are compared by 64-bit fingerprints.  A run of words all of which
 occur in some item is found in NumPy first; only such runs of at least the
 shortest window reach the automaton, since every other word resets it.
 
-Items go out in blocks of at most ``BLOCK_WORDS`` words, each a broadcast of
-proven size.  With several blocks each passes over the documents of a batch
-in turn, one automaton in memory at a time, so any number of items works.
+Items are hashed on Spark and written once, long ones in segments that
+overlap by a window less a word.  A benchmark of at most ``BLOCK_WORDS`` words
+is one broadcast, and texts pass its automaton where they are.  Beyond that:
+
+1. Items are dealt to blocks of about that many words.
+2. A bit array of bounded size marks the fingerprints of all item windows;
+   text windows on marked places are joined with the items' to pairs of a
+   text and a block.  Most texts have none and are not moved.
+3. The texts of a block are dealt to parts of about ``PART_TEXT`` bytes, so a
+   block that very many texts hit is many tasks.  A task holds one block's
+   automaton and one part.  Equal texts are scanned once.
+4. Hit ranges and items of all blocks are put together for each text.
 
 Defined results: null texts have no words; an item without words matches
 nothing; a null item_id takes part in hits but is not listed or counted;
-repeated item_ids are listed once; an empty benchmark leaves all clean.
+repeated item_ids are listed once; an empty benchmark leaves all clean;
+repeated rows get equal results; texts are read whole, whatever their length;
+extra columns, of any names, are carried in ``row``.
 """
 
 from __future__ import annotations
@@ -30,11 +41,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecspark.llm.common import parts_of, texts_of
-from vecspark.llm.words import ALNUM, PART_BYTES, Words
+from vecspark.llm.common import parts_of, stored, string_list, texts_of
+from vecspark.llm.jaccard_join import is_marked, marked_places
+from vecspark.llm.words import ALNUM, PART_BYTES, Words, shingle_hashes
 
 WINDOW = 10
 BLOCK_WORDS = 100_000  # under 1 MB of fingerprints, about 100 MB as an automaton
+PART_TEXT = 32 << 20
+SMALL_ROWS, SMALL_BYTES = 1 << 20, 16 << 20  # most keys and most bytes of results that are broadcast
 #: Limits of ``decontaminate``: spans of this many hit words are removed, and a text goes
 #: when at least this share of its words is hit.
 MIN_SPAN = 10
@@ -181,27 +195,31 @@ class _Block:
                         found[int(np.searchsorted(first, a, side="right")) - 1] |= items
 
 
-def _item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> list:
-    """Broadcasts of the items, each of at most ``block_words`` words (one longer item alone)."""
-    sc = benchmark.sparkSession.sparkContext
-    blocks, rows, size = [], [], 0
+def _items(benchmark: DataFrame, window: int, id_col: str, text_col: str, block_words: int) -> DataFrame:
+    """``item, words``: fingerprints of the items' words; every window lies whole in some segment of at most
+    ``block_words`` windows."""
 
-    def close():
-        if rows:
-            blocks.append(sc.broadcast(list(rows)))
-            rows.clear()
+    def run(batches):
+        for batch in batches:
+            texts = texts_of(batch.column("text"))
+            for a, b in parts_of(texts, PART_BYTES):
+                w, row, found = Words(texts[a:b], ALNUM), [], []
+                for i in range(b - a):
+                    own = w.hash[w.text(i)].view(np.int64)
+                    for at in range(0, max(len(own) - window + 1, min(len(own), 1)), block_words):
+                        row.append(a + i), found.append(own[at:at + block_words + window - 1])
+                if row:
+                    ends = np.concatenate(([0], np.cumsum([len(x) for x in found])))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("item").take(pa.array(row)), string_list(np.concatenate(found), ends)], names=["item", "words"])
 
-    for r in benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).toLocalIterator():
-        found = Words([(r["t"] or "").encode()], ALNUM).hash
-        if len(found) == 0:
-            continue
-        if size + len(found) > block_words:
-            close()
-            size = 0
-        rows.append((r["i"], found))
-        size += len(found)
-    close()
-    return blocks
+    rows = benchmark.select(F.col(f"`{id_col}`").cast("string").alias("item"), F.col(f"`{text_col}`").alias("text"))
+    return rows.mapInArrow(run, "item string, words array<bigint>")
+
+
+def _item_rows(items: pa.Table | pa.RecordBatch) -> list[tuple[str | None, np.ndarray]]:
+    words = items.column("words")
+    return [(k.as_py(), np.array(w.values).view(np.uint64)) for k, w in zip(items.column("item"), words, strict=True)]
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text",
@@ -209,49 +227,150 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col:
     """``docs`` (all columns, as struct ``row``) with ``n_words``, ``n_hit``,
     ``items`` (sorted ids) and ``spans`` (code point ``[start, end)`` pairs of
     maximal runs of hit words, each ending with its last word)."""
-    blocks = _item_blocks(benchmark, item_id_col, item_text_col, block_words)
+    items = stored(_items(benchmark, window, item_id_col, item_text_col, block_words), "items")
+    size = items.agg(F.sum(F.size("words") + F.coalesce(F.length("item") / 8, F.lit(0)))).first()[0] or 0
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    if size <= block_words:
+        return _scanned_in_place(packed, items, window)
+    return _scanned_by_blocks(packed, items, window, block_words, int(size))
+
+
+def _result_schema(packed: DataFrame) -> T.StructType:
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
                          T.StructField("words", T.LongType())])
-    schema = T.StructType([
-        T.StructField("row", docs.schema), T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
+    return T.StructType([
+        T.StructField("row", packed.schema["row"].dataType), T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
         T.StructField("items", T.ArrayType(T.StringType())), T.StructField("spans", T.ArrayType(span))])
 
+
+def _result_batch(row: pa.Array, out: list[list]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [row, pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.list_(pa.string())),
+         pa.array(out[3], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("words", pa.int64())])))],
+        names=["row", "n_words", "n_hit", "items", "spans"])
+
+
+def _scanned_in_place(packed: DataFrame, items: DataFrame, window: int) -> DataFrame:
+    shared = packed.sparkSession.sparkContext.broadcast(_item_rows(items.toArrow()))
+
+    def run(batches):
+        block = _Block(shared.value, window) if shared.value else None
+        for batch in batches:
+            texts, out = texts_of(batch.column("text")), [[], [], [], []]
+            for a, b in parts_of(texts, PART_BYTES):
+                w = Words(texts[a:b], ALNUM)
+                hit, found = np.zeros(len(w.hash), dtype=bool), [set() for _ in range(b - a)]
+                if block:
+                    block.scan(w.hash, w.first, hit, found)
+                _collect(out, w, hit, found)
+            yield _result_batch(batch.column("row"), out)
+
+    return packed.mapInArrow(run, _result_schema(packed))
+
+
+def _text_windows(texts: DataFrame, sizes: list[int], marks: np.ndarray) -> DataFrame:
+    """``k1, k2, bytes, key`` of the texts' windows on marked places."""
+    held = texts.sparkSession.sparkContext.broadcast(marks)
+
     def run(batches):
-        only = None
         for batch in batches:
             texts = texts_of(batch.column("text"))
-            out = [[], [], [], []]
-            if len(blocks) <= 1:
-                # one block (or none): each part is cut into words once
-                if blocks and only is None:
-                    only = _Block(blocks[0].value, window)
-                for a, b in parts_of(texts, PART_BYTES):
-                    w = Words(texts[a:b], ALNUM)
-                    hit, found = np.zeros(len(w.hash), dtype=bool), [set() for _ in range(b - a)]
-                    if only is not None:
-                        only.scan(w.hash, w.first, hit, found)
-                    _collect(out, w, hit, found)
-            else:
-                # several: each block's automaton is made once for the batch, and passes over all of its parts
-                parts = list(parts_of(texts, PART_BYTES))
-                marks = [None] * len(parts)
-                for shared in blocks:
-                    block = _Block(shared.value, window)
-                    for i, (a, b) in enumerate(parts):
-                        w = Words(texts[a:b], ALNUM)
-                        if marks[i] is None:
-                            marks[i] = np.zeros(len(w.hash), dtype=bool), [set() for _ in range(b - a)]
-                        block.scan(w.hash, w.first, *marks[i])
-                for (a, b), (hit, found) in zip(parts, marks, strict=True):
-                    _collect(out, Words(texts[a:b], ALNUM), hit, found)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
-                 pa.array(out[2], pa.list_(pa.string())),
-                 pa.array(out[3], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("words", pa.int64())])))],
-                names=["row", "n_words", "n_hit", "items", "spans"])
-
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
-    return packed.mapInArrow(run, schema)
+            for a, b in parts_of(texts, PART_BYTES):
+                w = Words(texts[a:b], ALNUM)
+                text = np.repeat(np.arange(b - a), np.diff(w.first))
+                for n in sizes:
+                    if len(text) < n:
+                        continue
+                    keys, own = shingle_hashes(w.hash, n), text[:len(text) - n + 1]
+                    at = np.flatnonzero((own == text[n - 1:]) & is_marked(held.value, keys))
+                    own = own[at]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("k1").take(pa.array(own + a)), batch.column("k2").take(pa.array(own + a)),
+                         pa.array(np.fromiter(map(len, texts[a:b]), np.int64, b - a)[own]), pa.array(keys[at].view(np.int64))],
+                        names=["k1", "k2", "bytes", "key"])
+
+    return texts.select("k1", "k2", "text").mapInArrow(run, "k1 bigint, k2 bigint, bytes bigint, key bigint")
+
+
+def _block_windows(items: DataFrame, window: int) -> DataFrame:
+    """``key, block, n``: distinct windows of the items, ``n`` words each."""
+
+    def run(batches):
+        for batch in batches:
+            for (_, words), block in zip(_item_rows(batch), batch.column("block").to_pylist(), strict=True):
+                keys = np.unique(shingle_hashes(words, window)).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys), pa.array(np.full(len(keys), block)),
+                     pa.array(np.full(len(keys), min(window, len(words)), dtype=np.int32))], names=["key", "block", "n"])
+
+    return items.mapInArrow(run, "key bigint, block bigint, n int").distinct()
+
+
+def _hits_of_parts(window: int):
+    """The cogroup's function: one block's items, and the texts of one part of those that it may hit."""
+
+    def run(items: pa.Table, texts: pa.Table) -> pa.Table:
+        block, bodies = _Block(_item_rows(items), window), texts_of(texts.column("text").combine_chunks())
+        row, ranges, labels = [], [], []
+        for a, b in parts_of(bodies, PART_BYTES):
+            w = Words(bodies[a:b], ALNUM)
+            hit, found = np.zeros(len(w.hash), dtype=bool), [set() for _ in range(b - a)]
+            block.scan(w.hash, w.first, hit, found)
+            for i in range(b - a):
+                edge = np.flatnonzero(np.diff(np.concatenate(([0], hit[w.text(i)].astype(np.int8), [0]))))
+                if len(edge):
+                    row.append(a + i), ranges.append(edge), labels.append([x for x in found[i] if x is not None])
+        at = pa.array(row, pa.int64())
+        return pa.table([texts.column("k1").take(at), texts.column("k2").take(at), pa.array(ranges, pa.list_(pa.int32())),
+                         pa.array(labels, pa.list_(pa.string()))], names=["k1", "k2", "ranges", "items"])
+
+    return run
+
+
+def _small(df: DataFrame, fits: bool) -> DataFrame:
+    return F.broadcast(df) if fits else df
+
+
+def _scanned_by_blocks(packed: DataFrame, items: DataFrame, window: int, block_words: int, size: int) -> DataFrame:
+    rows = packed.select("row", "text", F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(7), "text").alias("k2"))
+    blocks = -(-size // block_words)
+    items = items.distinct().withColumn("block", F.pmod(F.xxhash64("item", "words"), F.lit(blocks)))
+    windows = stored(_block_windows(items, window), "windows")
+    sizes = [r["n"] for r in windows.select("n").distinct().collect()]  # at most ``window``
+    marks = marked_places(stored(windows.select("key").distinct(), "window_keys"))
+    found = stored(_text_windows(rows, sizes, marks).distinct(), "text_windows")
+    hits = stored(found.join(windows.select("key", "block"), "key").select("k1", "k2", "bytes", "block").distinct(), "hits")
+    parts = hits.groupBy("block").agg(F.ceil(F.sum("bytes") / PART_TEXT).alias("parts"))
+    keys = stored(hits.select("k1", "k2").distinct(), "hit_texts")
+    own = rows.select("k1", "k2", "text").join(_small(keys, keys.count() <= SMALL_ROWS), ["k1", "k2"], "left_semi")
+    own = own.groupBy("k1", "k2").agg(F.first("text").alias("text"))
+    dealt = hits.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("k2"), F.col("parts"))).select("k1", "k2", "block", "part")
+    texts = dealt.join(own, ["k1", "k2"])
+    copies = items.join(parts, "block").select("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"),
+                                               "item", "words")
+    scanned = stored(copies.groupBy("block", "part").cogroup(texts.groupBy("block", "part")).applyInArrow(
+        _hits_of_parts(window), "k1 bigint, k2 bigint, ranges array<int>, items array<string>"), "scanned")
+    weight = scanned.agg(F.sum(64 + 4 * F.size("ranges") + F.aggregate("items", F.lit(0), lambda n, x: n + 8 + F.length(x)))).first()[0] or 0
+    merged = scanned.groupBy("k1", "k2").agg(F.flatten(F.collect_list("ranges")).alias("ranges"),
+                                             F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+
+    def run(batches):
+        for batch in batches:
+            texts, out = texts_of(batch.column("text")), [[], [], [], []]
+            ranges, items = batch.column("ranges"), batch.column("items")
+            for a, b in parts_of(texts, PART_BYTES):
+                w = Words(texts[a:b], ALNUM)
+                hit, labels = np.zeros(len(w.hash), dtype=bool), [set() for _ in range(b - a)]
+                for i in range(b - a):
+                    if ranges[a + i].is_valid:
+                        for x, y in np.array(ranges[a + i].values).reshape(-1, 2):
+                            hit[w.first[i] + x:w.first[i] + y] = True
+                        labels[i].update(items[a + i].as_py())
+                _collect(out, w, hit, labels)
+            yield _result_batch(batch.column("row"), out)
+
+    return rows.join(_small(merged, weight <= SMALL_BYTES), ["k1", "k2"], "left").select("row", "text", "ranges", "items").mapInArrow(
+        run, _result_schema(packed))
 
 
 def _collect(out: list[list], w: Words, hit: np.ndarray, found: list[set]) -> None:

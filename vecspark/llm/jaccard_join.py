@@ -350,7 +350,7 @@ def _outside_links(families: DataFrame, contents: DataFrame, percent: int) -> Da
     return _family_links(rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), F.col("outside"), percent)
 
 
-def _marked_places(shared: DataFrame) -> np.ndarray:
+def marked_places(shared: DataFrame) -> np.ndarray:
     """A bit array with the places of the shared keys (their upper bits) set; at most ``MARK_BITS`` bits whatever their number."""
     count = shared.count()
     bits = min(MARK_BITS, max(16, (8 * count).bit_length()))
@@ -374,9 +374,14 @@ def _marked_places(shared: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
+def is_marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each key's place is set."""
+    place = (keys >> U64(65 - (8 * len(marks)).bit_length())).astype(np.int64)
+    return (marks[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+
+
 def _kept_keys(signed: DataFrame, marks: np.ndarray) -> DataFrame:
     """``id, keys`` with only the keys on marked places; rows without any go."""
-    bits = (8 * len(marks)).bit_length() - 1
     held = signed.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches):
@@ -384,8 +389,7 @@ def _kept_keys(signed: DataFrame, marks: np.ndarray) -> DataFrame:
         for batch in batches:
             keys = batch.column("keys")
             flat, ends = keys.flatten().to_numpy(), keys.offsets.to_numpy() - keys.offsets[0].as_py()
-            place = (flat.view(np.uint64) >> U64(64 - bits)).astype(np.int64)
-            on = (table[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            on = is_marked(table, flat.view(np.uint64))
             sizes = np.diff(np.concatenate(([0], np.cumsum(on)))[ends])
             rows = np.flatnonzero(sizes)
             yield pa.RecordBatch.from_arrays(
@@ -405,7 +409,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_
 
     # Keys that occur once are dropped before any row is dealt by key; copies of one class still count here.
     shared = signed.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    marks = _marked_places(stored(shared, "shared"))
+    marks = marked_places(stored(shared, "shared"))
     kept = _kept_keys(signed, marks).join(classes.select("id"), "id", "left_semi")
     keys = stored(kept.select("id", F.explode("keys").alias("key")), "keys")
     # Buckets of two or more classes, each with a hub; `m` classes share the key.
