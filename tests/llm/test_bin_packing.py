@@ -89,11 +89,31 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert B.pack_documents(docs.limit(0), PATH).count() == 0
 
 
-def test_every_round_runs_when_no_bin_ever_closes(spark):
+def test_one_piece_a_sequence_is_certified_at_once_and_late_rounds_have_ids(spark):
     n = 4 * B.PARTITION_PIECES + 1000
     items = spark.range(n).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "2100 + id % 1500 AS length", "id * 7 AS ids_crc32")
     rows = B.pack(items).selectExpr("count(*)", "count(DISTINCT doc_id)", "count(DISTINCT sequence_id)", "max(offset)",
-                                    "min(sequence_id)", "max(sequence_id)").first()
-    assert tuple(rows)[:4] == (n, n, n, 0)
+                                    "min(sequence_id)", "bool_and(certified)").first()
+    assert tuple(rows)[:4] == (n, n, n, 0) and rows[4] >= 0 and rows[5]
+    late = B._packed(items, 5, B.ROUNDS - 1, B.CAPACITY).selectExpr("count(DISTINCT sequence_id)", "min(sequence_id)", "max(sequence_id)").first()
     rounds = B.PARTITION_BITS + B.BIN_BITS
-    assert rows[4] >> rounds == rows[5] >> rounds == B.ROUNDS - 1
+    assert late[0] == n and late[1] >> rounds == late[2] >> rounds == B.ROUNDS - 1
+
+
+def test_partitions_with_gaps_exchange_until_the_bound_of_all_is_met(spark, monkeypatch):
+    rng = random.Random(5)
+    sizes = [rng.choice([40, 41, 30, 29, 30, 31]) for _ in range(600)]
+    items = spark.createDataFrame([(i, 0, 0, n, i * 31) for i, n in enumerate(sizes)],
+                                  "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint").repartition(3).cache()
+    bound = B.lower_bound(np.array(sizes), 100)
+    monkeypatch.setattr(B, "PARTITION_PIECES", 60)
+    rows = B.pack(items, 100).collect()
+    used = {}
+    for r in rows:
+        used.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert sorted(r["doc_id"] for r in rows) == list(range(600))
+    assert all(sum(n for _, n in x) <= 100 and sorted(x)[0][0] == 0 for x in used.values())
+    one = len(B.best_fit_decreasing(np.sort(sizes)[::-1], 100)[2])
+    assert bound <= len(used) <= one + 12
+    assert len(used) > bound or all(r["certified"] for r in rows)
+    items.unpersist()

@@ -6,16 +6,20 @@
    Each partition packs its pieces best-fit decreasing and computes a lower
    bound from dual feasible functions over its lengths; if both are equal,
    its bin count is certified optimal.
-3. Bins that leave over ``1 / ROOM`` of their space free are opened again:
-   their pieces are exchanged between partitions by another hash and packed
-   again, in ever fewer partitions, until one partition takes the rest, no
-   bin has room, or ``ROUNDS`` are over.
-
-Only counts reach the driver.  A partition holds a bounded number of
+3. A certified partition closes all bins but its emptiest.  A partition with
+   a gap opens its bins that leave over ``1 / ROOM`` of their space free.
+   Pieces of open bins are exchanged between partitions by another hash and
+   packed best-fit decreasing again, in ever fewer partitions, until all bins
+   together are as few as the bound over all lengths (then the whole packing
+   is certified), one partition takes the rest, or ``ROUNDS`` are over.
+
+Only counts reach the driver, by length for the bound over all.  A partition holds a bounded number of
 pieces; no key decides where a piece goes, so there is nothing to skew.
 
 Defined results: a null text is empty and has the end id alone; an empty
-table gives no rows; repeated rows are packed each on its own.
+table gives no rows; repeated rows are packed each on its own; texts are read
+whole, whatever their length; extra columns are ignored; pieces of equal
+length are placed by checksum, id and piece.
 """
 
 from __future__ import annotations
@@ -102,9 +106,11 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     above ``capacity - cut`` as whole bins and drops those below the cut.  The
     second rounds ``(k + 1) * length / capacity`` down unless it is whole.
     """
-    if len(lengths) == 0:
-        return 0
-    count = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+    return bound_of_counts(np.bincount(lengths, minlength=capacity + 1).astype(np.int64), capacity)
+
+
+def bound_of_counts(count: np.ndarray, capacity: int) -> int:
+    """The same of how many pieces there are of each length from 0 to ``capacity``."""
     n_to, sum_to = np.cumsum(count), np.cumsum(count * np.arange(capacity + 1))
     cut = np.arange(1, capacity // 2 + 1)
     large = n_to[capacity] - n_to[capacity - cut]
@@ -133,7 +139,10 @@ def _packed(items: DataFrame, partitions: int, step: int, capacity: int) -> Data
         lengths = rows.column("length").to_numpy()
         bins, offsets, room = best_fit_decreasing(lengths, capacity)
         bound = lower_bound(lengths, capacity)
-        opened = np.array(room) * ROOM > capacity
+        room = np.array(room)
+        opened = room * ROOM > capacity
+        if len(room) == bound:
+            opened &= np.arange(len(room)) == room.argmax()
         base = ((step << PARTITION_BITS) | TaskContext.get().partitionId()) << BIN_BITS
         rows = (rows.append_column("sequence_id", pa.array(base + bins)).append_column("offset", pa.array(offsets))
                 .append_column("bins", pa.array(np.full(len(lengths), len(room), dtype=np.int64)))
@@ -149,23 +158,27 @@ def _packed(items: DataFrame, partitions: int, step: int, capacity: int) -> Data
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Pieces with ``sequence_id`` and ``offset``; ``certified`` tells that the bins of the
-    partition that closed the sequence were as few as its lower bound."""
-    done, rest, step = None, items, 0
-    count = rest.count()
+    """Pieces with ``sequence_id`` and ``offset``; ``certified`` tells that all sequences together are as few as
+    the bound over all lengths, or that those of the partition that closed this one were as few as its own."""
+    lengths = items.groupBy("length").agg(F.count(F.lit(1)).alias("c")).collect()  # at most ``capacity`` rows
+    counts = np.zeros(capacity + 1, dtype=np.int64)
+    for r in lengths:
+        counts[r["length"]] = r["c"]
+    least = bound_of_counts(counts, capacity)
+    done, rest, step, count, closed_bins = None, items, 0, int(counts.sum()), 0
     while True:
         partitions = max(1, -(-count // PARTITION_PIECES))
         placed = stored(_packed(rest, partitions, step, capacity), f"packed{step}")
-        last = partitions == 1 and step > 0 or step + 1 == ROUNDS
+        first = F.col("offset") == 0  # one piece of each bin
+        bins, kept, count = placed.agg(F.count_if(first), F.count_if(first & ~F.col("opened")), F.count_if("opened")).first()
+        whole = closed_bins + bins == least
+        last = whole or count == 0 or partitions == 1 and step > 0 or step + 1 == ROUNDS
         closed = placed if last else placed.where(~F.col("opened"))
         done = closed if done is None else done.unionAll(closed)
         if last:
             break
-        rest, step = placed.where("opened").select(*items.columns), step + 1
-        count = rest.count()
-        if count == 0:
-            break
-    return done.select(*items.columns, "sequence_id", "offset", (F.col("bins") == F.col("bound")).alias("certified"))
+        rest, step, closed_bins = placed.where("opened").select(*items.columns), step + 1, closed_bins + kept
+    return done.select(*items.columns, "sequence_id", "offset", (F.lit(whole) | (F.col("bins") == F.col("bound"))).alias("certified"))
 
 
 def op10_packing(spark, sf_dir: str) -> DataFrame:
