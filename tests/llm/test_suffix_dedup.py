@@ -78,3 +78,44 @@ def test_repeated_rows_and_empty_table(spark):
     got = S.remove_repeats(docs).collect()
     assert [(r["doc_id"], r["n_removed"], bytes(r["kept"])) for r in got] == [(4, 901, b"")] * 2
     assert S.remove_repeats(docs.limit(0)).count() == 0
+
+
+def brute_of_last(batches, length):
+    """``brute`` of the last batch, among all of them."""
+    return brute([t for b in batches for t in b], length)[-len(batches[-1]):] if batches[-1] else []
+
+
+@pytest.mark.parametrize("most", [4000, 1])
+def test_batches_are_judged_against_all_levels(spark, monkeypatch, tmp_path, most):
+    monkeypatch.setattr(S, "MOST_CLASSES", most)
+    rows = texts(3, 40)
+    random.Random(8).shuffle(rows)
+    batches = [rows[:30], rows[30:40], [], rows[40:44], rows[44:48], rows[48:], rows[:3], [None, "short"]]
+    path = str(tmp_path / "index")
+    S.create_index(spark, path, 40)
+    for j, batch in enumerate(batches):
+        # ids repeat from batch to batch, with other texts
+        got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"]))
+               for r in S.add_batch(spark, path, frame(spark, batch)).collect()}
+        assert got == dict(enumerate(brute_of_last(batches[:j + 1], 40))), j
+        sizes = [level["rows"] for level in S.index_state(spark, path)["levels"]]
+        assert all(2 * b <= a for a, b in zip(sizes, sizes[1:]))
+    assert S.index_state(spark, path)["version"] == len(batches) and len(sizes) < 5
+
+
+def test_a_failed_batch_leaves_the_version_before_it(spark, monkeypatch, tmp_path):
+    path, text = str(tmp_path / "index"), "".join(random.Random(1).choices("abc", k=200))
+    S.create_index(spark, path, 40)
+    S.add_batch(spark, path, frame(spark, [text]))
+    before = S.index_state(spark, path)
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(S, "_write_level", fail)
+        with pytest.raises(RuntimeError):
+            S.add_batch(spark, path, frame(spark, ["new " + text]))
+    assert S.index_state(spark, path) == before
+    got = S.add_batch(spark, path, frame(spark, [text[20:120]])).first()
+    assert (got["n_removed"], got["n_spans"]) == (100, 1)

@@ -25,6 +25,7 @@ ORACLES = {
     "op1_secrets": secrets.OP1_SQL,
     "op3_licenses": licenses.OP3_SQL,
     "op4_decontaminate": decontaminate.OP4_SQL,
+    "op6_suffix_dedup": suffix_dedup.OP6_SQL,
     "op8_vp_tree": vp_tree.OP8_SQL,
     "op9_minhash": minhash.OP9_SQL,
     "op11_cover_codes": cover_codes.OP11_SQL,

@@ -23,6 +23,15 @@ starts elsewhere goes; texts are UTF-8 bytes, matches never cross texts.
    their starts are dealt by fingerprint and counted by aggregation.
 4. Removal.  The starts found become byte ranges per class, then per text.
 
+``create_index`` and ``add_batch`` keep the family on disk for documents that
+arrive in batches.  A level is a table of classes in the order of their
+anchors, with a place of each in the stored texts.  A batch is scanned against
+all levels: only classes of its own anchors meet it, and old bytes are read
+only of such with other surroundings.  Then it becomes a level, and levels
+of equal size merge.  A manifest makes a version visible at the end, so a
+failed batch leaves the version before it; levels and texts are never changed.
+One writer at a time.
+
 Strings are compared by 64-bit fingerprints of their bytes.
 
 Defined results: null and short texts lose nothing of their own, except to
@@ -32,9 +41,12 @@ of their own and get equal results; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
+import uuid
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecspark.llm.common import parts_of, stored, string_list, texts_of
@@ -44,6 +56,7 @@ LENGTH = 400
 GRAM = 32
 MOST_CLASSES = 4000
 STARTS_PER_TASK = 4_000_000
+LEVEL = "ahash bigint, chash bigint, n int, places bigint, rep struct<k1: bigint, k2: bigint, a: int>, batch int"
 _PLACE = U64((1 << 24) - 1)
 _SEGMENT = 1 << 23  # starts of one text handled at once
 
@@ -244,20 +257,28 @@ def _counted(contexts: DataFrame, length: int) -> DataFrame:
     return found.select("ahash", "chash", "n", F.flatten(F.transform("ss", lambda s: F.array(s, s + length))).alias("cover"))
 
 
+def _classes(runs: DataFrame) -> DataFrame:
+    return runs.groupBy("ahash", "chash", "n").agg(
+        F.count(F.lit(1)).alias("places"), F.min(F.struct("k1", "k2", "a")).alias("rep"))
+
+
 def repeated_ranges(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     """``k1, k2, ranges``: flat byte ranges of each text to be removed (they may overlap)."""
     runs = stored(_runs(rows, length), "runs")
-    classes = runs.groupBy("ahash", "chash", "n").agg(
-        F.count(F.lit(1)).alias("places"), F.min(F.struct("k1", "k2", "a")).alias("rep"))
     anchors = runs.groupBy("ahash").agg(F.count(F.lit(1)).alias("runs"), (F.min(F.struct("chash", "n"))
                                         != F.max(F.struct("chash", "n"))).alias("several")).where("runs > 1")
-    found = stored(classes.join(anchors, "ahash").drop("runs"), "classes")
+    found = stored(_classes(runs).join(anchors, "ahash").drop("runs"), "classes")
+    wanted = found.where("several").select("ahash", "chash", "n", "rep.*")
+    return _ranges(runs, found, _contexts(rows, wanted, length), length)
+
+
+def _ranges(runs: DataFrame, found: DataFrame, contexts: DataFrame, length: int) -> DataFrame:
+    """Ranges of the texts of ``runs``, given all classes of repeated anchors and the bytes of those that have to be compared."""
     several = found.where("several")
     busy = several.groupBy("ahash").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > MOST_CLASSES).select("ahash")
-    wanted = several.select("ahash", "chash", "n", "rep.*")
-    contexts = stored(_contexts(rows, wanted, length), "contexts")
-    total = wanted.agg(F.sum("n")).first()[0] or 0
-    partitions = max(1, -(-total // STARTS_PER_TASK), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    contexts = stored(contexts, "contexts")
+    total = several.agg(F.sum("n")).first()[0] or 0
+    partitions = max(1, -(-total // STARTS_PER_TASK), int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     detail = _indexed(contexts.join(busy, "ahash", "left_anti"), partitions, length)
     if not busy.isEmpty():
         detail = detail.unionAll(_counted(contexts.join(busy, "ahash", "left_semi"), length))
@@ -285,6 +306,10 @@ def _cut(text: bytes, ranges: np.ndarray) -> tuple[int, int, bytes]:
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (remaining bytes) per row."""
     rows = _keyed(docs, id_col, text_col)
+    return _without(rows, repeated_ranges(rows, length))
+
+
+def _without(rows: DataFrame, ranges: DataFrame) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -298,12 +323,107 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                  pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    joined = rows.join(repeated_ranges(rows, length), ["k1", "k2"], "left").select("doc_id", "text", "ranges")
+    joined = rows.join(ranges, ["k1", "k2"], "left").select("doc_id", "text", "ranges")
     return joined.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
+def _commit(spark: SparkSession, path: str, manifest: dict) -> None:
+    spark.createDataFrame([(json.dumps(manifest),)], "manifest string").coalesce(1).write.mode("error").text(
+        f"{path}/manifests/{manifest['version']:08d}")
+
+
+def index_state(spark: SparkSession, path: str) -> dict:
+    """The manifest in force: ``version``, ``length``, ``batches`` and ``levels`` with their ``rows``, largest first."""
+    rows = spark.read.text(f"{path}/manifests/*").collect()  # one short row a version
+    return max((json.loads(r["value"]) for r in rows), key=lambda m: m["version"])
+
+
+def create_index(spark: SparkSession, path: str, length: int = LENGTH) -> None:
+    """An empty index family in a new folder."""
+    _commit(spark, path, {"version": 0, "length": length, "batches": [], "levels": []})
+
+
+def _level(spark: SparkSession, path: str, name: str) -> DataFrame:
+    return spark.read.schema(LEVEL).parquet(f"{path}/levels/{name}")
+
+
+def _write_level(classes: DataFrame, path: str, name: str) -> int:
+    """Classes in the order of their anchors; returns how many."""
+    spark = classes.sparkSession
+    classes.repartitionByRange("ahash", "chash").sortWithinPartitions("ahash", "chash").write.parquet(f"{path}/levels/{name}")
+    return _level(spark, path, name).count()
+
+
+def _merged(classes: DataFrame) -> DataFrame:
+    """One row for each class; its place is in the newest batch that has it."""
+    return classes.groupBy("ahash", "chash", "n").agg(
+        F.sum("places").alias("places"), F.max(F.struct("batch", "rep")).alias("at")).select(
+        "ahash", "chash", "n", "places", "at.rep", "at.batch")
+
+
+def add_batch(spark: SparkSession, path: str, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Judge a batch against itself and all batches before it, and take it into the index.
+
+    Returns what ``remove_repeats`` returns, for the rows of the batch; batches
+    before are not judged again.  A batch without long texts adds no level.
+    """
+    state = index_state(spark, path)
+    length, number = state["length"], len(state["batches"])
+    rows = stored(_keyed(docs, id_col, text_col), "batch")
+    runs = stored(_runs(rows, length), "runs")
+    own = stored(_classes(runs).withColumn("batch", F.lit(number)), "own")
+    classes = own
+    for level in state["levels"]:  # logarithmically many
+        classes = classes.unionByName(_level(spark, path, level["name"]).join(own.select("ahash").distinct(), "ahash", "left_semi"))
+    classes = stored(_merged(classes), "met")
+    anchors = classes.groupBy("ahash").agg(F.sum("places").alias("runs"), (F.min(F.struct("chash", "n"))
+                                           != F.max(F.struct("chash", "n"))).alias("several")).where("runs > 1")
+    found = stored(classes.join(anchors, "ahash").drop("runs"), "classes")
+    wanted = found.where("several").select("ahash", "chash", "n", "batch", "rep.*")
+    contexts = _contexts(rows, wanted.where(F.col("batch") == number), length)
+    met = [r["batch"] for r in wanted.select("batch").distinct().collect() if r["batch"] != number]  # at most one a batch
+    if met:
+        texts = spark.read.schema("k1 bigint, k2 bigint, text string").parquet(
+            *[f"{path}/texts/{state['batches'][i]}" for i in met])
+        contexts = contexts.unionAll(_contexts(texts, wanted.where(F.col("batch") != number), length))
+    ranges = stored(_ranges(runs, found, contexts, length), "ranges")
+
+    name = uuid.uuid4().hex
+    (rows.where(F.octet_length("text") >= length).groupBy("k1", "k2").agg(F.first("text").alias("text"))
+     .write.option("compression", "zstd").parquet(f"{path}/texts/{name}"))
+    levels = state["levels"]
+    size = own.count()
+    if size:
+        merging = own
+        while levels and 2 * size > levels[-1]["rows"]:
+            merging = merging.unionByName(_level(spark, path, levels[-1]["name"]))
+            size, levels = size + levels[-1]["rows"], levels[:-1]
+        levels = levels + [{"name": name, "rows": _write_level(_merged(merging), path, name)}]
+    _commit(spark, path, {**state, "version": state["version"] + 1, "batches": state["batches"] + [name], "levels": levels})
+    return _without(rows, ranges)
+
+
 def op6_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     from vecspark.llm.common import table
 
     found = remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS x FROM documents),
+starts AS MATERIALIZED (
+  SELECT r, i, md5(x[i + 1:i + 400]) AS h FROM d, unnest(range(0, octet_length(x) - 399)) AS t(i) WHERE octet_length(x) >= 400),
+hits AS MATERIALIZED (SELECT r, i FROM starts JOIN (SELECT h FROM starts GROUP BY h HAVING count(*) > 1) USING (h)),
+steps AS (SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 400, TRUE)::INT AS step FROM hits),
+groups AS (SELECT r, i, sum(step) OVER (PARTITION BY r ORDER BY i) AS g FROM steps),
+spans AS MATERIALIZED (SELECT r, g, min(i) AS a, max(i) + 400 AS b FROM groups GROUP BY r, g),
+pieces AS (
+  SELECT r, a AS place, x[coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) + 1:a] AS piece FROM spans JOIN d USING (r)
+  UNION ALL SELECT r, max(b), any_value(x)[max(b) + 1:octet_length(any_value(x))] FROM spans JOIN d USING (r) GROUP BY r),
+kept AS (SELECT r, unhex(string_agg(hex(piece), '' ORDER BY place)) AS x FROM pieces GROUP BY r),
+removed AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+SELECT doc_id, octet_length(d.x)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(coalesce(kept.x, d.x)) AS kept_sha256
+FROM d LEFT JOIN removed USING (r) LEFT JOIN kept USING (r)
+"""
