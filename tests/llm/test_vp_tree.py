@@ -76,3 +76,12 @@ def test_repeated_rows(spark):
     other = spark.createDataFrame(rows + [(20, rng.normal(size=6).tolist())], df.schema)
     got = V.nearest(other, other.where("vec_id = 20"), 5).groupBy("rank").count().collect()
     assert sorted((r["rank"], r["count"]) for r in got) == [(i, 2) for i in range(1, 6)]
+
+
+def test_query_blocks_are_never_broadcast(spark):
+    """The blocks times the shards are the largest table of the search; as a broadcast they would pass through the driver."""
+    rng = np.random.default_rng(8)
+    rows = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(400)], "vec_id long, embedding array<double>")
+    found = V.nearest(rows, rows.where("vec_id % 50 = 0"), shard_rows=50)
+    assert len(found.collect()) == 40
+    assert "BroadcastExchange" not in found._jdf.queryExecution().executedPlan().toString()

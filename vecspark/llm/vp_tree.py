@@ -202,7 +202,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, factor: float =
                 own = np.array([int.from_bytes(hashlib.blake2b(v.tobytes(), digest_size=8).digest(), "little", signed=True) for v in queries], dtype=np.int64)
                 yield pa.RecordBatch.from_pydict({"query_id": ids[row], "q": own[row], "vec_id": found, "score": score})
 
-    pairs = packed.join(trees, ["shard", "dim"]).select("ids", "values", "tree")
+    # Never a broadcast: the blocks times the shards are far more than the size Spark has measured of the blocks.
+    pairs = packed.hint("merge").join(trees.hint("merge"), ["shard", "dim"]).select("ids", "values", "tree")
     found = pairs.mapInArrow(search, f"query_id {kind}, q bigint, vec_id {kind}, score double")
     # The k best of each query and shard arrive; k of them stay.
     best = found.groupBy("query_id", "q").agg(F.slice(F.array_sort(F.collect_list(F.struct(
