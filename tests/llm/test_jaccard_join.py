@@ -75,3 +75,40 @@ def test_repeated_and_null_ids_and_an_empty_table(spark):
     got = sorted((repr(r["doc_id"]), r["component_id"]) for r in rows)
     assert got == [("5", 5), ("5", 5), ("7", 5), ("9", 5), ("None", 5)]
     assert jj.jaccard_components(frame(spark, [])).count() == 0
+
+
+def test_prefixes_that_occur_twice_are_found_in_packed_ranges(spark, monkeypatch):
+    """Within a row, within a task and across tasks; no row is dealt for each key."""
+    monkeypatch.setattr(jj, "KEYS_HELD", 300)
+    rng = np.random.default_rng(8)
+    once = rng.integers(-2**63, 2**63 - 1, 2000, dtype=np.int64).tolist()
+    twice = rng.integers(-2**63, 2**63 - 1, 50, dtype=np.int64).tolist() + [-1, 0]
+    rows = [once[i::40] + twice[i % 26::26] for i in range(40)] + [twice, twice[:3] * 4, []]
+    shared = jj.shared_prefixes(spark.createDataFrame([(r,) for r in rows], "keys array<bigint>").repartition(3))
+    cut = 64 - jj.PREFIX_BITS
+    assert sorted(r["key"] for r in shared.collect()) == sorted({k >> cut << cut for k in twice})
+    assert "explode" not in shared._jdf.queryExecution().toString()
+
+
+def test_classes_that_share_too_few_keys_are_not_compared(spark):
+    """A common passage gives some equal keys; a link needs as many as the bound leaves of either class."""
+    band = next(i for i, b in enumerate(jj.size_bands(80)) if b[2] >= 20)
+    differ = jj.size_bands(80)[band][2]
+    keys = {1: range(0, 30), 2: range(0, 4), 3: range(26, 30), 4: range(4, 16)}
+    rows = [(256 * k + band, i, i, 2) for i, own in keys.items() for k in own] + [(256 * 99 + band, 4, 4, jj.BUCKET + 1)]
+    members = spark.createDataFrame(rows, "key long, id long, comp long, m long")
+    filled = {1: differ + 5, 2: differ + 4, 3: differ + 3, 4: differ + 13}
+    sketches = spark.createDataFrame([(i, [256 * k + band]) for i, k in filled.items()], "id long, filled array<long>")
+    least = jj._least_shared(sketches, members, 80)
+    assert {r["id"]: r["least"] for r in least.collect()} == {1: 5, 2: 4, 3: 3, 4: 12}
+    pairs = jj._small_pairs(members.where(f"m <= {jj.BUCKET}"), least)
+    assert [tuple(r) for r in pairs.collect()] == [(1, 4)]
+
+
+def test_a_sketch_is_as_long_as_its_bound_asks():
+    rng = np.random.default_rng(4)
+    for n in (3, 60, 250, 4000):
+        a, b = (np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for _ in range(2))
+        differ = next(x[2] for x in jj.size_bands(80) if n <= x[1])
+        assert 8 * len(jj.parity_sketch(a, 80)) <= max(256, 12 * differ)
+        assert n < 30 or jj.hamming(jj.parity_sketch(a, 80), jj.parity_sketch(b, 80)) > 2 * n // 9

@@ -15,15 +15,18 @@ differ in at most ``d * (n_a + n_b)`` shingles.
    are equal and not empty.  A segment's key is the XOR of the whole hashes of
    its shingles, a finer parity than its bits.  ``S`` is chosen so that
    ``k > D`` but for odd cases; where ``k <= D``, all empty segments of the
-   band count as one more key.  Keys are counted with partial aggregation,
-   and those that occur once go before any row is dealt by key: a bit array of
-   at most ``2 ** MARK_BITS`` bits (64 MB) marks the places of the others, and
-   what else falls on a marked place is one more bucket of one.
+   band count as one more key.  Keys that occur once go before any row is
+   dealt by key.  For that, tasks send sorted prefixes of ``PREFIX_BITS`` bits
+   by key range, packed in four bytes each; a bit array of at most
+   ``2 ** MARK_BITS`` bits (64 MB) marks the places of those that occur twice
+   or more, and what else falls on a marked place is one more bucket of one.
 4. Buckets.  Sets of equal content are one class.  Classes sharing a key meet a
    hub of their bucket; the Hamming distance drops most pairs, the others are
    verified on the whole sets, and links join components.  What is left are
    pairs of different components:
-   - in buckets of at most ``BUCKET`` classes they are paired directly;
+   - in buckets of at most ``BUCKET`` classes they are paired directly, where
+     they share as many keys there as the pigeonhole leaves: of ``k``, less
+     ``D`` and less those in larger buckets, of either class;
    - larger buckets are needed only by classes that have too many keys in
      such (``k`` less those at most ``D``): any other class meets each partner in
      a small bucket.  Classes that need them form families over common large
@@ -58,6 +61,8 @@ BUCKET = 64
 HUBS = 4
 BLOCK = 512
 REP_BROADCAST = 1 << 21  # ids: 32 MB of numbers
+PREFIX_BITS, RANGE_BITS = 44, 12  # what is sent of a key, and how much of that its key range says
+KEYS_HELD = 1 << 20  # keys that a task sorts at once
 HELD = 128
 SLICE = 20_000
 MARK_BITS = 29
@@ -67,7 +72,7 @@ _HUB_SALTS = [0x2A5F3C19, 0x15E0D4B7, 0x3B19A6E2, 0x0C7725D8][:HUBS]
 
 @lru_cache(maxsize=8)
 def size_bands(percent: int, most: int = 1 << 33) -> tuple[tuple[int, int, int, int, int], ...]:
-    """``(lo, hi, D, S, log2 of the sketch's bits)`` of each band."""
+    """``(lo, hi, D, S, log2 of the places that the segments cut)`` of each band."""
     out, lo = [], 1
     while lo < most:
         hi = int(lo * _GROWTH)
@@ -105,8 +110,9 @@ def segment_keys(shingles: np.ndarray, band: int, percent: int) -> np.ndarray:
 
 
 def parity_sketch(shingles: np.ndarray, percent: int) -> bytes:
-    """The bit sketch of the set's own band."""
-    bits = next(b[4] for b in size_bands(percent) if len(shingles) <= b[1])
+    """The bit sketch of the set's own band: at least six bits for each of ``D``, where the band has as many places."""
+    differ, places = next((b[2], b[4]) for b in size_bands(percent) if len(shingles) <= b[1])
+    bits = min(places, max(8, (6 * differ - 1).bit_length()))
     flips = np.bincount((shingles & U64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits) & 1
     return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
 
@@ -231,12 +237,33 @@ def _compared(rows: DataFrame, comp: DataFrame) -> DataFrame:
     return rows.join(known, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
 
 
-def _small_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of different components in buckets of at most ``BUCKET`` classes."""
+def _least_shared(sketches: DataFrame, state: DataFrame, percent: int) -> DataFrame:
+    """``id, band, least``: of a set's keys in a band, how many at least are equal in any partner there and in small buckets."""
+    owned = sketches.select("id", F.explode("filled").alias("f")).select(
+        "id", F.col("f").bitwiseAND(F.lit(255)).cast("int").alias("band"), F.shiftright("f", 8).alias("k"))
+    large = state.where(F.col("m") > BUCKET).groupBy("id", _band("key").alias("band")).agg(F.count(F.lit(1)).alias("l"))
+    differ = F.get(F.array(*[F.lit(b[2]) for b in size_bands(percent)]), F.col("band"))
+    return owned.join(large, ["id", "band"], "left").select(
+        "id", "band", (F.col("k") - F.coalesce("l", F.lit(0)) - differ).alias("least"))
+
+
+def _band(key: str):
+    return F.col(key).bitwiseAND(F.lit(255)).cast("int")
+
+
+def _small_pairs(members: DataFrame, least: DataFrame) -> DataFrame:
+    """Pairs of different components that share as many keys of a band, in buckets of at most ``BUCKET`` classes, as links must.
+
+    All common buckets of such a pair are mixed, so every shared key counts.
+    """
     mixed = members.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key")
     rows = members.join(mixed, "key").select("key", "id", "comp")
     other = rows.select("key", F.col("id").alias("b"), F.col("comp").alias("other"))
-    return rows.join(other, "key").where("id < b and comp <> other").select(F.col("id").alias("a"), "b").distinct()
+    pairs = rows.join(other, "key").where("id < b and comp <> other").groupBy(
+        F.col("id").alias("a"), "b", _band("key").alias("band")).agg(F.count(F.lit(1)).alias("c"))
+    for end in ("a", "b"):
+        pairs = pairs.join(least.withColumnRenamed("id", end), [end, "band"]).where(F.col("c") >= F.col("least")).drop("least")
+    return pairs.select("a", "b").distinct()
 
 
 def _family_links(rows: DataFrame, held, percent: int) -> DataFrame:
@@ -350,6 +377,53 @@ def _outside_links(families: DataFrame, contents: DataFrame, percent: int) -> Da
     return _family_links(rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), F.col("outside"), percent)
 
 
+def shared_prefixes(signed: DataFrame) -> DataFrame:
+    """``key``: each prefix of ``PREFIX_BITS`` bits, in the upper bits, that two or more of the ``keys`` have."""
+    ranges, low = 1 << RANGE_BITS, PREFIX_BITS - RANGE_BITS
+
+    def packed(chunk):
+        """Per key range the sorted lower parts; of equal ones, two tell as much as all."""
+        keys = np.sort(np.concatenate(chunk) >> U64(64 - PREFIX_BITS))
+        keys = keys[np.concatenate(([True] * min(2, len(keys)), keys[2:] != keys[:-2]))]
+        ends = np.searchsorted(keys, np.arange(ranges + 1, dtype=U64) << U64(low))
+        lows = (keys & U64((1 << low) - 1)).astype("<u4")
+        some = np.flatnonzero(np.diff(ends))
+        return pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([lows[ends[p]:ends[p + 1]].tobytes() for p in some], pa.binary())],
+                                          names=["p", "v"])
+
+    def send(batches):
+        chunk, size = [], 0
+        for batch in batches:
+            chunk.append(batch.column("keys").flatten().to_numpy().view(np.uint64))
+            size += len(chunk[-1])
+            if size > KEYS_HELD:
+                yield packed(chunk)
+                chunk, size = [], 0
+        if size:
+            yield packed(chunk)
+
+    def repeated(place, parts):
+        lows = np.sort(np.concatenate([np.frombuffer(v, dtype="<u4") for v in parts]))
+        again = np.unique(lows[1:][lows[1:] == lows[:-1]]).astype(U64)
+        keys = (U64(place << low) | again) << U64(64 - PREFIX_BITS)
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], names=["key"])
+
+    def count(batches):
+        place, parts = None, []
+        for batch in batches:
+            for p, v in zip(batch.column("p").to_pylist(), batch.column("v").to_pylist(), strict=True):
+                if p != place:
+                    if parts:
+                        yield repeated(place, parts)
+                    place, parts = p, []
+                parts.append(v)
+        if parts:
+            yield repeated(place, parts)
+
+    sent = signed.where(F.size("keys") > 0).select("keys").mapInArrow(send, "p bigint, v binary")
+    return sent.repartition("p").sortWithinPartitions("p").mapInArrow(count, "key bigint")
+
+
 def marked_places(shared: DataFrame) -> np.ndarray:
     """A bit array with the places of the shared keys (their upper bits) set; at most ``MARK_BITS`` bits whatever their number."""
     count = shared.count()
@@ -408,9 +482,11 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_
     classes = stored(signed.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("id").alias("id")), "classes")
 
     # Keys that occur once are dropped before any row is dealt by key; copies of one class still count here.
-    shared = signed.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    marks = marked_places(stored(shared, "shared"))
-    kept = _kept_keys(signed, marks).join(classes.select("id"), "id", "left_semi")
+    marks = marked_places(stored(shared_prefixes(signed), "shared"))
+    named = classes.select("id")
+    if classes.count() <= REP_BROADCAST:  # the keys stay where they are
+        named = F.broadcast(named)
+    kept = _kept_keys(signed, marks).join(named, "id", "left_semi")
     keys = stored(kept.select("id", F.explode("keys").alias("key")), "keys")
     # Buckets of two or more classes, each with a hub; `m` classes share the key.
     salts = F.array(*[F.lit(s).cast("bigint") for s in _HUB_SALTS])
@@ -430,16 +506,12 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_
     links = links_of(tried)
     comp = components(links)
     state = stored(_compared(members, comp), "state")
-    more = links_of(_small_pairs(state.where(F.col("m") <= BUCKET)).join(tried, ["a", "b"], "left_anti"))
+    least = stored(_least_shared(sketches, state, percent), "least")
+    more = links_of(_small_pairs(state.where(F.col("m") <= BUCKET), least).join(tried, ["a", "b"], "left_anti"))
 
     # Classes that may meet a partner in large buckets alone.
-    large = state.where(F.col("m") > BUCKET).withColumn("band", F.col("key").bitwiseAND(F.lit(255)).cast("int"))
-    owned = sketches.select("id", F.explode("filled").alias("f")).select(
-        "id", F.col("f").bitwiseAND(F.lit(255)).cast("int").alias("band"), F.shiftright("f", 8).alias("k"))
-    differ = F.get(F.array(*[F.lit(b[2]) for b in size_bands(percent)]), F.col("band"))
-    needing = (large.groupBy("id", "band").agg(F.count(F.lit(1)).alias("l")).join(owned, ["id", "band"])
-               .where(F.col("k") - F.col("l") <= differ).select("id", "band"))
-    needed = stored(large.join(needing, ["id", "band"]), "needed")
+    large = state.where(F.col("m") > BUCKET).withColumn("band", _band("key"))
+    needed = stored(large.join(least.where("least <= 0").select("id", "band"), ["id", "band"]), "needed")
     mixed = needed.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key")
     needed = stored(needed.join(mixed, "key"), "needed")
     if not needed.isEmpty():
