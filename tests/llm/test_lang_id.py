@@ -80,3 +80,19 @@ def test_a_text_of_very_many_rows_neither_hides_languages_nor_crowds_the_driver(
     for lang in ("es", "en"):
         drawn, _ = L._sample(df.where(F.col("lang") == lang), 40)
         assert drawn.count() == 1
+
+
+def test_no_more_than_the_wanted_rows_reach_the_driver(spark, monkeypatch):
+    """Of each language its first rows by the hash, in six bytes a feature; the model is the one of those rows."""
+    docs = labelled(spark, 200)
+    drawn, wanted = L._sample(docs.select("text", "lang"), 80)
+    first = L._first(drawn, wanted).collect()
+    by = {lang: sorted(r["__point"] for r in drawn.collect() if r["lang"] == lang)[:wanted] for lang in SYLLABLES}
+    assert {lang: sorted(r["__point"] for r in first if r["lang"] == lang) for lang in SYLLABLES} == by
+    sent, frame_type = [], type(docs)
+    to_arrow = frame_type.toArrow
+    monkeypatch.setattr(frame_type, "toArrow", lambda self: sent.append(to_arrow(self)) or sent[-1])
+    L.train(docs, sample_rows=80)
+    assert [t.num_rows for t in sent] == [4 * wanted]
+    slots, values = (sum(map(len, sent[0].column(c).to_pylist())) for c in ("slots", "values"))
+    assert 2 * slots == values

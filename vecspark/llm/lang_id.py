@@ -13,7 +13,8 @@ on the text alone.
 Training uses a bounded sample: ``sample_rows`` rows (default 4,000), shared
 equally by the languages and drawn evenly by a hash of the text over all
 labelled rows; everything else covers all rows.  The sample's feature rows
-(2**13 counts as sparse bytes) are the only thing that reaches the driver.
+(2**13 counts as sparse bytes, six for each that is not zero) are the only
+thing that reaches the driver.
 
 Defined results: a null or letterless text is ``und`` with score 0; rows
 with null language are not learned from; without labelled rows every text
@@ -25,11 +26,12 @@ from __future__ import annotations
 
 import itertools
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -154,6 +156,12 @@ def _sample(docs: DataFrame, sample_rows: int) -> tuple[DataFrame, int]:
     return drawn.agg(F.min("text").alias("text")).drop("__text"), per_language
 
 
+def _first(drawn: DataFrame, per_language: int) -> DataFrame:
+    """The wanted number of each language's drawn rows, by the same hash: no other's features are computed or sent."""
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("__point", F.xxhash64("text"), "text"))
+    return drawn.withColumn("__rank", rank).where(F.col("__rank") <= per_language).drop("__rank")
+
+
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
           sample_rows: int = SAMPLE_ROWS, ambiguous_below: float = AMBIGUOUS_BELOW) -> Model:
     """Fit on labelled rows (non-null language, text with letters)."""
@@ -164,26 +172,26 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         for batch in batches:
             texts = texts_of(batch.column("text"))
             found = [features(t) for t in texts]
-            kept = [np.flatnonzero(f).astype(np.int32) for f in found]
+            kept = [np.flatnonzero(f).astype(np.uint16) for f in found]
             yield pa.RecordBatch.from_pydict({
                 "lang": batch.column("lang"), "point": batch.column("__point"),
                 "slots": [k.tobytes() for k in kept],
                 "values": [f[k].tobytes() for f, k in zip(found, kept, strict=True)]})
 
-    drawn, per_language = _sample(rows, sample_rows)
-    taken = drawn.mapInArrow(
-        sparse, "lang string, point double, slots binary, values binary").toArrow().to_pylist()
-    taken.sort(key=lambda r: (r["lang"], r["point"], r["slots"]))
-    taken = [r for _, own in itertools.groupby(taken, key=lambda r: r["lang"])
-             for r in itertools.islice(own, per_language)]
-    languages = sorted({r["lang"] for r in taken})
+    taken = _first(*_sample(rows, sample_rows)).mapInArrow(
+        sparse, "lang string, point double, slots binary, values binary").toArrow()
+    langs, points = taken.column("lang").to_pylist(), taken.column("point").to_pylist()
+    order = sorted(range(len(langs)), key=lambda i: (langs[i], points[i], zlib.crc32(taken["slots"][i].as_buffer())))
+    languages = sorted(set(langs))
     book = code_book(len(languages))
     if len(languages) < 2:
         return Model(languages, book, np.zeros((DIMS, 0)), np.zeros(0), np.zeros(0), ambiguous_below)
-    x = np.zeros((len(taken), DIMS), dtype=np.float32)
-    for i, r in enumerate(taken):
-        x[i, np.frombuffer(r["slots"], dtype=np.int32)] = np.frombuffer(r["values"], dtype=np.float32)
-    which = np.array([languages.index(r["lang"]) for r in taken])
+    x = np.zeros((len(order), DIMS), dtype=np.float32)
+    for to, i in enumerate(order):  # from the Arrow buffers: no second copy of the sample is held
+        x[to, np.frombuffer(taken["slots"][i].as_buffer(), dtype=np.uint16)] = np.frombuffer(taken["values"][i].as_buffer(), dtype=np.float32)
+    which = np.array([languages.index(langs[i]) for i in order])
+    del taken
+    pa.default_memory_pool().release_unused()
     y = book[which].astype(np.float32)
     w, b = _logistic(x, y)
     right = (((x @ w + b) > 0) == (y > 0.5)).mean(0)
