@@ -1,4 +1,4 @@
-"""Pairs that can lie within a limit, for a metric without a matrix product.
+"""Pairs that can lie within a limit, for the metrics without a matrix product.
 
 ``Bounds(v, metric).pairs(q, limit)`` returns the pairs of a block whose lower
 bound is within each query's limit: all pairs that are, and a few more, whose
@@ -10,6 +10,10 @@ table of small whole numbers, rounded down; the rows of an item's bytes, all
 queries side by side, add up to a bound once the item's own distance from its
 centres is taken off.  Sums are bytes for ``_RUN`` tables at a time, then two
 bytes.
+
+L-infinity: for each component, bit rows hold the items below each of ``CUTS``
+cuts.  The items of a span are the difference of two rows, those of all spans
+their intersection, 64 items a word.
 """
 
 from __future__ import annotations
@@ -18,8 +22,8 @@ from statistics import NormalDist
 
 import numpy as np
 
-METRICS = ("l1",)
-CELLS = 16
+METRICS = ("l1", "linf")
+CELLS, CUTS = 16, 64
 LARGEST = 1e30  # of the components that are bounded here
 MANY = 0.3  # share of pairs within their bounds beyond which whole distances cost less
 ROWS, ITEMS = 512, 512  # queries and items of a step
@@ -109,11 +113,50 @@ class _Sums:
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+class _Spans:
+    """L-infinity bounds."""
+
+    def __init__(self, v: np.ndarray):
+        n, dim = v.shape
+        self.words = -(-n // 64)
+        sample = np.sort(v[::max(1, n // _SAMPLE)], axis=0)
+        self.edges = np.ascontiguousarray(sample[np.arange(1, CUTS) * len(sample) // CUTS].T)
+        bits = np.zeros((dim, CUTS + 1, 8 * self.words), dtype=np.uint8)
+        cut = np.arange(CUTS + 1, dtype=np.uint8)[:, None]
+        for j in range(dim):
+            cell = np.searchsorted(self.edges[j], v[:, j], side="right").astype(np.uint8)
+            bits[j, :, :-(-n // 8)] = np.packbits(cell < cut, axis=1, bitorder="little")
+        self.below = bits.view("<u8")
+        self.most = float(np.abs(v).max(initial=0.0))
+
+    def pairs(self, q: np.ndarray, limit: np.ndarray):
+        # more than what rounding of the spans' ends and of the distances takes
+        reach = limit + 1e-9 * (np.abs(limit) + np.abs(q).max(axis=1, initial=0.0) + self.most) + 1e-300
+        both, row, low = (np.empty((len(q), self.words), dtype=np.uint64) for _ in range(3))
+        for j in range(q.shape[1]):
+            start = np.searchsorted(self.edges[j], q[:, j] - reach, side="right")
+            end = np.searchsorted(self.edges[j], q[:, j] + reach, side="right") + 1
+            end = np.maximum(start, end)  # nothing within a negative limit
+            np.take(self.below[j], end, axis=0, out=row, mode="clip")
+            np.take(self.below[j], start, axis=0, out=low, mode="clip")
+            np.bitwise_xor(row, low, out=row)
+            if j:
+                np.bitwise_and(both, row, out=both)
+            else:
+                both, row = row, both
+        qi, word = np.nonzero(both)
+        bits = both[qi, word]
+        if int(np.bitwise_count(bits).sum(dtype=np.int64)) > MANY * len(q) * 64 * self.words:
+            return None
+        at, bit = np.nonzero(np.unpackbits(bits.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+        return qi[at], 64 * word[at] + bit
+
+
 class Bounds:
     """Bounds of the items ``v`` (finite, of components up to ``LARGEST``); made once for many query blocks."""
 
     def __init__(self, v: np.ndarray, metric: str):
-        self.kind = _Sums(v)
+        self.kind = (_Sums if metric == "l1" else _Spans)(v)
 
     def pairs(self, q: np.ndarray, limit: np.ndarray):
         """``(query rows, item rows)`` of all pairs with a distance up to ``limit`` and some others; None where these are many."""
