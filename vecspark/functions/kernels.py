@@ -209,6 +209,16 @@ def _search_whole(q, v, ids, metric, k, radius, prep, limit):
     out_q, out_v, out_d = [], [], []
     for s in range(0, nq, step):
         qc = q[s:s + step]
+        near = None if radius is None or metric not in ("l2", "ip") else _radius_pairs(qc, metric, radius, prep)
+        if near is not None:
+            qi, vi = near
+            exact = _pairs_exact(qc, v, qi, vi, metric)
+            hit = (exact > radius) if larger else (exact < radius)
+            qi, vi, exact = rank_pairs(qi[hit], vi[hit], exact[hit], ids, k, larger)
+            out_q.append(qi + s)
+            out_v.append(vi)
+            out_d.append(exact)
+            continue
         known = None  # no partner farther than this is asked for
         if radius is not None and not larger:
             known = np.full(len(qc), float(radius))
@@ -242,6 +252,25 @@ def _search_whole(q, v, ids, metric, k, radius, prep, limit):
     return np.concatenate(out_q), np.concatenate(out_v), np.concatenate(out_d)
 
 
+def _radius_pairs(q, metric, radius, prep):
+    """Pairs that may be within a radius, by one matrix product in single precision (the norms, the radius and the
+    error of the sums are further columns); None where that error would be a large part of the radius."""
+    v, vn, dim = prep["v"], prep["vn"], q.shape[1]
+    qn = np.einsum("ij,ij->i", q, q)
+    size = np.sqrt(qn) * np.sqrt(vn.max()) if metric == "ip" else (np.sqrt(qn) + np.sqrt(vn.max())) ** 2
+    error = np.finfo(np.float32).eps * (dim + 8) * (size + abs(radius))
+    if not 1e-20 < abs(radius) < 1e20 or error.max() > 0.01 * abs(radius):
+        return None
+    if "single" not in prep:
+        ones = np.ones(len(v))
+        prep["single"] = np.column_stack((-v, ones, ones) if metric == "ip" else (-2 * v, vn, ones)).astype(np.float32)
+    rest = (np.zeros(len(q)), radius - error) if metric == "ip" else (np.ones(len(q)), qn - radius - error)
+    s = np.column_stack((q, *rest)).astype(np.float32) @ prep["single"].T
+    near = np.flatnonzero(s.reshape(-1) < 0)
+    qi = near // len(v)
+    return qi, near - qi * len(v)
+
+
 def _boundable(q, v, metric, vn) -> bool:
     """Whether bounds are worth making: enough items and queries share them."""
     if metric not in bounds.METRICS or not 4 <= q.shape[1] <= 1024 or len(v) < _LEAST or len(q) < 64:

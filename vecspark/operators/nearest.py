@@ -58,7 +58,10 @@ DEFAULT_TILE_BYTES = 32 << 20
 TILE_PAIRS = 20_000_000  # work below which a tile is not cut further for the sake of more tasks
 RADIUS_BLOCK = 512  # rows of a streamed batch searched at once in a radius search
 REDUCE_AT = 1 << 19  # hits of a radius search that leave a task at once
+GATHER_AT = 1 << 20  # hits that leave a task as arrays at once
 SCAN_RANGES = 8
+ARRAYS = T.StructType([T.StructField("_qid", T.LongType(), False), T.StructField("_ids", T.ArrayType(T.LongType())),
+                       T.StructField("_ds", T.ArrayType(T.DoubleType()))])
 
 
 def _conf_int(spark, key: str, default: int) -> int:
@@ -242,7 +245,7 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
             items_rows: int | None = None, queries_unique: bool = True, final: bool = True,
             carry_query_vector: bool = False, item_transform=None, item_search=None, shards: int = 1,
             queries_bound: int | None = None, item_groups: int | None = None, items_table: pa.Table | None = None,
-            limits: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+            limits: tuple[np.ndarray, np.ndarray] | None = None, arrays: bool = False) -> DataFrame:
     """Best partners of each query row among the items (see module doc).
 
     ``queries_unique`` says each ``_qid`` occurs in one query row; then the
@@ -260,8 +263,12 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
     not counted; ``item_groups`` the number of join groups that exist;
     ``items_table`` the item side where it is at hand already.  ``limits``
     (sorted ``_qid``s and distances) are known k-th distances: the
-    ``broadcast_queries`` plan sends nothing on that is farther.
+    ``broadcast_queries`` plan sends nothing on that is farther.  ``arrays`` (of
+    a radius search) returns rows ``_qid, _ids, _ds`` instead, unmerged and in
+    no order: a task hands on a query's hits as two arrays, some at a time.
     """
+    if arrays and (radius is None or per_keys):
+        raise ValueError("arrays are those of a radius search over all items")
     if (k is None) == (radius is None):
         raise ValueError("give exactly one of k and radius")
     join_keys, per_keys = list(join_keys), list(per_keys)
@@ -284,16 +291,16 @@ def nearest(queries: DataFrame, items: DataFrame, *, dim: int, metric: str,
 
     if strategy == "broadcast_items":
         out, complete = _broadcast_items(queries, items, dim, metric, k, radius, join_keys, per_keys,
-                                         kinds, schema, larger, collected, carry_query_vector), queries_unique
+                                         kinds, schema, larger, collected, carry_query_vector, arrays), queries_unique
     elif strategy == "broadcast_queries":
         out, complete = _broadcast_queries(queries, raw_items, dim, metric, k, radius, join_keys, per_keys,
-                                           kinds, schema, larger, collected, item_transform, item_search, item_groups, limits), False
+                                           kinds, schema, larger, collected, item_transform, item_search, item_groups, limits, arrays), False
     elif strategy == "tiled":
         out, complete = _tiled(queries, items if item_search is None else raw_items, dim, metric, k, radius, join_keys,
-                               per_keys, kinds, schema, larger, item_search, (k or 0) * (shards if per_keys else 1)), False
+                               per_keys, kinds, schema, larger, item_search, (k or 0) * (shards if per_keys else 1), arrays), False
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    if complete or not final:
+    if arrays or complete or not final:
         return out
     return rank_final(out, k, per_keys, larger)
 
@@ -398,7 +405,7 @@ def rank_final(cands: DataFrame, k: int | None, per_keys, larger: bool) -> DataF
 
 
 def _broadcast_items(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger,
-                     collected=None, carry=False):
+                     collected=None, carry=False, arrays=False):
     spark = queries.sparkSession
     item_keys, join_idx, per_idx = _item_keys(join_keys, per_keys)
     side = _collect_side(items, item_keys, "_id", "_v", dim, collected)
@@ -426,7 +433,39 @@ def _broadcast_items(queries, items, dim, metric, k, radius, join_keys, per_keys
                                                  names=out.schema.names + ["_qv"])
             yield _labelled(out, rb.column(LABEL) if labels else None, qpos)
 
-    return queries.select(*join_keys, "_qid", "_qv", *labels).mapInArrow(run, schema)
+    return _mapped(queries.select(*join_keys, "_qid", "_qv", *labels), run, schema, arrays)
+
+
+def _mapped(rows, run, schema, arrays):
+    """``rows`` searched by ``run``, its hits one a row or as arrays."""
+    if not arrays:
+        return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lambda batches: _gathered(run(batches)), ARRAYS)
+
+
+def _gathered(batches):
+    """Hits as one row a query, of ``GATHER_AT`` hits at a time."""
+    held, count = [], 0
+    for rb in batches:
+        if rb.num_rows:
+            held.append(rb.select(["_qid", "_id", "_d"]))
+            count += rb.num_rows
+        if count >= GATHER_AT:
+            yield _by_query(held)
+            held, count = [], 0
+    if held:
+        yield _by_query(held)
+
+
+def _by_query(held) -> pa.RecordBatch:
+    hits = pa.Table.from_batches(held)
+    qids, ids, d = (hits.column(c).to_numpy() for c in ("_qid", "_id", "_d"))
+    order = np.argsort(qids, kind="stable")
+    qids = qids[order]
+    starts = np.r_[0, np.flatnonzero(np.diff(qids)) + 1]
+    ends = pa.array(np.r_[starts, len(qids)], type=pa.int32())
+    lists = [pa.ListArray.from_arrays(ends, pa.array(x[order])) for x in (ids, d)]
+    return pa.RecordBatch.from_arrays([pa.array(qids[starts]), *lists], names=ARRAYS.names)
 
 
 def _pieces(batches, radius):
@@ -514,7 +553,7 @@ def _searched(pieces, qs, search, metric, k, radius, join_keys, per_keys, kinds,
 
 
 def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger,
-                       collected=None, item_transform=None, item_search=None, item_groups=None, limits=None):
+                       collected=None, item_transform=None, item_search=None, item_groups=None, limits=None, arrays=False):
     spark = queries.sparkSession
     side = _collect_side(queries, join_keys, "_qid", "_qv", dim, collected)
     if limits is not None:
@@ -533,7 +572,7 @@ def _broadcast_queries(queries, items, dim, metric, k, radius, join_keys, per_ke
     scan = scan_filter(items, join_keys, side["keys"], item_groups)
     if item_search is None and item_transform is not None:
         scan = item_transform(scan)
-    return scan.select(*item_columns, "_id", *stored).mapInArrow(run, schema)
+    return _mapped(scan.select(*item_columns, "_id", *stored), run, schema, arrays)
 
 
 def _tile_counts(ni, nq, item_rows: int, query_rows: int, share):
@@ -545,7 +584,8 @@ def _tile_counts(ni, nq, item_rows: int, query_rows: int, share):
     return F.least(ni, F.ceil(si * more)).cast("int"), F.least(nq, F.ceil(sq * more)).cast("int")
 
 
-def _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger, item_search=None, hits=0):
+def _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, schema, larger, item_search=None, hits=0,
+           arrays=False):
     spark = queries.sparkSession
     item_rows, query_rows = tile_rows(spark, dim), tile_rows(spark, dim, hits)
     search = VectorSearch(dim) if item_search is None else item_search
@@ -636,7 +676,7 @@ def _tiled(queries, items, dim, metric, k, radius, join_keys, per_keys, kinds, s
                 stats.add((1, sum(seen), len(side["ids"])))
 
     schema = T.StructType(schema.fields + [queries.schema[c] for c in labels])
-    return rows.mapInArrow(run, schema)
+    return _mapped(rows, run, schema, arrays)
 
 
 class _TileStats(AccumulatorParam):

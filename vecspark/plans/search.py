@@ -20,6 +20,9 @@ the stored vectors on tag columns before any distance is computed.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,13 +77,13 @@ def _keyed(df: DataFrame, shards: list[int] | None) -> DataFrame:
 def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius: float | None = None,
                scope: str = "global", where: Column | None = None, index_key: str | None = None,
                nprobe: int | None = None, strategy: str = "auto", final: bool = True, fill: bool = False,
-               exact: bool = False, limits=None) -> DataFrame:
+               exact: bool = False, limits=None, arrays: bool = False) -> DataFrame:
     """Ranked hits ``[shard_id,] _qid, _id, _d, _rank`` for prepared queries.
 
     ``final=False`` (radius search) skips the per-query ranking window; the
     hits are complete but ``_rank`` is only task-local.  Queries with a
     ``shard_id`` column meet that shard alone.  ``fill`` and ``exact`` choose the
-    lists probed (see ``knn`` and ``range_search``), ``limits`` goes to ``nearest``.
+    lists probed (see ``knn`` and ``range_search``), ``limits`` and ``arrays`` go to ``nearest``.
     """
     if scope not in ("global", "shard"):
         raise ValueError("scope must be 'global' or 'shard'")
@@ -92,12 +95,13 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
     shards = None if index_key is None else shards_of_key(index, index_key)
     post = _keyed(post, shards)
     own = ["shard_id"] if "shard_id" in q.columns else []
-    qs = q.select(*own, "_qid", "_qv", "_qlab")
+    qs = q.select(*own, "_qid", "_qv", *([] if arrays else ["_qlab"]))
     groups = index.extra.get("groups", 1)
     if spec.kind == "flat" or (exact and not probing.lists_fit(index, groups)):  # beyond the budget every list is searched
         items = post.select("shard_id", F.col("id").alias("_id"), F.col("vector").alias("_v"))
         return nn.nearest(qs, items, dim=spec.dim, metric=spec.metric, k=k, radius=radius, join_keys=own,
-                          per_keys=per_keys, queries_unique=not own, strategy=strategy, final=final, shards=groups, limits=limits)
+                          per_keys=per_keys, queries_unique=not own, strategy=strategy, final=final, shards=groups, limits=limits,
+                          arrays=arrays)
     if not index.trained or index.centroids is None:
         raise ValueError(f"an index of kind {spec.kind!r} must be trained before it is searched")
     nprobe = positive_int("nprobe", index.options.nprobe if nprobe is None else nprobe)
@@ -116,7 +120,7 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
                        items_table=_centroid_table(index, groups, shards))
     # The probe is as many rows as asked for, so it need not be counted; nor is a list looked for that no query probes.
     bound, known = asked * min(nprobe, spec.nlist) * groups, groups * spec.nlist
-    qp = probe.select("shard_id", F.col("_id").cast("int").alias("list_id"), "_qid", "_qlab",
+    qp = probe.select("shard_id", F.col("_id").cast("int").alias("list_id"), "_qid", *([] if arrays else ["_qlab"]),
                       *(["_qv"] if "_qv" in probe.columns else []))
     if "_qv" not in qp.columns:  # centroids beyond the broadcast budget: attach vectors by id
         qp = qp.join(qs.select("_qid", "_qv"), "_qid")
@@ -143,7 +147,7 @@ def candidates(index: VectorIndex, q: DataFrame, *, k: int | None = None, radius
     return nn.nearest(qp, items, dim=spec.dim, metric=spec.metric, k=k, radius=radius,
                       join_keys=["shard_id", "list_id"], per_keys=per_keys, queries_unique=False,
                       strategy=strategy, final=final, item_transform=decode, item_search=coded, shards=groups,
-                      queries_bound=bound, item_groups=known, limits=limits)
+                      queries_bound=bound, item_groups=known, limits=limits, arrays=arrays)
 
 
 def _centroid_table(index: VectorIndex, groups: int, shards: list[int] | None):
@@ -343,12 +347,52 @@ def range_search_arrays(index: VectorIndex, queries: DataFrame, radius: float, *
                         vector_col: str = "vector", preserve_vector: bool | None = True,
                         index_key: str | None = None, where: Column | None = None, nprobe: int | None = None,
                         strategy: str = "auto") -> DataFrame:
-    """Array-form radius search."""
+    """Array-form radius search; tasks hand on hits as arrays, which are never rows of their own."""
     q = prepare_queries(queries, index.dim, id_col, vector_col)
     hits = candidates(index, q, radius=float(radius), where=where, index_key=index_key, nprobe=nprobe,
-                      strategy=strategy, final=False)
-    return to_array_form(hits, q, preserve_vector=preserve_vector, ranked=False,
-                         larger_is_nearer=index.metric == "ip")
+                      strategy=strategy, final=False, arrays=True)
+    return _joined_arrays(hits, q, bool(preserve_vector), index.metric == "ip")
+
+
+def _joined_arrays(hits: DataFrame, q: DataFrame, preserve_vector: bool, larger: bool) -> DataFrame:
+    """``to_array_form`` of a radius search's ``_qid, _ids, _ds``: a query's row and its arrays come one after the other."""
+    vector = T.ArrayType(T.FloatType())
+    asked = q.select("_qid", (F.col("query_vector") if preserve_vector else F.lit(None).cast(vector)).alias("query_vector"),
+                     F.col("_qlab").alias("query_idx"), *[F.lit(None).cast(nn.ARRAYS[c].dataType).alias(c) for c in ("_ids", "_ds")])
+    found = hits.select("_qid", F.lit(None).cast(vector).alias("query_vector"), F.lit(None).cast("long").alias("query_idx"),
+                        "_ids", "_ds")
+    rows = asked.unionAll(found).repartition("_qid").sortWithinPartitions("_qid", F.col("_ids").isNotNull())
+    schema = T.StructType([T.StructField("query_vector", vector), T.StructField("query_idx", T.LongType()),
+                           T.StructField("vector_idxs", T.ArrayType(T.LongType()), False),
+                           T.StructField("distances", vector, False)])
+
+    def merged(held):
+        table = pa.Table.from_batches(held).combine_chunks()
+        first = table.column("_ids").is_null().to_numpy(zero_copy_only=False)  # a query's own row
+        sizes = pc.fill_null(pc.list_value_length(table.column("_ids")), 0).to_numpy().astype(np.int64)
+        ids, d = (pc.list_flatten(table.column(c)).to_numpy() for c in ("_ids", "_ds"))
+        of = np.repeat(np.cumsum(first) - 1, sizes)
+        order = np.lexsort((ids, -d if larger else d, of))
+        ends = pa.array(np.r_[0, np.cumsum(np.bincount(of, minlength=int(first.sum())))], type=pa.int32())
+        own = table.filter(pa.array(first)).select(["query_vector", "query_idx"]).combine_chunks()
+        lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (ids[order], d[order].astype(np.float32))]
+        return pa.RecordBatch.from_arrays([*(c.combine_chunks() for c in own.columns), *lists], names=schema.names)
+
+    def run(batches):
+        held = []
+        for rb in batches:
+            starts = np.flatnonzero(rb.column("_ids").is_null().to_numpy(zero_copy_only=False))
+            if not len(starts):  # more of the query before
+                held.append(rb)
+                continue
+            last = int(starts[-1])
+            if held or last:
+                yield merged([*held, rb.slice(0, last)])
+            held = [rb.slice(last)]
+        if held:
+            yield merged(held)
+
+    return rows.mapInArrow(run, schema)
 
 
 def search_packed(index: VectorIndex, packed: DataFrame, k: int, *, vectors_col: str = "vectors",
