@@ -292,19 +292,38 @@ def _search_bounded(q, v, ids, metric, k, radius, prep, limit):
 def _limits(q, v, metric, k):
     """For each query the ``k``-th of the distances to some items, one of each stretch: that nearest by a matrix product."""
     edges = np.linspace(0, len(v), _SEEDS * k + 1).astype(np.int64)
-    half = 0.5 * np.einsum("ij,ij->i", v, v)
     out = np.empty(len(q))
-    step = max(1, _CHUNK_BYTES // (8 * len(v)))
-    for at in range(0, len(q), step):
-        qc = q[at:at + step]
-        s = qc @ v.T
-        np.subtract(half, s, out=s)
-        chosen = np.stack([a + s[:, a:b].argmin(axis=1) for a, b in itertools.pairwise(edges.tolist())], axis=1)
-        d = _pairs_exact(qc, v, np.repeat(np.arange(len(qc)), chosen.shape[1]), chosen.reshape(-1), metric)
-        out[at:at + step] = np.partition(d.reshape(chosen.shape), k - 1, axis=1)[:, k - 1]
+    step = max(1, _CHUNK_BYTES // (4 * len(v)))
+    with np.errstate(over="ignore", invalid="ignore"):  # any choice of items is a right one
+        items = np.column_stack((-v, 0.5 * np.einsum("ij,ij->i", v, v))).astype(np.float32)
+        for at in range(0, len(q), step):
+            qc = q[at:at + step]
+            s = np.column_stack((qc, np.ones(len(qc)))).astype(np.float32) @ items.T
+            chosen = np.stack([a + s[:, a:b].argmin(axis=1) for a, b in itertools.pairwise(edges.tolist())], axis=1)
+            d = _pairs_exact(qc, v, np.repeat(np.arange(len(qc)), chosen.shape[1]), chosen.reshape(-1), metric)
+            out[at:at + step] = np.partition(d.reshape(chosen.shape), k - 1, axis=1)[:, k - 1]
     return out
 
 
+def _left(q, v, qi, vi, limit, prep):
+    """Of chosen pairs, those whose L1 distance in single precision may be within the limit."""
+    dim = q.shape[1]
+    if "rows" not in prep:
+        prep["rows"] = v.astype(np.float32)
+    rows, qs, ones = prep["rows"], q.astype(np.float32), np.ones(dim, dtype=np.float32)
+    error = np.finfo(np.float32).eps * (dim + 4)
+    edge, own = limit + error * np.abs(q).sum(axis=1) + 1e-30, error * prep["vn"]
+    keep = np.empty(len(qi), dtype=bool)
+    step = max(1, PAIR_BYTES // (4 * dim))
+    for a in range(0, len(qi), step):
+        some, others = qi[a:a + step], vi[a:a + step]
+        gap = qs[some]
+        gap -= rows[others]
+        np.abs(gap, out=gap)
+        keep[a:a + step] = gap @ ones <= edge[some] + own[others]
+    return qi[keep], vi[keep]
+
+
 def _within(q, v, ids, metric, k, radius, prep, known):
     """Partners up to each query's ``known`` distance (below the radius), the best ``k`` of each."""
     if "bounds" not in prep:
@@ -318,7 +337,7 @@ def _within(q, v, ids, metric, k, radius, prep, known):
         if pairs is None:
             qi, vi, d = _search_whole(qc, v, ids, metric, k, radius, prep, own)
         else:
-            qi, vi = pairs
+            qi, vi = pairs if metric != "l1" else _left(qc, v, *pairs, own, prep)
             d = _pairs_exact(qc, v, qi, vi, metric)
             hit = d < radius if radius is not None else d <= own[qi]
             qi, vi, d = qi[hit], vi[hit], d[hit]
