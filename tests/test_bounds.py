@@ -82,3 +82,15 @@ def test_a_limit_that_most_are_within_is_not_bounded():
     for metric in bounds.METRICS:
         assert bounds.Bounds(v, metric).pairs(v[:64], np.full(64, 1e3)) is None
         assert len(kernels.search_block(v[:64], v, np.arange(600), metric, radius=1e3)[0]) == 64 * 600
+
+
+@pytest.mark.parametrize("metric", ["l1", "linf"])
+def test_boundless_limits(metric):
+    v = np.random.default_rng(2).normal(size=(700, 8))
+    with np.errstate(invalid="raise", over="raise"):
+        for radius in (np.inf, 1e308):
+            assert len(kernels.search_block(v[:64], v, np.arange(700), metric, radius=radius)[0]) == 64 * 700
+    want = kernels.search_block(v[:64], v, np.arange(700), metric, k=3)
+    for limit in (np.full(64, 1e308), np.r_[np.inf, np.full(63, 9.0)]):
+        for a, b in zip(want, kernels.search_block(v[:64], v, np.arange(700), metric, k=3, limit=limit), strict=True):
+            assert (a == b).all()

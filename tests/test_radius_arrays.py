@@ -102,3 +102,9 @@ def test_radius_searches_use_single_precision_where_it_is_sharp(monkeypatch):
     monkeypatch.setattr(kernels, "_block", lambda *a: pytest.fail("a matrix in double precision was made"))
     for metric in ("l2", "ip"):
         assert len(kernels.search_block(v[:80], v, np.arange(300), metric, radius=8.0)[0])
+
+
+def test_squares_that_overflow_lose_no_pair():
+    q, v = np.full((3, 4), 1e200), np.zeros((5, 4))
+    with np.errstate(all="ignore"):
+        assert len(kernels.search_block(q, v, np.arange(5), "ip", radius=-1.0)[0]) == 15

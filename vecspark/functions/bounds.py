@@ -24,7 +24,7 @@ import numpy as np
 
 METRICS = ("l1", "linf")
 CELLS, CUTS = 16, 64
-LARGEST = 1e30  # of the components that are bounded here
+LARGEST, FARTHEST = 1e30, 1e100  # components and limits that are bounded here are smaller
 MANY = 0.3  # share of pairs within their bounds beyond which whole distances cost less
 ROWS, ITEMS = 512, 512  # queries and items of a step
 _RUN = 4
@@ -153,11 +153,11 @@ class _Spans:
 
 
 class Bounds:
-    """Bounds of the items ``v`` (finite, of components up to ``LARGEST``); made once for many query blocks."""
+    """Bounds of the items ``v`` (finite, of components below ``LARGEST``); made once for many query blocks."""
 
     def __init__(self, v: np.ndarray, metric: str):
         self.kind = (_Sums if metric == "l1" else _Spans)(v)
 
     def pairs(self, q: np.ndarray, limit: np.ndarray):
-        """``(query rows, item rows)`` of all pairs with a distance up to ``limit`` and some others; None where these are many."""
+        """``(query rows, item rows)`` of all pairs with a distance up to ``limit`` (below ``FARTHEST``) and some others; None where these are many."""
         return self.kind.pairs(q, limit)

@@ -191,7 +191,7 @@ def search_block(q: np.ndarray, v: np.ndarray, ids: np.ndarray, metric: str,
     nq, nv = len(q), len(v)
     if nq == 0 or nv == 0:
         return empty
-    if _boundable(q, v, metric, vn):
+    if _boundable(q, v, metric, vn) and (radius is None or abs(radius) < bounds.FARTHEST):
         qi, vi, d = _search_bounded(q, v, ids, metric, k, radius, prep, limit)
     else:
         qi, vi, d = _search_whole(q, v, ids, metric, k, radius, prep, limit)
@@ -257,9 +257,10 @@ def _radius_pairs(q, metric, radius, prep):
     error of the sums are further columns); None where that error would be a large part of the radius."""
     v, vn, dim = prep["v"], prep["vn"], q.shape[1]
     qn = np.einsum("ij,ij->i", q, q)
-    size = np.sqrt(qn) * np.sqrt(vn.max()) if metric == "ip" else (np.sqrt(qn) + np.sqrt(vn.max())) ** 2
+    with np.errstate(invalid="ignore"):
+        size = np.sqrt(qn) * np.sqrt(vn.max()) if metric == "ip" else (np.sqrt(qn) + np.sqrt(vn.max())) ** 2
     error = np.finfo(np.float32).eps * (dim + 8) * (size + abs(radius))
-    if not 1e-20 < abs(radius) < 1e20 or error.max() > 0.01 * abs(radius):
+    if not (1e-20 < abs(radius) < 1e20 and error.max() <= 0.01 * abs(radius)):  # also where squares overflow
         return None
     if "single" not in prep:
         ones = np.ones(len(v))
@@ -282,7 +283,7 @@ def _search_bounded(q, v, ids, metric, k, radius, prep, limit):
     """``search_block`` among the pairs that bounds leave."""
     if radius is not None:
         return _within(q, v, ids, metric, None, radius, prep, np.full(len(q), float(radius)))
-    if limit is not None and np.isfinite(limit).all():
+    if limit is not None and (limit < bounds.FARTHEST).all():
         return _within(q, v, ids, metric, k, None, prep, limit)
     if 8 * _SEEDS * k > len(v):
         return _search_whole(q, v, ids, metric, k, None, prep, limit)
